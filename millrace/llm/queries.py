@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontaminate, piece_codec, secret_scan
+from millrace.llm import chat_format, decontaminate, near_join, piece_codec, secret_scan
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -49,6 +49,11 @@ def _op1_sql() -> str:
         select conv_id::bigint as conv_id, n_turns::bigint as n_turns, sha256(told) as turns_sha256, length(learnt)::bigint as loss_chars, sha256(learnt) as loss_sha256, chars::bigint as formatted_chars from told"""
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies and number of links."""
+    return near_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and what they decode to."""
     return piece_codec.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("piece_bpe_32k.model"))
@@ -67,6 +72,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op3_ngram_join": op3_ngram_join,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
     "op10_secret_scan": op10_secret_scan,
