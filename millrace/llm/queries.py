@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontaminate, near_join, piece_codec, secret_scan
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -64,6 +64,21 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's media file and of what it gives back."""
+    media = media_columns.media_columns(table(spark, sf_dir, "documents", "doc_id", "text"), tensors=False)
+    return media.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, octet_length(payload) - 63, 64)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings of every document, by a scan of every blob."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -75,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": op3_ngram_join,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
+    "op9_media_columns": op9_media_columns,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql()}
