@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -54,6 +54,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and of each of its lines."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, and what they decode to."""
     return piece_codec.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("piece_bpe_32k.model"))
@@ -88,6 +93,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op3_ngram_join": op3_ngram_join,
+    "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
     "op9_media_columns": op9_media_columns,
