@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -49,6 +49,13 @@ def _op1_sql() -> str:
         select conv_id::bigint as conv_id, n_turns::bigint as n_turns, sha256(told) as turns_sha256, length(learnt)::bigint as loss_chars, sha256(learnt) as loss_sha256, chars::bigint as formatted_chars from told"""
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of near copies and number of links."""
     return near_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -92,6 +99,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
+    "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
