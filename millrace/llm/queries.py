@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
@@ -106,5 +107,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_media_columns": op9_media_columns,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql()}
