@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, weak_quality
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -62,6 +62,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weak label and quality score."""
+    return weak_quality.quality(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document and of each of its lines."""
     return token_counts.token_counts(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_50k.tiktoken"))
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
+    "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontaminate": op8_decontaminate,
