@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, weak_quality
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, url_filter, weak_quality
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -62,6 +62,15 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+URL_RULES = [url_filter.Rule(*r) for r in (("org", "/", True), ("example.org", "/es/", False), ("example.org", "/en/1", False), ("com", "/fr/", True), ("com", "/de/", False))]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict, by rule or by the words of its url."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return url_filter.judge(pages, url_filter.learn(pages), URL_RULES)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's weak label and quality score."""
     return weak_quality.quality(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -107,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
+    "op4_url_filter": op4_url_filter,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
