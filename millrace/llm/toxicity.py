@@ -39,6 +39,8 @@ from millrace.llm.batches import map_batches
 
 TOXIC_DOCS, ORDINARY_DOCS = 1_500, 3_000
 ORDINARY_BYTES, TOXIC_BYTES = 32_768, 1_024
+#: Most bytes that the trainer sees, spread evenly over the sample's windows.
+TRAINED_BYTES = 4 << 20
 WINDOW = 40
 LEVEL = 13
 #: N-grams of words between blanks: sizes, least documents, least likelihood ratio, least times as frequent in toxic documents.
@@ -73,18 +75,21 @@ def _places(word: str) -> Iterator[tuple[int, str]]:
             yield i, word[i : i + n]
 
 
-def telling_parts(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counter[bytes]:
+def telling_parts(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Counter[bytes]:
     """What telling n-grams cover of the words of toxic documents, with the number of words.
 
     An n-gram is telling if the documents that hold it are toxic far more often than others
     are, by the likelihood ratio of its two document frequencies.
     """
     share = (len(toxic) + 1) / (len(toxic) + len(ordinary) + 2)
-    all_grams = _Memo(lambda w: tuple({g for _, g in _places(w.decode())}))
-    seen = Counter(g for ws in toxic for g in {g for w in ws for g in all_grams[w]})
+    grams = lambda ws: {g for w in set(ws) for _, g in _places(w.decode())}
+    seen = Counter()
+    for ws in toxic:
+        seen.update(grams(ws))
     likely = {g for g, n in seen.items() if n >= LEAST}
-    some_grams = _Memo(lambda w: tuple({g for _, g in _places(w.decode()) if g in likely}))
-    usual = Counter(g for ws in ordinary for g in {g for w in ws for g in some_grams[w]})
+    usual = Counter()
+    for ws in ordinary:
+        usual.update(likely & grams(ws))
     good = set()
     for g in likely:
         a, b = seen[g], usual[g]
@@ -92,7 +97,7 @@ def telling_parts(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counte
         if ratio >= EVIDENCE and a * (1 - share) >= TIMES * b * share:
             good.add(g)
     out: Counter[bytes] = Counter()
-    for w, n in Counter(w for ws in toxic for w in ws).items():
+    for w, n in Counter(w for ws in toxic for w in set(ws)).items():
         covered, whole = set(), f" {w.decode()} "
         for i, g in _places(w.decode()):
             if g in good:
@@ -103,15 +108,6 @@ def telling_parts(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Counte
     return out
 
 
-class _Memo(dict):
-    def __init__(self, make: Callable):
-        self.make = make
-
-    def __missing__(self, key):
-        self[key] = value = self.make(key)
-        return value
-
-
 def toxic_content(parts: Counter[bytes], size: int = TOXIC_BYTES) -> bytes:
     """The parts that toxic words are made of as a dictionary: each once, the commonest last, where matches are cheapest."""
     content = b""
@@ -150,7 +146,8 @@ class Dictionaries:
 
 def train(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Dictionaries:
     usual = [w for ws in ordinary for w in windows(ws, 400)]
-    parts = telling_parts([set(ws) for ws in toxic], [set(ws) for ws in ordinary])
+    usual = usual[:: -(-sum(map(len, usual)) // TRAINED_BYTES) or 1]
+    parts = telling_parts(toxic, ordinary)
     return Dictionaries(_trained(ORDINARY_BYTES, usual, 64, 8), toxic_content(parts))
 
 
@@ -198,7 +195,8 @@ def fit(rows: list[tuple[int, str | None, int]], share: float) -> Model:
 
     The sample holds each kind by its own bound; calibration weighs it back to ``share``.
     """
-    said = [(k, words(t), y) for k, t, y in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or ""))]
+    shared: dict[bytes, bytes] = {}
+    said = [(k, [shared.setdefault(w, w) for w in words(t)], y) for k, t, y in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or ""))]
     toxic, ordinary = [[r for r in said if r[2] == y] for y in (1, 0)]
     if len(toxic) < 2 or len(ordinary) < 2:
         return Model(None, (), (), (), share)
