@@ -190,7 +190,7 @@ def query_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("date_cascade", """
-    select event_id, case event_id % 5 when 0 then epoch(ts)::bigint when 1 then epoch(ts)::bigint when 2 then epoch(timestamp '2024-02-01') - 3 * 3600 when 3 then epoch(timestamp '2024-02-01')::bigint else null end::bigint as parsed,
+    select event_id, case event_id % 5 when 0 then floor(epoch(ts))::bigint when 1 then floor(epoch(ts))::bigint when 2 then epoch(timestamp '2024-02-01')::bigint - 3 * 3600 when 3 then epoch(timestamp '2024-02-01')::bigint else null end::bigint as parsed,
            case event_id % 5 when 0 then case when ts >= timestamp '2024-01-29' then 'current' else 'stale' end when 1 then case when date_trunc('second', ts) >= timestamp '2024-01-29' then 'current' else 'stale' end when 4 then 'unknown' else 'current' end as freshness from events""")
 def date_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     now, ts = F.lit("2024-02-01").cast("timestamp"), F.col("ts")
