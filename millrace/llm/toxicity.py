@@ -11,8 +11,8 @@ in a few features (largest, counts and shares above thresholds), whose weights a
 regression calibrates, on documents that its dictionary hasn't seen: dictionaries of two
 folds score each other's documents, then one of both is made for use.
 
-The model is fit on at most ``TOXIC_DOCS`` and ``ORDINARY_DOCS`` labelled documents, those
-of least hash of their id; everything is scored, whole, by batches without a shuffle.
+The model is fit on about ``TOXIC_DOCS`` and ``ORDINARY_DOCS`` labelled documents at most,
+those of least hash of their id; everything is scored, whole, by batches without a shuffle.
 
 Null and empty texts have no windows and get the score of no gains. Documents labelled
 twice count as toxic if either says so; null labels are none. Without labels of both kinds
@@ -219,13 +219,18 @@ def held_out(key: str) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
 
 
+def among(kind: str, key: str, bound: int, total: int) -> Column:
+    """Whether a row of a kind is in its sample: all of up to ``bound`` rows, else those of least hash, about ``bound``."""
+    return F.expr(kind) & (F.pmod(F.xxhash64(key), F.lit(1 << 24)) < math.ceil((1 << 24) * min(1.0, bound / max(1, total))))
+
+
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """The model from all labels that aren't held out, through bounded samples of either kind."""
     told = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max(F.when(F.col(label) > 0, 1).otherwise(0)).alias("__y"))
     known = told.join(docs.select(key).distinct(), key, "left_semi")
     counts = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
-    chosen = known.where("__y = 1").orderBy(F.xxhash64(key), key).limit(TOXIC_DOCS).union(known.where("__y = 0").orderBy(F.xxhash64(key), key).limit(ORDINARY_DOCS))
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # broadcast and rows: at most the two bounds
+    chosen = known.where(among("__y = 1", key, TOXIC_DOCS, counts.get(1, 0)) | among("__y = 0", key, ORDINARY_DOCS, counts.get(0, 0)))
+    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # broadcast and rows: about the two bounds at most
     total = sum(counts.values())
     return fit([(r[key], r[text], r["__y"]) for r in rows], counts.get(1, 0) / total if total else 0.0)
 

@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import map_batches
+from millrace.llm.scratch import cut
 
 #: Words of names that mark unwanted pages in training.
 UNWANTED = ("adult", "ads", "bet", "bets", "betting", "bingo", "bonus", "casino", "cheap", "escort", "gambling", "jackpot", "loan", "loans", "nude", "payday", "pills", "poker", "porn", "pharma", "replica", "sex", "slots", "spam", "torrent", "viagra", "warez", "xxx")
@@ -149,10 +150,22 @@ def visible_words(html: Column) -> Column:
 
 
 def word_counts(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> dict[str, int]:
-    """The commonest words with their counts over all pages, ties by the word; at least one for words of names."""
+    """The commonest words, ``most`` at most, with their counts over all pages; at least one for words of names.
+
+    Words are ranked by bands of their count's logarithm, and whole bands are taken from the
+    top while they fit, so that neither a sort nor a top-k of every task is needed.
+    """
     words = pages.select(F.explode(visible_words(F.col(html))).alias("w")).where(F.length("w").between(2, LONGEST))
-    top = words.groupBy("w").count().orderBy(F.desc("count"), "w").limit(most).collect()  # at most `most` rows
-    counts = {r["w"]: r["count"] for r in top}
+    counted = cut(words.groupBy("w").count().withColumn("band", F.floor(8 * F.log2("count")).cast("int")))
+    bands = counted.groupBy("band").agg(F.count("*").alias("n")).collect()  # about 8 * 63 rows at most
+    least, room = math.inf, most
+    for r in sorted(bands, key=lambda r: -r["band"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["band"]
+    top = counted.where(F.col("band") >= least).collect() if least < math.inf else []  # at most `most` rows
+    counts = {r["w"]: r["count"] for r in sorted(top, key=lambda r: (-r["count"], r["w"]))}
     usual = max(1, sum(counts.values()) // max(1, len(counts)))
     return {w: usual for w in (*UNWANTED, *NAME_WORDS)} | counts
 

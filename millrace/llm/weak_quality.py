@@ -220,8 +220,9 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     voted = cut(map_batches(docs.select(key, text), partial(_vote_maker, key), f"`{key}` {kind}, pattern int"))
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}  # at most 3 ** labellers rows
     model = estimate(counts)
-    chosen = voted.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key, "pattern").limit(SAMPLE).dropDuplicates([key])
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # at most SAMPLE ids
+    below = math.ceil((1 << 24) * min(1.0, SAMPLE / max(1, sum(counts.values()))))
+    chosen = voted.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 24)) < below)).dropDuplicates([key])
+    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # about SAMPLE ids at most
     order = sorted(((xxhash.xxh3_64_intdigest(str(r[key])), r[text] or "", r["pattern"]) for r in rows))
     scorer = fit_scorer([(t, model.posterior(p)) for _, t, p in order])
     return map_batches(docs.select(key, text), partial(_score_maker, model, scorer, key), f"`{key}` {kind}, votes string, posterior double, score double, predicted int")
