@@ -85,7 +85,7 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             spans = [scan(t or "") for t in batch.column("text").to_pylist()]
-            count = {kind: [sum(k == place[kind] for _, k, _ in s) for s in spans] for kind in ("assign", "access", "hex")}
+            count = {kind: [sum(k == place.get(kind, -1) for _, k, _ in s) for s in spans] for kind in ("assign", "access", "hex")}
             base = [hashlib.sha256(joined(s, rules, True).encode()).hexdigest() for s in spans]
             columns = [batch.column("blob"), pa.array([version] * len(spans)), *(pa.array(count[k], pa.int64()) for k in count), pa.array(base), pa.array([joined(s, rules) for s in spans])]
             return pa.RecordBatch.from_arrays(columns, names=["blob", "rule_version", *(f"n_{k}" for k in count), "base_sha256", "spans"])
