@@ -10,7 +10,7 @@ The forward state of a prefix is, for unigram models, the best score and its las
 model's ids; there the state is the last piece of the prefix's own encoding. That piece is
 the one suffix which the encoding before it can stand beside without a merge across, since
 a row of pieces is an encoding exactly if each two neighbours are. Both kinds give the ids
-of the reference decoder for such models, byte fallback included.
+of the public library for such models, byte fallback included.
 
 Null and empty texts have no ids and decode to the empty text. A text's U+2581 counts as a
 blank, as in the models themselves. Equal texts get equal ids; an empty table gives an empty
