@@ -29,13 +29,16 @@ def self_published(url: Column, config: EngineConfig) -> Column:
     return urls.host_is_under(urls.hostname(url), config.self_domain)
 
 
-def objective_gate(articles: DataFrame, now: Column, config: EngineConfig, seen: DataFrame | None = None) -> DataFrame:
+def objective_gate(articles: DataFrame, now: Column, config: EngineConfig, seen: DataFrame | None = None, key: str | None = None) -> DataFrame:
     """``articles`` with ``canonical`` and ``reason``: url, title, date, age, self-published, duplicate.
 
-    Of rows with one canonical address the newest that passes all else is kept. The rank is
-    taken over passing rows first, so that a rejected row never shadows a good one, and only
-    hashes are compared with ``seen`` (a column url_hash).
+    Of rows with one canonical address the newest that passes all else is kept; a rejected row
+    never shadows a good one. ``key`` is unique. Winners are found among passing rows alone,
+    where the limited rank keeps one row of an address in each task before the shuffle, and
+    come back by key, so neither an address that many rows carry nor the empty one gathers in
+    one task. Only hashes are compared with ``seen`` (a column url_hash).
     """
+    key = key or articles.columns[0]
     read = articles.withColumn("canonical", urls.canonical_url(F.coalesce("url", F.lit(""))))
     local = first_reason([
         (F.col("canonical") == "", "invalid URL"),
@@ -44,13 +47,14 @@ def objective_gate(articles: DataFrame, now: Column, config: EngineConfig, seen:
         (stale(F.col("published"), now, config.freshness_days), "stale publication date"),
         (self_published(F.col("canonical"), config), "self-published"),
     ])
-    order = W.partitionBy("canonical", F.col("__local").isNull()).orderBy(F.desc_nulls_last("published"), *(F.col(c) for c in articles.columns[:1]))
-    ranked = read.withColumn("__local", local).withColumn("__known", F.lit(False))
+    checked = read.withColumn("__local", local)
+    order = W.partitionBy("canonical").orderBy(F.desc_nulls_last("published"), key)
+    first = checked.where("__local is null").select(key, "canonical", "published").withColumn("__n", F.row_number().over(order)).where("__n = 1").select(key, "canonical")
     if seen is not None:
-        known = seen.select(F.col("url_hash").alias("__hash"), F.lit(True).alias("__seen")).distinct()
-        ranked = read.withColumn("__local", local).withColumn("__hash", urls.url_hash(F.col("canonical"))).join(known, "__hash", "left").withColumn("__known", F.coalesce("__seen", F.lit(False))).drop("__hash", "__seen")
-    ranked = ranked.withColumn("__n", F.row_number().over(order))
-    return ranked.withColumn("reason", F.coalesce("__local", F.when(F.col("__known") | (F.col("__n") > 1), "duplicate URL"))).drop("__local", "__n", "__known")
+        first = first.join(seen.select("url_hash").distinct(), urls.url_hash(F.col("canonical")) == F.col("url_hash"), "left_anti")
+    won = first.select(F.col(key).alias("__key"), F.lit(True).alias("__first"))
+    joined = checked.join(won, F.col(key) == F.col("__key"), "left")
+    return joined.withColumn("reason", F.coalesce("__local", F.when(F.col("__first").isNull(), "duplicate URL"))).drop("__local", "__first", "__key")
 
 
 def deterministic_gate(articles: DataFrame, now: Column, config: EngineConfig, on_topic: Column, region: Column, off_mission: Column | None = None) -> DataFrame:
