@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.scratch import cut
@@ -11,20 +11,34 @@ from millrace.llm.scratch import cut
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """Rows (node, root): each node's least reachable node, for all nodes of ``links``.
 
-    Every round takes the least root among neighbours and then jumps to the root's root, so
-    rounds follow the logarithm of a component's width. All joins are on unique roots or on
-    links, whose hot nodes adaptive execution splits, and minima are taken before each
-    shuffle. A round's roots are stored reliably. Null ends are no links; loops and repeated
-    links change nothing; no links give no rows.
+    In each round every node points to its least neighbour, or to itself if none is less,
+    pointers are followed to their ends, each step twice as far, and links are drawn anew
+    between what their ends point to; loops and repeats fall away. Every node with a link
+    merges with another one, so the graph at least halves each time, and the first round is
+    the only one that handles all links. All joins look up unique keys, so no row multiplies,
+    and adaptive execution splits hot ones. Rounds are stored reliably. Null ends are no links;
+    loops and repeated links change nothing; no links give no rows.
     """
-    ends = links.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node is not null and other is not null")
-    ends = cut(ends.union(ends.select("other", "node")).distinct())
-    roots = cut(ends.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("root")))
-    while True:
-        reached = ends.join(roots.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("near"))
-        lower = roots.join(reached, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("was"))
-        jump = lower.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        moved = cut(lower.join(jump, "root").select("node", F.least("root", "further").alias("root"), (F.least("root", "further") < F.col("was")).alias("moved")))
-        roots = moved.select("node", "root")
-        if moved.where("moved").isEmpty():
-            return roots
+    known = links.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
+    nodes = known.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    placed = cut(nodes.select("node", F.col("node").alias("root")))
+    edges = cut(_between(known, F.col("x"), F.col("y")))
+    while not edges.isEmpty():
+        near = edges.select(F.explode(F.array(F.struct(F.col("low").alias("node"), F.col("high").alias("to")), F.struct(F.col("high").alias("node"), F.col("low").alias("to")))).alias("e")).groupBy("e.node").agg(F.min("e.to").alias("to"))
+        jump = cut(near.select("node", F.least("node", "to").alias("to")))
+        moved = True
+        while moved:
+            step = jump.join(jump.select(F.col("node").alias("to"), F.col("to").alias("further")), "to")
+            further = cut(step.select("node", F.col("further").alias("to"), (F.col("further") != F.col("to")).alias("moved")))
+            moved = not further.where("moved").isEmpty()
+            jump = further.select("node", "to")
+        one = edges.join(jump.select(F.col("node").alias("low"), F.col("to").alias("x")), "low")
+        two = one.join(jump.select(F.col("node").alias("high"), F.col("to").alias("y")), "high")
+        edges = cut(_between(two, F.col("x"), F.col("y")))
+        placed = cut(placed.join(jump.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")))
+    return placed
+
+
+def _between(rows: DataFrame, x: Column, y: Column) -> DataFrame:
+    """Distinct links (low, high) without loops."""
+    return rows.where(x != y).select(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")).distinct()
