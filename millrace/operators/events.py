@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 from millrace.plans.lineage import cut
+from millrace.plans.values import ANNOUNCEMENT_WORDS, EVENT_STOP_WORDS, EVENT_WORD_FORMS, POLICY_WORDS
 
 
 def event_classes(rows: DataFrame, key: str, tokens: str, rank: str | None = None) -> DataFrame:
@@ -75,14 +76,38 @@ def measures_conflict(a: Column, b: Column) -> Column:
     return F.exists(F.array_intersect(F.map_keys(a), F.map_keys(b)), lambda u: ~F.arrays_overlap(F.element_at(a, u), F.element_at(b, u)))
 
 
-def same_event(left: str, right: str, threshold: float = 0.72) -> Column:
-    """Whether two candidates tell of one event; each side has canonical, place, measures and tokens."""
+def announcement_tokens(said: Column) -> Column:
+    """The distinct words of two letters or more in their event form, without stop words."""
+    forms = F.create_map(*(F.lit(x) for pair in EVENT_WORD_FORMS.items() for x in pair))
+    words = F.filter(F.regexp_extract_all(F.lower(F.coalesce(said, F.lit(""))), F.lit(r"([a-z0-9]+)"), 1), lambda w: (F.length(w) > 1) & ~w.isin(*EVENT_STOP_WORDS, "more", "under"))
+    return F.array_distinct(F.transform(words, lambda w: F.coalesce(F.try_element_at(forms, w), w)))
+
+
+def same_policy(left: str, right: str, days: int = 3) -> Column:
+    """Whether two candidates announce one policy: one known place, dates within ``days``, a policy word on either side, a
+    shared announcement word, and titles or snippets that nearly agree.
+
+    Each side has place, published, and ``said`` and ``told``, the announcement tokens of title and snippet.
+    """
+    l, r = (lambda name: F.col(f"{left}.{name}")), (lambda name: F.col(f"{right}.{name}"))  # noqa: E731, E741
+    has = lambda tokens, words: F.arrays_overlap(tokens, F.array(*map(F.lit, words)))
+    shared, told = F.array_intersect(l("said"), r("said")), F.array_intersect(l("told"), r("told"))
+    least, least_told = F.least(F.size(l("said")), F.size(r("said"))), F.least(F.size(l("told")), F.size(r("told")))
+    anchored = (l("place") == r("place")) & (F.abs(F.unix_timestamp(l("published")) - F.unix_timestamp(r("published"))) <= days * 86400)
+    worded = has(l("said"), POLICY_WORDS) & has(r("said"), POLICY_WORDS) & has(shared, ANNOUNCEMENT_WORDS)
+    titles = has(shared, POLICY_WORDS) & (least >= 6) & (F.size(shared) >= 0.85 * least)
+    snippets = (F.size(shared) >= 3) & (F.size(told) >= 12) & (F.size(told) >= 0.9 * least_told)
+    return F.coalesce(anchored & worded & (titles | snippets), F.lit(False))
+
+
+def same_event(left: str, right: str, threshold: float = 0.72, policy: bool = False) -> Column:
+    """Whether two candidates tell of one event; each side has canonical, place, measures and tokens, for ``policy`` also what that asks for."""
     l, r = (lambda name: F.col(f"{left}.{name}")), (lambda name: F.col(f"{right}.{name}"))  # noqa: E731, E741
     return (
         F.when(l("canonical") == r("canonical"), True)
         .when(l("place").isNotNull() & r("place").isNotNull() & (l("place") != r("place")), False)
         .when(measures_conflict(l("measures"), r("measures")), False)
-        .otherwise(F.coalesce(text.jaccard(l("tokens"), r("tokens")) >= threshold, F.lit(False)))
+        .otherwise(F.coalesce(text.jaccard(l("tokens"), r("tokens")) >= threshold, F.lit(False)) | (same_policy(left, right) if policy else F.lit(False)))
     )
 
 

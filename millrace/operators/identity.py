@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
+from millrace.plans.lineage import cut
 
 
 def exclude_seen(rows: DataFrame, key: str, seen: DataFrame, seen_key: str) -> DataFrame:
@@ -70,3 +71,20 @@ def longest_override(rows: DataFrame, text: str, overrides: DataFrame, phrase: s
     words = rows.select("row_id", F.lower(text).alias("__t"), F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))).alias("__w"))
     hit = words.join(overrides.select(F.lower(phrase).alias("__p"), F.col(value), first(F.col(phrase)).alias("__w")), "__w").where(F.contains("__t", "__p"))
     return representative(hit, ["row_id"], [F.desc(F.length("__p")), F.col("__p")]).select("row_id", value)
+
+
+def assign_distinct(offers: DataFrame, rank: str, pos: str, identity: str) -> DataFrame:
+    """(rank, pos, identity): each row, by unique ``rank``, gets its first offer that no better row got.
+
+    Resolved in rounds: every row asks for its best offer left, the best row that asks for an
+    identity holds it, the others strike it from their lists. That ends in the same picks as
+    serving rows one by one. Rows whose offers run out get none.
+    """
+    live = cut(offers.select(rank, pos, identity).where(F.col(identity).isNotNull()))
+    while True:
+        asked = live.groupBy(rank).agg(F.min(F.struct(pos, identity)).alias("o")).select(rank, f"o.{pos}", f"o.{identity}")
+        held = asked.groupBy(identity).agg(F.min(rank).alias("__holder"))
+        struck = cut(asked.join(held, identity).where(F.col(rank) != F.col("__holder")).select(rank, identity))
+        if struck.isEmpty():
+            return asked
+        live = cut(live.join(struck, [rank, identity], "left_anti"))

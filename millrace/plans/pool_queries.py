@@ -134,6 +134,26 @@ def leader_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.dedupe_events(rows, "key", "tokens", "rank").select("key", "kept", "leader")
 
 
+@query("image_assignment")
+def image_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation gets the first of its words that no earlier conversation got."""
+    words = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.posexplode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("at", "word")).where("word <> ''")
+    offers = words.select("conv_id", F.struct("turn", "at").alias("pos"), "word")
+    return identity.assign_distinct(offers, "conv_id", "pos", "word").select("conv_id", "word")
+
+
+@query("policy_match", """
+    select o_orderkey, case o_orderkey % 4 when 0 then true when 1 then false when 2 then false else true end as same from orders""")
+def policy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("o_orderkey") % 4
+    title = "Ministry approves water reuse plan for coastal cities"
+    other = F.when(k == 2, "Ministry mulls water reuse plan for coastal cities").when(k == 3, "Cabinet approved the plan").otherwise("Ministry approved water reuse plan for coastal cities")
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    side = lambda said, told, day: F.struct(F.lit("Egypt").alias("place"), day.cast("timestamp").alias("published"), events.announcement_tokens(said).alias("said"), events.announcement_tokens(told).alias("told"))
+    rows = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", side(F.when(k == 3, "Cabinet approves plan").otherwise(title), F.lit(long), F.lit("2024-01-01")).alias("l"), side(other, F.lit(long), F.when(k == 1, "2024-01-09").otherwise("2024-01-03")).alias("r"))
+    return rows.select("o_orderkey", events.same_policy("l", "r").alias("same"))
+
+
 @query("event_vetoes", """
     select o_orderkey, case o_orderkey % 4 when 0 then false when 1 then true when 2 then true else true end as same from orders""")
 def event_vetoes(spark: SparkSession, sf_dir: str) -> DataFrame:

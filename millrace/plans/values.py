@@ -25,6 +25,10 @@ OTHER_LOCATIONS = {
 }
 # Words that don't tell events apart.
 EVENT_STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "in", "into", "is", "it", "its", "new", "of", "on", "says", "the", "to", "with", "will", "energy", "transition", "investment", "investments", "expands")
+# Forms of words that tell one event, and the words of policies and announcements.
+EVENT_WORD_FORMS = {"grow": "production", "grows": "production", "growing": "production", "locally": "local", "updated": "update", "updates": "update", "revised": "update", "revises": "update", "revision": "update", "approved": "approve", "approves": "approve", "approval": "approve", "adopted": "adopt", "adopts": "adopt", "announced": "announce", "announces": "announce", "launched": "launch", "launches": "launch", "policies": "policy", "regulations": "regulation", "plans": "plan", "targets": "target"}
+POLICY_WORDS = ("policy", "strategy", "regulation", "law", "plan")
+ANNOUNCEMENT_WORDS = ("update", "approve", "adopt", "announce", "launch")
 # Story types, those never in scope, and those in scope only if news.
 STORY_TYPES = ("development", "policy_regulation", "investment_financing", "infrastructure_project", "research_result", "investigation", "supply_disruption", "explainer_background", "commentary_opinion", "politics_diplomacy", "conflict_security", "humanitarian_relief", "routine_event", "other")
 EXCLUDED_STORIES = ("politics_diplomacy", "conflict_security", "humanitarian_relief", "routine_event")

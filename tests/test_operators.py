@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import claims, dates, keywords, scores, text, urls
-from millrace.operators import assessment, events, gates, rollups, selection
+from millrace.operators import assessment, events, gates, identity, rollups, selection
 from millrace.plans import pool_queries
 from millrace.plans.values import EngineConfig, load_config
 from millrace.sources import feeds, listings, registry_table, state
@@ -117,6 +117,19 @@ def test_leaders_are_greedy(spark, seed):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_distinct_assignment_serves_rows_in_order(spark, seed):
+    rng = random.Random(seed)
+    offers = [(r, p, rng.choice("abcdefghijkl")) for r in range(15) for p in range(rng.randint(0, 4))]
+    used, want = set(), {}
+    for r, p, i in sorted(offers):
+        if r not in want and i not in used:
+            want[r] = i
+            used.add(i)
+    got = identity.assign_distinct(spark.createDataFrame([*offers, (99, 0, None)], "rank int, pos int, image string"), "rank", "pos", "image").collect()
+    assert {r["rank"]: r.image for r in got} == want
+
+
 def brute_select(rows, targets, limit, cap):
     """The same rules over the whole pool, without any compression."""
     regions, publishers, out = Counter(), Counter(), []
