@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 TURN, SEP, END = "<|turn|>", "<|text|>", "<|end|>"
 #: Strings that steer some chat template. All begin with < or [.
 CONTROL = (TURN, SEP, END, "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<|im_start|>", "<|im_end|>", "<|im_sep|>", "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>", "<start_of_turn>", "<end_of_turn>")
-#: Role names of the layouts and the canonical ones.
+#: Role names of shared-chat layouts and the canonical ones; other layouts name roles as they are.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -51,6 +51,7 @@ class Mapping:
     parts: tuple[tuple[str, tuple[str, ...]], ...] = ()
     group: str | None = None
     place: str | None = None
+    renames: bool = False
 
     @property
     def fingerprint(self) -> str:
@@ -61,8 +62,8 @@ MAPPINGS = (
     Mapping("turn_row", "{conv_id,role,text,turn}", role="role", text="text", group="conv_id", place="turn"),
     Mapping("messages", "{messages:[{content,role}]}", turns="messages"),
     Mapping("messages_id", "{id,messages:[{content,role}]}", turns="messages"),
-    Mapping("share", "{conversations:[{from,value}]}", turns="conversations", role="from", text="value"),
-    Mapping("share_id", "{conversations:[{from,value}],id}", turns="conversations", role="from", text="value"),
+    Mapping("share", "{conversations:[{from,value}]}", turns="conversations", role="from", text="value", renames=True),
+    Mapping("share_id", "{conversations:[{from,value}],id}", turns="conversations", role="from", text="value", renames=True),
     Mapping("instruction", "{input,instruction,output}", parts=(("user", ("instruction", "input")), ("assistant", ("output",)))),
     Mapping("instruction_bare", "{instruction,output}", parts=(("user", ("instruction",)), ("assistant", ("output",)))),
     Mapping("prompt", "{completion,prompt}", parts=(("user", ("prompt",)), ("assistant", ("completion",)))),
@@ -127,8 +128,9 @@ def canonical_turns(records: DataFrame, record: str, key: str | None = None, map
     found = known.select("__key", layout.alias("layout"), turns.alias("__turns"))
     turn = found.select("__key", "layout", F.explode_outer("__turns").alias("t")).where("layout is null or t is not null")
     role = F.coalesce(F.col("t.role"), F.lit(""))
+    renamed = F.col("layout").isin(*(m.name for m in mappings if m.renames) or ("",))
     for old, new in ROLES.items():
-        role = F.when(F.lower(F.col("t.role")) == old, F.lit(new)).otherwise(role)
+        role = F.when(renamed & (F.lower(F.col("t.role")) == old), F.lit(new)).otherwise(role)
     return turn.select(F.coalesce("t.conv", "__key").alias("conv_id"), F.col("t.place").alias("place"), role.alias("role"), F.coalesce("t.text", F.lit("")).alias("text"), "layout")
 
 

@@ -28,6 +28,8 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
 
 from millrace.llm.batches import map_batches
 from millrace.llm.shingles import SHINGLE_WORDS, WordHashes, mix, shingle_hashes, shingle_set
@@ -103,13 +105,14 @@ def search(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key:
     """Rows (doc key, item key, containment, n_shingles of the item) for every containment of ``threshold`` or more."""
     kinds = dict(docs.dtypes) | {"__item": dict(items.dtypes)[item_key]}
     schema = f"`{doc_key}` {kinds[doc_key]}, `{item_key}` {kinds['__item']}, containment double, item_shingles long"
-    found = [_search_block(docs.select(doc_key, text), block, schema, threshold, recall, size, item_key) for block in _blocks(items, item_key, text)]
+    found = [_search_block(docs.select(doc_key, text), block, schema, threshold, recall, size, item_key, items.schema[item_key].dataType) for block in _blocks(items, item_key, text)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
-def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, threshold: float, recall: float, size: int, item_key: str) -> DataFrame:
+def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, threshold: float, recall: float, size: int, item_key: str, item_type: DataType) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)  # at most ITEM_BLOCK rows and about ITEM_BYTES
     doc_key, text = docs.columns
+    kind = to_arrow_type(item_type)
     seeds = seeds_of(functions_needed(threshold, recall))
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
@@ -148,7 +151,7 @@ def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, th
                     if held >= threshold * len(sets[i]):
                         rows.append(n), which.append(keys[i]), share.append(held / len(sets[i])), sizes.append(len(sets[i]))
             took = batch.column(0).take(pa.array(rows, pa.int64()))
-            return pa.RecordBatch.from_arrays([took, pa.array(which, pa.int64()), pa.array(share, pa.float64()), pa.array(sizes, pa.int64())], names=[doc_key, item_key, "containment", "item_shingles"])
+            return pa.RecordBatch.from_arrays([took, pa.array(which, kind), pa.array(share, pa.float64()), pa.array(sizes, pa.int64())], names=[doc_key, item_key, "containment", "item_shingles"])
 
         return work
 

@@ -119,6 +119,7 @@ def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.
     """Batches of rows sorted by (comp, one, two): a row of results for each member that has links there."""
     group: list[tuple] = []
     done: list[tuple] = []
+    kind = None
 
     def close() -> None:
         if len(group) < 2:
@@ -150,9 +151,10 @@ def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.
     def flush() -> pa.RecordBatch:
         ids, count, roots = zip(*done, strict=True)
         done.clear()
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count, pa.int64()), pa.array(roots)], names=["id", "links", "root"])
+        return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(count, pa.int64()), pa.array(roots, kind)], names=["id", "links", "root"])
 
     for batch in batches:
+        kind = batch.schema.field(4).type
         for row in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
             if group and row[:3] != group[0][:3]:
                 close()

@@ -36,10 +36,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _op1_sql() -> str:
     escaped = lambda x: f"length({x}) + length({x}) - length(replace({x}, '\\', ''))" + "".join(f" + (length({x}) - length(replace({x}, '{c}', ''))) // {len(c)}" for c in chat_format.CONTROL)
     marks = sum(map(len, (chat_format.TURN, chat_format.SEP, chat_format.END)))
-    roles = " ".join(f"when '{a}' then '{b}'" for a, b in chat_format.ROLES.items())
     return f"""
         with said as (
-            select conv_id, turn, case lower(role) {roles} else coalesce(role, '') end as role, coalesce(text, '') as text from conversations
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
             union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
         ), told as (
             select conv_id, count(*) as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as told,

@@ -63,6 +63,12 @@ def test_whole_tables(spark, sf):
     assert found(QUERIES["op8_decontaminate"](spark, sf)) == brute(docs, items)
 
 
+def test_ids_of_other_types(spark):
+    items = spark.createDataFrame([("i", "one two three four five six")], "item_id string, text string")
+    docs = spark.createDataFrame([("d", "zero one two three four five six seven")], "doc_id string, text string")
+    assert found(D.search(docs, items)) == {("d", "i", 1.0, 2)}
+
+
 def test_empty_and_dropping(spark):
     items = spark.createDataFrame([(1, "word word word word word", "x", 1)], ITEMS)
     assert D.search(no_documents(spark), items).count() == 0 and D.search(odd_documents(spark), items.limit(0)).count() == 0

@@ -64,6 +64,14 @@ def test_odd_rows(spark):
     assert nothing.columns == ["doc_id", "class_id", "copy_id", "n_links"] and nothing.count() == 0
 
 
+def test_ids_of_other_types(spark):
+    rows = [("b", "a b c d e f"), ("a", "a b c d e f g"), ("c", "a b c d e f")]
+    for kind, make in (("string", str), ("int", lambda x: ord(x))):
+        df = spark.createDataFrame([(make(k), t) for k, t in rows], f"doc_id {kind}, text string")
+        got = {r.doc_id: (r.class_id, r.copy_id, r.n_links) for r in near_join.join(df, threshold=0.6).collect()}
+        assert got == {make("a"): (make("a"), make("a"), 2), make("b"): (make("a"), make("b"), 2), make("c"): (make("a"), make("b"), 2)}
+
+
 def test_null_id_stays(spark):
     df = spark.createDataFrame([(None, "a b c d e f", None, None, None), (1, "a b c d e f", None, None, None)], SCHEMA)
     assert near_join.keep_one(df).count() == 2
