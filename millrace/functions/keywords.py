@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -53,16 +54,29 @@ def _pattern(names: tuple[str, ...]) -> str:
     return "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n))))
 
 
-def mention_counts(text: Column, places: dict[str, tuple[str, ...]] | None = None) -> Column:
-    """map<place, mentions> of a text, longer names first, without places that aren't mentioned.
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """An expression that uses a value several times and computes it once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def mentions(text: Column, places: dict[str, tuple[str, ...]]) -> Column:
+    """The place of each name in a text, in order; of names that start alike the longest counts.
 
-    Bounds are doubled before matching, so that neighbours don't share one.
+    One pattern finds all of them. Bounds are doubled before, so that neighbours don't share one.
     """
     spread = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"([^\p{L}\p{N}_])", "$1$1"), F.lit(" "))
-    places = REGION_KEYWORDS if places is None else places
-    spaced = lambda names: _pattern(tuple(n.replace(" ", "  ") for n in names))
-    counts = [F.struct(F.lit(p).alias("k"), F.size(F.regexp_extract_all(spread, F.lit(rf"[^\p{{L}}\p{{N}}_]({spaced(n)})[^\p{{L}}\p{{N}}_]"), 1)).alias("v")) for p, n in places.items()]
-    return F.map_from_entries(F.filter(F.array(*counts), lambda x: x["v"] > 0))
+    alias = {n.replace(" ", "  "): p for p, names in places.items() for n in names}
+    known = F.create_map(*(F.lit(x) for pair in alias.items() for x in pair))
+    return F.transform(F.regexp_extract_all(spread, F.lit(rf"[^\p{{L}}\p{{N}}_]({_pattern(tuple(alias))})[^\p{{L}}\p{{N}}_]"), 1), lambda n: F.try_element_at(known, n))
+
+
+def _counted(found: Column) -> Column:
+    return F.transform(F.array_distinct(found), lambda p: F.struct(p.alias("k"), F.size(F.filter(found, lambda m: m == p)).alias("v")))
+
+
+def mention_counts(text: Column, places: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """map<place, mentions> of a text, without places that aren't mentioned."""
+    return let(mentions(text, REGION_KEYWORDS if places is None else places), lambda found: F.map_from_entries(_counted(found)))
 
 
 def reported_location(text: Column) -> Column:
@@ -71,27 +85,35 @@ def reported_location(text: Column) -> Column:
     alias = F.create_map(*(F.lit(x) for p, names in places.items() for n in names for x in (n, p)))
     names = _pattern(tuple(n for group in places.values() for n in group))
     explicit = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(rf"(?:^|[^\p{{L}}])(?:in|within|across) (?:the )?({names})(?:$|[^\p{{L}}\p{{N}}_])"), 1), lambda n: F.try_element_at(alias, n)))
-    counts = mention_counts(text, places)
-    most = F.array_max(F.map_values(counts))
-    leaders = F.filter(F.map_entries(counts), lambda e: e["value"] == most)
     told = lambda place, basis: F.struct(place.alias("place"), F.lit(basis).alias("basis"))
-    return (
-        F.when(F.size(counts) == 0, told(F.lit(None).cast("string"), ""))
-        .when(F.lower(text).rlike(PROJECT) & (F.size(explicit) == 1), told(F.try_element_at(explicit, F.lit(1)), "explicit project/event location"))
-        .when(F.size(counts) == 1, told(F.try_element_at(F.map_keys(counts), F.lit(1)), "title geography"))
-        .when(F.size(leaders) == 1, told(F.try_element_at(leaders, F.lit(1))["key"], "dominant article geography"))
-        .otherwise(told(F.lit(None).cast("string"), "ambiguous regional geography"))
-    )
+    nothing = F.lit(None).cast("string")
+
+    def decide(counts: Column) -> Column:
+        most = F.array_max(F.transform(counts, lambda c: c["v"]))
+        leaders = F.filter(counts, lambda c: c["v"] == most)
+        named = F.when(F.lower(text).rlike(PROJECT), explicit)
+        return let(named, lambda at: (
+            F.when(F.size(at) == 1, told(F.try_element_at(at, F.lit(1)), "explicit project/event location"))
+            .when(F.size(counts) == 1, told(F.try_element_at(counts, F.lit(1))["k"], "title geography"))
+            .when(F.size(leaders) == 1, told(F.try_element_at(leaders, F.lit(1))["k"], "dominant article geography"))
+            .otherwise(told(nothing, "ambiguous regional geography"))
+        ))
+
+    return let(let(mentions(text, places), _counted), lambda counts: F.when(F.coalesce(F.size(counts), F.lit(0)) <= 0, told(nothing, "")).otherwise(decide(counts)))
 
 
 def assigned_region(title: Column, snippet: Column, source_regions: Column, discovered: Column) -> Column:
     """struct<region, basis>: by title, else by snippet, else by the source; found stories never by the source."""
-    by_title, by_snippet = reported_location(title), reported_location(snippet)
-    place = F.coalesce(by_title["place"], by_snippet["place"])
-    basis = F.when(by_title["place"].isNotNull(), by_title["basis"]).when(by_snippet["place"].isNotNull(), F.concat(F.lit("description: "), by_snippet["basis"]))
-    region = F.when(place.isin(*REGION_KEYWORDS), place).when(place.isNotNull(), "Global")
-    ambiguous = by_title["basis"].startswith("ambiguous")
-    return F.struct(
-        F.coalesce(region, F.when(~ambiguous & ~discovered, primary_region(source_regions))).alias("region"),
-        F.coalesce(basis, F.when(ambiguous, by_title["basis"]).when(~discovered, F.lit("source region")).otherwise("")).alias("basis"),
-    )
+
+    def decide(found: Column) -> Column:
+        by_title, by_snippet = found["t"], found["s"]
+        place = F.coalesce(by_title["place"], by_snippet["place"])
+        basis = F.when(by_title["place"].isNotNull(), by_title["basis"]).when(by_snippet["place"].isNotNull(), F.concat(F.lit("description: "), by_snippet["basis"]))
+        region = F.when(place.isin(*REGION_KEYWORDS), place).when(place.isNotNull(), "Global")
+        ambiguous = by_title["basis"].startswith("ambiguous")
+        return F.struct(
+            F.coalesce(region, F.when(~ambiguous & ~discovered, primary_region(source_regions))).alias("region"),
+            F.coalesce(basis, F.when(ambiguous, by_title["basis"]).when(~discovered, F.lit("source region")).otherwise("")).alias("basis"),
+        )
+
+    return let(F.struct(reported_location(title).alias("t"), reported_location(snippet).alias("s")), decide)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import keywords, scores, text, urls
 from millrace.operators import events, gates, ranking, selection
+from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import articles
 from millrace.plans.values import REGIONS, EngineConfig
 
@@ -44,8 +45,11 @@ def candidates(rows: DataFrame, now: Column, config: EngineConfig, seen: DataFra
 
 
 def select(pool: DataFrame, config: EngineConfig) -> DataFrame:
-    """Winners of candidates with a tier, one of each event, best first."""
-    rows = pool.where("tier is not null").withColumnRenamed("doc_id", "key")
+    """Winners of candidates with a tier, one of each event, best first.
+
+    The pool is stored once, with the few columns that later steps read over and over.
+    """
+    rows = cut(pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title"))
     ranked = rows.withColumns({"tokens": text.title_tokens(F.col("title")), "rank": F.struct((-F.col("score")).alias("s"), F.col("url"), F.col("key"))})
     kept = events.dedupe_events(ranked.select("key", "tokens", "rank"), "key", "tokens", "rank", config.event_similarity).where("kept").select("key")
     return selection.select_final(rows.join(kept, "key"), dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap)
