@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.bind import let
 from millrace.plans.values import OTHER_LOCATIONS, REGION_ALIASES, REGION_KEYWORDS
 
 #: Words that say a text tells of a project at a place.
@@ -54,11 +54,6 @@ def _pattern(names: tuple[str, ...]) -> str:
     return "|".join(map(re.escape, sorted(names, key=lambda n: (-len(n), n))))
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """An expression that uses a value several times and computes it once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def mentions(text: Column, places: dict[str, tuple[str, ...]]) -> Column:
     """The place of each name in a text, in order; of names that start alike the longest counts.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.bind import let
 from millrace.plans.values import TRACKING_PARAMS
 
 _DEFAULT_PORTS = {"http": "80", "https": "443"}
@@ -27,17 +28,23 @@ def _parts(url: Column) -> dict[str, Column]:
 
 def canonical_url(url: Column) -> Column:
     """Lower scheme and host, no user, fragment, default port or tracking parameters, sorted query, no closing slash. Blank: empty."""
-    p = _parts(url)
-    default = F.lit(False)
-    for scheme, port in _DEFAULT_PORTS.items():
-        default = default | ((p["scheme"] == scheme) & (p["port"] == port))
-    port = F.when((p["port"] == "") | default, "").otherwise(F.concat(F.lit(":"), p["port"]))
-    path = F.when(p["path"].isin("", "/"), p["path"]).otherwise(F.regexp_replace(p["path"], r"/+$", ""))
     decode = lambda x: F.coalesce(F.try_url_decode(x), x)
-    pairs = F.transform(F.filter(F.split(p["query"], "&"), lambda x: x != ""), lambda x: F.struct(decode(F.substring_index(x, "=", 1)).alias("k"), decode(F.when(F.instr(x, "=") > 0, F.regexp_replace(x, r"^[^=]*=", "")).otherwise("")).alias("v")))
-    kept = F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(*TRACKING_PARAMS) & ~F.lower(x["k"]).startswith("utm_"))
-    query = F.array_join(F.transform(F.array_sort(kept), lambda x: F.concat(F.url_encode(x["k"]), F.lit("="), F.url_encode(x["v"]))), "&")
-    return F.when(p["raw"] == "", "").otherwise(F.concat(p["scheme"], F.lit("://"), p["host"], port, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
+
+    def query_of(raw: Column) -> Column:
+        pairs = F.transform(F.filter(F.split(raw, "&"), lambda x: x != ""), lambda x: F.struct(decode(F.substring_index(x, "=", 1)).alias("k"), decode(F.when(F.instr(x, "=") > 0, F.regexp_replace(x, r"^[^=]*=", "")).otherwise("")).alias("v")))
+        kept = F.filter(pairs, lambda x: ~F.lower(x["k"]).isin(*TRACKING_PARAMS) & ~F.lower(x["k"]).startswith("utm_"))
+        joined = F.array_join(F.transform(F.array_sort(kept), lambda x: F.concat(F.lit("&"), F.url_encode(x["k"]), F.lit("="), F.url_encode(x["v"]))), "")
+        return F.regexp_replace(joined, "^&", "?")
+
+    def put_together(p: Column) -> Column:
+        default = F.lit(False)
+        for scheme, port in _DEFAULT_PORTS.items():
+            default = default | ((p["scheme"] == scheme) & (p["port"] == port))
+        port = F.when((p["port"] == "") | default, "").otherwise(F.concat(F.lit(":"), p["port"]))
+        path = F.when(p["path"].isin("", "/"), p["path"]).otherwise(F.regexp_replace(p["path"], r"/+$", ""))
+        return F.when(p["raw"] == "", "").otherwise(F.concat(p["scheme"], F.lit("://"), p["host"], port, path, F.when(p["query"] == "", "").otherwise(query_of(p["query"]))))
+
+    return let(F.struct(*(c.alias(name) for name, c in _parts(url).items())), put_together)
 
 
 def hostname(url: Column) -> Column:
@@ -53,7 +60,7 @@ def host_is_under(host: Column, domain: Column | str) -> Column:
 
 def hosts_match(left: Column, right: Column) -> Column:
     """Equal hosts, or either one under the other; empty hosts match nothing."""
-    return (left != "") & (right != "") & (host_is_under(left, right) | host_is_under(right, left))
+    return let(F.struct(left.alias("l"), right.alias("r")), lambda h: (h["l"] != "") & (h["r"] != "") & (host_is_under(h["l"], h["r"]) | host_is_under(h["r"], h["l"])))
 
 
 def host_suffixes(host: Column) -> Column:
