@@ -57,13 +57,18 @@ def _iso(raw: str) -> str:
 
 
 def _parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c.split()[0] for c in ENTRIES.split(", ")]
     for frame in frames:
+        rows = []
         for path, data in zip(frame["path"], frame["content"], strict=True):
             entries, error = parse_feed(data)
-            outcome = "Parse Error" if error else "Success" if entries else "Empty"
-            rows = [{"path": path, "outcome": outcome, "error": error[:1000], "pos": k} | e | {"dated": _iso(e["dated"])} for k, e in enumerate(entries)]
-            nothing = {"path": path, "outcome": outcome, "error": error[:1000], "pos": None, "link": "", "links": [], "title": "", "summary": "", "content": "", "dated": "", "image": ""}
-            yield pd.DataFrame(rows or [nothing], columns=[c.split()[0] for c in ENTRIES.split(", ")])
+            told = {"path": path, "outcome": "Parse Error" if error else "Success" if entries else "Empty", "error": error[:1000]}
+            rows += [told | {"pos": k} | e | {"dated": _iso(e["dated"])} for k, e in enumerate(entries)]
+            if not entries:
+                rows.append(told | {"pos": None, "link": "", "links": [], "title": "", "summary": "", "content": "", "dated": "", "image": ""})
+        out = pd.DataFrame(rows, columns=columns)
+        out["pos"] = out["pos"].astype("Int32")
+        yield out
 
 
 def read_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
