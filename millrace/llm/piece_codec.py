@@ -32,7 +32,7 @@ from millrace.llm.batches import map_batches
 
 MARK = "▁"
 #: Units and neighbour pairs that a task remembers before it starts afresh.
-UNIT_CACHE = 500_000
+UNIT_CACHE = 900_000
 PAIR_CACHE = 1_000_000
 
 
@@ -54,6 +54,7 @@ class PieceCodec:
         for value, i in enumerate(byte_ids or ()):
             self.bytes_of[i] = bytes([value])
         self.cache: dict[str, bytes] = {}
+        self.codes: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     @classmethod
@@ -82,22 +83,30 @@ class PieceCodec:
     def encode_units(self, units: set[str]) -> None:
         """Fills the cache for distinct units by one depth-first walk of their trie."""
         word, last, back, best = "", [None], [0], [0.0]
+        extend = self._extend_merges if self.merges else self._extend_scores
         for unit in sorted(units):
             marked = unit.replace(" ", MARK)
-            n, same = len(marked), 0
+            same = 0
             for a, b in zip(word, marked):  # noqa: B905
                 if a != b:
                     break
                 same += 1
             del last[same + 1 :], back[same + 1 :], best[same + 1 :]
             word = marked
-            for i in range(same + 1, n + 1):
-                (self._extend_merges if self.merges else self._extend_scores)(word, i, last, back, best)
-            out, i = [], n
+            extend(word, same, last, back, best)
+            out, i = [], len(marked)
             while i:
-                out.append(last[i])
+                out.append(self.coded(last[i]))
                 i = back[i]
-            self.cache[unit] = np.array([x for piece in reversed(out) for x in self._piece_ids(piece)], np.int32).tobytes()
+            out.reverse()
+            self.cache[unit] = b"".join(out)
+
+    def coded(self, piece: str) -> bytes:
+        """A piece's ids as int32 bytes: its own, or those of its bytes, or the unknown one."""
+        found = self.codes.get(piece)
+        if found is None:
+            found = self.codes[piece] = np.array(self._piece_ids(piece), np.int32).tobytes()
+        return found
 
     def _piece_ids(self, piece: str) -> list[int]:
         i = self.ids.get(piece)
@@ -105,37 +114,48 @@ class PieceCodec:
             return [i]
         return [self.byte_ids[b] for b in piece.encode()] if self.byte_ids else [self.unknown]
 
-    def _extend_scores(self, word: str, i: int, last: list, back: list, best: list) -> None:
-        k = self.ids.get(word[i - 1])
-        top, at = best[i - 1] + (self.floor if k is None else self.scores[k]), i - 1
-        for j in range(i - 2, -1, -1):
-            whole = self.endings.get(word[j:i])
-            if whole is None:
-                break
-            if whole and (score := best[j] + self.scores[self.ids[word[j:i]]]) > top:
-                top, at = score, j
-        last.append(word[at:i]), back.append(at), best.append(top)
-
-    def _extend_merges(self, word: str, i: int, last: list, back: list, best: list) -> None:
-        endings, pairs = self.endings, self.pairs
-        for j in range(i - 1, -1, -1):
-            piece = word[j:i]
-            whole = endings.get(piece)
-            if not whole and j < i - 1:
+    def _extend_scores(self, word: str, start: int, last: list, back: list, best: list) -> None:
+        """Forward states of the word's prefixes from ``start`` on, by best sums of scores."""
+        for i in range(start + 1, len(word) + 1):
+            k = self.ids.get(word[i - 1])
+            top, at = best[i - 1] + (self.floor if k is None else self.scores[k]), i - 1
+            for j in range(i - 2, -1, -1):
+                whole = self.endings.get(word[j:i])
                 if whole is None:
                     break
-                continue
-            key = (last[j], piece)
-            good = pairs.get(key)
-            if good is None:
-                if len(pairs) >= PAIR_CACHE:
-                    pairs.clear()
-                parts = [p for p in key if p]
-                good = pairs[key] = self.merged("".join(parts)) == parts
-            if good:
-                last.append(piece), back.append(j), best.append(0.0)
-                return
-        raise AssertionError("a prefix has no encoding")
+                if whole and (score := best[j] + self.scores[self.ids[word[j:i]]]) > top:
+                    top, at = score, j
+            last.append(word[at:i]), back.append(at), best.append(top)
+
+    def _extend_merges(self, word: str, start: int, last: list, back: list, best: list) -> None:
+        """The same by the one last piece that no merge would join across."""
+        endings, pairs = self.endings.get, self.pairs
+        for i in range(start + 1, len(word) + 1):
+            j = i - 1
+            while j >= 0:
+                piece = word[j:i]
+                whole = endings(piece)
+                if whole or j == i - 1:
+                    before = last[j]
+                    good = pairs.get((before, piece))
+                    if good is None:
+                        good = self._beside(before, piece)
+                    if good:
+                        last.append(piece), back.append(j), best.append(0.0)
+                        break
+                elif whole is None:
+                    raise AssertionError("a prefix has no encoding")
+                j -= 1
+            else:
+                raise AssertionError("a prefix has no encoding")
+
+    def _beside(self, before: str | None, piece: str) -> bool:
+        """Whether two pieces, the first of which may be none, are their joined text's encoding."""
+        if len(self.pairs) >= PAIR_CACHE:
+            self.pairs.clear()
+        parts = [p for p in (before, piece) if p]
+        good = self.pairs[before, piece] = self.merged("".join(parts)) == parts
+        return good
 
     def merged(self, word: str) -> list[str]:
         """The encoding of a short word by the definition: of all neighbours that join to a piece, the best first, the leftmost of equals."""
@@ -155,7 +175,7 @@ class PieceCodec:
         cut = [self.units(t or "") for t in texts]
         new = {u for us in cut for u in us if u not in self.cache}
         if len(self.cache) + len(new) > UNIT_CACHE:
-            self.cache.clear()
+            self.cache.clear(), self.codes.clear()
             new = {u for us in cut for u in us}
         self.encode_units(new)
         parts = [b"".join(map(self.cache.__getitem__, us)) for us in cut]
