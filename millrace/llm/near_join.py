@@ -40,7 +40,7 @@ RECALL = 0.99999
 #: Most MinHash functions of a signature.
 FUNCTIONS = 160
 #: Members of a component that are compared as one block.
-BLOCK = 256
+BLOCK = 128
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, functions: int = FUNCTIONS) -> tuple[int, int]:
