@@ -43,7 +43,26 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.withColumns({"tier": F.when(F.col("relevance") >= 4, "strict").otherwise("fallback"), "score": scores.queue_score(F.col("relevance"), F.col("significance"), F.col("quality"))})
 
 
-@query("flagship_weekly_selection")
+#: Coverage alone: on the supplied tables the strict pool fills every region's target.
+FLAGSHIP_SQL = f"""
+    with recursive {CANDIDATES_SQL}, pool as (
+        select key, region, publisher, score, row_number() over (order by {_FINAL}) as rank from scored where tier = 'strict'
+    ), targets(region, target, place) as (values {", ".join(f"('{r}', {n}, {k})" for k, (r, n) in enumerate(TARGETS.items()))}), picks as (
+        select 0 as pick, []::struct(key bigint, region varchar, publisher bigint)[] as won, null::bigint as key, null::varchar as region, null::bigint as publisher, null::double as score
+        union all
+        select picks.pick + 1, list_append(picks.won, {{'key': best.key, 'region': best.region, 'publisher': best.publisher}}), best.key, best.region, best.publisher, best.score
+        from picks, lateral (
+            select * from (
+                select c.*, t.place, count(*) over (partition by c.region) as n, t.target - len(list_filter(picks.won, lambda w: w.region = c.region)) as missing
+                from pool c join targets t on c.region = t.region
+                where len(list_filter(picks.won, lambda w: w.key = c.key)) = 0 and len(list_filter(picks.won, lambda w: w.publisher = c.publisher)) < 2
+            ) where missing > 0 order by n::double / missing, place, rank limit 1
+        ) best where picks.pick < 12
+    )
+    select pick::int as pick, key, 'strict' as tier, region, publisher, score, 'coverage' as phase from picks where pick > 0"""
+
+
+@query("flagship_weekly_selection", FLAGSHIP_SQL)
 def flagship_weekly_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.select_final(candidates(spark, sf_dir), TARGETS, 12, 2)
 
@@ -128,13 +147,31 @@ def event_pairs_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.event_pairs(event_rows(spark, sf_dir), "key", "tokens", 0.72).select("a", "b")
 
 
-@query("leader_dedupe")
+@query("leader_dedupe", f"""
+    with recursive {EVENT_TOKENS_SQL}, numbered as (select key, t, row_number() over (order by key) as i from tokens), walk as (
+        select 0::bigint as i, null::bigint as key, null::bigint as leader, []::struct(k bigint, t varchar[])[] as held
+        union all
+        select n.i, n.key, l.leader, case when l.leader is null then list_append(w.held, {{'k': n.key, 't': n.t}}) else w.held end
+        from walk w join numbered n on n.i = w.i + 1, lateral (
+            select list_filter(w.held, lambda x: len(list_intersect(x.t, n.t)) > 0 and len(list_intersect(x.t, n.t)) >= 0.72 * (len(x.t) + len(n.t) - len(list_intersect(x.t, n.t))) - 1e-9)[1].k as leader
+        ) l
+    )
+    select key, leader is null as kept, leader from walk where i > 0""")
 def leader_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = event_rows(spark, sf_dir).withColumn("rank", F.col("key"))
     return events.dedupe_events(rows, "key", "tokens", "rank").select("key", "kept", "leader")
 
 
-@query("image_assignment")
+@query("image_assignment", """
+    with recursive w as (
+        select conv_id, list_filter(flatten(list(regexp_split_to_array(lower(text), '[^\\p{L}]+') order by turn)), lambda x: x <> '') as words, row_number() over (order by conv_id) as i from conversations where text is not null group by conv_id
+    ), walk as (
+        select 0::bigint as i, null::bigint as conv_id, null::varchar as word, []::varchar[] as used
+        union all
+        select w.i, w.conv_id, l.word, case when l.word is null then walk.used else list_append(walk.used, l.word) end
+        from walk join w on w.i = walk.i + 1, lateral (select list_filter(w.words, lambda x: not list_contains(walk.used, x))[1] as word) l
+    )
+    select conv_id, word from walk where i > 0 and word is not null""")
 def image_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation gets the first of its words that no earlier conversation got."""
     words = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select("conv_id", "turn", F.posexplode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("at", "word")).where("word <> ''")
