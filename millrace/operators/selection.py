@@ -24,10 +24,9 @@ from millrace.operators.ranking import final_order
 
 def capacity(rows: DataFrame, region: str, targets: DataFrame, limit: int) -> DataFrame:
     """One row: target and existing totals, what remains, and how many may be taken."""
-    existing = rows.agg(F.count("*").alias("existing"))
-    total = targets.agg(F.sum("target").cast("long").alias("target"))
+    parts = rows.agg(F.count("*").alias("existing")).select(F.lit(0).cast("long").alias("target"), "existing").unionByName(targets.agg(F.sum("target").cast("long").alias("target")).select("target", F.lit(0).cast("long").alias("existing")))
     left = F.greatest(F.lit(0), F.col("target") - F.col("existing"))
-    return total.join(existing).select("target", "existing", left.alias("remaining"), F.least(F.lit(limit), left).alias("effective"))
+    return parts.agg(F.sum("target").alias("target"), F.sum("existing").alias("existing")).select("target", "existing", left.alias("remaining"), F.least(F.lit(limit), left).alias("effective"))
 
 
 def deficits(rows: DataFrame, region: str, targets: DataFrame) -> DataFrame:
