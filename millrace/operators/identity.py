@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from millrace.functions import urls
 from millrace.plans.lineage import cut
@@ -57,6 +61,57 @@ def one_to_one(left: DataFrame, right: DataFrame, on: list[str], clear: Column,
     return pairs.withColumns({"__l": count("left_id"), "__r": count("right_id")}).where("__l = 1 and __r = 1").select("left_id", "right_id")
 
 
+@F.pandas_udf(StringType())
+def _headline_words(title: pd.Series) -> pd.Series:
+    # compatibility forms and full case folding have no expression
+    return title.map(lambda t: " ".join(re.findall(r"[^\W_]+", unicodedata.normalize("NFKC", t or "").casefold())))
+
+
+def full_headline(title: Column, source: Column) -> Column:
+    """The words of a whole headline, without its source's name at the end."""
+    name = F.replace(source, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+    suffix = F.concat(F.lit("(?isu)\\s+[-|]\\s+\\Q"), name, F.lit("\\E(?:\\b|$).*$"))
+    return _headline_words(F.when(F.coalesce(source, F.lit("")) == "", title).otherwise(F.regexp_replace(title, suffix, F.lit(""))))
+
+
+def clear_matches(feed: DataFrame, direct: DataFrame, words: int = 4, seconds: int = 86400) -> DataFrame:
+    """(feed_id, direct_id) of articles of one publisher and source with equal canonical addresses, or with equal headlines
+    of ``words`` words or more at most ``seconds`` apart.
+
+    Both sides have id, publisher, source, title, canonical and published. Rows of the feed without a valid address match
+    nothing. Each of the two rules is an equi-join.
+    """
+    told = lambda rows: rows.select("id", "publisher", "source", F.nullif("canonical", F.lit("")).alias("canonical"), full_headline(F.col("title"), F.col("source")).alias("headline"), "published")
+    f, d = told(feed).where("canonical is not null").alias("f"), told(direct).alias("d")
+    same = lambda *on: reduce(lambda a, b: a & b, [F.col(f"f.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("publisher", "source")] + [F.col(f"f.{c}") == F.col(f"d.{c}") for c in on])
+    near = F.abs(F.col("f.published").cast("double") - F.col("d.published").cast("double")) <= seconds
+    ids = F.col("f.id").alias("feed_id"), F.col("d.id").alias("direct_id")
+    by_url = f.join(d, same("canonical")).select(*ids)
+    by_headline = f.where(F.size(F.split("headline", " ")) >= words).join(d, same("headline")).where(near).select(*ids)
+    return by_url.union(by_headline).distinct()
+
+
+def merge_supplement(feed: DataFrame, direct: DataFrame, wrapper: Column) -> DataFrame:
+    """The feed's rows, each merged with the page that is its only match and it that page's, and the pages left over.
+
+    ``merged`` tells which. The direct address is taken only where the feed's is a ``wrapper``; then also its date, if it
+    has one, else the feed's own or, without one, the page's. A page's snippet comes first. No row of the feed is lost.
+    """
+    pairs, count = clear_matches(feed, direct), lambda c: F.count("*").over(W.partitionBy(c))
+    only = pairs.withColumns({"__l": count("feed_id"), "__r": count("direct_id")}).where("__l = 1 and __r = 1").select("feed_id", "direct_id")
+    pages = direct.select(F.col("id").alias("direct_id"), F.col("canonical").alias("__url"), F.col("published").alias("__date"), F.col("snippet").alias("__snippet"))
+    found = feed.join(only.join(pages, "direct_id"), F.col("id") == F.col("feed_id"), "left").withColumn("merged", F.col("feed_id").isNotNull())
+    taken = F.col("merged") & F.coalesce(wrapper, F.lit(False))
+    merged = found.withColumns({
+        "published": F.when(taken, F.coalesce("__date", "published")).otherwise(F.coalesce("published", "__date")),
+        "snippet": F.coalesce(F.nullif("__snippet", F.lit("")), "snippet"),
+        "canonical": F.when(taken, F.col("__url")).otherwise(F.col("canonical")),
+    })
+    rest = direct.join(only.select(F.col("direct_id").alias("id")), "id", "left_anti").withColumn("merged", F.lit(False))
+    columns = ["id", "publisher", "source", "title", "canonical", "published", "snippet", "merged"]
+    return merged.select(*columns).unionByName(rest.select(*columns))
+
+
 def once_each(rows: DataFrame, key: list[str], enrich) -> DataFrame:
     """Applies a costly step to each distinct key once and joins the result back to all rows."""
     return rows.join(enrich(rows.select(*key).distinct()), key, "left")

@@ -234,3 +234,34 @@ def test_config():
         load_config({"MILLRACE_RUN_LIMIT": "three"})
     with pytest.raises(ValueError, match="publisher_cap.*relevance"):
         EngineConfig(publisher_cap=0, minimum_relevance=9).validate()
+
+
+def test_supplement_merges_clear_matches_alone(spark):
+    day, later = dt.datetime(2024, 1, 1, tzinfo=dt.UTC), dt.datetime(2024, 1, 2, 1, tzinfo=dt.UTC)
+    kinds = "id string, publisher string, source string, title string, canonical string, published timestamp, snippet string"
+    same = "The very same opening of thirty letters and "
+    feed = [
+        ("f1", "p", "Post", same + "then one end - Post", "https://news.google.com/1", day, "own"),
+        ("f2", "p", "Post", same + "then another end", "https://p.org/2", None, ""),
+        ("f3", "p", "Post", "Three words only", "https://p.org/3", day, ""),
+        ("f4", "p", "Post", "A story told much later", "https://p.org/4", day, ""),
+        ("f5", "p", "Post", "One of two equal stories", "https://p.org/5", day, ""),
+        ("f6", "p", "Post", "One of two equal stories", "https://p.org/6", day, ""),
+        ("f7", "p", "Post", "A story without an address", "", day, ""),
+        ("f8", "q", "Quote", "A story of another publisher", "https://q.org/8", day, ""),
+    ]
+    direct = [
+        ("d1", "p", "Post", same + "THEN one \uff45nd", "https://p.org/1", day, "told"),
+        ("d2", "p", "Post", "Unlike", "https://p.org/2", later, ""),
+        ("d3", "p", "Post", "Three words only", "https://p.org/d3", day, ""),
+        ("d4", "p", "Post", "A story told much later", "https://p.org/d4", later, ""),
+        ("d5", "p", "Post", "One of two equal stories", "https://p.org/d5", day, ""),
+        ("d7", "p", "Post", "A story without an address", "https://p.org/d7", day, ""),
+        ("d8", "p", "Post", "A story of another publisher", "https://p.org/d8", day, ""),
+    ]
+    f, d = spark.createDataFrame(feed, kinds), spark.createDataFrame(direct, kinds)
+    assert {tuple(r) for r in identity.clear_matches(f, d).collect()} == {("f1", "d1"), ("f2", "d2"), ("f5", "d5"), ("f6", "d5")}
+    got = {r.id: r for r in identity.merge_supplement(f, d, F.contains("canonical", F.lit("news.google.com"))).collect()}
+    assert set(got) == {r[0] for r in feed} | {"d3", "d4", "d5", "d7", "d8"} and {k for k, r in got.items() if r.merged} == {"f1", "f2"}
+    assert (got["f1"].canonical, got["f1"].snippet, got["f2"].canonical) == ("https://p.org/1", "told", "https://p.org/2")
+    assert got["f2"].published is not None and got["f4"].canonical == "https://p.org/4"
