@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import scores, text, urls
 from millrace.operators import events, identity, ranking, selection
 from millrace.plans.catalog import query
-from millrace.plans.scalar_queries import ARTICLES_SQL, articles
+from millrace.plans.scalar_queries import ARTICLES_SQL, articles, short_titled
 from millrace.plans.values import EVENT_STOP_WORDS
 from millrace.sources.tables import table
 
@@ -138,7 +138,7 @@ EVENT_TOKENS_SQL = f"""
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir).select(F.col("doc_id").alias("key"), text.title_tokens(F.col("title")).alias("tokens"))
+    return short_titled(articles(spark, sf_dir)).select(F.col("doc_id").alias("key"), text.title_tokens(F.col("title")).alias("tokens"))
 
 
 @query("event_pairs_jaccard", f"""with {EVENT_TOKENS_SQL} select a.key as a, b.key as b from tokens a join tokens b on a.key < b.key

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import claims, dates, keywords, scores, text, urls
 from millrace.operators import assessment, events, gates, identity, rollups, selection
-from millrace.plans import pool_queries
+from millrace.plans import ingestion, pool_queries, scalar_queries
 from millrace.plans.values import EngineConfig, load_config
 from millrace.sources import feeds, listings, registry_table, state
 from millrace.sources.schema import SOURCE, SchemaMismatch, assert_schema
@@ -265,3 +265,9 @@ def test_supplement_merges_clear_matches_alone(spark):
     assert set(got) == {r[0] for r in feed} | {"d3", "d4", "d5", "d7", "d8"} and {k for k, r in got.items() if r.merged} == {"f1", "f2"}
     assert (got["f1"].canonical, got["f1"].snippet, got["f2"].canonical) == ("https://p.org/1", "told", "https://p.org/2")
     assert got["f2"].published is not None and got["f4"].canonical == "https://p.org/4"
+
+
+def test_articles_have_whole_titles(spark, tmp_path):
+    line = "word " * 40 + "end"
+    spark.createDataFrame([(1, line + "\nbody", "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert scalar_queries.articles(spark, str(tmp_path)).first().title == line
