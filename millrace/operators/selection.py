@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.functions import text
 from millrace.operators.ranking import final_order
 
 
@@ -37,10 +38,46 @@ def deficits(rows: DataFrame, region: str, targets: DataFrame) -> DataFrame:
 
 @dataclass
 class State:
-    """What a week has so far; picks change it."""
+    """What a week has so far; picks change its counts."""
 
     regions: Counter = field(default_factory=Counter)
     publishers: Counter = field(default_factory=Counter)
+    urls: set[str] = field(default_factory=set)
+    titles: list[str] = field(default_factory=list)
+
+    def copy(self) -> State:
+        return State(Counter(self.regions), Counter(self.publishers), set(self.urls), list(self.titles))
+
+
+def week_state(rows: DataFrame) -> State:
+    """The state of a week from its rows (region, publisher, url, title): all it has, about as many as its targets add up to."""
+    state = State()
+    for r in rows.select("region", "publisher", "url", "title").toLocalIterator():
+        if r.region is not None:
+            state.regions[r.region] += 1
+        if r.publisher is not None and r.publisher != "":
+            state.publishers[r.publisher] += 1
+        if r.url:
+            state.urls.add(r.url)
+        if r.title:
+            state.titles.append(r.title)
+    return state
+
+
+def open_candidates(candidates: DataFrame, week: State, cap: int, threshold: float = 0.72) -> DataFrame:
+    """Candidates whose address and event the week doesn't have, and whose publisher is below its cap.
+
+    To be called before events are deduped, so that a row that can't win displaces no other. A title is asked for only
+    if the week has titles.
+    """
+    full = [p for p, n in week.publishers.items() if n >= cap]
+    if week.urls:
+        candidates = candidates.where(~F.coalesce(F.col("url").isin(*week.urls), F.lit(False)))
+    if week.titles:
+        have = F.array(*(text.title_tokens(F.lit(t)) for t in sorted(set(week.titles))))
+        same = F.exists(have, lambda t: F.coalesce(text.jaccard(text.title_tokens(F.col("title")), t) >= threshold, F.lit(False)))
+        candidates = candidates.where(~same)
+    return candidates.where(~F.coalesce(F.col("publisher").isin(*full), F.lit(False))) if full else candidates
 
 
 def select_tier(rows: list[dict], counts: dict[tuple[str, str], int], targets: dict[str, int], state: State, limit: int, cap: int, overflow: bool = True) -> list[dict]:
@@ -111,7 +148,7 @@ def shortlist(candidates: DataFrame, cap: int, limit: int) -> DataFrame:
 FIELDS = ("key", "tier", "region", "publisher", "score", "relevance", "significance", "quality", "published", "url")
 
 
-def _machine(pools: Iterator[pd.DataFrame], targets: dict[str, int], limit: int, cap: int) -> Iterator[pd.DataFrame]:
+def _machine(pools: Iterator[pd.DataFrame], targets: dict[str, int], limit: int, cap: int, week: State) -> Iterator[pd.DataFrame]:
     frames = [p for p in pools if len(p)]
     if not frames:
         return
@@ -125,18 +162,24 @@ def _machine(pools: Iterator[pd.DataFrame], targets: dict[str, int], limit: int,
         if r.others:
             tier[r.region, None] = r.others  # publishers that can't be reached
     rows = [{"key": r.key, "tier": r.tier, "region": r.region, "publisher": r.publisher, "score": r.score} for r in pool.itertuples()]
-    won = two_tiers(rows, counts, targets, State(), limit, cap)
+    won = two_tiers(rows, counts, targets, week.copy(), limit, cap)
     if won:
         yield pd.DataFrame([w | {"pick": k} for k, w in enumerate(won, 1)])[["pick", "key", "tier", "region", "publisher", "score", "phase"]]
 
 
-def select_final(candidates: DataFrame, targets: dict[str, int], limit: int, cap: int) -> DataFrame:
-    """Winners (pick, key, tier, region, publisher, score, phase) of candidates with columns ``FIELDS``."""
+def select_final(candidates: DataFrame, targets: dict[str, int], limit: int, cap: int, week: State | None = None, threshold: float = 0.72) -> DataFrame:
+    """Winners (pick, key, tier, region, publisher, score, phase) of candidates with columns ``FIELDS``.
+
+    What the ``week`` already has counts for targets, capacity and caps, and isn't picked again. Publishers at their cap
+    are left out before the shortlist, so they take no place in it.
+    """
+    week = week or State()
+    candidates = open_candidates(candidates, week, cap, threshold)
     short = shortlist(candidates.select(*FIELDS), cap, limit)
     kinds = dict(candidates.dtypes)
     schema = f"pick int, key {kinds['key']}, tier string, region string, publisher {kinds['publisher']}, score double, phase string"
     # at most 2 tiers x regions x (limit + cap) publishers x cap rows
-    return short.coalesce(1).mapInPandas(partial(_machine, targets=targets, limit=limit, cap=cap), schema)
+    return short.coalesce(1).mapInPandas(partial(_machine, targets=targets, limit=limit, cap=cap, week=week), schema)
 
 
 def allocate(rows: list[dict], missing: dict[str, int], budget: int, publishers: Counter | None = None, backfill: bool = False) -> list[dict]:

@@ -44,15 +44,16 @@ def candidates(rows: DataFrame, now: Column, config: EngineConfig, seen: DataFra
     return judged.withColumns({"reason": reason, "tier": tier, "score": scores.queue_score(F.col("relevance"), F.col("significance"), F.col("quality"), config.weights)})
 
 
-def select(pool: DataFrame, config: EngineConfig) -> DataFrame:
-    """Winners of candidates with a tier, one of each event, best first.
+def select(pool: DataFrame, config: EngineConfig, week: selection.State | None = None) -> DataFrame:
+    """Winners of candidates with a tier, one of each event, best first, beside what the week already has.
 
     The pool is stored once, with the few columns that later steps read over and over.
     """
     rows = cut(pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title"))
+    rows = selection.open_candidates(rows, week or selection.State(), config.publisher_cap, config.event_similarity)
     ranked = rows.withColumns({"tokens": text.title_tokens(F.col("title")), "rank": F.struct((-F.col("score")).alias("s"), F.col("url"), F.col("key"))})
     kept = events.dedupe_events(ranked.select("key", "tokens", "rank"), "key", "tokens", "rank", config.event_similarity).where("kept").select("key")
-    return selection.select_final(rows.join(kept, "key"), dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap)
+    return selection.select_final(rows.join(kept, "key"), dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap, week, config.event_similarity)
 
 
 def shortlists(pool: DataFrame, config: EngineConfig) -> DataFrame:
@@ -60,9 +61,9 @@ def shortlists(pool: DataFrame, config: EngineConfig) -> DataFrame:
     return ranking.round_robin(pool.where("reason is null"), ["region"], "publisher", ranking.final_order(), config.shortlist_max)
 
 
-def run(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None, week: selection.State | None = None) -> DataFrame:
     config = (config or EngineConfig()).validate()
     rows = articles(spark, sf_dir)
     names = F.element_at(F.array(*map(F.lit, REGIONS)), (F.pmod(F.xxhash64("source"), F.lit(len(REGIONS))) + 1).cast("int"))
     rows = rows.withColumns({"region": names, "quality": (F.col("doc_id") % 10 + 1).cast("double")})
-    return select(candidates(rows, F.lit("2024-02-01").cast("timestamp"), config), config)
+    return select(candidates(rows, F.lit("2024-02-01").cast("timestamp"), config), config, week)

@@ -271,3 +271,23 @@ def test_articles_have_whole_titles(spark, tmp_path):
     line = "word " * 40 + "end"
     spark.createDataFrame([(1, line + "\nbody", "s", "en")], "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert scalar_queries.articles(spark, str(tmp_path)).first().title == line
+
+
+def test_second_run_of_a_week_counts_the_first(spark):
+    title = lambda k: " ".join(f"word{k}x{j}" for j in range(6))
+    day = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    rows = [(k, "strict", "UAE" if k % 2 else "KSA", f"p{k // 3}", 100.0 - k, 4, 3, 5.0, day, f"https://p{k // 3}.org/{k}", title(k)) for k in range(12)]
+    rows += [(20, "strict", "UAE", "p9", 200.0, 5, 5, 5.0, day, "https://p9.org/20", title(0)), (21, "strict", "KSA", "p9", 150.0, 5, 5, 5.0, day, "https://p0.org/0", title(21))]
+    kinds = "key long, tier string, region string, publisher string, score double, relevance int, significance int, quality double, published timestamp, url string, title string"
+    pool = spark.createDataFrame(rows, kinds)
+    week = selection.week_state(spark.createDataFrame([("KSA", "p0", "https://p0.org/0", title(0)), ("UAE", "p0", "https://p0.org/1", title(1))], "region string, publisher string, url string, title string"))
+    targets = {"UAE": 2, "KSA": 3}
+    for _ in range(2):  # the state is only read
+        won = [(r.key, r.region) for r in selection.select_final(pool, targets, 5, 2, week).orderBy("pick").collect()]
+        # p0 is at its cap, 20 tells an event and 21 has an address of the week; 3 of the 5 places are left
+        assert sorted(won) == [(3, "UAE"), (4, "KSA"), (6, "KSA")]
+    config = EngineConfig(targets=(0, 2, 3, 0), run_limit=5)
+    again = ingestion.select(pool.withColumnRenamed("key", "doc_id"), config, week)
+    assert sorted(r.key for r in again.collect()) == [3, 4, 6]
+    full = selection.State(Counter(UAE=2, KSA=3))
+    assert selection.select_final(pool, targets, 5, 2, full).count() == 0
