@@ -61,6 +61,53 @@ def dedupe_events(rows: DataFrame, key: str, tokens: str, rank: str, threshold:
     return named.withColumn("leader", leader).withColumn("kept", F.col("leader").isNull()).drop("__t", "rep")
 
 
+def dedupe_same_events(rows: DataFrame, key: str, rank: str, threshold: float = 0.72, days: int = 3) -> DataFrame:
+    """``rows`` with ``kept`` and ``leader``, greedy by ascending unique rank under ``same_event`` with the policy rule.
+
+    Rows have canonical, place, measures, tokens, published, said and told. Pairs come from the similarity join, from equal
+    addresses, and from announcements of one place with a word in common and near dates; ``same_event`` decides. Rows that
+    agree in all that it reads and match each other stand or fall by their best one: those of equal tokens, place and
+    measures, and, if they share an address with others or announce a policy, of equal address, date, said and told too.
+    """
+    has = lambda words: F.arrays_overlap("said", F.array(*map(F.lit, words)))
+    announces = F.coalesce(F.col("place").isNotNull() & F.col("published").isNotNull() & has(POLICY_WORDS) & has(ANNOUNCEMENT_WORDS), F.lit(False))
+    shared = rows.where("canonical is not null").groupBy("canonical").agg(F.count("*").alias("__n")).where("__n > 1").select("canonical", F.lit(True).alias("__shared"))
+    tokens, none = F.array_sort(F.coalesce("tokens", F.array().cast("array<string>"))), F.array().cast("array<string>")
+    told = rows.withColumn("tokens", tokens).join(shared, "canonical", "left").withColumns({"__shared": F.coalesce("__shared", F.lit(False)), "__policy": announces})
+    measured = F.array_sort(F.transform(F.map_entries("measures"), lambda e: F.struct(e["key"].alias("u"), F.array_sort(e["value"]).alias("v"))))
+    own = F.struct(
+        F.when(F.col("__shared"), F.col("canonical")).alias("url"), F.when(F.col("__policy"), F.col("published")).alias("date"),
+        F.when(F.col("__policy"), F.array_sort("said")).otherwise(none).alias("said"), F.when(F.col("__policy"), F.array_sort(F.coalesce("told", none))).otherwise(none).alias("told"),
+        F.when(F.size("tokens") == 0, F.col(key)).alias("key"),
+    )
+    signed = cut(told.withColumn("__sign", F.xxhash64(F.to_json(F.struct("tokens", "place", measured.alias("m"), own.alias("o"))))))
+    best = signed.groupBy("__sign").agg(F.min_by(key, rank).alias("rep"))
+    nodes = cut(signed.join(best, "__sign").where(F.col(key) == F.col("rep")).drop("__sign"))
+    links = _event_candidates(nodes, threshold, days)
+    features = ("canonical", "place", "measures", "tokens", "published", "said", "told")
+    side = lambda name, at: nodes.select(F.col("rep").alias(name), F.struct(*features).alias(at))
+    same = links.join(side("a", "l"), "a").join(side("b", "r"), "b").where(same_event("l", "r", threshold, policy=True)).select("a", "b")
+    decided = leaders(nodes.select("rep", F.col(rank).alias("__rank")), "rep", "__rank", same).select("rep", "leader")
+    named = signed.select(key, "__sign").join(best, "__sign").join(decided, "rep", "left")
+    leader = F.coalesce("leader", F.when(F.col("rep") != F.col(key), F.col("rep")))
+    return rows.join(named.select(key, leader.alias("leader")), key).withColumn("kept", F.col("leader").isNull())
+
+
+def _event_candidates(nodes: DataFrame, threshold: float, days: int) -> DataFrame:
+    """(a, b), a < b, of all that can be one event."""
+    near = event_pairs(nodes, "rep", "tokens", threshold).select("a", "b")
+    pair = [F.col("x.rep").alias("a"), F.col("y.rep").alias("b")]
+    met = nodes.where("__shared").select("rep", "canonical")
+    by_url = met.alias("x").join(met.alias("y"), (F.col("x.canonical") == F.col("y.canonical")) & (F.col("x.rep") < F.col("y.rep"))).select(*pair)
+    # A window of dates meets its own and the next one.
+    span = F.floor(F.unix_timestamp("published") / (days * 86400))
+    word = F.explode(F.array_intersect("said", F.array(*map(F.lit, ANNOUNCEMENT_WORDS)))).alias("word")
+    said = nodes.where("__policy").select("rep", "place", span.alias("span"), word)
+    after = said.withColumn("span", F.explode(F.array(F.col("span") - 1, F.col("span"), F.col("span") + 1)))
+    by_policy = said.alias("x").join(after.alias("y"), (F.col("x.place") == F.col("y.place")) & (F.col("x.span") == F.col("y.span")) & (F.col("x.word") == F.col("y.word")) & (F.col("x.rep") < F.col("y.rep"))).select(*pair)
+    return near.union(by_url).union(by_policy).distinct()
+
+
 def measures(title: Column) -> Column:
     """map<unit, distinct values> of capacities and shares; gigawatts count as megawatts."""
     found = F.regexp_extract_all(F.lower(title), F.lit(r"\b(\d[\d,]*(?:\.\d+)?\s*(?:%|percent\b|per cent\b|gwh\b|mwh\b|gw\b|mw\b))"), 1)

@@ -44,15 +44,26 @@ def candidates(rows: DataFrame, now: Column, config: EngineConfig, seen: DataFra
     return judged.withColumns({"reason": reason, "tier": tier, "score": scores.queue_score(F.col("relevance"), F.col("significance"), F.col("quality"), config.weights)})
 
 
+EVENT_FEATURES = ("canonical", "place", "measures", "tokens", "published", "said", "told")
+
+
+def event_features(rows: DataFrame) -> DataFrame:
+    """What the composite event rule reads, of rows with url, title, published and, if there is one, snippet."""
+    title, snippet = F.col("title"), F.col("snippet") if "snippet" in rows.columns else F.lit("")
+    place = F.coalesce(keywords.reported_location(title)["place"], keywords.reported_location(F.coalesce(snippet, F.lit("")))["place"])
+    # an empty address is none
+    return rows.withColumns({"canonical": F.nullif(F.col("url"), F.lit("")), "place": place, "measures": events.measures(title), "tokens": text.title_tokens(title), "said": events.announcement_tokens(title), "told": events.announcement_tokens(snippet)})
+
+
 def select(pool: DataFrame, config: EngineConfig, week: selection.State | None = None) -> DataFrame:
     """Winners of candidates with a tier, one of each event, best first, beside what the week already has.
 
     The pool is stored once, with the few columns that later steps read over and over.
     """
-    rows = cut(pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title"))
+    rows = cut(pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title", *(["snippet"] if "snippet" in pool.columns else [])))
     rows = selection.open_candidates(rows, week or selection.State(), config.publisher_cap, config.event_similarity)
-    ranked = rows.withColumns({"tokens": text.title_tokens(F.col("title")), "rank": F.struct((-F.col("score")).alias("s"), F.col("url"), F.col("key"))})
-    kept = events.dedupe_events(ranked.select("key", "tokens", "rank"), "key", "tokens", "rank", config.event_similarity).where("kept").select("key")
+    ranked = event_features(rows).withColumn("rank", F.struct((-F.col("score")).alias("s"), F.col("url"), F.col("key")))
+    kept = events.dedupe_same_events(ranked.select("key", "rank", *EVENT_FEATURES), "key", "rank", config.event_similarity).where("kept").select("key")
     return selection.select_final(rows.join(kept, "key"), dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap, week, config.event_similarity)
 
 
@@ -65,5 +76,5 @@ def run(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None, we
     config = (config or EngineConfig()).validate()
     rows = articles(spark, sf_dir)
     names = F.element_at(F.array(*map(F.lit, REGIONS)), (F.pmod(F.xxhash64("source"), F.lit(len(REGIONS))) + 1).cast("int"))
-    rows = rows.withColumns({"region": names, "quality": (F.col("doc_id") % 10 + 1).cast("double")})
+    rows = rows.withColumns({"region": names, "quality": (F.col("doc_id") % 10 + 1).cast("double"), "snippet": text.snippet(F.col("body"))})
     return select(candidates(rows, F.lit("2024-02-01").cast("timestamp"), config), config, week)

@@ -291,3 +291,36 @@ def test_second_run_of_a_week_counts_the_first(spark):
     assert sorted(r.key for r in again.collect()) == [3, 4, 6]
     full = selection.State(Counter(UAE=2, KSA=3))
     assert selection.select_final(pool, targets, 5, 2, full).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_events_of_a_run_follow_the_composite_rule(spark, seed):
+    rng = random.Random(seed)
+    day = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    titles = ["Solar park of {n} GW opens in the north of {p} this summer", "Ministry approves water reuse plan for coastal cities of {p}", "Ministry approved a reuse plan in coastal cities of {p}", "{p} cabinet approves plan", "{p} council adopted a law and approved the plan", "", "the of"]
+    rows = []
+    for k in range(70):
+        said = rng.choice(titles).format(n=rng.choice([2, 2, 3]), p=rng.choice(["Egypt", "Egypt", "Iraq", "land"]))
+        rows.append((k, "strict", "UAE", f"p{k}", rng.random(), 4, 3, 5.0, rng.choice([None, *(day + dt.timedelta(days=d) for d in (0, 2, 5))]), rng.choice(["https://a.org/1", "https://a.org/2", *(f"https://a.org/{k}",) * 6]), said, rng.choice([long, long + " more", ""])))
+    kinds = "key long, tier string, region string, publisher string, score double, relevance int, significance int, quality double, published timestamp, url string, title string, snippet string"
+    table = ingestion.event_features(spark.createDataFrame(rows, kinds)).withColumn("rank", -F.col("score")).cache()
+    at = table.select("key", F.struct(*ingestion.EVENT_FEATURES).alias("f"))
+    pairs = at.toDF("a", "l").crossJoin(at.toDF("b", "r")).where("a <> b").where(events.same_event("l", "r", policy=True)).select("a", "b").collect()
+    same, kept, want = {(r.a, r.b) for r in pairs}, [], {}
+    for r in sorted(rows, key=lambda r: -r[4]):
+        want[r[0]] = next((k for k in kept if (k, r[0]) in same), None)
+        if want[r[0]] is None:
+            kept.append(r[0])
+    got = {r.key: r.leader for r in events.dedupe_same_events(table.select("key", "rank", *ingestion.EVENT_FEATURES), "key", "rank").collect()}
+    assert got == want
+
+
+def test_run_keeps_unlike_measures_and_drops_one_policy(spark):
+    day = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    said = [("A 2 GW solar park opens in the north of the land", ""), ("A 3 GW solar park opens in the north of the land", ""), ("Egypt cabinet approves plan on water", long), ("Approval of new water law and plan by council of Egypt", long)]
+    rows = [(k, "strict", "UAE", f"p{k}", 10.0 - k, 4, 3, 5.0, day, f"https://p{k}.org/", t, s) for k, (t, s) in enumerate(said)]
+    kinds = "doc_id long, tier string, region string, publisher string, score double, relevance int, significance int, quality double, published timestamp, url string, title string, snippet string"
+    won = ingestion.select(spark.createDataFrame(rows, kinds), EngineConfig(targets=(0, 4, 0, 0)))
+    assert sorted(r.key for r in won.collect()) == [0, 1, 2]
