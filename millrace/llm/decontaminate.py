@@ -14,7 +14,10 @@ mean more blocks, each one searched against all documents. Documents are read wh
 lie, a few megabytes at a time, without a shuffle.
 
 Null and empty texts hold nothing; items without words find nothing; items of fewer than
-five words are one shingle, found only where the document is no longer than that; equal
+five words are one shingle of all their words, found wherever these stand in a row: with
+``short_items``, as in the query and the pipeline, documents are also shingled by each
+length that occurs below five and looked up exactly, else only where the document is no
+longer than the item; equal
 items are found each under its own id; equal documents give equal rows each; empty tables
 give empty results; columns besides key and text are left alone.
 """
@@ -32,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
 from millrace.llm.batches import map_batches
-from millrace.llm.shingles import SHINGLE_WORDS, WordHashes, mix, shingle_hashes, shingle_set
+from millrace.llm.shingles import SHINGLE_WORDS, WordHashes, mix, shingle_hashes, shingle_set, words
 
 THRESHOLD = 0.8
 RECALL = 0.9999
@@ -101,15 +104,15 @@ def window_minima(values: np.ndarray, starts: np.ndarray, text: np.ndarray, seed
     return least
 
 
-def search(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE_WORDS) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE_WORDS, short_items: bool = False) -> DataFrame:
     """Rows (doc key, item key, containment, n_shingles of the item) for every containment of ``threshold`` or more."""
     kinds = dict(docs.dtypes) | {"__item": dict(items.dtypes)[item_key]}
     schema = f"`{doc_key}` {kinds[doc_key]}, `{item_key}` {kinds['__item']}, containment double, item_shingles long"
-    found = [_search_block(docs.select(doc_key, text), block, schema, threshold, recall, size, item_key, items.schema[item_key].dataType) for block in _blocks(items, item_key, text)]
+    found = [_search_block(docs.select(doc_key, text), block, schema, threshold, recall, size, short_items, item_key, items.schema[item_key].dataType) for block in _blocks(items, item_key, text)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
 
 
-def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, threshold: float, recall: float, size: int, item_key: str, item_type: DataType) -> DataFrame:
+def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, threshold: float, recall: float, size: int, short_items: bool, item_key: str, item_type: DataType) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(block)  # at most ITEM_BLOCK rows and about ITEM_BYTES
     doc_key, text = docs.columns
     kind = to_arrow_type(item_type)
@@ -119,9 +122,11 @@ def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, th
         cache = WordHashes()
         keys = [k for k, _ in sent.value]
         sets = [shingle_set(t, cache, size) for _, t in sent.value]
+        lengths = [len(words(t)) if short_items else size for _, t in sent.value]
+        short = {n: np.array([i for i, m in enumerate(lengths) if m == n]) for n in sorted({n for n in lengths if 0 < n < size})}
         by_class: dict[int, list[int]] = {}
         for i, s in enumerate(sets):
-            if len(s):
+            if len(s) and lengths[i] >= size:
                 by_class.setdefault(1 << int(len(s)).bit_length(), []).append(i)
         classes = [_Class(b, members, sets, seeds) for b, members in sorted(by_class.items())]
 
@@ -139,7 +144,8 @@ def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, th
 
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             rows, which, share, sizes = [], [], [], []
-            hashes = [shingle_hashes(t, cache, size) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            hashes = [shingle_hashes(t, cache, size) for t in texts]
             full = [n for n, h in enumerate(hashes) if len(h)]
             own, last = np.empty(0, np.uint64), -1
             if full:
@@ -150,6 +156,11 @@ def _search_block(docs: DataFrame, block: list[tuple[int, str]], schema: str, th
                     held = int((own[np.minimum(at, len(own) - 1)] == sets[i]).sum())
                     if held >= threshold * len(sets[i]):
                         rows.append(n), which.append(keys[i]), share.append(held / len(sets[i])), sizes.append(len(sets[i]))
+            for length, members in short.items():
+                asked = np.concatenate([sets[i] for i in members])
+                for n, t in enumerate(texts):
+                    for i in members[np.isin(asked, shingle_hashes(t, cache, length))]:
+                        rows.append(n), which.append(keys[i]), share.append(1.0), sizes.append(1)
             took = batch.column(0).take(pa.array(rows, pa.int64()))
             return pa.RecordBatch.from_arrays([took, pa.array(which, kind), pa.array(share, pa.float64()), pa.array(sizes, pa.int64())], names=[doc_key, item_key, "containment", "item_shingles"])
 
@@ -164,5 +175,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", th
     One anti-join by key; the flagged keys are few beside the documents but not bounded, so
     the join's kind is left to adaptive execution.
     """
-    flagged = search(docs, items, key, threshold=threshold).select(key).distinct()
+    flagged = search(docs, items, key, threshold=threshold, short_items=True).select(key).distinct()
     return docs.join(flagged, key, "left_anti").select(*docs.columns)

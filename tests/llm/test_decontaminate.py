@@ -75,3 +75,13 @@ def test_empty_and_dropping(spark):
     kept = D.drop_contaminated(odd_documents(spark), items)
     assert kept.columns == odd_documents(spark).columns and kept.where("doc_id = 11").count() == 0 and kept.count() == odd_documents(spark).count() - 1
     assert D.drop_contaminated(odd_documents(spark), items.limit(0)).count() == odd_documents(spark).count()
+
+
+def test_short_items_inside_long_documents(spark):
+    items = [(1, "alpha"), (2, "Beta gamma"), (3, "one two three four"), (4, "gamma beta"), (5, "alpha"), (6, "one two three four five six"), (7, ""), (8, None)]
+    docs = [(1, "zero one two three four five six seven alpha"), (2, "a beta, gamma! and more words than five of them"), (3, "alpha"), (4, "one two three"), (5, None), (6, "one two three x four beta x gamma alphabet")]
+    df, asked = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(1, 1, 1.0, 1), (1, 5, 1.0, 1), (1, 3, 1.0, 1), (1, 6, 1.0, 2), (2, 2, 1.0, 1), (3, 1, 1.0, 1), (3, 5, 1.0, 1)}
+    rows = D.search(df, asked, short_items=True).collect()
+    assert len(rows) == len(want) and {(r.doc_id, r.item_id, r.containment, r.item_shingles) for r in rows} == want
+    assert {r.doc_id for r in D.drop_contaminated(df, asked).collect()} == {4, 5, 6}
