@@ -1,32 +1,34 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained. The toxic one has as its content the parts of toxic
-documents' words that telling n-grams cover, n-grams whose document frequency is far higher
-in toxic than in ordinary documents; the library trainer's own choice from toxic texts, most
-of whose words are ordinary, tells less (it reached a held-out F1 of 0.58 against 0.97 on
-one table). The ordinary one comes from the library's trainer on windows of ordinary texts,
-without words that hold a telling n-gram. A text is cut at blanks into windows of about 40
-bytes. Each window is compressed with the ordinary dictionary and with the same one
-extended by the toxic one; the bytes saved are its gain. A document's gains are summed up
-in a few features (largest, counts and shares above thresholds), whose weights a logistic
-regression calibrates, on documents that its dictionary hasn't seen: dictionaries of two
-folds score each other's documents, then one of both is made for use.
+Two zstandard dictionaries are trained by the library: an ordinary one on the windows of
+ordinary documents, and a toxic one on what tells toxic documents' windows from those, the
+words that hold a telling n-gram (one that is far more frequent in toxic windows). Equal
+windows count once in either set, so that copies of a document teach no more than one. A
+text is cut at blanks into windows of about 40 bytes. Each window is compressed under the
+ordinary dictionary and under the ordinary one extended by the toxic one; the difference of
+the two lengths is its gain. A document's figure is the number of its windows whose gain
+reaches a threshold, over a power of the number of all its windows; the document counts as
+toxic where that reaches a second threshold. Both thresholds and the power are those of
+best F1 on a third of the sample that the dictionaries haven't seen, with either kind
+weighted by its share among all labels. The score is a fixed function of the figure that
+rises with it and is ``THRESHOLD`` at the second threshold.
 
 The model is fit on about ``TOXIC_DOCS`` and ``ORDINARY_DOCS`` labelled documents at most,
 those of least hash of their id; everything is scored, whole, by batches without a shuffle.
 
-Null and empty texts have no windows and get the score of no gains. Documents labelled
-twice count as toxic if either says so; null labels are none. Without labels of both kinds
-every score is the share of toxic ones, 0 without labels. Equal texts get equal scores; an
-empty table gives an empty result; other columns are passed on as they are.
+Null and empty texts have no windows and score 0. Documents labelled twice count as toxic
+if either says so; null labels are none; of several rows of one id the least text is learnt
+from. Without labels of both kinds every score is the share of toxic ones, 0 without labels;
+the same holds where no window of the calibration sample gains. Equal texts get equal
+scores; an empty table gives an empty result; other columns are passed on as they are, and
+one that has the name of a result gets an underscore at its end.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import partial
 
@@ -39,16 +41,21 @@ from pyspark.sql import functions as F
 from millrace.llm.batches import map_batches
 
 TOXIC_DOCS, ORDINARY_DOCS = 1_500, 3_000
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 1_024
-#: Most bytes that the trainer sees, spread evenly over the sample's windows.
-TRAINED_BYTES = 4 << 20
+ORDINARY_BYTES, TOXIC_BYTES = 131_072, 2_048
+#: Most bytes of windows that the library's trainer sees, spread evenly over the sample's.
+TRAINED_BYTES = 8 << 20
 WINDOW = 40
 LEVEL = 13
-#: N-grams of words between blanks: sizes, least documents, least likelihood ratio, least times as frequent in toxic documents.
-GRAMS, LEAST, EVIDENCE, TIMES = (4, 5, 6), 3, 20, 4
+#: N-grams of words between blanks: sizes, least windows, least likelihood ratio, least times as frequent in toxic windows.
+GRAMS, LEAST, EVIDENCE, TIMES = (4, 5, 6), 3, 30, 6
+#: Of this many documents of the sample one calibrates and the others train.
+PARTS = 3
+#: Fixed value: what ends the entropy tables of a trained dictionary, the three offsets 1, 4 and 8; its content follows.
+REPEATS = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
 #: A document is toxic from this score on.
 THRESHOLD = 0.3
-GAINS = (1, 2, 3, 4, 6, 8)
+#: What calibration chooses from: the gain that a window has to reach, and the power of the number of windows.
+GAINS, POWERS = (1, 2, 3, 4, 5), (0.0, 0.25, 0.5, 0.75, 1.0)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -68,29 +75,24 @@ def windows(ws: list[bytes], size: int = WINDOW) -> list[bytes]:
     return out
 
 
-def _places(word: str) -> Iterator[tuple[int, str]]:
-    """Where the n-grams of a word between blanks start, and the n-grams."""
-    word = f" {word} "
-    for n in GRAMS:
-        for i in range(len(word) - n + 1):
-            yield i, word[i : i + n]
+class _Grams(dict):
+    """word -> the n-grams of the word between blanks."""
 
+    def __missing__(self, word: bytes) -> frozenset[str]:
+        whole = f" {word.decode()} "
+        self[word] = value = frozenset(whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1))
+        return value
 
-def telling_grams(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[str]:
-    """The telling n-grams of words.
 
-    An n-gram is telling if the documents that hold it are toxic far more often than others
-    are, by the likelihood ratio of its two document frequencies.
-    """
+def telling_grams(toxic: list[bytes], ordinary: list[bytes], grams: _Grams) -> set[str]:
+    """N-grams that toxic windows hold far more often than ordinary ones, by the likelihood ratio of the two frequencies."""
     share = (len(toxic) + 1) / (len(toxic) + len(ordinary) + 2)
-    grams = lambda ws: {g for w in set(ws) for _, g in _places(w.decode())}
-    seen = Counter()
-    for ws in toxic:
-        seen.update(grams(ws))
+    seen, usual = Counter(), Counter()
+    for window in toxic:
+        seen.update(set().union(*(grams[w] for w in window.split())))
     likely = {g for g, n in seen.items() if n >= LEAST}
-    usual = Counter()
-    for ws in ordinary:
-        usual.update(likely & grams(ws))
+    for window in ordinary:
+        usual.update(likely.intersection(set().union(*(grams[w] for w in window.split()))))
     good = set()
     for g in likely:
         a, b = seen[g], usual[g]
@@ -100,47 +102,13 @@ def telling_grams(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[
     return good
 
 
-def telling_parts(toxic: list[list[bytes]], good: set[str]) -> Counter[bytes]:
-    """What telling n-grams cover of the words of toxic documents, with the number of words."""
-    out: Counter[bytes] = Counter()
-    for w, n in Counter(w for ws in toxic for w in set(ws)).items():
-        covered, whole = set(), f" {w.decode()} "
-        for i, g in _places(w.decode()):
-            if g in good:
-                covered.update(range(i, i + len(g)))
-        for part in "".join(c if k in covered else "\0" for k, c in enumerate(whole)).split("\0"):
-            if part:
-                out[part.encode()] += n
-    return out
-
-
-class _Plain(dict):
-    """Whether a word holds no telling n-gram."""
-
-    def __init__(self, good: set[str]):
-        self.good = good
-
-    def __missing__(self, word: bytes) -> bool:
-        self[word] = value = not any(g in self.good for _, g in _places(word.decode()))
-        return value
-
-
-def toxic_content(parts: Counter[bytes], size: int = TOXIC_BYTES) -> bytes:
-    """The parts that toxic words are made of as a dictionary: each once, the commonest last, where matches are cheapest."""
-    content = b""
-    for part, n in sorted(parts.items(), key=lambda x: (-x[1], x[0])):
-        if n > 1 and part not in content and len(part) + len(content) <= size:
-            content = part + content
-    return content
-
-
-def _trained(size: int, samples: list[bytes], k: int, d: int) -> bytes:
+def _trained(size: int, samples: list[bytes], k: int, d: int = 8) -> bytes:
     """The content of a trained dictionary; of samples too few or too small to train on, the samples themselves."""
     try:
         made = zstandard.train_dictionary(size, samples, k=k, d=d, level=3).as_bytes()
-        return made[-(size - min(600, size // 4)) :]  # without the entropy tables before it
+        return made.partition(REPEATS)[2] or made
     except zstandard.ZstdError:
-        return b"".join(samples)[-size:]
+        return b"".join(dict.fromkeys(samples))[-size:]
 
 
 @dataclass(frozen=True)
@@ -151,85 +119,92 @@ class Dictionaries:
     def gains(self) -> Callable[[list[bytes]], np.ndarray]:
         """A function from windows to the bytes that the toxic dictionary saves in each."""
 
-        def compressor(content: bytes) -> zstandard.ZstdCompressor:
-            rule = zstandard.ZstdCompressionParameters.from_level(LEVEL, window_log=17, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+        def compressor(content: bytes) -> Callable[[bytes], bytes]:
+            rule = zstandard.ZstdCompressionParameters.from_level(LEVEL, window_log=18, min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
             made = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             made.precompute_compress(compression_params=rule)
-            return zstandard.ZstdCompressor(dict_data=made, compression_params=rule)
+            return zstandard.ZstdCompressor(dict_data=made, compression_params=rule).compress
 
-        plain, both = compressor(self.ordinary).compress, compressor(self.toxic + self.ordinary).compress
+        plain, both = compressor(self.ordinary), compressor(self.toxic + self.ordinary)
         return lambda ws: np.array([len(plain(w)) - len(both(w)) for w in ws], np.float64)
 
 
 def train(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Dictionaries:
-    good = telling_grams(toxic, ordinary)
-    plain = _Plain(good)
-    usual = [w for ws in ordinary for w in windows([w for w in ws if plain[w]], 400)]
-    usual = usual[:: -(-sum(map(len, usual)) // TRAINED_BYTES) or 1]
-    return Dictionaries(_trained(ORDINARY_BYTES, usual, 64, 8), toxic_content(telling_parts(toxic, good)))
+    distinct = lambda side: sorted({w for ws in side for w in windows(ws)})
+    odd, usual, grams = distinct(toxic), distinct(ordinary), _Grams()
+    good = telling_grams(odd, usual, grams)
+    telling = [b" " + w + b" " for window in odd for w in window.split() if not good.isdisjoint(grams[w])]
+    groups = [b"".join(usual[k : k + 10]) for k in range(0, len(usual), 10)]
+    groups = groups[:: -(-sum(map(len, groups)) // TRAINED_BYTES) or 1]
+    return Dictionaries(_trained(ORDINARY_BYTES, groups, 64), _trained(TOXIC_BYTES, telling, 24))
 
 
-def features(gains: np.ndarray) -> list[float]:
-    n = len(gains)
-    if not n:
-        return [1.0] + [0.0] * (5 + 2 * len(GAINS))
-    top = np.sort(gains)[-3:]
-    over = [int((gains >= g).sum()) for g in GAINS]
-    return [1.0, float(top[-1]), float(top.mean()), min(float(top[-1]), 8.0), float(np.log(n)), float(gains.mean()), *np.log1p(over).tolist(), *(k / n for k in over)]
+@dataclass(frozen=True)
+class Rule:
+    """The share of windows that gain ``gain`` bytes or more, taken over a power of their number, and where toxic begins."""
+
+    gain: float
+    power: float
+    start: float
+
+    def figure(self, gains: np.ndarray) -> float:
+        return float((gains >= self.gain).sum() / max(1, len(gains)) ** self.power)
+
+    def score(self, figure: float) -> float:
+        return figure / (figure + self.start * (1 / THRESHOLD - 1))
+
+
+def calibrate(gains: list[np.ndarray], toxic: np.ndarray, share: float) -> Rule | None:
+    """The rule of best F1, with either kind weighted to its ``share``; None if no window gains anything."""
+    weight = np.where(toxic, share / max(1, toxic.sum()), (1 - share) / max(1, (~toxic).sum()))
+    best, found = 0.0, None
+    for gain in GAINS:
+        for power in POWERS:
+            figure = np.array([Rule(gain, power, 1).figure(g) for g in gains])
+            order = np.argsort(-figure, kind="stable")
+            said, right = np.cumsum(weight[order]), np.cumsum((weight * toxic)[order])
+            f1 = 2 * right / (said + share)
+            # a threshold takes all documents of its figure
+            last = np.append(figure[order][1:] < figure[order][:-1], True) & (figure[order] > 0)
+            at = int(np.argmax(np.where(last, f1, -1)))
+            if last.any() and f1[at] > best + 1e-9:
+                best, found = float(f1[at]), Rule(gain, power, float(figure[order][at]))
+    return found
 
 
 @dataclass(frozen=True)
 class Model:
     dictionaries: Dictionaries | None
-    weights: tuple[float, ...]
-    centre: tuple[float, ...]
-    scale: tuple[float, ...]
+    rule: Rule | None
     prior: float
 
     def scorer(self) -> Callable[[list[str | None]], np.ndarray]:
-        if self.dictionaries is None:
+        if self.dictionaries is None or self.rule is None:
             return lambda texts: np.full(len(texts), self.prior)
-        gains, weights, centre, scale = self.dictionaries.gains(), *map(np.array, (self.weights, self.centre, self.scale))
+        gains, rule = self.dictionaries.gains(), self.rule
 
         def score(texts: list[str | None]) -> np.ndarray:
-            x = np.array([features(gains(windows(words(t)))) for t in texts])
-            return 1 / (1 + np.exp(-np.clip(((x - centre) / scale) @ weights, -30, 30)))
+            figures = [rule.figure(gains(windows(words(t)))) for t in texts]
+            # at the rule's start the score is the threshold itself, whatever division rounds to
+            return np.array([max(THRESHOLD, rule.score(x)) if x >= rule.start else min(rule.score(x), np.nextafter(THRESHOLD, 0)) for x in figures], np.float64)
 
         return score
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    centre[0], scale[0] = 0, 1
-    z, w = (x - centre) / scale, np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        w += np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w)), z.T @ (y - p) - ridge * w)
-    return w, centre, scale
-
-
 def fit(rows: list[tuple[int, str | None, int]], share: float) -> Model:
     """A model from (id, text, toxic); ``share`` is that of toxic ones among all labelled documents.
 
     The sample holds each kind by its own bound; calibration weighs it back to ``share``.
     """
     shared: dict[bytes, bytes] = {}
-    said = [(k, [shared.setdefault(w, w) for w in words(t)], y) for k, t, y in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or ""))]
-    toxic, ordinary = [[r for r in said if r[2] == y] for y in (1, 0)]
-    if len(toxic) < 2 or len(ordinary) < 2:
-        return Model(None, (), (), (), share)
-    fold = {id(r): zlib.crc32(b"fold%d" % n) % 2 if len(side) > 20 else n % 2 for side in (toxic, ordinary) for n, r in enumerate(side)}
-    x, y = [], []
-    for k in (0, 1):
-        gains = train([r[1] for r in toxic if fold[id(r)] == k], [r[1] for r in ordinary if fold[id(r)] == k]).gains()
-        for r in said:
-            if fold[id(r)] != k:
-                x.append(features(gains(windows(r[1])))), y.append(r[2])
-    w, centre, scale = _logistic(np.array(x), np.array(y, float))
-    have = len(toxic) / len(said)
-    w[0] += np.log(max(share, 1e-6) / max(1 - share, 1e-6)) - np.log(have / (1 - have))
-    whole = train([r[1] for r in toxic], [r[1] for r in ordinary])
-    return Model(whole, *(tuple(map(float, v)) for v in (w, centre, scale)), share)
+    said = [([shared.setdefault(w, w) for w in words(t)], y) for _, t, y in sorted(rows, key=lambda r: (r[0] is None, r[0], r[1] or ""))]
+    sides = [[ws for ws, y in said if y == kind] for kind in (1, 0)]
+    if min(map(len, sides)) < 2:
+        return Model(None, None, share)
+    made = train(*([ws for n, ws in enumerate(side) if n % PARTS] for side in sides))
+    gains = made.gains()
+    asked = [(gains(windows(ws)), y) for side, y in zip(sides, (True, False), strict=True) for ws in side[::PARTS]]
+    return Model(made, calibrate([g for g, _ in asked], np.array([y for _, y in asked]), share), share)
 
 
 def held_out(key: str) -> Column:
@@ -248,15 +223,26 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known = told.join(docs.select(key).distinct(), key, "left_semi")
     counts = {r["__y"]: r["count"] for r in known.groupBy("__y").count().collect()}
     chosen = known.where(among("__y = 1", key, TOXIC_DOCS, counts.get(1, 0)) | among("__y = 0", key, ORDINARY_DOCS, counts.get(0, 0)))
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # broadcast and rows: about the two bounds at most
+    # broadcast and rows: about the two bounds at most, as each id gives one row
+    rows = docs.select(key, text).join(F.broadcast(chosen), key).groupBy(key, "__y").agg(F.min(text).alias("__text")).collect()
     total = sum(counts.values())
-    return fit([(r[key], r[text], r["__y"]) for r in rows], counts.get(1, 0) / total if total else 0.0)
+    return fit([(r[key], r["__text"], r["__y"]) for r in rows], counts.get(1, 0) / total if total else 0.0)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``docs`` with a score from 0 to 1 and whether it reaches ``THRESHOLD``."""
+    place = docs.columns.index(text)
+    for name in into:
+        if name in docs.columns:
+            docs = docs.withColumnRenamed(name, _free(name, docs.columns))
     fields = ", ".join(f"`{c}` {kind}" for c, kind in docs.dtypes)
-    return map_batches(docs, partial(_maker, model, docs.columns.index(text), into), f"{fields}, {into[0]} double, {into[1]} int")
+    return map_batches(docs, partial(_maker, model, place, into), f"{fields}, {into[0]} double, {into[1]} int")
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _maker(model: Model, place: int, into: tuple[str, str]) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
@@ -271,5 +257,5 @@ def _maker(model: Model, place: int, into: tuple[str, str]) -> Callable[[pa.Reco
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns."""
-    scored = score(docs, learn(docs, labels, key), into=("__score", "__toxic"))
-    return scored.where("__toxic = 0").select(*docs.columns)
+    into = _free("__score", docs.columns), _free("__toxic", docs.columns)
+    return score(docs, learn(docs, labels, key), into=into).where(F.col(into[1]) == 0).select(*docs.columns)
