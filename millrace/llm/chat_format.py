@@ -1,18 +1,27 @@
 """Chat formatting by schema fingerprints.
 
 Records come as JSON in whatever layout their source uses. The nested field paths of a
-record, without value types, are hashed; the hash selects one declarative mapping, and the
-mapping's paths take the record apart into canonical turns (conversation, place, role, text).
-Records of no known layout are kept apart with their fingerprint, never dropped silently.
+record, without value types, are hashed to its fingerprint. Of the paths, those that tell
+layouts apart (``MARKS``) are hashed too, and that hash selects one declarative mapping,
+whose paths take the record apart into canonical turns (conversation, place, role, text);
+what else a record holds doesn't matter, and is listed as ``unmapped``.
+
+A record of no known layout, one whose turns aren't a list of objects, and one that isn't a
+JSON object are kept whole, in a row with layout null that has the record and its
+fingerprint; ``format_conversations`` leaves these rows out, so they never become blank
+conversations, and ``unknown_records`` gives them alone.
 
 A template then writes each conversation as one string in which only the template's own
 markers are control strings: every control string of the template or of other common
 templates that stands inside a role or a text is escaped, reversibly, and the loss mask is
 given as code-point spans of that string.
 
-Null texts and roles count as empty; equal places keep the order of role, then text, and
-repeated rows stay; records with no turns give no conversation; an empty table gives an
-empty result. All of it is DataFrame functions, so the rows never leave the JVM.
+Null texts and roles count as empty; a text may be a list of parts, of which texts are
+joined and others kept as JSON; equal places keep the order of role, then text, and
+repeated rows stay; records with an empty list of turns give no row and no conversation;
+records of several turns without a key, ``conv_id`` or ``id`` are named by their own hash;
+an empty table gives an empty result; columns besides record and key are left alone. All of
+it is DataFrame functions, so the rows never leave the JVM.
 """
 
 from __future__ import annotations
@@ -20,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -30,21 +40,26 @@ TURN, SEP, END = "<|turn|>", "<|text|>", "<|end|>"
 CONTROL = (TURN, SEP, END, "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<|im_start|>", "<|im_end|>", "<|im_sep|>", "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>", "<start_of_turn>", "<end_of_turn>")
 #: Role names of shared-chat layouts and the canonical ones; other layouts name roles as they are.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: Marks that a record of any layout may hold beside those that its mapping needs.
+OPTIONAL = ("conv_id", "id", "input", "system", "turn")
+
+
+def _hash(paths: list[str]) -> str:
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
 @dataclass(frozen=True)
 class Mapping:
     """How one layout gives turns.
 
-    ``shape`` is the record's tree of field names, as ``fingerprint`` sees it. ``turns`` is the
-    path of an array with one element for each turn, whose ``role`` and ``text`` are named;
-    without it, ``parts`` lists (role, paths joined by a blank line) within the record.
-    ``group`` and ``place`` name the conversation's key and the turn's place in records that
-    hold one turn each.
+    ``needs`` are the field paths that a record of the layout has. ``turns`` is the path of an
+    array with one object for each turn, whose ``role`` and ``text`` are named; ``parts`` lists
+    (role, paths joined by a blank line) within the record, before those turns. ``group`` and
+    ``place`` name the conversation's key and the turn's place in records that hold one turn each.
     """
 
     name: str
-    shape: str
+    needs: tuple[str, ...]
     turns: str | None = None
     role: str = "role"
     text: str = "content"
@@ -55,83 +70,140 @@ class Mapping:
 
     @property
     def fingerprint(self) -> str:
-        return hashlib.sha256(self.shape.encode()).hexdigest()[:16]
+        return _hash(list(self.needs))
+
+    def paths(self) -> set[str]:
+        """All field paths that the mapping reads."""
+        if self.place:
+            return {self.group, self.place, self.role, self.text}
+        own = {self.turns, f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"} if self.turns else set()
+        return own | {p for _, group in self.parts for p in group} | {"conv_id", "id"}
+
+
+_SYSTEM = ("system", ("system",))
+
+
+def _asked(*paths: str) -> tuple[str, tuple[str, ...]]:
+    return ("user", ("context", *paths, "input"))
 
 
 MAPPINGS = (
-    Mapping("turn_row", "{conv_id,role,text,turn}", role="role", text="text", group="conv_id", place="turn"),
-    Mapping("messages", "{messages:[{content,role}]}", turns="messages"),
-    Mapping("messages_id", "{id,messages:[{content,role}]}", turns="messages"),
-    Mapping("share", "{conversations:[{from,value}]}", turns="conversations", role="from", text="value", renames=True),
-    Mapping("share_id", "{conversations:[{from,value}],id}", turns="conversations", role="from", text="value", renames=True),
-    Mapping("instruction", "{input,instruction,output}", parts=(("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Mapping("instruction_bare", "{instruction,output}", parts=(("user", ("instruction",)), ("assistant", ("output",)))),
-    Mapping("prompt", "{completion,prompt}", parts=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Mapping("prompt_response", "{prompt,response}", parts=(("user", ("prompt",)), ("assistant", ("response",)))),
-    Mapping("system_prompt", "{prompt,response,system}", parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
-    Mapping("question", "{answer,question}", parts=(("user", ("question",)), ("assistant", ("answer",)))),
+    Mapping("turn_row", ("conv_id", "turn"), role="role", text="text", group="conv_id", place="turn"),
+    Mapping("messages", ("messages",), turns="messages", parts=(_SYSTEM,)),
+    Mapping("messages_id", ("id", "messages"), turns="messages", parts=(_SYSTEM,)),
+    Mapping("share", ("conversations",), turns="conversations", role="from", text="value", parts=(_SYSTEM,), renames=True),
+    Mapping("share_id", ("conversations", "id"), turns="conversations", role="from", text="value", parts=(_SYSTEM,), renames=True),
+    Mapping("instruction", ("input", "instruction", "output"), parts=(_SYSTEM, _asked("instruction"), ("assistant", ("output",)))),
+    Mapping("instruction_bare", ("instruction", "output"), parts=(_SYSTEM, _asked("instruction"), ("assistant", ("output",)))),
+    Mapping("prompt", ("completion", "prompt"), parts=(_SYSTEM, _asked("prompt"), ("assistant", ("completion",)))),
+    Mapping("prompt_response", ("prompt", "response"), parts=(_SYSTEM, _asked("prompt"), ("assistant", ("response",)))),
+    Mapping("system_prompt", ("prompt", "response", "system"), parts=(_SYSTEM, _asked("prompt"), ("assistant", ("response",)))),
+    Mapping("question", ("answer", "question"), parts=(_SYSTEM, _asked("question"), ("assistant", ("answer",)))),
 )
 
 
-def shape(record: Column) -> Column:
-    """A JSON record's tree of field names, sorted, without value types: ``{a:[{b}],c}``. Null if it isn't JSON."""
-    tree = F.schema_of_variant(F.try_parse_json(record))
-    tree = F.regexp_replace(tree, r"DECIMAL\(\d+,\d+\)", "X")
-    tree = F.regexp_replace(tree, r": (?:BOOLEAN|TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|STRING|BINARY|DATE|TIMESTAMP|TIMESTAMP_NTZ|VOID|VARIANT|X)(?=[,>])", "")
-    for old, new in (("OBJECT<", "{"), ("ARRAY<", "["), (": ", ":"), (", ", ",")):
-        tree = F.replace(tree, F.lit(old), F.lit(new))
-    return _closed(tree)
+def marks_of(mappings: tuple[Mapping, ...]) -> list[str]:
+    """The field paths that tell layouts apart."""
+    return sorted({p for m in mappings for p in m.needs} | set(OPTIONAL))
+
 
+def layouts(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, str]:
+    """hash of a record's marks -> mapping: what each needs, with any of ``OPTIONAL``; the mapping that needs most decides."""
+    out: dict[str, str] = {}
+    for m in sorted(mappings, key=lambda m: -len(m.needs)):
+        free = [p for p in OPTIONAL if p not in m.needs]
+        for n in range(len(free) + 1):
+            for more in combinations(free, n):
+                out.setdefault(_hash([*m.needs, *more]), m.name)
+    return out
 
-def _closed(tree: Column) -> Column:
-    """Each > becomes what closes the innermost open { or [."""
-    step = lambda acc, c: F.struct(
-        F.concat(acc["out"], F.when(c == ">", F.when(F.right(acc["open"], F.lit(1)) == "{", "}").otherwise("]")).otherwise(c)).alias("out"),
-        F.when(c.isin("{", "["), F.concat(acc["open"], c)).when(c == ">", F.left(acc["open"], F.length(acc["open"]) - 1)).otherwise(acc["open"]).alias("open"),
-    )
-    return F.aggregate(F.split(tree, ""), F.struct(F.lit("").alias("out"), F.lit("").alias("open")), step, lambda acc: acc["out"])
+
+def field_paths(record: Column) -> Column:
+    """The distinct nested field paths of a JSON object, sorted, such as ``a``, ``a[].b``. Null if it isn't one."""
+    schema = F.schema_of_variant(F.try_parse_json(record))
+    tokens = F.regexp_extract_all(schema, F.lit(r"((?:`(?:[^`]|``)*`|[^\s<>,:`]+)(?=: )|OBJECT<|ARRAY<|>)"), 1)
+    texts = lambda: F.array().cast("array<string>")
+    nothing = F.struct(texts().alias("out"), texts().alias("open"), F.lit("").alias("at"))
+
+    def step(acc: Column, token: Column) -> Column:
+        at = F.when(token == "ARRAY<", F.concat(acc["at"], F.lit("[]"))).when(token.isin("OBJECT<", ">"), acc["at"]).otherwise(F.concat(F.try_element_at(acc["open"], F.lit(-1)), token))
+        inner = F.when(acc["at"] == "", F.lit("")).otherwise(F.concat(acc["at"], F.lit(".")))
+        named = ~token.isin("OBJECT<", "ARRAY<", ">")
+        return F.struct(
+            F.when(named, F.array_append(acc["out"], at)).otherwise(acc["out"]).alias("out"),
+            F.when(token == "OBJECT<", F.array_append(acc["open"], inner)).when(token == "ARRAY<", F.array_append(acc["open"], acc["at"])).when(token == ">", F.slice(acc["open"], F.lit(1), F.greatest(F.size(acc["open"]) - 1, F.lit(0)))).otherwise(acc["open"]).alias("open"),
+            at.alias("at"),
+        )
+
+    return F.when(schema.startswith("OBJECT<"), F.array_sort(F.array_distinct(F.aggregate(tokens, nothing, step, lambda acc: acc["out"]))))
+
+
+def _print(paths: Column) -> Column:
+    return F.left(F.sha2(F.array_join(paths, "\n"), 256), F.lit(16))
 
 
 def fingerprint(record: Column) -> Column:
     """16 hex digits for the record's nested field paths; null if the record isn't a JSON object."""
-    tree = shape(record)
-    return F.when(tree.startswith("{"), F.left(F.sha2(tree, 256), F.lit(16)))
+    return _print(field_paths(record))
 
 
-def _turns(m: Mapping, record: Column) -> Column:
-    """array<struct<conv, place, role, text>> of one record under a mapping."""
-    v = F.parse_json(record)
-    get = lambda path, kind="string": F.variant_get(v, f"$.{path}", kind)
+def _said(value: Column) -> Column:
+    """The text of a JSON value: itself, the texts of its parts one after another, or its JSON."""
+    kind = F.schema_of_variant(value)
+    part = lambda p: F.coalesce(F.try_variant_get(p, "$.text", "string"), F.when(F.schema_of_variant(p).rlike("^(OBJECT|ARRAY)"), F.to_json(p)).otherwise(F.try_variant_get(p, "$", "string")))
+    parts = F.array_join(F.transform(F.try_variant_get(value, "$", "array<variant>"), part), "")
+    return F.when(kind.startswith("ARRAY<"), parts).when(kind.startswith("OBJECT<"), F.coalesce(F.try_variant_get(value, "$.text", "string"), F.to_json(value))).otherwise(F.try_variant_get(value, "$", "string"))
+
+
+def _turns(m: Mapping, v: Column) -> Column:
+    """array<struct<conv, place, role, text>> of one record under a mapping; null if its turns aren't a list of objects."""
+    get = lambda path: _said(F.try_variant_get(v, f"$.{path}", "variant"))
     row = lambda conv, place, role, text: F.struct(conv.cast("string").alias("conv"), place.cast("long").alias("place"), role.alias("role"), text.alias("text"))
-    nothing = F.lit(None)
     if m.place:
-        return F.array(row(get(m.group), get(m.place, "long"), get(m.role), get(m.text)))
-    if m.turns:
-        items = F.variant_get(v, f"$.{m.turns}", f"array<struct<{m.role}:string,{m.text}:string>>")
-        return F.transform(items, lambda x, i: row(nothing, i, x[m.role], x[m.text]))
+        return F.array(row(F.try_variant_get(v, f"$.{m.group}", "string"), F.try_variant_get(v, f"$.{m.place}", "long"), F.try_variant_get(v, f"$.{m.role}", "string"), get(m.text)))
+    own = F.coalesce(F.try_variant_get(v, "$.conv_id", "string"), F.try_variant_get(v, "$.id", "string"))
     join = lambda paths: F.array_join(F.filter(F.array(*(get(p) for p in paths)), lambda x: x != ""), "\n\n")
-    rows = [row(nothing, F.lit(i), F.lit(role), join(paths)) for i, (role, paths) in enumerate(m.parts)]
-    return F.filter(F.array(*rows), lambda x: (x["role"] != "system") | (x["text"] != ""))
+    rows = F.array(*(row(own, F.lit(i - len(m.parts)), F.lit(role), join(paths)) for i, (role, paths) in enumerate(m.parts)))
+    rows = F.filter(rows, lambda x: (x["role"] != "system") | (x["text"] != ""))
+    if not m.turns:
+        return rows
+    items = F.try_variant_get(v, f"$.{m.turns}", "array<variant>")
+    good = F.forall(items, lambda x: F.schema_of_variant(x).startswith("OBJECT<"))
+    said = F.transform(items, lambda x, i: row(own, i, F.try_variant_get(x, f"$.{m.role}", "string"), _said(F.try_variant_get(x, f"$.{m.text}", "variant"))))
+    return F.when(good, F.concat(rows, said))
 
 
 def canonical_turns(records: DataFrame, record: str, key: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """Rows (conv_id string, place, role, text, layout) of all records; (key, null...) rows keep those of unknown layout.
+    """Rows (conv_id string, place, role, text, layout, fingerprint, unmapped, record) of all records.
 
-    A conversation's id is the mapping's own, for records of one turn each, else the record's ``key``.
+    A conversation's id is the mapping's own, for records of one turn each, else the record's
+    ``key``, else its ``conv_id`` or ``id``. Rows of unknown layout have ``record`` and no turn;
+    in others ``record`` is null and ``unmapped`` holds the field paths that weren't read.
     """
-    print_ = F.col("__print")
-    known = records.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("__key"), F.col(record).alias("__record")).withColumn("__print", fingerprint(F.col("__record")))
-    turns, layout = F.lit(None), F.lit(None).cast("string")
+    names = F.create_map(*(F.lit(x) for pair in layouts(mappings).items() for x in pair))
+    marks, single = F.array(*map(F.lit, marks_of(mappings))), [m.name for m in mappings if m.place] or [""]
+    taken = records.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("__key"), F.col(record).alias("record"))
+    seen = taken.withColumn("__paths", field_paths(F.col("record")))
+    known = seen.withColumns({"fingerprint": _print(F.col("__paths")), "layout": F.try_element_at(names, _print(F.array_sort(F.array_intersect("__paths", marks))))})
+    turns, unmapped = F.lit(None), F.col("__paths")
     for m in mappings:
-        turns = F.when(print_ == m.fingerprint, _turns(m, F.col("__record"))).otherwise(turns)
-        layout = F.when(print_ == m.fingerprint, m.name).otherwise(layout)
-    found = known.select("__key", layout.alias("layout"), turns.alias("__turns"))
-    turn = found.select("__key", "layout", F.explode_outer("__turns").alias("t")).where("layout is null or t is not null")
+        turns = F.when(F.col("layout") == m.name, _turns(m, F.try_parse_json("record"))).otherwise(turns)
+        unmapped = F.when(F.col("layout") == m.name, F.array_except("__paths", F.array(*map(F.lit, sorted(m.paths()))))).otherwise(unmapped)
+    found = known.withColumns({"__turns": turns, "unmapped": unmapped}).withColumn("layout", F.when(F.col("__turns").isNotNull(), F.col("layout")))
+    # an empty list of turns is a known layout that has nothing to say
+    turn = found.where("__turns is null or size(__turns) > 0").select("__key", "layout", "fingerprint", "unmapped", "record", F.explode_outer("__turns").alias("t"))
     role = F.coalesce(F.col("t.role"), F.lit(""))
     renamed = F.col("layout").isin(*(m.name for m in mappings if m.renames) or ("",))
     for old, new in ROLES.items():
         role = F.when(renamed & (F.lower(F.col("t.role")) == old), F.lit(new)).otherwise(role)
-    return turn.select(F.coalesce("t.conv", "__key").alias("conv_id"), F.col("t.place").alias("place"), role.alias("role"), F.coalesce("t.text", F.lit("")).alias("text"), "layout")
+    unnamed = F.concat(F.lit("sha256:"), F.sha2("record", 256))
+    conv = F.when(F.col("layout").isNull(), F.col("__key")).when(F.col("layout").isin(*single), F.coalesce("t.conv", "__key")).otherwise(F.coalesce("__key", "t.conv", unnamed))
+    return turn.select(conv.alias("conv_id"), F.col("t.place").alias("place"), role.alias("role"), F.coalesce("t.text", F.lit("")).alias("text"), "layout", "fingerprint", "unmapped", F.when(F.col("layout").isNull(), F.col("record")).alias("record"))
+
+
+def unknown_records(turns: DataFrame) -> DataFrame:
+    """(key, fingerprint, record) of what ``canonical_turns`` found no layout for."""
+    return turns.where("layout is null").select(F.col("conv_id").alias("key"), "fingerprint", "record")
 
 
 _TAILS = {head: "|".join(re.escape(c[1:]) for c in CONTROL if c[0] == head) for head in "<["}
@@ -155,8 +227,9 @@ def format_conversations(turns: DataFrame, learn: str = "assistant") -> DataFram
 
     Places within the string are running sums over the conversation's turns, which need one
     sort by (conv_id, place) and no growing buffer; the string itself is the one value that
-    holds a conversation whole.
+    holds a conversation whole. Rows of unknown layout are no turns.
     """
+    turns = turns.where("layout is not null") if "layout" in turns.columns else turns
     w = W.partitionBy("conv_id").orderBy("place", "role", "text").rowsBetween(W.unboundedPreceding, 0)
     piece = turns.select("conv_id", "place", "role", "text", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(SEP)).alias("head"), escape(F.col("text")).alias("body"))
     upto = F.sum(F.length("head") + F.length("body") + len(END)).over(w)

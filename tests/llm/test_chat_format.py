@@ -40,6 +40,41 @@ def test_unknown_layouts_are_told(spark):
     assert [(t.conv_id, t.layout) for t in C.canonical_turns(df, "record", "key").orderBy("conv_id").collect()] == [("1", None), ("2", None)]
 
 
+def test_other_fields_and_parts(spark):
+    """Records that differ from a layout in what doesn't matter keep their text."""
+    cases = [
+        ({"messages": [{"role": "user", "content": "a", "name": "n"}, {"role": "assistant", "content": "b"}]}, "messages", [("user", "a"), ("assistant", "b")], ["messages[].name"]),
+        ({"messages": [{"role": "user", "content": [{"type": "text", "text": "a "}, {"type": "image", "url": "u"}, {"type": "text", "text": "b"}]}]}, "messages", [("user", 'a {"type":"image","url":"u"}b')], ["messages[].content[].text", "messages[].content[].type", "messages[].content[].url"]),
+        ({"messages": [{"role": "user", "content": [{"text": "a"}]}, {"role": "assistant", "content": "b", "x": {"y": 1}}], "system": "s"}, "messages", [("system", "s"), ("user", "a"), ("assistant", "b")], ["messages[].x", "messages[].x.y"]),
+        ({"prompt": "p", "completion": "c", "source": "web"}, "prompt", [("user", "p"), ("assistant", "c")], ["source"]),
+        ({"id": 9, "question": "q", "context": "k", "answer": "a", "text": "t"}, "question", [("user", "k\n\nq"), ("assistant", "a")], ["text"]),
+        ({"conversations": [{"value": "v"}], "a b": 1, "c`:<d>": [[{"e": 2}]]}, "share", [("", "v")], None),
+    ]
+    rows = [(str(k), json.dumps(r, separators=(",", ":"))) for k, (r, *_) in enumerate(cases)]
+    turns = C.canonical_turns(spark.createDataFrame(rows, "key string, record string"), "record", "key").orderBy("conv_id", "place").collect()
+    for k, (_, layout, want, unmapped) in enumerate(cases):
+        own = [t for t in turns if t.conv_id == str(k)]
+        assert {t.layout for t in own} == {layout} and [(t.role, t.text) for t in own] == want
+        assert unmapped is None or all(t.unmapped == unmapped and t.record is None for t in own)
+
+
+def test_records_of_no_layout_are_kept_whole(spark):
+    texts = ['{"what": 1}', None, "no json", "[1]", "{}", '{"messages": "a text"}', '{"messages": ["a", "b"]}', '{"messages": null}', '{"prompt": "p", "messages": []}', '{"prompt": "p"}']
+    fine = ['{"messages": []}', '{"messages": [{"role": "user", "content": "a"}]}']
+    df = spark.createDataFrame([(str(k), t, "x") for k, t in enumerate([*texts, *fine])], "key string, record string, fingerprint string")
+    turns = C.canonical_turns(df, "record", "key").cache()
+    kept = {r.key: r for r in C.unknown_records(turns).collect()}
+    assert {k: r.record for k, r in kept.items()} == {str(k): t for k, t in enumerate(texts)}
+    assert all((kept[str(k)].fingerprint is None) == (t in (None, "no json", "[1]")) for k, t in enumerate(texts))
+    assert [(r.conv_id, r.formatted) for r in C.format_conversations(turns).select("conv_id", "formatted").collect()] == [("11", "<|turn|>user<|text|>a<|end|>")]
+
+
+def test_records_without_a_key(spark):
+    records = ['{"id": 4, "messages": [{"role": "user", "content": "a"}]}', '{"prompt": "p", "response": "r"}', '{"conv_id": null, "turn": 1, "role": "user", "text": "t"}']
+    got = C.format_conversations(C.canonical_turns(spark.createDataFrame([(r,) for r in records], "record string"), "record")).collect()
+    assert {r.conv_id for r in got} == {"4", "sha256:" + hashlib.sha256(records[1].encode()).hexdigest(), None}
+
+
 def test_escape_round_trip(spark):
     texts = [t for t in ODD if t is not None] + list(C.CONTROL) + ["".join(C.CONTROL) * 2, "<<s>>[[INST]]", "<\\s>", "\\\\<s>"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.escape(F.col("t")).alias("e"), C.unescape(C.escape(F.col("t"))).alias("u"))
