@@ -6,10 +6,12 @@
 2. Texts with equal sets are one class; only its representative (the least id) goes on.
 3. Band hashes are shuffled with their representatives. Each bucket links its members to its
    least one, and the components of these links hold every candidate pair.
-4. Each component's members are dealt into blocks of about ``BLOCK``; every pair of blocks
-   is one small piece of work that verifies all its pairs on full shingle sets and returns
-   for each member the number of its links and the least member that it is tied to there.
-   No pair is ever a row, and no component meets in one task.
+4. Each component's members are dealt into blocks of bounded bytes; every pair of blocks is
+   one piece of work that verifies on full shingle sets all pairs that share a shingle and
+   returns for each member the number of its links and the least member that it is tied to
+   there. No pair is ever a row, and no component meets in one task. A component has at most
+   ``PIECES`` blocks while these hold ``BLOCK_BYTES`` or less each, so a set is sent
+   ``PIECES`` times at most until a component's sets exceed their product.
 5. Components of what was verified are the near-copy groups.
 
 A text without words has no shingles: it is like no other and stays alone. Null counts as
@@ -26,7 +28,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import map_batches
@@ -39,8 +41,10 @@ THRESHOLD = 0.8
 RECALL = 0.99999
 #: Most MinHash functions of a signature.
 FUNCTIONS = 160
-#: Members of a component that are compared as one block.
-BLOCK = 128
+#: Bytes of shingle sets in a block of a component: what small ones aim at, and what none exceeds by more than chance.
+SMALL_BYTES, BLOCK_BYTES = 1 << 20, 16 << 20
+#: Most blocks of a component, as long as they stay below ``BLOCK_BYTES``.
+PIECES = 16
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, functions: int = FUNCTIONS) -> tuple[int, int]:
@@ -67,7 +71,7 @@ def band_hashes(sets: list[np.ndarray], rows: int, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str, rows: int, bands: int, size: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (id, print, bands); the latter two are null for texts without words."""
+    """Rows (id, print, bands, size); print and bands are null for texts without words, size is that of the set."""
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         cache = WordHashes()
@@ -77,46 +81,58 @@ def signatures(docs: DataFrame, key: str, text: str, rows: int, bands: int, size
             full = [s for s in sets if len(s)]
             hashes = iter(band_hashes(full, rows, bands)) if full else iter(())
             prints = [set_fingerprint(s) if len(s) else None for s in sets]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array([next(hashes) if len(s) else None for s in sets], pa.list_(pa.int64()))], names=["id", "print", "bands"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array([next(hashes) if len(s) else None for s in sets], pa.list_(pa.int64())), pa.array([len(s) for s in sets], pa.int64())], names=["id", "print", "bands", "size"])
 
         return work
 
-    return map_batches(docs.select(key, text), make, f"id {dict(docs.dtypes)[key]}, print binary, bands array<long>")
+    return map_batches(docs.select(key, text), make, f"id {dict(docs.dtypes)[key]}, print binary, bands array<long>, size long")
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
-    """Which pairs of a left and a right set have a Jaccard similarity of the threshold or more."""
-    owner = np.repeat(np.arange(len(right)), [len(s) for s in right])
-    values = np.concatenate(right)
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    sizes = np.array([len(s) for s in right])
-    out = np.zeros((len(left), len(right)), bool)
-    for i, s in enumerate(left):
-        low, count = np.searchsorted(values, s, "left"), np.searchsorted(values, s, "right")
+class _Block:
+    """Shingle sets of some members, laid end to end in ascending order of shingles."""
+
+    def __init__(self, sets: list[np.ndarray], copies: np.ndarray):
+        self.sets, self.copies = sets, copies
+        self.sizes = np.array([len(s) for s in sets])
+        values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(values, kind="stable")
+        self.values, self.owner = values[order], owner[order]
+
+    def linked(self, one: np.ndarray, threshold: float) -> np.ndarray:
+        """The members whose Jaccard similarity with a set reaches the threshold; only those that share a shingle are looked at."""
+        low, count = np.searchsorted(self.values, one, "left"), np.searchsorted(self.values, one, "right")
         count -= low
         hits = count > 0
         low, count = low[hits], count[hits]
         at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        shared = np.bincount(owner[at], minlength=len(right))
-        out[i] = shared >= threshold * (len(s) + sizes - shared) - 1e-9
-    return out
+        shared = np.bincount(self.owner[at], minlength=len(self.sets))
+        return np.flatnonzero(shared >= threshold * (len(one) + self.sizes - shared) - 1e-9)
+
 
+def compare(left: _Block, right: _Block, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """For the members of both blocks (of one, if they are the same): links, weighted by copies, and the least member tied to each.
 
-def tied(links: np.ndarray) -> np.ndarray:
-    """The least index that each one is connected to, by a symmetric matrix of links."""
-    root = np.arange(len(links))
-    while True:
-        near = np.where(links, root[None, :], len(links)).min(axis=1, initial=len(links))
-        new = np.minimum(root, near)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
+    Memory follows the members, not their pairs: links are counted and joined as they are found.
+    """
+    same = left is right
+    n, m = len(left.sets), len(right.sets)
+    links, root, shift = np.zeros(n if same else n + m, np.int64), np.arange(n if same else n + m), 0 if same else n
+    for i, one in enumerate(left.sets):
+        near = right.linked(one, threshold)
+        if same:
+            near = near[near != i]
+        if len(near):
+            links[i] += right.copies[near].sum()
+            if not same:
+                links[shift + near] += left.copies[i]
+            tied = np.unique(root[np.append(shift + near, i)])
+            if len(tied) > 1:
+                root[np.isin(root, tied)] = tied[0]
+    return links, root
 
 
 def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Batches of rows sorted by (comp, one, two): a row of results for each member that has links there."""
+    """Batches of rows sorted by (comp, one, two, own, id): a row of results for each member that has links there."""
     group: list[tuple] = []
     done: list[tuple] = []
     kind = None
@@ -125,28 +141,16 @@ def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.
         if len(group) < 2:
             return
         one, two = group[0][1:3]
-        left = [g for g in group if g[3] == one]
-        right = left if one == two else [g for g in group if g[3] == two]
-        if not left or not right:
+        sides = [[g for g in group if g[3] == own] for own in ((one,) if one == two else (one, two))]
+        if not all(sides):
             return
-        sets = [[np.frombuffer(g[6], np.uint64) for g in side] for side in (left, right)]
-        links = linked(sets[0], sets[1], threshold)
-        if one == two:
-            np.fill_diagonal(links, False)
-            members, whole = left, links
-        else:
-            members = left + right
-            whole = np.zeros((len(members), len(members)), bool)
-            whole[: len(left), len(left) :] = links
-            whole |= whole.T
-        if whole.any():
-            copies = np.array([g[5] for g in members], np.int64)
-            count, ids = whole @ copies, [g[4] for g in members]
-            order = np.argsort(np.array(ids, dtype=object), kind="stable")
-            root = tied(whole[np.ix_(order, order)])
-            for k, place in enumerate(order):
-                if count[place]:
-                    done.append((ids[place], int(count[place]), ids[order[root[k]]]))
+        blocks = [_Block([np.frombuffer(g[6], np.uint64) for g in side], np.array([g[5] for g in side], np.int64)) for side in sides]
+        links, root = compare(blocks[0], blocks[-1], threshold)
+        members = [g[4] for side in sides for g in side]
+        least: dict[int, object] = {}
+        for place, r in enumerate(root.tolist()):
+            least[r] = min(least.get(r, members[place]), members[place])
+        done.extend((members[k], int(links[k]), least[int(root[k])]) for k in np.flatnonzero(links))
 
     def flush() -> pa.RecordBatch:
         ids, count, roots = zip(*done, strict=True)
@@ -167,6 +171,12 @@ def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.
         yield flush()
 
 
+def block_count(size: Column) -> Column:
+    """The number of blocks for a component whose sets have ``size`` shingles together."""
+    small, large = F.ceil(size * 8 / SMALL_BYTES), F.ceil(size * 8 / BLOCK_BYTES)
+    return F.greatest(F.lit(1), F.least(small, F.greatest(F.lit(PIECES), large))).cast("int")
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE_WORDS) -> DataFrame:
     """One row for each row of ``docs``: (key, class_id, copy_id, n_links).
 
@@ -177,15 +187,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     rows, bands = choose_bands(threshold, recall)
     kind = dict(docs.dtypes)[key]
     signed = cut(signatures(docs, key, text, rows, bands, size))
-    copies = signed.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    copies = signed.where("print is not null and id is not null").groupBy("print").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("bands").alias("bands"), F.first("size").alias("size"))
     classes = cut(copies)
 
     banded = classes.select("id", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("bucket", "least")
     candidates = banded.join(buckets, "bucket").where("id <> least").select("id", "least").distinct()
     comp = components(candidates, "id", "least")
-    sized = comp.join(comp.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "root")
-    members = sized.select(F.col("node").alias("id"), F.col("root").alias("comp"), "blocks").join(classes.select("id", "copies"), "id")
+    placed = comp.select(F.col("node").alias("id"), F.col("root").alias("comp")).join(classes.select("id", "copies", "size"), "id")
+    members = placed.join(placed.groupBy("comp").agg(block_count(F.sum("size")).alias("blocks")), "comp").drop("size")
 
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
     chosen = texts.join(members, "id").select("comp", "blocks", "id", "copies", "text")

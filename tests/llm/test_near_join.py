@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import near_join
 from millrace.llm.components import components
@@ -46,7 +47,7 @@ def test_against_brute_force(spark, sf):
 
 
 def test_large_group_is_dealt_into_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_join, "BLOCK", 7)
+    monkeypatch.setattr(near_join, "SMALL_BYTES", 8 * 7 * 120)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -58,6 +59,31 @@ def test_large_group_is_dealt_into_blocks(spark, monkeypatch):
     check(spark, rows + [(100 + k, rows[k][1].upper(), None, None, None) for k in range(0, 40, 3)])
 
 
+def test_blocks_are_bounded_and_few(spark):
+    sizes = [0, 1, 1 << 17, (1 << 17) + 1, 16 << 17, 16 << 21, (16 << 21) + 1, 100_000 * 200, 1_000_000 * 200]
+    got = [r.b for r in spark.createDataFrame([(n,) for n in sizes], "n long").select(near_join.block_count(F.col("n")).alias("b")).collect()]
+    assert got == [1, 1, 1, 2, 16, 16, 17, 16, 96]
+    assert all(n * 8 <= b * near_join.BLOCK_BYTES for n, b in zip(sizes, got, strict=True))
+
+
+def test_compare_against_all_pairs():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, size=int(rng.integers(1, 50)))).astype(np.uint64) for _ in range(60)]
+    copies = rng.integers(1, 4, size=60)
+    alike = lambda a, b: len(np.intersect1d(a, b)) >= 0.5 * len(np.union1d(a, b))
+    for cut in (0, 25):
+        sides = [slice(0, cut), slice(cut, 60)] if cut else [slice(0, 60)]
+        blocks = [near_join._Block(sets[x], copies[x]) for x in sides]
+        links, root = near_join.compare(blocks[0], blocks[-1], 0.5)
+        pairs = [(i, j) for i in range(60) for j in range(60) if i != j and (not cut or (i < cut) != (j < cut)) and alike(sets[i], sets[j])]
+        assert links.tolist() == [sum(copies[j] for i, j in pairs if i == k) for k in range(60)]
+        want = list(range(60))
+        for _ in range(60):
+            for i, j in pairs:
+                want[i] = want[j] = min(want[i], want[j])
+        assert root.tolist() == want
+
+
 def test_odd_rows(spark):
     check(spark, [(1, None, None, None, None), (2, "", None, None, None), (3, "***", None, None, None), (4, "one two", None, None, None), (5, "One, two!", None, None, None), (6, "one two three four five six", None, None, None), (7, "word " * 30_000, None, None, 0), (8, "word " * 29_000, None, None, 0)])
     nothing = near_join.join(spark.createDataFrame([], SCHEMA))
