@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from helpers import SCHEMA, no_documents, odd_documents
 
 from millrace.llm import decontaminate as D
@@ -49,8 +50,25 @@ def test_against_brute_force(spark):
     assert got == brute(docs, items)
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(D, "ITEM_BLOCK", 3)
+def test_full_filter(spark, monkeypatch):
+    """A filter that is too small lets more pass, and changes no result."""
+    monkeypatch.setattr(D, "FILTER_BITS", D.PIECE_BITS)
+    monkeypatch.setattr(D, "BITS_EACH", 1)
+    items = [(i, f"one two three four five six seven {i}") for i in range(2_000)]
+    df = odd_documents(spark, [t for _, t in items[:40]])
+    got = {(k, i, c) for k, i, c, _ in found(D.search(df, spark.createDataFrame([(i, t, "x", 1) for i, t in items], ITEMS))) if c == 1}
+    assert got == {(k, i, 1.0) for i, t in items[:40] for k in [r.doc_id for r in df.where(f"text = '{t}'").collect()]}
+
+
+def test_filter_holds_what_was_added():
+    rng = np.random.default_rng(4)
+    keys, others = (rng.integers(0, 2**63, size=n).astype(np.uint64) * np.uint64(2) for n in (5_000, 100_000))
+    made = D.Filter(1 << 20)
+    made.add(keys)
+    assert len(made.passing(keys)) == len(keys) and len(made.passing(others)) < 100
+
+
+def test_items_of_several_partitions(spark):
     items = [(i, f"one two three four five six seven {i}") for i in range(8)]
     df = odd_documents(spark, [t for _, t in items])
     rows = [(r.doc_id, r.text) for r in df.collect()]
