@@ -2,7 +2,9 @@
 
 Every version of every path is content-addressed by the SHA-256 of its text (null: empty).
 Only pairs of blob and rule version that the ledger doesn't hold are scanned, each once
-however many paths carry the blob, and findings are joined back to all of them.
+however many paths carry the blob, and findings are joined back to all of them. ``Ledger``
+holds what was scanned in a folder that all executors share, so that later versions and
+other runs go on from there; a delivery that is repeated adds nothing. One writer at a time.
 
 Empty texts have a blob and no findings; equal rows each get their blob's findings; null
 keys are kept as keys; an empty table gives an empty result; columns besides key and text
@@ -13,14 +15,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import map_batches
+from millrace.llm.scratch import shared_folder
 
 
 @dataclass(frozen=True)
@@ -115,16 +119,42 @@ def scan_paths(versions: DataFrame, key: str, ledger: DataFrame | None = None, r
     found = unseen_findings(versions, ledger, rules, text)
     if ledger is not None:
         found = found.unionByName(ledger.where(F.col("rule_version") == rule_version(rules)))
+    return _told(versions, key, found, text)
+
+
+def _told(versions: DataFrame, key: str, found: DataFrame, text: str) -> DataFrame:
     paths = versions.select(F.col(key), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("blob"))
     return paths.join(found, "blob").select(key, "blob", *[x.split()[0] for x in FINDINGS.split(", ")[2:]])
 
 
-def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+class Ledger:
+    """The findings of all blobs scanned so far, by rule version, stored in a folder."""
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        """``folder`` may hold a ledger already; without one a new ledger begins in the shared folder."""
+        self.spark, self.folder = spark, folder or f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}"
+        spark.createDataFrame([], FINDINGS).write.mode("append").parquet(self.folder)
+
+    def rows(self, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+        return self.spark.read.schema(FINDINGS).parquet(self.folder).where(F.col("rule_version") == rule_version(rules))
+
+    def update(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> None:
+        """Scans what the ledger lacks for these versions and stores the findings, those of nothing included."""
+        unseen_findings(versions, self.rows(rules), rules, text).write.mode("append").parquet(self.folder)
+
+    def findings(self, versions: DataFrame, key: str, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+        """The key, the blob and the blob's findings for each row; all blobs have to be in the ledger."""
+        return _told(versions, key, self.rows(rules), text)
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]", ledger: Ledger | None = None) -> DataFrame:
     """The documents with every found span replaced by ``mark`` and ``n_chars`` renewed; all else is kept.
 
     Spans that overlap are replaced as one. Documents without findings keep their text, null included.
     """
-    found = unseen_findings(docs, None, rules).where("spans <> ''").select("blob", "spans")
+    ledger = ledger or Ledger(docs.sparkSession)
+    ledger.update(docs, rules)
+    found = ledger.rows(rules).where("spans <> ''").select("blob", "spans")
     columns = docs.columns
     keyed = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "__blob", "left")
     # spans are ordered by start: keep the text between them, one mark for each overlapping run

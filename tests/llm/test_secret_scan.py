@@ -2,10 +2,12 @@ import hashlib
 import random
 import re
 
+import pytest
 from helpers import no_documents, odd_documents
 
 from millrace.llm import secret_scan as S
 from millrace.llm.queries import QUERIES
+from millrace.llm.scratch import shared_folder
 
 KEY = "AKIA" + "ABCDEFGHIJ0123456789"
 TEXTS = [
@@ -67,6 +69,49 @@ def test_ledger_scans_only_what_is_new(spark):
     assert S.rule_version(other) != S.rule_version() and S.unseen_findings(first, ledger, other).count() == 2
 
 
+def test_stored_ledger_over_versions_and_rules(spark, tmp_path, monkeypatch):
+    """Three versions of a history, two rule versions, and a later run on the same folder; every pair is scanned once."""
+    scanned = []
+    whole = S.scan_blobs
+    monkeypatch.setattr(S, "scan_blobs", lambda blobs, rules=S.RULES: scanned.append(sorted(r.blob for r in blobs.select("blob").collect())) or whole(blobs, rules))
+    blob = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    versions = [[("a", TEXTS[0]), ("b", TEXTS[0]), ("c", None)], [("a", TEXTS[2]), ("b", TEXTS[0]), ("d", "")], [("a", TEXTS[0]), ("d", TEXTS[4]), (None, TEXTS[4])]]
+    frames = [spark.createDataFrame(v, "path string, text string") for v in versions]
+    folder, known = str(tmp_path / "ledger"), set()
+    for k, (frame, rows) in enumerate(zip(frames, versions, strict=True)):
+        S.Ledger(spark, folder).update(frame)
+        fresh = {blob(t) for _, t in rows} - known
+        assert scanned[k] == sorted(fresh)
+        known |= fresh
+    ledger = S.Ledger(spark, folder)
+    ledger.update(frames[2])
+    ledger.update(frames[0], S.RULES[:1])
+    assert scanned[3:] == [[], sorted({blob(t) for _, t in versions[0]})]
+    for frame, rows in zip(frames, versions, strict=True):
+        got = ledger.findings(frame, "path").collect()
+        assert sorted((r.path or "", r.blob) for r in got) == sorted((p or "", blob(t)) for p, t in rows)
+        for r in got:
+            text = next(t for _, t in rows if blob(t) == r.blob)
+            counts, spans = brute(text or "")
+            assert [r.n_assign, r.n_access, r.n_hex] == counts and r.base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
+    assert ledger.rows().count() == len(known) and ledger.rows(S.RULES[:1]).count() == 2
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default=None: default)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+
+
 def test_redaction(spark):
     df = odd_documents(spark, [TEXTS[0], "x token=abcdef0123456789abcdef y " + KEY, TEXTS[6]])
     out = S.redact(df)
