@@ -1,16 +1,23 @@
 """URL filters: explicit rules, and a classifier of segmented host and path words.
 
 A rule (host, path) fits its host and all subdomains where the url's path starts with the
-rule's; of those that fit, the longest decides. Other urls are judged by naive Bayes: names
-in the host are split at hyphens and digits and by a unigram Viterbi search into words, path
-segments at everything that isn't a letter or digit, and a multinomial model over hashed
-tokens, with a flag for host or path in the hash, gives the odds of an unwanted page.
-
-Word frequencies come from the visible text of all pages, kept for the ``VOCABULARY``
-commonest words; the model's size is a parameter, the counts cover everything. The training
-labels are weak: a url counts as unwanted if its segmented host holds a word of
-``UNWANTED``. Token counts over all urls are summed in 2^``BITS`` buckets, so that what the
-driver holds doesn't grow with the hosts.
+rule's; of those that fit, the longest decides (of equal ones that of the longer host, then
+one that blocks). Other urls are judged by naive Bayes: names in the host are split at
+everything that isn't a letter and by a unigram Viterbi search into words, path segments at
+everything that isn't a letter or digit, and a multinomial model over hashed tokens, with a
+flag for host or path in the hash, gives the odds of an unwanted page.
+
+Word frequencies come from the visible text of all pages. Only words that occur within a
+host can be part of its split, so the substrings of the distinct names, of up to ``LONGEST``
+letters, which is all that a host's label may have, are joined with the word counts, and each
+name is searched with its own words alone: no vocabulary is held anywhere and no word is cut
+off. What the search needs of the rest is one number, the sum of all counts.
+
+The training labels are weak and come from the page, never from its url: a page counts as
+unwanted if it has few words outside links, if its links hold much of its text, if scripts
+make up most of it or if it is full of input fields. Pages without html aren't learnt from.
+Token counts over all urls are summed in 2^``BITS`` buckets, so that what the driver holds
+doesn't grow with the hosts.
 
 Host: what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A to Z in lower case.
 Path: what follows up to ``?``, ``#`` or the end. Null or without ``://``: both empty, no rule
@@ -22,29 +29,26 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.batches import map_batches
 from millrace.llm.scratch import cut
 
-#: Words of names that mark unwanted pages in training.
-UNWANTED = ("adult", "ads", "bet", "bets", "betting", "bingo", "bonus", "casino", "cheap", "escort", "gambling", "jackpot", "loan", "loans", "nude", "payday", "pills", "poker", "porn", "pharma", "replica", "sex", "slots", "spam", "torrent", "viagra", "warez", "xxx")
-#: Other words that names are made of, which page texts may lack.
+#: Words that names are made of, which page texts may lack; those that do count as often as an average word.
 NAME_WORDS = ("app", "best", "blog", "cdn", "club", "data", "farm", "free", "forum", "home", "info", "law", "mail", "media", "mobile", "news", "online", "photo", "shop", "site", "store", "tech", "the", "track", "video", "web", "win", "world")
-VOCABULARY = 50_000
-LONGEST = 24
+#: Fixed value: the most letters of a host's label.
+LONGEST = 63
 BITS = 16
-#: Most rules that are sent to the tasks.
-RULES = 200_000
-LABEL_CACHE = 200_000
+#: An unwanted page: fewer words outside links, a greater share of words in links, a greater share of scripts, more input fields.
+FEW_WORDS, LINK_SHARE, SCRIPT_SHARE, INPUTS = 100, 0.25, 0.6, 12
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,11 @@ class Rule:
         return self.host + self.path
 
 
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Rules as the table (host, path, allow) that ``judge`` takes."""
+    return spark.createDataFrame([(r.host, r.path, r.allow) for r in rules], "host string, path string, allow boolean")
+
+
 def split_url(url: Column) -> tuple[Column, Column]:
     """(host, path)."""
     there = F.instr(url, "://") > 0
@@ -67,52 +76,29 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
-class Rules:
-    def __init__(self, rules: list[Rule]):
-        if len(rules) > RULES:
-            raise ValueError(f"more than {RULES} rules")
-        self.by_host: dict[str, list[Rule]] = {}
-        for r in sorted(set(rules), key=lambda r: (-len(r.name), r.name, r.allow)):
-            self.by_host.setdefault(r.host, []).append(r)
-
-    def match(self, host: str, path: str) -> Rule | None:
-        best, at = None, 0
-        while at >= 0:
-            for r in self.by_host.get(host[at:], ()):
-                if path.startswith(r.path):
-                    if best is None or len(r.name) > len(best.name):
-                        best = r
-                    break
-            dot = host.find(".", at)
-            at = dot + 1 if dot >= 0 else -1
-        return best
-
-
 class Segmenter:
-    """Splits a run of letters into the likeliest words under unigram frequencies."""
+    """Splits a run of letters into the likeliest words under unigram frequencies.
+
+    ``counts`` may be the words that occur in the run alone; ``total`` is the sum of all counts.
+    """
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: -math.log(n / total) for w, n in counts.items() if n > 0 and w}
         #: An unknown word costs more than any known one, and more the longer it is.
         self.unknown = math.log(total) + 2
-        self.longest = min(LONGEST, max(map(len, self.cost), default=1))
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.longest = max(map(len, self.cost), default=1)
 
     def words(self, name: str) -> tuple[str, ...]:
-        found = self.known.get(name)
-        if found is None:
-            if len(self.known) >= LABEL_CACHE:
-                self.known.clear()
-            found = self.known[name] = self._search(name)
-        return found
-
-    def _search(self, name: str) -> tuple[str, ...]:
-        cost, unknown, n = self.cost, self.unknown, len(name)
+        cost, n = self.cost, len(name)
         best, back = [0.0] + [math.inf] * n, [0] * (n + 1)
+        open_ = 0  # where an unknown word that ends here starts at least cost: its length counts linearly
         for i in range(1, n + 1):
+            if best[i - 1] - 2.0 * (i - 1) < best[open_] - 2.0 * open_ - 1e-12:
+                open_ = i - 1
+            best[i], back[i] = best[open_] + self.unknown + 2.0 * (i - open_), open_
             for j in range(max(0, i - self.longest), i):
-                c = best[j] + cost.get(name[j:i], unknown + 2.0 * (i - j))
+                c = best[j] + cost.get(name[j:i], math.inf)
                 if c < best[i] - 1e-12:
                     best[i], back[i] = c, j
         out, i = [], n
@@ -122,13 +108,12 @@ class Segmenter:
         return tuple(reversed(out))
 
 
-_NAME, _PART = re.compile(r"[^\W\d_]+"), re.compile(r"[^\W\d_]+|\d+")
+_PART = re.compile(r"[^\W\d_]+|\d+")
 
 
-def tokens(host: str, path: str, segmenter: Segmenter) -> tuple[list[str], list[str]]:
-    """Words of the host's labels, and of the path, where a number is one token whatever it is."""
-    names = [w for run in _NAME.findall(host) for w in segmenter.words(run)]
-    return names, ["0" if p.isdigit() else p for p in _PART.findall(path.lower())]
+def path_tokens(path: str) -> list[str]:
+    """Words of a path; a number is one token whatever it is."""
+    return ["0" if p.isdigit() else p for p in _PART.findall(path.lower())]
 
 
 def bucket(kind: str, token: str) -> int:
@@ -137,43 +122,80 @@ def bucket(kind: str, token: str) -> int:
 
 @dataclass(frozen=True)
 class Model:
-    vocabulary: dict[str, int]
+    #: (word, count) of all words of pages and names, and the sum of their counts.
+    counts: DataFrame
+    total: int
     #: Log odds of unwanted against wanted for each bucket, and of the prior.
     weights: np.ndarray
     prior: float
 
 
-def visible_words(html: Column) -> Column:
-    """The lower-case words of two letters or more outside tags, scripts and styles."""
-    text = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]+;", " ")
-    return F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")), " ")
+def _visible(html: Column) -> Column:
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-zA-Z#0-9]+;", " ")
+
 
+def visible_words(html: Column) -> Column:
+    """The lower-case words outside tags, scripts and styles."""
+    return F.split(F.trim(F.regexp_replace(F.lower(_visible(html)), r"[^\p{L}]+", " ")), " ")
+
+
+def unwanted(html: Column) -> Column:
+    """The weak label of a page, by what it holds; null without html."""
+    n = lambda text: F.regexp_count(text, F.lit(r"\p{L}+"))
+    linked = n(_visible(F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*>(.*?)</a\s*>"), 1), " ")))
+    scripts = F.length(F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)(<script\b.*?</script\s*>)"), 1), ""))
+    inputs = F.regexp_count(html, F.lit(r"(?i)<(?:input|select|textarea)\b"))
+    told = n(_visible(html))
+    return (told - linked < FEW_WORDS) | (linked >= LINK_SHARE * told) | (scripts >= SCRIPT_SHARE * F.length(html)) | (inputs >= INPUTS)
+
+
+def word_counts(pages: DataFrame, html: str = "html") -> tuple[DataFrame, int]:
+    """(word, count) over all pages, stored, and the sum of the counts; words of names that no page has count as an average one."""
+    words = pages.select(F.explode(visible_words(F.col(html))).alias("word")).where(F.length("word").between(2, LONGEST))
+    counted = cut(words.groupBy("word").agg(F.count("*").alias("count")))
+    whole, n = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    usual = max(1, whole // max(1, n))
+    names = pages.sparkSession.createDataFrame([(w,) for w in NAME_WORDS], "word string").join(counted, "word", "left_anti").select("word", F.lit(usual).cast("long").alias("count"))
+    missing = cut(names)
+    return counted.unionByName(missing), whole + usual * missing.count()
+
+
+def host_words(hosts: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """(host, words) of distinct hosts: the words of their names, in order."""
+    named = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit(r"(\p{L}+)"), 1)).alias("at", "name"))
+    names = cut(named.select("name").distinct().withColumn("row", F.monotonically_increasing_id()))
+    starts = names.select("row", F.length("name").alias("n"), "name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i")).select("row", F.substr("name", F.col("i"), F.lit(LONGEST)).alias("rest"))
+    parts = starts.where(F.length("rest") > 1).select("row", F.explode(F.transform(F.sequence(F.lit(2), F.length("rest")), lambda k: F.left("rest", k))).alias("word")).distinct()
+    # a name's own words, at most 62 for each of its letters
+    known = parts.join(counts, "word").groupBy("row").agg(F.collect_list(F.struct("word", "count")).alias("known"))
+    split = names.join(known, "row", "left").select("name", "known").mapInArrow(partial(_segmented, total=total), "name string, words array<string>")
+    return named.join(split, "name").groupBy("host").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "words"))), lambda x: x["words"])).alias("words"))
+
+
+def _segmented(batches: Iterable[pa.RecordBatch], total: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, known = batch.column(0), batch.column(1).to_pylist()
+        found = [list(Segmenter({x["word"]: x["count"] for x in own or ()}, total).words(name)) for name, own in zip(names.to_pylist(), known, strict=True)]
+        yield pa.RecordBatch.from_arrays([names, pa.array(found, pa.list_(pa.string()))], names=["name", "words"])
+
+
+def _split(pages: DataFrame, url: str, **more: Column) -> DataFrame:
+    taken = pages.select(F.col(url).alias("__url"), *(c.alias(n) for n, c in more.items()))
+    host, path = split_url(F.col("__url"))
+    return taken.select(*more, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
 
-def word_counts(pages: DataFrame, html: str = "html", most: int = VOCABULARY) -> dict[str, int]:
-    """The commonest words, ``most`` at most, with their counts over all pages; at least one for words of names.
 
-    Words are ranked by bands of their count's logarithm, and whole bands are taken from the
-    top while they fit, so that neither a sort nor a top-k of every task is needed.
-    """
-    words = pages.select(F.explode(visible_words(F.col(html))).alias("w")).where(F.length("w").between(2, LONGEST))
-    counted = cut(words.groupBy("w").count().withColumn("band", F.floor(8 * F.log2("count")).cast("int")))
-    bands = counted.groupBy("band").agg(F.count("*").alias("n")).collect()  # about 8 * 63 rows at most
-    least, room = math.inf, most
-    for r in sorted(bands, key=lambda r: -r["band"]):
-        room -= r["n"]
-        if room < 0:
-            break
-        least = r["band"]
-    top = counted.where(F.col("band") >= least).collect() if least < math.inf else []  # at most `most` rows
-    counts = {r["w"]: r["count"] for r in sorted(top, key=lambda r: (-r["count"], r["w"]))}
-    usual = max(1, sum(counts.values()) // max(1, len(counts)))
-    return {w: usual for w in (*UNWANTED, *NAME_WORDS)} | counts
+def _with_words(split: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+    """Rows with ``words``, looked up by host; a host that a third of all rows have is left to adaptive execution."""
+    found = cut(host_words(split.select("host").distinct(), counts, total))
+    return split.join(found, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
 
 
 def learn(pages: DataFrame, url: str = "url", html: str = "html") -> Model:
-    counts = word_counts(pages, html)
-    split = _split(pages, url, [])
-    sums = map_batches(split.select("host", "path"), partial(_count_maker, counts), "bucket int, unwanted long, wanted long").groupBy("bucket").agg(F.sum("unwanted").alias("unwanted"), F.sum("wanted").alias("wanted")).collect()  # at most 2 ** BITS + 1 rows
+    counts, total = word_counts(pages, html)
+    split = _split(pages, url, unwanted=unwanted(F.col(html))).where("unwanted is not null")
+    told = _with_words(split, counts, total).select("words", "path", "unwanted")
+    sums = map_batches(told, _count_maker, "bucket int, unwanted long, wanted long").groupBy("bucket").agg(F.sum("unwanted").alias("unwanted"), F.sum("wanted").alias("wanted")).collect()  # at most 2 ** BITS + 1 rows
     seen = np.zeros((2, 1 << BITS))
     urls = np.ones(2)
     for r in sums:
@@ -183,50 +205,50 @@ def learn(pages: DataFrame, url: str = "url", html: str = "html") -> Model:
             seen[:, r["bucket"]] = r["wanted"], r["unwanted"]
     used = max(1, int((seen.sum(axis=0) > 0).sum()))
     chance = (seen + 1) / (seen.sum(axis=1, keepdims=True) + used)
-    return Model(counts, np.log(chance[1] / chance[0]), float(np.log(urls[1] / urls[0])))
-
-
-def _split(pages: DataFrame, url: str, keep: list[str]) -> DataFrame:
-    taken = pages.select(*keep, F.col(url).alias("__url"))
-    host, path = split_url(F.col("__url"))
-    return taken.select(*keep, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
-
+    return Model(counts, total, np.log(chance[1] / chance[0]), float(np.log(urls[1] / urls[0])))
 
-def _count_maker(counts: dict[str, int]) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-    segmenter, seeds = Segmenter(counts), set(UNWANTED)
 
+def _count_maker() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found: dict[int, list[int]] = {}
-        for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            names, parts = tokens(host, path, segmenter)
-            place = 0 if seeds.intersection(names) else 1
-            for b in (-1, *(bucket("h", w) for w in names), *(bucket("p", w) for w in parts)):
-                found.setdefault(b, [0, 0])[place] += 1
+        for names, path, bad in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for b in (-1, *(bucket("h", w) for w in names), *(bucket("p", w) for w in path_tokens(path))):
+                found.setdefault(b, [0, 0])[0 if bad else 1] += 1
         rows = sorted(found.items())
         return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *(pa.array([n[k] for _, n in rows], pa.int64()) for k in (0, 1))], names=["bucket", "unwanted", "wanted"])
 
     return work
 
 
-def judge(pages: DataFrame, model: Model, rules: list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
-    """Rows (key, host, path, rule, verdict, log_odds, host_words)."""
-    kind = dict(pages.dtypes)[key]
-    return map_batches(_split(pages, url, [key]), partial(_judge_maker, model, rules, key), f"`{key}` {kind}, host string, path string, rule string, verdict string, log_odds double, host_words string")
+def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, rules) of distinct hosts that rules of (host, path, allow) may fit: all those of the host and what it is under."""
+    deepest = rules.agg(F.max(F.size(F.split("host", r"\."))).alias("n")).first()["n"] or 0
+    labels, n = F.split("host", r"\."), F.size(F.split("host", r"\."))
+    under = hosts.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.least(n, F.lit(max(1, deepest)))), lambda k: F.array_join(F.slice(labels, n - k + 1, k), "."))).alias("of"))
+    rule = F.struct(F.length(F.concat("host", "path")).alias("size"), F.length("host").alias("depth"), (~F.col("allow")).alias("block"), F.concat("host", "path").alias("name"), "path")
+    own = rules.distinct().select(F.col("host").alias("of"), rule.alias("rule"))
+    return under.join(own, "of").groupBy("host").agg(F.collect_list("rule").alias("rules"))
 
 
-def _judge_maker(model: Model, rules: list[Rule], key: str) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
-    segmenter, table = Segmenter(model.vocabulary), Rules(rules)
+def judge(pages: DataFrame, model: Model, rules: DataFrame | list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
+    """Rows (key, host, path, rule, verdict, log_odds, host_words); ``rules`` as a list or as a table (host, path, allow)."""
+    rules = rule_table(pages.sparkSession, rules) if isinstance(rules, list) else rules
+    split = _split(pages, url, __key=F.col(key))
+    ruled = _with_words(split, model.counts, model.total).join(host_rules(split.select("host").distinct(), rules), "host", "left")
+    best = F.array_max(F.filter("rules", lambda r: F.col("path").startswith(r["path"])))
+    told = ruled.select("__key", "host", "path", best.alias("best"), "words").select("__key", "host", "path", F.col("best.name").alias("rule"), F.col("best.block").alias("block"), "words")
+    kind = dict(pages.dtypes)[key]
+    odds = map_batches(told, partial(_judge_maker, model.weights, model.prior), f"__key {kind}, host string, path string, rule string, block boolean, log_odds double, host_words string")
+    verdict = F.when(F.coalesce("block", F.col("log_odds") > 0), "block").otherwise("allow")
+    return odds.select(F.col("__key").alias(key), "host", "path", "rule", verdict.alias("verdict"), "log_odds", "host_words")
+
 
+def _judge_maker(weights: np.ndarray, prior: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(4)]
-        for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            names, parts = tokens(host, path, segmenter)
-            odds = model.prior + float(sum(model.weights[bucket("h", w)] for w in names) + sum(model.weights[bucket("p", w)] for w in parts))
-            rule = table.match(host, path)
-            verdict = rule.allow if rule else odds <= 0
-            for column, value in zip(out, (rule and rule.name, "allow" if verdict else "block", odds, " ".join(names)), strict=True):
-                column.append(value)
-        kinds = (pa.string(), pa.string(), pa.float64(), pa.string())
-        return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(o, t) for o, t in zip(out, kinds, strict=True))], names=[key, "host", "path", "rule", "verdict", "log_odds", "host_words"])
+        odds, said = [], []
+        for path, names in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            odds.append(prior + float(sum(weights[bucket("h", w)] for w in names) + sum(weights[bucket("p", w)] for w in path_tokens(path))))
+            said.append(" ".join(names))
+        return pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(odds, pa.float64()), pa.array(said, pa.string())], names=[*batch.schema.names[:5], "log_odds", "host_words"])
 
     return work

@@ -1,5 +1,9 @@
+import math
 import random
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from millrace.llm import url_filter as U
 from millrace.llm.queries import QUERIES, URL_RULES
@@ -25,7 +29,8 @@ URLS = [None, "", "no scheme", "://", "http://", "https://A.ORG", "https://A.ORG
 def test_rules_and_parts_against_brute_force(spark):
     rng = random.Random(4)
     urls = URLS + [f"http://{rng.choice(['', 'a.', 'b.c.'])}{rng.choice(['example.org', 'org', 'com', 'x.com', 'y.net'])}{rng.choice(['/en/1', '/en/2', '/es/', '/es', '/fr/x', '/de/', ''])}{rng.choice(['', '?q', '#f'])}" for _ in range(200)]
-    df = spark.createDataFrame([(k, u, "<p>some cheap pills and a casino</p>", "h", "r") for k, u in enumerate(urls)], "page_id long, url string, html string, host string, rule string")
+    rich = "<p>some cheap pills and a casino " + "of many words " * 60 + "</p>"
+    df = spark.createDataFrame([(k, u, "<p>little</p>" if u and "cheap" in u else rich, "h", "r") for k, u in enumerate(urls)], "page_id long, url string, html string, host string, rule string")
     model = U.learn(df)
     for r in U.judge(df, model, URL_RULES).collect():
         host, path = brute(urls[r.page_id])
@@ -50,15 +55,73 @@ def test_viterbi_is_optimal():
             for rest in splits(name[k:]):
                 yield (name[:k], *rest)
 
-    for name in ("therein", "inthere", "xthe", "aaa", "q"):
+    for name in ("therein", "inthere", "xthe", "aaa", "q", "thezzzzinqq", "qtheq"):
         assert abs(cost(s.words(name)) - min(map(cost, splits(name)))) < 1e-9
         assert "".join(s.words(name)) == name
 
 
 def test_visible_words(spark):
-    html = "<script>no('x')</script><style>p{}</style><!-- c --><P>Één woord &amp; more</p>"
-    df = spark.createDataFrame([(html,), (None,), ("",)], "html string")
-    assert U.word_counts(df)["één"] == 1 and "no" not in {w for w, n in U.word_counts(df).items() if w not in (*U.UNWANTED, *U.NAME_WORDS)}
+    html = "<script>no('x')</script><style>p{}</style><!-- c --><P>Één woord &amp; more woord news</p>"
+    counts, total = U.word_counts(spark.createDataFrame([(html,), (None,), ("",)], "html string"))
+    found = {r["word"]: r["count"] for r in counts.collect()}
+    assert {w: n for w, n in found.items() if w not in U.NAME_WORDS} == {"één": 1, "woord": 2, "more": 1}
+    assert found["news"] == 1 and set(found) > set(U.NAME_WORDS) and total == sum(found.values())
+
+
+def test_hosts_are_split_by_all_words(spark):
+    """The lookup by substrings gives what a search with the whole vocabulary gives, rare and long words included."""
+    rng = random.Random(9)
+    vocabulary = {"".join(rng.choices("abcde", k=rng.randint(2, 9))): rng.randint(1, 50) for _ in range(300)} | {"x" * 40: 1, "é": 3, "ü" * 3: 2}
+    counts = spark.createDataFrame(list(vocabulary.items()), "word string, count long")
+    hosts = ["", "9.8", "a-b", "x" * 40 + ".x" + "abc" * 200] + [".".join("".join(rng.choices([*vocabulary, "q", "zz"], k=rng.randint(1, 4))) for _ in range(3)) + "-7" for _ in range(60)]
+    total = sum(vocabulary.values())
+    got = {r.host: r.words for r in U.host_words(spark.createDataFrame([(h,) for h in hosts], "host string"), counts, total).collect()}
+    whole = U.Segmenter({w: n for w, n in vocabulary.items() if len(w) > 1})
+    whole.unknown = U.Segmenter({}, total).unknown
+    cost = lambda ws: sum(whole.cost.get(w, whole.unknown + 2.0 * len(w)) for w in ws)
+    whole.cost = {w: -math.log(vocabulary[w] / (total + 1)) for w in whole.cost}
+    for h in hosts:
+        names = re.findall(r"[^\W\d_]+", h)
+        want = [w for name in names for w in whole.words(name)]
+        assert "".join(got.get(h, [])) == "".join(names) and abs(cost(got.get(h, [])) - cost(want)) < 1e-9
+
+
+def test_labels_are_of_the_page(spark):
+    words = "word " * 150
+    pages = {"few": "<p>few words</p>", "fine": f"<p>{words}</p>", "links": f"<p>{words}</p>" + "<a href='/x'>one two three</a>" * 20, "scripts": f"<p>{words}</p><script>{'x' * 5000}</script>", "inputs": f"<p>{words}</p>" + "<input name=a>" * 12, "empty": "", "none": None}
+    df = spark.createDataFrame(list(pages.items()), "url string, html string")
+    assert {r.url: r.u for r in df.select("url", U.unwanted(F.col("html")).alias("u")).collect()} == {"few": True, "fine": False, "links": True, "scripts": True, "inputs": True, "empty": True, "none": None}
+
+
+def test_log_odds_against_brute_force(spark, sf):
+    """Multinomial naive Bayes over tokens, add-one, on labels that the url takes no part in."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html").union(spark.createDataFrame([(-1, None, "<p>x</p>"), (-2, "http://a.b/c", None), (-3, "http://a.b/c?x", "<p>thin</p>")], "page_id long, url string, html string"))
+    model = U.learn(pages)
+    rows = U.judge(pages, model, []).collect()
+    label = {r.page_id: r.u for r in pages.select("page_id", U.unwanted(F.col("html")).alias("u")).collect()}
+    said = {r.page_id: Counter([U.bucket("h", w) for w in r.host_words.split()] + [U.bucket("p", w) for w in U.path_tokens(r.path)]) for r in rows}
+    total = [Counter(), Counter()]
+    for k, tokens in said.items():
+        if label[k] is not None:
+            total[label[k]].update(tokens)
+    used = len(set(total[0]) | set(total[1]))
+    n = [1 + sum(v is False for v in label.values()), 1 + sum(v is True for v in label.values())]
+    chance = lambda side, b: (total[side][b] + 1) / (sum(total[side].values()) + used)
+    for r in rows:
+        want = math.log(n[1] / n[0]) + sum(c * math.log(chance(1, b) / chance(0, b)) for b, c in said[r.page_id].items())
+        assert abs(r.log_odds - want) < 1e-6 and r.verdict == ("block" if r.log_odds > 0 else "allow")
+
+
+def test_many_rules_from_a_table(spark):
+    rules = [U.Rule(f"h{k}.net", f"/{k % 7}", k % 2 == 0) for k in range(2_000)] + [U.Rule("net", "/3/xyz", False), U.Rule("h3.net", "/3", False), U.Rule("h3.net", "/3", True)]
+    urls = [f"http://{'s.' * (k % 3)}h{k}.net/{k % 7}{'/xyz' if k % 5 == 0 else ''}" for k in range(60)]
+    df = spark.createDataFrame([(k, u, "<p>x</p>") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    table = spark.createDataFrame([(r.host, r.path, r.allow) for r in rules], "host string, path string, allow boolean")
+    for r in U.judge(df, U.learn(df), table).collect():
+        host, path = brute(urls[r.page_id])
+        fits = [x for x in rules if (host == x.host or host.endswith("." + x.host)) and path.startswith(x.path)]
+        best = max(fits, key=lambda x: (len(x.name), len(x.host), not x.allow))
+        assert (r.rule, r.verdict) == (best.name, "allow" if best.allow else "block")
 
 
 def test_empty(spark):
