@@ -31,8 +31,9 @@ from pyspark.sql import DataFrame
 from millrace.llm.batches import map_batches
 
 MARK = "▁"
-#: Units and neighbour pairs that a task remembers before it starts afresh.
+#: Units, characters of units, and neighbour pairs that a task remembers before it starts afresh.
 UNIT_CACHE = 900_000
+UNIT_CHARS = 16 << 20
 PAIR_CACHE = 1_000_000
 
 
@@ -54,6 +55,7 @@ class PieceCodec:
         for value, i in enumerate(byte_ids or ()):
             self.bytes_of[i] = bytes([value])
         self.cache: dict[str, bytes] = {}
+        self.held = 0
         self.codes: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
@@ -174,9 +176,12 @@ class PieceCodec:
         """(all ids as int32, where each text's ids end)."""
         cut = [self.units(t or "") for t in texts]
         new = {u for us in cut for u in us if u not in self.cache}
-        if len(self.cache) + len(new) > UNIT_CACHE:
+        more = sum(map(len, new))
+        if len(self.cache) + len(new) > UNIT_CACHE or self.held + more > UNIT_CHARS:
             self.cache.clear(), self.codes.clear()
             new = {u for us in cut for u in us}
+            self.held, more = 0, sum(map(len, new))
+        self.held += more
         self.encode_units(new)
         parts = [b"".join(map(self.cache.__getitem__, us)) for us in cut]
         return np.frombuffer(b"".join(parts), np.int32), np.cumsum([0] + [len(p) // 4 for p in parts])

@@ -9,7 +9,8 @@ at most ``SAMPLE`` documents (those of least hash of their id), and scores every
 
 A text without words gets no votes but the one on length, and the scorer's bias. Null counts
 as empty. Equal texts get equal results; with an empty table there is nothing to learn and
-the result is empty; other columns are left alone.
+the result is empty; of several rows of one id the least text is learnt from; other columns
+are left alone.
 """
 
 from __future__ import annotations
@@ -221,8 +222,9 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     counts = {r["pattern"]: r["count"] for r in voted.groupBy("pattern").count().collect()}  # at most 3 ** labellers rows
     model = estimate(counts)
     below = math.ceil((1 << 24) * min(1.0, SAMPLE / max(1, sum(counts.values()))))
-    chosen = voted.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 24)) < below)).dropDuplicates([key])
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).collect()  # about SAMPLE ids at most
-    order = sorted(((xxhash.xxh3_64_intdigest(str(r[key])), r[text] or "", r["pattern"]) for r in rows))
+    chosen = voted.where(F.col(key).isNotNull() & (F.pmod(F.xxhash64(key), F.lit(1 << 24)) < below)).select(key).distinct()
+    # about SAMPLE ids at most, and one row of each
+    rows = docs.select(key, text).join(F.broadcast(chosen), key).groupBy(key).agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("__text")).collect()
+    order = sorted((xxhash.xxh3_64_intdigest(str(r[key])), r["__text"], pattern_of(votes(r["__text"]))) for r in rows)
     scorer = fit_scorer([(t, model.posterior(p)) for _, t, p in order])
     return map_batches(docs.select(key, text), partial(_score_maker, model, scorer, key), f"`{key}` {kind}, votes string, posterior double, score double, predicted int")

@@ -1,4 +1,8 @@
+import math
+from collections import Counter
+
 import numpy as np
+import xxhash
 from helpers import no_documents, odd_documents
 
 from millrace.llm import weak_quality as Q
@@ -30,6 +34,52 @@ def test_scorer_learns():
     assert f("words in a plain row") > 0.7 > 0.3 > f("w%%rds!! b@d$$") and 0 < f(None) < 1
 
 
+def test_against_brute_force(spark, sf):
+    """Expectation-maximisation and the scorer document by document, in plain sums, without patterns or arrays."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    repeated = docs.where("doc_id = 7").selectExpr("doc_id", "concat(text, ' ') as text")
+    rows = [(r.doc_id, r.text) for r in docs.union(repeated).collect()]
+    votes, labellers = [Q.votes(t) for _, t in rows], len(Q.LABELLERS)
+    rate = [[sum(v[k] == x for v in votes) / len(votes) for x in range(3)] for k in range(labellers)]
+    scaled = lambda xs: [x / sum(xs) for x in xs]
+    chance = [[scaled([rate[k][0] * a + 0.01, rate[k][1] * b + 0.01, rate[k][2] + 0.01]) for k in range(labellers)] for a, b in ((1.6, 0.4), (0.4, 1.6))]
+    good = 0.7
+    odds_of = lambda v: math.log(good / (1 - good)) + sum(math.log(chance[1][k][x] / chance[0][k][x]) for k, x in enumerate(v))
+    sure = lambda z: 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+    for _ in range(300):
+        q = [sure(odds_of(v)) for v in votes]
+        chance = [[scaled([0.5 + sum(w for w, v in zip(weight, votes, strict=True) if v[k] == x) for x in range(3)]) for k in range(labellers)] for weight in ([1 - x for x in q], q)]
+        good = min(0.99, max(0.01, sum(q) / len(q)))
+    out = Q.quality(docs.union(repeated)).collect()
+    want = {(k, "".join("-+."[x] for x in v)): sure(odds_of(v)) for (k, _), v in zip(rows, votes, strict=True)}
+    assert len(out) == len(rows) and all(abs(want[r.doc_id, r.votes] - r.posterior) < 1e-6 for r in out)
+
+    least = {}
+    for k, t in rows:
+        least[k] = min(t, least.get(k, t))
+    weight, seen, bias = Counter(), Counter(), 0.0
+
+    def features(text):
+        words, x = text.split(), Counter()
+        for w in words:
+            x.update(Q.buckets(w))
+        x[Q.SAME] += sum(a == b for a, b in zip(words, words[1:]))  # noqa: B905
+        x[Q.AGAIN] += len(words) - len(set(words))
+        return {b: n / max(1, len(words)) for b, n in x.items()}
+
+    data = [(features(t), sure(odds_of(Q.votes(t)))) for _, t in sorted((xxhash.xxh3_64_intdigest(str(k)), t) for k, t in least.items())]
+    for _ in range(4):
+        for x, y in data:
+            step = sure(bias + sum(weight[b] * n for b, n in x.items())) - y
+            for b, n in x.items():
+                seen[b] += (step * n) ** 2
+                weight[b] -= 0.5 * step * n / math.sqrt(seen[b] + 1e-8)
+            bias -= 0.02 * step
+    scored = {(r.doc_id, r.votes, round(r.score, 4)) for r in out}
+    told = {(k, "".join("-+."[x] for x in v), round(sure(bias + sum(weight[b] * n for b, n in features(t).items())), 4)) for (k, t), v in zip(rows, votes, strict=True)}
+    assert len(scored ^ told) <= 4  # digits that round either way
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark)
     out = Q.quality(docs).collect()
