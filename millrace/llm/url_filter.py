@@ -47,6 +47,8 @@ NAME_WORDS = ("app", "best", "blog", "cdn", "club", "data", "farm", "free", "for
 #: Fixed value: the most letters of a host's label.
 LONGEST = 63
 BITS = 16
+#: A host that has more than one of so many rows is looked up by broadcast; there are fewer such hosts than this.
+HOT = 1_000
 #: An unwanted page: fewer words outside links, a greater share of words in links, a greater share of scripts, more input fields.
 FEW_WORDS, LINK_SHARE, SCRIPT_SHARE, INPUTS = 100, 0.25, 0.6, 12
 
@@ -144,7 +146,7 @@ def unwanted(html: Column) -> Column:
     n = lambda text: F.regexp_count(text, F.lit(r"\p{L}+"))
     linked = n(_visible(F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)<a\b[^>]*>(.*?)</a\s*>"), 1), " ")))
     scripts = F.length(F.array_join(F.regexp_extract_all(html, F.lit(r"(?is)(<script\b.*?</script\s*>)"), 1), ""))
-    inputs = F.regexp_count(html, F.lit(r"(?i)<(?:input|select|textarea)\b"))
+    inputs = F.regexp_count(html, F.lit(r"<(?i:input|select|textarea)\b"))
     told = n(_visible(html))
     return (told - linked < FEW_WORDS) | (linked >= LINK_SHARE * told) | (scripts >= SCRIPT_SHARE * F.length(html)) | (inputs >= INPUTS)
 
@@ -185,16 +187,25 @@ def _split(pages: DataFrame, url: str, **more: Column) -> DataFrame:
     return taken.select(*more, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
 
 
-def _with_words(split: DataFrame, counts: DataFrame, total: int) -> DataFrame:
-    """Rows with ``words``, looked up by host; a host that a third of all rows have is left to adaptive execution."""
-    found = cut(host_words(split.select("host").distinct(), counts, total))
-    return split.join(found, "host", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+def _hosts(split: DataFrame) -> DataFrame:
+    """(host, n) of distinct hosts, stored."""
+    return cut(split.groupBy("host").agg(F.count("*").alias("n")))
+
+
+def _looked_up(split: DataFrame, hosts: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows with what ``found`` has for their host; hosts with a large share of the rows are split from the shuffle."""
+    total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = hosts.where(F.col("n") * HOT > total).select("host")  # fewer than HOT rows
+    common = split.join(F.broadcast(hot.join(found, "host", "left")), "host")
+    return common.unionByName(split.join(F.broadcast(hot), "host", "left_anti").join(found, "host", "left"))
 
 
 def learn(pages: DataFrame, url: str = "url", html: str = "html") -> Model:
     counts, total = word_counts(pages, html)
-    split = _split(pages, url, unwanted=unwanted(F.col(html))).where("unwanted is not null")
-    told = _with_words(split, counts, total).select("words", "path", "unwanted")
+    # stored, as what it is read for later would else take pages apart again
+    split = cut(_split(pages.where(F.col(html).isNotNull()), url, unwanted=unwanted(F.col(html))))
+    hosts = _hosts(split)
+    told = _looked_up(split, hosts, cut(host_words(hosts, counts, total))).select(F.coalesce("words", F.array().cast("array<string>")).alias("words"), "path", "unwanted")
     sums = map_batches(told, _count_maker, "bucket int, unwanted long, wanted long").groupBy("bucket").agg(F.sum("unwanted").alias("unwanted"), F.sum("wanted").alias("wanted")).collect()  # at most 2 ** BITS + 1 rows
     seen = np.zeros((2, 1 << BITS))
     urls = np.ones(2)
@@ -233,8 +244,10 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, model: Model, rules: DataFrame | list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
     """Rows (key, host, path, rule, verdict, log_odds, host_words); ``rules`` as a list or as a table (host, path, allow)."""
     rules = rule_table(pages.sparkSession, rules) if isinstance(rules, list) else rules
-    split = _split(pages, url, __key=F.col(key))
-    ruled = _with_words(split, model.counts, model.total).join(host_rules(split.select("host").distinct(), rules), "host", "left")
+    split = cut(_split(pages, url, __key=F.col(key)))
+    hosts = _hosts(split)
+    found = cut(host_words(hosts, model.counts, model.total).join(host_rules(hosts, rules), "host", "full"))
+    ruled = _looked_up(split, hosts, found).withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
     best = F.array_max(F.filter("rules", lambda r: F.col("path").startswith(r["path"])))
     told = ruled.select("__key", "host", "path", best.alias("best"), "words").select("__key", "host", "path", F.col("best.name").alias("rule"), F.col("best.block").alias("block"), "words")
     kind = dict(pages.dtypes)[key]
