@@ -118,9 +118,8 @@ def layouts(mappings: tuple[Mapping, ...] = MAPPINGS) -> dict[str, str]:
     return out
 
 
-def field_paths(record: Column) -> Column:
-    """The distinct nested field paths of a JSON object, sorted, such as ``a``, ``a[].b``. Null if it isn't one."""
-    schema = F.schema_of_variant(F.try_parse_json(record))
+def field_paths(schema: Column) -> Column:
+    """The distinct nested field paths of a JSON object's schema, sorted, such as ``a``, ``a[].b``. Null if it isn't an object's."""
     tokens = F.regexp_extract_all(schema, F.lit(r"((?:`(?:[^`]|``)*`|[^\s<>,:`]+)(?=: )|OBJECT<|ARRAY<|>)"), 1)
     texts = lambda: F.array().cast("array<string>")
     nothing = F.struct(texts().alias("out"), texts().alias("open"), F.lit("").alias("at"))
@@ -144,7 +143,7 @@ def _print(paths: Column) -> Column:
 
 def fingerprint(record: Column) -> Column:
     """16 hex digits for the record's nested field paths; null if the record isn't a JSON object."""
-    return _print(field_paths(record))
+    return _print(field_paths(F.schema_of_variant(F.try_parse_json(record))))
 
 
 def _said(value: Column) -> Column:
@@ -173,6 +172,11 @@ def _turns(m: Mapping, v: Column) -> Column:
     return F.when(good, F.concat(rows, said))
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column that is computed once, however often it is used: a projection would be merged into its users."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def canonical_turns(records: DataFrame, record: str, key: str | None = None, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Rows (conv_id string, place, role, text, layout, fingerprint, unmapped, record) of all records.
 
@@ -183,13 +187,15 @@ def canonical_turns(records: DataFrame, record: str, key: str | None = None, map
     names = F.create_map(*(F.lit(x) for pair in layouts(mappings).items() for x in pair))
     marks, single = F.array(*map(F.lit, marks_of(mappings))), [m.name for m in mappings if m.place] or [""]
     taken = records.select((F.col(key).cast("string") if key else F.lit(None).cast("string")).alias("__key"), F.col(record).alias("record"))
-    seen = taken.withColumn("__paths", field_paths(F.col("record")))
-    known = seen.withColumns({"fingerprint": _print(F.col("__paths")), "layout": F.try_element_at(names, _print(F.array_sort(F.array_intersect("__paths", marks))))})
+    seen = _once(taken, "__value", F.try_parse_json("record"))
+    seen = _once(seen, "__schema", F.schema_of_variant("__value"))
+    seen = _once(seen, "__paths", field_paths(F.col("__schema")))
+    known = _once(seen, "layout", F.try_element_at(names, _print(F.array_sort(F.array_intersect("__paths", marks)))))
     turns, unmapped = F.lit(None), F.col("__paths")
     for m in mappings:
-        turns = F.when(F.col("layout") == m.name, _turns(m, F.try_parse_json("record"))).otherwise(turns)
+        turns = F.when(F.col("layout") == m.name, _turns(m, F.col("__value"))).otherwise(turns)
         unmapped = F.when(F.col("layout") == m.name, F.array_except("__paths", F.array(*map(F.lit, sorted(m.paths()))))).otherwise(unmapped)
-    found = known.withColumns({"__turns": turns, "unmapped": unmapped}).withColumn("layout", F.when(F.col("__turns").isNotNull(), F.col("layout")))
+    found = _once(known, "__turns", turns).withColumns({"fingerprint": _print(F.col("__paths")), "unmapped": unmapped}).withColumn("layout", F.when(F.col("__turns").isNotNull(), F.col("layout")))
     # an empty list of turns is a known layout that has nothing to say
     turn = found.where("__turns is null or size(__turns) > 0").select("__key", "layout", "fingerprint", "unmapped", "record", F.explode_outer("__turns").alias("t"))
     role = F.coalesce(F.col("t.role"), F.lit(""))
