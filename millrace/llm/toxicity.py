@@ -41,11 +41,13 @@ from pyspark.sql import functions as F
 from millrace.llm.batches import map_batches
 
 TOXIC_DOCS, ORDINARY_DOCS = 1_500, 3_000
-ORDINARY_BYTES, TOXIC_BYTES = 131_072, 2_048
+ORDINARY_BYTES, TOXIC_BYTES = 98_304, 2_048
 #: Most bytes of windows that the library's trainer sees, spread evenly over the sample's.
-TRAINED_BYTES = 8 << 20
+TRAINED_BYTES = 4 << 20
 WINDOW = 40
 LEVEL = 13
+#: Windows whose gain a task remembers before it starts afresh.
+WINDOW_CACHE = 200_000
 #: N-grams of words between blanks: sizes, least windows, least likelihood ratio, least times as frequent in toxic windows.
 GRAMS, LEAST, EVIDENCE, TIMES = (4, 5, 6), 3, 30, 6
 #: Of this many documents of the sample one calibrates and the others train.
@@ -76,30 +78,46 @@ def windows(ws: list[bytes], size: int = WINDOW) -> list[bytes]:
 
 
 class _Grams(dict):
-    """word -> the n-grams of the word between blanks."""
+    """word -> the numbers of its distinct n-grams, of those between blanks; one number for each n-gram, the same for all words.
 
-    def __missing__(self, word: bytes) -> frozenset[str]:
-        whole = f" {word.decode()} "
-        self[word] = value = frozenset(whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1))
+    With ``only`` it is the n-grams among these alone, so that words without any take next to no memory.
+    """
+
+    def __init__(self, numbers: dict[str, int], only: frozenset[int] | None = None):
+        self.numbers, self.only = numbers, only
+
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        whole, numbers = f" {word.decode()} ", self.numbers
+        found = {whole[i : i + n] for n in GRAMS for i in range(len(whole) - n + 1)}
+        if self.only is None:
+            value = tuple(numbers.setdefault(g, len(numbers)) for g in found)
+        else:
+            value = tuple(k for k in map(numbers.get, found) if k in self.only)
+        self[word] = value
         return value
 
 
-def telling_grams(toxic: list[bytes], ordinary: list[bytes], grams: _Grams) -> set[str]:
-    """N-grams that toxic windows hold far more often than ordinary ones, by the likelihood ratio of the two frequencies."""
+def telling_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """The words of toxic windows, repeats included, that hold a telling n-gram, in blanks.
+
+    An n-gram is telling if toxic windows hold it far more often than ordinary ones, by the
+    likelihood ratio of the two frequencies.
+    """
     share = (len(toxic) + 1) / (len(toxic) + len(ordinary) + 2)
-    seen, usual = Counter(), Counter()
+    seen, usual, numbers = Counter(), Counter(), {}
+    grams = _Grams(numbers)
     for window in toxic:
-        seen.update(set().union(*(grams[w] for w in window.split())))
-    likely = {g for g, n in seen.items() if n >= LEAST}
+        seen.update({g for w in window.split() for g in grams[w]})
+    grams = _Grams(numbers, frozenset(g for g, n in seen.items() if n >= LEAST))
     for window in ordinary:
-        usual.update(likely.intersection(set().union(*(grams[w] for w in window.split()))))
+        usual.update({g for w in window.split() for g in grams[w]})
     good = set()
-    for g in likely:
+    for g in grams.only:
         a, b = seen[g], usual[g]
         ratio = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0))
         if ratio >= EVIDENCE and a * (1 - share) >= TIMES * b * share:
             good.add(g)
-    return good
+    return [b" " + w + b" " for window in toxic for w in window.split() if not good.isdisjoint(grams[w])]
 
 
 def _trained(size: int, samples: list[bytes], k: int, d: int = 8) -> bytes:
@@ -111,6 +129,21 @@ def _trained(size: int, samples: list[bytes], k: int, d: int = 8) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
+class _Gains(dict):
+    """window -> the difference of its two compressed lengths."""
+
+    def __init__(self, plain: Callable[[bytes], bytes], both: Callable[[bytes], bytes]):
+        self.plain, self.both = plain, both
+
+    def __missing__(self, window: bytes) -> int:
+        gain = len(self.plain(window)) - len(self.both(window))
+        if len(window) < 4 * WINDOW:
+            if len(self) >= WINDOW_CACHE:
+                self.clear()
+            self[window] = gain
+        return gain
+
+
 @dataclass(frozen=True)
 class Dictionaries:
     ordinary: bytes
@@ -125,15 +158,14 @@ class Dictionaries:
             made.precompute_compress(compression_params=rule)
             return zstandard.ZstdCompressor(dict_data=made, compression_params=rule).compress
 
-        plain, both = compressor(self.ordinary), compressor(self.toxic + self.ordinary)
-        return lambda ws: np.array([len(plain(w)) - len(both(w)) for w in ws], np.float64)
+        known = _Gains(compressor(self.ordinary), compressor(self.toxic + self.ordinary))
+        return lambda ws: np.array([known[w] for w in ws], np.float64)
 
 
 def train(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Dictionaries:
     distinct = lambda side: sorted({w for ws in side for w in windows(ws)})
-    odd, usual, grams = distinct(toxic), distinct(ordinary), _Grams()
-    good = telling_grams(odd, usual, grams)
-    telling = [b" " + w + b" " for window in odd for w in window.split() if not good.isdisjoint(grams[w])]
+    odd, usual = distinct(toxic), distinct(ordinary)
+    telling = telling_words(odd, usual)
     groups = [b"".join(usual[k : k + 10]) for k in range(0, len(usual), 10)]
     groups = groups[:: -(-sum(map(len, groups)) // TRAINED_BYTES) or 1]
     return Dictionaries(_trained(ORDINARY_BYTES, groups, 64), _trained(TOXIC_BYTES, telling, 24))
