@@ -9,22 +9,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.bind import let
-from millrace.plans.values import OTHER_LOCATIONS, REGION_ALIASES, REGION_KEYWORDS
+from millrace.plans.values import KEYWORD_VARIANTS, NEGATED, OTHER_LOCATIONS, PARTICIPANT_ORIGINS, PARTICIPANTS, REGION_ALIASES, REGION_KEYWORDS, WHOLE_KEYWORDS
 
-#: Words that say a text tells of a project at a place.
-PROJECT = r"(^|[^\p{L}\p{N}_])(projects?|plants?|facilit\p{L}*|capacity|build\p{L}*|construct\p{L}*|farms?|flood\p{L}*|drought|renewable|solar)($|[^\p{L}\p{N}_])"
+# Fixed value: words that say a text tells of a project at a place.
+PROJECT = r"(?iU)\b(?:projects?|plants?|facilit\w*|capacity|build\w*|construct\w*|manufactur\w*|farms?|flood\w*|drought|renewable|solar|water infrastructure)\b"
+_END = r"(?![\p{L}\p{N}_])"
 
 
-def without_negations(text: Column, words: list[str]) -> Column:
-    """``not about water`` and the like say nothing about water."""
-    return F.regexp_replace(text, rf"(^|[^\p{{L}}])(?:not|without)(?: about)? (?:{'|'.join(map(re.escape, words))})($|[^\p{{L}}])", " ")
+def without_negations(text: Column, words: tuple[str, ...] = NEGATED) -> Column:
+    """``not about water`` and the like say nothing about water; ``not only water`` and ``not enough water`` do."""
+    return F.regexp_replace(text, rf"(?iU)\b(?:not|neither|nor)\s+(?:about\s+)?(?:{'|'.join(map(re.escape, words))})\b", "")
 
 
-def keyword_matches(text: Column, tokens: Column, keyword: str, whole: tuple[str, ...] = ()) -> Column:
-    """Of several words: anywhere in the text. Of one: a token, or the start of one from five letters on, but for ``whole``."""
+def contains_phrase(text: Column, phrases: tuple[str, ...]) -> Column:
+    """Whether a lower-case text holds any of the phrases, not within a longer word."""
+    names = "|".join(re.escape(p.strip()) for p in phrases)
+    return text.rlike(rf"(?<![\p{{L}}\p{{N}}_])(?:{names}){_END}") if phrases else F.lit(False)
+
+
+def without_participants(text: Column) -> Column:
+    """A text without the nationality of those who take part, which doesn't tell where something is."""
+    who = "|".join(PARTICIPANTS)
+    return F.regexp_replace(text, rf"(?iU)\b(?:{'|'.join(PARTICIPANT_ORIGINS)})(?:['’]s\s+|[- ]based\s+(?=(?:{who})\b)|\s+(?=(?:{who})\b))", "")
+
+
+def keyword_matches(text: Column, tokens: Column, keyword: str, whole: tuple[str, ...] = WHOLE_KEYWORDS) -> Column:
+    """Of several words: anywhere in the text. Of one: a token, or the start of one from five letters on, but for ``whole``. Stated variants match as phrases."""
+    variants = KEYWORD_VARIANTS.get(keyword)
+    other = contains_phrase(text, variants) if variants else F.lit(False)
     if " " in keyword or "-" in keyword:
-        return text.contains(keyword)
-    exact = F.array_contains(tokens, keyword)
+        return other | text.contains(keyword)
+    exact = other | F.array_contains(tokens, keyword)
     return exact if len(keyword) < 5 or keyword in whole else exact | F.exists(tokens, lambda t: t.startswith(keyword))
 
 
@@ -32,7 +47,7 @@ def ascii_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"([a-z0-9]+)"), 1)
 
 
-def matched_topics(text: Column, topics: dict[str, tuple[str, ...]], whole: tuple[str, ...] = ()) -> Column:
+def matched_topics(text: Column, topics: dict[str, tuple[str, ...]], whole: tuple[str, ...] = WHOLE_KEYWORDS) -> Column:
     """The topics, in their order, of which any keyword matches the lower-case text."""
     tokens = ascii_tokens(text)
     hit = lambda words: F.expr("false") if not words else reduce(lambda a, b: a | b, [keyword_matches(text, tokens, w, whole) for w in words])
@@ -75,40 +90,62 @@ def mention_counts(text: Column, places: dict[str, tuple[str, ...]] | None = Non
 
 
 def reported_location(text: Column) -> Column:
-    """struct<place, basis>: named after in/within/across in a project's text, the only one, or the commonest."""
+    """struct<place, basis> of one text, participants' origins aside.
+
+    In a project's text the one place named after in, within or across; else the only place named; else one that the text
+    begins with, unless it goes on to list others; else the place named most often, if one is.
+    """
     places = REGION_KEYWORDS | OTHER_LOCATIONS
     alias = F.create_map(*(F.lit(x) for p, names in places.items() for n in names for x in (n, p)))
     names = _pattern(tuple(n for group in places.values() for n in group))
-    explicit = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(rf"(?:^|[^\p{{L}}])(?:in|within|across) (?:the )?({names})(?:$|[^\p{{L}}\p{{N}}_])"), 1), lambda n: F.try_element_at(alias, n)))
-    told = lambda place, basis: F.struct(place.alias("place"), F.lit(basis).alias("basis"))
+    told = lambda place, basis: F.struct(place.alias("place"), (F.lit(basis) if isinstance(basis, str) else basis).alias("basis"))
     nothing = F.lit(None).cast("string")
 
-    def decide(counts: Column) -> Column:
+    def decide(said: Column) -> Column:
+        lower, counts = said["t"], said["c"]
+        explicit = F.regexp_extract_all(lower, F.lit(rf"(?U)\b(?:in|within|across)\s+(?:the\s+)?({names}){_END}"), 1)
+        project = lower.rlike(PROJECT)
+        first = F.try_element_at(alias, F.regexp_extract(lower, rf"^\s*(?>({names}){_END})(?!\s*(?:and\b|or\b|[&,/]))", 1))
         most = F.array_max(F.transform(counts, lambda c: c["v"]))
         leaders = F.filter(counts, lambda c: c["v"] == most)
-        named = F.when(F.lower(text).rlike(PROJECT), explicit)
-        return let(named, lambda at: (
-            F.when(F.size(at) == 1, told(F.try_element_at(at, F.lit(1)), "explicit project/event location"))
-            .when(F.size(counts) == 1, told(F.try_element_at(counts, F.lit(1))["k"], "title geography"))
-            .when(F.size(leaders) == 1, told(F.try_element_at(leaders, F.lit(1))["k"], "dominant article geography"))
+        sites = F.when(project, F.array_distinct(F.transform(explicit, lambda n: F.try_element_at(alias, n))))
+        return let(F.struct(sites.alias("s"), first.alias("f"), leaders.alias("l")), lambda x: (
+            F.when(F.size(x["s"]) == 1, told(F.try_element_at(x["s"], F.lit(1)), "explicit project/event location"))
+            .when(F.size(counts) == 1, told(F.try_element_at(counts, F.lit(1))["k"], F.when(project, "project/event subject").otherwise("title geography")))
+            .when(x["f"].isNotNull(), told(x["f"], "project/event subject"))
+            .when(F.size(x["l"]) == 1, told(F.try_element_at(x["l"], F.lit(1))["k"], "dominant article geography"))
             .otherwise(told(nothing, "ambiguous regional geography"))
         ))
 
-    return let(let(mentions(text, places), _counted), lambda counts: F.when(F.coalesce(F.size(counts), F.lit(0)) <= 0, told(nothing, "")).otherwise(decide(counts)))
+    bare = F.lower(without_participants(text))
+    named = let(bare, lambda t: F.struct(t.alias("t"), let(mentions(t, places), _counted).alias("c")))
+    return let(named, lambda said: F.when(F.coalesce(F.size(said["c"]), F.lit(0)) <= 0, told(nothing, "")).otherwise(decide(said)))
 
 
-def assigned_region(title: Column, snippet: Column, source_regions: Column, discovered: Column) -> Column:
-    """struct<region, basis>: by title, else by snippet, else by the source; found stories never by the source."""
+def article_location(title: Column, snippet: Column) -> Column:
+    """struct<place, basis> by the title, else by the snippet."""
+    return let(F.struct(reported_location(title).alias("t"), reported_location(snippet).alias("s")), lambda x: (
+        F.when(x["t"]["place"].isNotNull() | x["s"]["place"].isNull(), F.struct(x["t"]["place"].alias("place"), F.coalesce(F.nullif(x["t"]["basis"], F.lit("")), x["s"]["basis"], F.lit("")).alias("basis")))
+        .otherwise(F.struct(x["s"]["place"].alias("place"), F.concat(F.lit("description: "), x["s"]["basis"]).alias("basis")))
+    ))
 
-    def decide(found: Column) -> Column:
-        by_title, by_snippet = found["t"], found["s"]
-        place = F.coalesce(by_title["place"], by_snippet["place"])
-        basis = F.when(by_title["place"].isNotNull(), by_title["basis"]).when(by_snippet["place"].isNotNull(), F.concat(F.lit("description: "), by_snippet["basis"]))
-        region = F.when(place.isin(*REGION_KEYWORDS), place).when(place.isNotNull(), "Global")
-        ambiguous = by_title["basis"].startswith("ambiguous")
-        return F.struct(
-            F.coalesce(region, F.when(~ambiguous & ~discovered, primary_region(source_regions))).alias("region"),
-            F.coalesce(basis, F.when(ambiguous, by_title["basis"]).when(~discovered, F.lit("source region")).otherwise("")).alias("basis"),
+
+def assigned_region(title: Column, snippet: Column, source_regions: Column, discovered: Column, foreign_local: Column | None = None, systemic: Column | None = None) -> Column:
+    """struct<region, basis>: blocked if foreign-local, Global if systemic, else by title, by snippet, and by the source; found stories never by the source."""
+    blocked, wide = (F.coalesce(c, F.lit(False)) if c is not None else F.lit(False) for c in (foreign_local, systemic))
+    nothing = F.lit(None).cast("string")
+    told = lambda region, basis: F.struct(region.alias("region"), basis.alias("basis"))
+
+    def decide(x: Column) -> Column:
+        place, basis, own = x["place"], x["basis"], primary_region(source_regions)
+        return (
+            F.when(blocked, told(nothing, F.lit("explicit foreign-local geography; publisher fallback blocked")))
+            .when(wide & ~basis.contains("project/event"), told(F.lit("Global"), F.lit("explicit systemic or cross-border mission scope")))
+            .when(place.isin(*REGION_KEYWORDS), told(place, F.concat(basis, F.lit(": "), place)))
+            .when(place.isNotNull(), told(F.lit("Global"), F.concat(basis, F.lit(": "), place, F.lit("; other MENA coverage routed to Global"))))
+            .when(basis != "", told(nothing, basis))
+            .when(discovered, told(nothing, F.lit("no article geography; discovery query is not geographic evidence")))
+            .otherwise(told(own, F.when(own.isNotNull(), "source-region fallback").otherwise("no exact regional evidence")))
         )
 
-    return let(F.struct(reported_location(title).alias("t"), reported_location(snippet).alias("s")), decide)
+    return let(article_location(title, snippet), decide)

@@ -10,17 +10,19 @@ win in a region are passed on, with counts of the rest.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import text
+from millrace.operators.gates import first_reason
 from millrace.operators.ranking import final_order
+from millrace.plans.lineage import cut
 
 
 def capacity(rows: DataFrame, region: str, targets: DataFrame, limit: int) -> DataFrame:
@@ -121,7 +123,7 @@ def select_tier(rows: list[dict], counts: dict[tuple[str, str], int], targets: d
 
 def two_tiers(rows: list[dict], counts: dict[str, dict[tuple[str, str], int]], targets: dict[str, int], existing: State, limit: int, cap: int) -> list[dict]:
     """Strict rows first; spare room goes to fallback rows under the same caps."""
-    room = min(limit, max(0, sum(targets.values()) - sum(existing.regions.values())))
+    room = min(limit, max(0, sum(targets.values()) - sum(n for r, n in existing.regions.items() if r in targets)))
     out = select_tier([r for r in rows if r["tier"] == "strict"], counts.get("strict", {}), targets, existing, room, cap)
     if len(out) < room:
         out += select_tier([r for r in rows if r["tier"] == "fallback"], counts.get("fallback", {}), targets, existing, room - len(out), cap)
@@ -178,8 +180,83 @@ def select_final(candidates: DataFrame, targets: dict[str, int], limit: int, cap
     short = shortlist(candidates.select(*FIELDS), cap, limit)
     kinds = dict(candidates.dtypes)
     schema = f"pick int, key {kinds['key']}, tier string, region string, publisher {kinds['publisher']}, score double, phase string"
-    # at most 2 tiers x regions x (limit + cap) publishers x cap rows
-    return short.coalesce(1).mapInPandas(partial(_machine, targets=targets, limit=limit, cap=cap, week=week), schema)
+    # at most 2 tiers x regions x (limit + cap) publishers x cap rows; an exchange of their own keeps what comes before parallel
+    return short.repartition(1).mapInPandas(partial(_machine, targets=targets, limit=limit, cap=cap, week=week), schema)
+
+
+def _titles_known(title: Column, titles: list[str], threshold: float) -> Column:
+    """Whether a title tells an event of ``titles``; those are few, what one week has."""
+    have = F.array(*(text.title_tokens(F.lit(t)) for t in sorted(set(titles))))
+    own = text.title_tokens(title)
+    return F.exists(have, lambda t: F.coalesce(text.jaccard(own, t) >= threshold, F.lit(False)))
+
+
+def constraint_reasons(rows: DataFrame, week: State, cap: int, threshold: float = 0.72, protected: DataFrame | None = None) -> DataFrame:
+    """Rows with ``reason``: the first of existing URL, existing event, same event (of keys in ``protected``) and publisher weekly cap."""
+    full = [p for p, n in week.publishers.items() if n >= cap]
+    checks: list[tuple[Column, str]] = []
+    if "required" in rows.columns:
+        checks.append(((F.col("tier") == "strict") & (F.col("relevance") < F.greatest(F.lit(4), F.col("required"))), "relevance below required threshold"))
+    if week.urls:
+        checks.append((F.col("url").isin(*week.urls), "existing URL"))
+    if week.titles:
+        checks.append((_titles_known(F.col("title"), week.titles, threshold), "existing event"))
+    if protected is not None:
+        rows = rows.join(protected.select("key", F.lit(True).alias("__protected")).distinct(), "key", "left")
+        checks.append((F.col("__protected"), "same event"))
+    if full:
+        checks.append((F.col("publisher").isin(*full), "publisher weekly cap"))
+    return rows.withColumn("reason", first_reason(checks)).drop("__protected")
+
+
+Dedupe = Callable[[DataFrame], DataFrame]
+Protect = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def select_week(pool: DataFrame, targets: dict[str, int], limit: int, cap: int, week: State | None = None, dedupe: Dedupe | None = None, protect: Protect | None = None, threshold: float = 0.72, fallback: bool = True) -> DataFrame:
+    """Every row of a tier with ``pick`` and ``phase`` if it wins, else with the ``reason`` why it doesn't.
+
+    Strict rows are decided whole, coverage and overflow, before fallback rows, which then fill
+    what room there is under what the week and the strict winners have. Within a tier rows that
+    break a constraint go first, then ``dedupe`` gives (key, kept) of the others, one of each
+    event, and the rest is picked from. ``protect`` gives the keys of rows that tell the event
+    of a winner of the tier before. Fallback rows have neither if strict ones fill the run.
+    Winners, at most ``limit``, are the only rows that the driver sees.
+    """
+    state, out = (week or State()).copy(), []
+    room = min(limit, max(0, sum(targets.values()) - sum(n for r, n in state.regions.items() if r in targets)))
+    kinds = dict(pool.dtypes)
+    won_schema = f"pick int, key {kinds['key']}, tier string, region string, publisher {kinds['publisher']}, score double, phase string, url string"
+    winners: list[dict] = []
+    for tier in ("strict", "fallback"):
+        rows = pool.where(F.col("tier") == tier)
+        if tier == "fallback" and (not fallback or len(winners) >= room):
+            out.append(rows.select("key", "tier", "region", "publisher", "score", F.lit(None).cast("string").alias("reason")))
+            continue
+        guarded = protect(rows, pool.sparkSession.createDataFrame(winners, won_schema)) if protect is not None and winners else None
+        checked = cut(constraint_reasons(rows, state, cap, threshold, guarded))
+        open_ = checked.where("reason is null")
+        kept = cut(dedupe(open_).select("key", "kept")) if dedupe is not None else open_.select("key", F.lit(True).alias("kept"))
+        pool_ = open_.join(kept.where("kept").select("key"), "key")
+        start = State(state.regions, state.publishers)
+        found = [r.asDict() for r in select_final(pool_, targets, room - len(winners), cap, start).orderBy("pick").collect()] if room > len(winners) else []
+        urls = {r["key"]: r["url"] for r in pool_.where(F.col("key").isin([w["key"] for w in found])).select("key", "url").collect()} if found else {}
+        for w in found:
+            winners.append(w | {"pick": len(winners) + 1, "url": urls[w["key"]]})
+            state.regions[w["region"]] += 1
+            state.publishers[w["publisher"]] += 1
+            state.urls.add(urls[w["key"]])
+        full = [p for p, n in state.publishers.items() if n >= cap]
+        late = first_reason([
+            (F.col("reason").isNotNull(), F.col("reason")),
+            (F.col("kept").isNull() | ~F.col("kept"), "same event"),
+            (F.col("key").isin([w["key"] for w in found]), F.lit(None).cast("string")),
+            *([(F.col("publisher").isin(*full), "publisher weekly cap")] if full else []),
+            (F.lit(True), "run capacity" if len(winners) >= room else "regional coverage complete"),
+        ])
+        out.append(checked.join(kept, "key", "left").select("key", "tier", "region", "publisher", "score", late.alias("reason")))
+    picks = pool.sparkSession.createDataFrame(winners, won_schema).select("key", "pick", "phase")  # at most ``limit`` rows
+    return out[0].unionByName(out[1]).join(F.broadcast(picks), "key", "left").select("pick", "key", "tier", "region", "publisher", "score", "phase", "reason")
 
 
 def allocate(rows: list[dict], missing: dict[str, int], budget: int, publishers: Counter | None = None, backfill: bool = False) -> list[dict]:

@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one of our own only where the session names none."""
+    """The cluster's checkpoint folder; one of this machine only for a session in one process that names none. Raises on a cluster that names none."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-"))
     return context.getCheckpointDir()
 
 

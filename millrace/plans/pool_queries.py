@@ -67,6 +67,55 @@ def flagship_weekly_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.select_final(candidates(spark, sf_dir), TARGETS, 12, 2)
 
 
+#: A later run of a week: one row of three regions is there, a target region has no rows, strict rows are few, one row of a publisher wins.
+LATER_TARGETS = TARGETS | {"ARCTIC": 2}
+LATER_SQL = f"""
+    with recursive {CANDIDATES_SQL}, pool as (
+        select *, row_number() over (order by {_FINAL}) as rank, case when relevance >= 4 and significance >= 4 and quality >= 9 then 'strict' when relevance = 3 and significance >= 3 then 'fallback' end as place_
+        from scored
+    ), tiered as (select * exclude (tier, place_), place_ as tier from pool where place_ is not null), week as (
+        select * from (select *, row_number() over (partition by region order by rank) as n from tiered where region in ('AFRICA', 'ASIA', 'EUROPE')) where n = 1
+    ), open as (
+        select * from tiered where url not in (select url from week) and publisher not in (select publisher from week)
+    ), targets(region, target, place) as (values {", ".join(f"('{r}', {n}, {k})" for k, (r, n) in enumerate(LATER_TARGETS.items()))}), picks as (
+        select 0 as pick, []::struct(key bigint, region varchar, publisher bigint)[] as won, null::bigint as key, null::varchar as tier, null::varchar as region, null::bigint as publisher, null::double as score, null::varchar as phase
+        union all
+        select picks.pick + 1, list_append(picks.won, {{'key': best.key, 'region': best.region, 'publisher': best.publisher}}), best.key, best.tier, best.region, best.publisher, best.score, case when best.missing > 0 then 'coverage' else 'overflow' end
+        from picks, lateral (
+            select * from (
+                select c.*, t.place, count(*) over (partition by c.tier, c.region) as n,
+                       coalesce(t.target, 0) - (select count(*) from week w where w.region = c.region) - len(list_filter(picks.won, lambda w: w.region = c.region)) as missing
+                from open c left join targets t on c.region = t.region
+                where len(list_filter(picks.won, lambda w: w.publisher = c.publisher)) < 1
+            ) order by tier = 'fallback', missing <= 0, case when missing > 0 then n::double / missing end, case when missing > 0 then place end, rank limit 1
+        ) best where picks.pick < 11
+    ), done as (select * from picks where pick > 0), strict_won as (select publisher from done where tier = 'strict'), told as (
+        select d.pick::int as pick, t.key, t.tier, t.region, t.publisher, t.score, d.phase, case
+            when d.pick is not null then null when t.url in (select url from week) then 'existing URL' when t.publisher in (select publisher from week) then 'publisher weekly cap'
+            when t.publisher in (select publisher from strict_won) or (t.tier = 'fallback' and t.publisher in (select publisher from done)) then 'publisher weekly cap'
+            when (select count(*) from done where tier = 'strict' or t.tier = 'fallback') >= 11 then 'run capacity' else 'regional coverage complete' end as reason
+        from tiered t left join done d on t.key = d.key
+    )"""
+
+
+def later_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    strict, fallback = (F.col("relevance") >= 4) & (F.col("significance") >= 4) & (F.col("quality") >= 9), (F.col("relevance") == 3) & (F.col("significance") >= 3)
+    pool = candidates(spark, sf_dir).withColumn("tier", F.when(strict, "strict").when(fallback, "fallback")).where("tier is not null")
+    rows = ranking.top_k(pool.where(F.col("region").isin("AFRICA", "ASIA", "EUROPE")), ["region"], ranking.final_order(), 1).withColumn("title", F.lit(""))
+    return selection.select_week(pool, LATER_TARGETS, 14, 1, selection.week_state(rows))
+
+
+@query("later_weekly_selection", LATER_SQL + " select pick, key, tier, region, publisher, score, phase from told where pick is not null")
+def later_weekly_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners of a later run: under what the week has, by coverage and overflow, of strict rows and then of fallback ones."""
+    return later_run(spark, sf_dir).where("pick is not null").drop("reason")
+
+
+@query("selection_reasons", LATER_SQL + " select tier, region, coalesce(reason, 'selected') as reason, count(*) as n from told group by 1, 2, 3")
+def selection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return later_run(spark, sf_dir).groupBy("tier", "region", F.coalesce("reason", F.lit("selected")).alias("reason")).agg(F.count("*").alias("n"))
+
+
 @query("seen_antijoin", "select e.event_id from events e where e.user_id not in (select user_id from events where event_type = 'error' and ts < timestamp '2024-01-02')")
 def seen_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts")

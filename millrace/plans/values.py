@@ -38,10 +38,73 @@ SUCCESS_OUTCOMES = ("Success", "Unchanged", "Empty")
 FAILURE_OUTCOMES = ("Parse Error", "HTTP Error")
 # Unit words and their short forms.
 UNITS = {
-    "percent": "%", "percentage": "%", "megawatt": "mw", "megawatts": "mw", "kilowatt": "kw", "kilowatts": "kw", "gigawatt": "gw", "gigawatts": "gw",
-    "terawatt": "tw", "terawatts": "tw", "kilometer": "km", "kilometers": "km", "kilometre": "km", "kilometres": "km", "years": "year",
-    "months": "month", "days": "day", "tons": "ton", "tonnes": "tonne",
+    "percentage": "%", "percent": "%", "megawatt": "mw", "megawatts": "mw", "kilowatt": "kw", "kilowatts": "kw", "gigawatt": "gw", "gigawatts": "gw",
+    "terawatt": "tw", "terawatts": "tw", "megawatt-hour": "mwh", "megawatt-hours": "mwh", "kilowatt-hour": "kwh", "kilowatt-hours": "kwh",
+    "gigawatt-hour": "gwh", "gigawatt-hours": "gwh", "terawatt-hour": "twh", "terawatt-hours": "twh", "cubic meter": "m3", "cubic meters": "m3",
+    "cubic metre": "m3", "cubic metres": "m3", "kilometer": "km", "kilometers": "km", "kilometre": "km", "kilometres": "km", "year": "year", "years": "year",
+    "month": "month", "months": "month", "day": "day", "days": "day", "ton": "ton", "tons": "ton", "tonne": "tonne", "tonnes": "tonne",
 }
+# Whose nationality names a participant of an event, not its place, and what the participants are.
+PARTICIPANT_ORIGINS = ("saudi", "uae", "emirati", "egyptian", "iraqi", "qatari", "bahraini", "kuwaiti", "omani")
+PARTICIPANTS = ("company", "firm", "developer", "contractor", "utility")
+# Places of interest, and places outside it.
+INTEREST_PLACES = (
+    "mena", "middle east", "gulf", "gcc", "uae", "united arab emirates", "dubai", "abu dhabi", "ksa", "saudi", "saudi arabia", "riyadh", "jeddah", "neom", "egypt", "egyptian", "cairo", "suez", "bahrain",
+    "bahraini", "kuwait", "oman", "qatar", *(name for names in OTHER_LOCATIONS.values() for name in names),
+)
+OUTSIDE_PLACES = (
+    "istanbul", "turkey", "turkish", "paris", "france", "berlin", "germany", "sydney", "boston", "mumbai", "alaska", "america", "american", "australia", "beijing", "britain", "canada", "central asia", "chennai",
+    "china", "chinese", "cote d'ivoire", "delhi", "england", "europe", "european", "florida", "india", "indian", "indonesia", "ireland", "japan", "latin america", "melbourne", "mexico", "modi", "nepal", "pakistan",
+    "thailand", "tribal", "trump", "uk ", "u.s.", "us epa", "usa", "united states", "venezuela", "washington",
+)
+# Other forms of a keyword, keywords that only match whole, and what is negated by a not, neither or nor before it.
+KEYWORD_VARIANTS = {
+    "grid": ("grids",), "crop": ("crops",), "farm": ("farms",), "battery": ("batteries",), "water utility": ("water utilities",), "food system": ("food systems",), "fertilizer": ("fertiliser", "fertilisers"),
+    "energy efficiency": ("energy efficiencies",), "policy": ("policies",),
+}
+WHOLE_KEYWORDS = ("water", "carbon")
+NEGATED = ("water", "energy", "carbon", "solar", "wind", "food security")
+# The topics of a run, the words that stand for each directly, and those that do so only in context.
+TOPIC_NAMES = ("food security", "water security", "net zero transition", "energy transition", "trade", "resilience", "regulation", "supply chains", "desalination", "agri-food")
+DIRECT_KEYWORDS = {
+    "food security": ("food security", "food system", "agri-food", "agrifood", "agriculture", "agricultur", "farming", "farm", "crop", "grain", "fertilizer", "livestock", "aquaculture", "veal", "harvest"),
+    "water security": (
+        "water security", "water treatment", "water reuse", "water utility", "drinking water", "groundwater", "wastewater", "waste water", "desalination", "desal", "irrigation", "aquifer", "water", "nile dam",
+        "nile basin", "dam dispute", "river basin",
+    ),
+    "net zero transition": (
+        "net zero", "decarbon", "emission", "carbon", "climate target", "climate policy", "energy efficiency", "electrification", "renewable", "solar", "wind", "battery", "energy storage", "battery storage", "grid",
+        "hydrogen", "clean energy", "low-carbon",
+    ),
+    "energy transition": ("energy transition", "renewable", "solar", "wind", "battery", "energy storage", "battery storage", "grid", "hydrogen", "clean energy", "low-carbon"),
+    "resilience": ("drought", "flood", "flooding", "water stress"),
+    "desalination": ("desalination", "desal", "reverse osmosis", "brine"),
+    "agri-food": ("agri-food", "agrifood", "food system", "agriculture", "agricultur", "crop", "grain", "fertilizer", "farm", "farming", "livestock", "veal", "harvest"),
+}
+CONTEXT_KEYWORDS = {
+    "net zero transition": ("climate", "electricity", "power sector"),
+    "energy transition": ("electricity", "power sector", "lng", "oil", "gas", "petrochem"),
+    "trade": ("trade", "trading", "export", "import", "tariff", "shipping", "logistics", "port", "commodity", "corridor"),
+    "resilience": ("resilience", "adaptation", "heatwave", "disruption"),
+    "regulation": ("regulation", "regulatory", "policy", "legislation", "law", "compliance", "standard", "framework"),
+    "supply chains": ("supply chain", "supply chains", "shipping", "logistics", "freight", "port", "corridor"),
+}
+# The patterns of systemic scope (each row all at once), of local focus, of the strength of a mission, and of what lies beside it.
+SYSTEMIC_PATTERNS = (
+    (r"\b(?:global|world(?:wide)?) (?:food|fertili[sz]er|grain|water|energy|solar|battery|carbon) (?:supply|security|markets?|prices?|shortages?|trade)\b",),
+    (r"\b(?:hormuz|suez canal)\b", r"\b(?:fertili[sz]er|food security|food crisis|grain supplies|harvests?)\b", r"\b(?:supply|supplies|shipping|disruption|crisis|trade)\b"),
+    (r"\b(?:world bank|islamic development bank|fao|united nations)\b", r"\b(?:food security|water security|renewable energy|decarbon\w*)\b", r"\b(?:mobilis\w*|mobiliz\w*|funding|financing|invest\w*|supply)\b"),
+)
+OVERSEAS_PATTERNS = (r"\bacross (?:the )?(?:us|u\.s\.|europe)\b", r"\b(?:invest\w*|agreements?)\b", r"\b(?:power grids?|renewable energy|battery storage)\b")
+LOCAL_FOCUS = r"\b(?:schools?|municipal|city council|local residents|urban water|local infrastructure)\b"
+SPECIFIC_MISSION = r"\b(?:food security|fertili[sz]ers?|desalination|wastewater|water reuse|water treatment|irrigation|battery|batteries|power grids?|decarbon\w*)\b"
+CONCRETE_DEVELOPMENT = r"\b(?:projects?|plants?|facilit\w*|invest\w*|technolog\w*|capacity|agreements?|contracts?|approv\w*|commissioned|commissioning|commissions|legislation|mandates?|policy changes?|regulations?)\b"
+BATTERY, BATTERY_USE = r"\bbatter(?:y|ies)\b", (
+    r"\b(?:energy transition|net[- ]zero|decarbon\w*|energy storage|grid|grids|renewable\w*|solar|wind|electric vehicles?|evs?|charging|recycl\w*|commercial\w*|manufactur\w*|factor\w*|assembly|deploy\w*|pilot|"
+    r"utility[- ]scale|battery suppl\w*|batter(?:y|ies) (?:projects?|plants?|facilit\w*)|mwh|gwh|megawatt\w*|gigawatt\w*)\b"
+)
+BATTERY_TOPICS, BATTERY_RESCUES = ("energy transition", "net zero transition"), ("food security", "water security", "desalination", "agri-food")
+OFF_MISSION = (r"\b(?:crypto\w*|bitcoin|digital assets?)\b", r"\b(?:flights?|passengers?|travellers?|travelers?)\b")
 # Own configuration data: topics and the words that stand for them directly, or only in context.
 TOPICS = {
     "Water": (("irrigation", "desalination", "groundwater", "drinking water", "wastewater"), ("river", "rain", "reservoir")),
