@@ -54,9 +54,29 @@ def keep_existing(records: DataFrame, key: str, existing: DataFrame) -> DataFram
     return records.where(F.coalesce(F.col(key).cast("string"), F.lit("")) == "").unionByName(records.where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "").join(there, key, "left_semi"))
 
 
-def one_to_one(left: DataFrame, right: DataFrame, on: list[str], clear: Column, left_id: str, right_id: str) -> DataFrame:
-    """(left id, right id) of pairs in which either side has no other match; ambiguous ones are left out."""
-    pairs = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, [F.col(f"l.{c}") == F.col(f"r.{c}") for c in on])).where(clear).select(F.col(f"l.{left_id}").alias("left_id"), F.col(f"r.{right_id}").alias("right_id")).distinct()
+def named(rows: DataFrame, key: str, names: DataFrame, name_key: str, name: str, into: str, unknown: str = "Unknown source") -> DataFrame:
+    """``rows`` with the name that their key has in a table of unique keys, or ``unknown``."""
+    known = names.select(F.col(name_key).alias(key), F.col(name).alias(into))
+    return rows.join(known, key, "left").withColumn(into, F.coalesce(into, F.lit(unknown)))
+
+
+def one_to_one(left: DataFrame, right: DataFrame, rules: list[list[str]], left_id: str, right_id: str) -> DataFrame:
+    """(left id, right id) of pairs that agree in all columns of any rule, where neither side has another match.
+
+    A key that more than one row of a side has makes its rows of the other side ambiguous, whatever else they match, so
+    of such a key at most two rows a side are paired: as many as tell that. Copies of a hot key never multiply.
+    """
+    found = []
+    for on in rules:
+        keyed = lambda rows, name, own, on=on: rows.select(F.struct(*on).alias("__key"), F.col(own).alias(name)).where(reduce(lambda a, b: a & b, [F.col(f"__key.{c}").isNotNull() for c in on]))
+        sides = {name: keyed(rows, name, own).groupBy("__key").agg(F.count("*").alias("n"), F.min(name).alias("low"), F.max(name).alias("high")) for rows, name, own in ((left, "l", left_id), (right, "r", right_id))}
+        both = sides["l"].alias("x").join(sides["r"].alias("y"), "__key").select("__key", *(F.col(f"{a}.{c}").alias(f"{a}_{c}") for a in "xy" for c in ("n", "low", "high")))
+        ends = lambda a: F.array_distinct(F.array(f"{a}_low", f"{a}_high"))
+        # every row of a side, against the one or two ends of the other: that is enough to count to two
+        of_left = keyed(left, "left_id", left_id).join(both, "__key").select("left_id", F.explode(ends("y")).alias("right_id"))
+        of_right = keyed(right, "right_id", right_id).join(both, "__key").select(F.explode(ends("x")).alias("left_id"), "right_id")
+        found.append(of_left.unionByName(of_right))
+    pairs = reduce(DataFrame.unionByName, found).distinct()
     count = lambda c: F.count("*").over(W.partitionBy(c))
     return pairs.withColumns({"__l": count("left_id"), "__r": count("right_id")}).where("__l = 1 and __r = 1").select("left_id", "right_id")
 

@@ -25,17 +25,21 @@ from millrace.operators.ranking import final_order
 from millrace.plans.lineage import cut
 
 
-def capacity(rows: DataFrame, region: str, targets: DataFrame, limit: int) -> DataFrame:
-    """One row: target and existing totals, what remains, and how many may be taken."""
-    parts = rows.agg(F.count("*").alias("existing")).select(F.lit(0).cast("long").alias("target"), "existing").unionByName(targets.agg(F.sum("target").cast("long").alias("target")).select("target", F.lit(0).cast("long").alias("existing")))
+def capacity(rows: DataFrame, region: str, targets: DataFrame, limit: int, by: list[str] | None = None) -> DataFrame:
+    """One row, or one for each group of ``by``: target and existing totals of the target regions, what remains, and how many may be taken."""
+    by, goals = by or [], [(r["region"], r["target"]) for r in targets.collect()]  # a row for each quota region
+    total = F.lit(sum(n for _, n in goals)).cast("long")
+    have = rows.groupBy(*by).agg(F.count_if(F.col(region).isin([r for r, _ in goals])).alias("existing"))
     left = F.greatest(F.lit(0), F.col("target") - F.col("existing"))
-    return parts.agg(F.sum("target").alias("target"), F.sum("existing").alias("existing")).select("target", "existing", left.alias("remaining"), F.least(F.lit(limit), left).alias("effective"))
+    return have.withColumn("target", total).select(*by, "target", "existing", left.alias("remaining"), F.least(F.lit(limit), left).alias("effective"))
 
 
-def deficits(rows: DataFrame, region: str, targets: DataFrame) -> DataFrame:
-    """For each region of ``targets`` (region, target) what is still missing."""
-    have = rows.groupBy(F.col(region).alias("region")).agg(F.count("*").alias("current"))
-    return targets.join(have, "region", "left").select("region", "target", F.coalesce("current", F.lit(0)).alias("current"), F.greatest(F.lit(0), F.col("target") - F.coalesce("current", F.lit(0))).alias("deficit"))
+def deficits(rows: DataFrame, region: str, targets: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """For each region of ``targets`` (region, target), in each group of ``by``, what is still missing."""
+    by, goals = by or [], [(r["region"], r["target"]) for r in targets.collect()]  # a row for each quota region
+    counts = rows.groupBy(*by).agg(*(F.count_if(F.col(region) == r).alias(f"__{k}") for k, (r, _) in enumerate(goals)))
+    told = F.array(*(F.struct(F.lit(r).alias("region"), F.lit(n).alias("target"), F.col(f"__{k}").alias("current")) for k, (r, n) in enumerate(goals)))
+    return counts.select(*by, F.inline(told)).withColumn("deficit", F.greatest(F.lit(0).cast("long"), F.col("target") - F.col("current")))
 
 
 @dataclass

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions import scores, text, urls
+from millrace.functions import dates, scores, text, urls
 from millrace.operators import events, identity, ranking, selection
 from millrace.plans.catalog import query
-from millrace.plans.scalar_queries import ARTICLES_SQL, articles, short_titled
-from millrace.plans.values import EVENT_STOP_WORDS
+from millrace.plans.scalar_queries import ARTICLES_SQL, articles
+from millrace.plans.values import EVENT_STOP_WORDS, EVENT_WORD_FORMS
 from millrace.sources.tables import table
 
 TARGETS = {"AFRICA": 3, "AMERICA": 4, "ASIA": 3, "EUROPE": 2}
@@ -146,20 +146,19 @@ def prune_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("one_to_one_match", """
-    with f as (select doc_id, source, trim(regexp_replace(lower(substring(text, 1, 30)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k from documents where doc_id % 2 = 0),
-         d as (select doc_id, source, trim(regexp_replace(lower(substring(text, 1, 30)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k from documents where doc_id % 2 = 1),
-         p as (select f.doc_id as l, d.doc_id as r from f join d on f.k = d.k)
+    with t as (select doc_id, source, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k, lang, n_chars from documents),
+         f as (select * from t where lang = 'en'), d as (select * from t where lang <> 'en'), p as (select f.doc_id as l, d.doc_id as r from f join d on f.source = d.source and (f.k = d.k or f.n_chars = d.n_chars))
     select l as left_id, r as right_id from p where l in (select l from p group by 1 having count(*) = 1) and r in (select r from p group by 1 having count(*) = 1)""")
 def one_to_one_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", text.headline_key(F.substring("text", 1, 30)).alias("k"))
-    return identity.one_to_one(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1"), ["k"], F.lit(True), "doc_id", "doc_id")
+    """English documents and others of one source that have a headline or a length in common with each other alone."""
+    rows = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars").select("doc_id", "source", "lang", "n_chars", text.headline_key(F.substring_index("text", "\n", 1)).alias("k"))
+    return identity.one_to_one(rows.where("lang = 'en'"), rows.where("lang <> 'en'"), [["source", "k"], ["source", "n_chars"]], "doc_id", "doc_id")
 
 
-@query("source_lookup", "select l_orderkey, l_linenumber, coalesce(s_name, 'Unknown source') as source from lineitem left join supplier on l_suppkey = s_suppkey and s_suppkey % 2 = 0")
+@query("source_lookup", "select l_orderkey, l_linenumber, coalesce(s_name, 'Unknown source') as source from lineitem left join supplier on l_suppkey + l_linenumber = s_suppkey")
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = table(spark, sf_dir, "supplier", "s_suppkey", "s_name").where("s_suppkey % 2 = 0")
-    joined = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").join(names, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return joined.select("l_orderkey", "l_linenumber", F.coalesce("s_name", F.lit("Unknown source")).alias("source"))
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").withColumn("source_id", F.col("l_suppkey") + F.col("l_linenumber"))
+    return identity.named(rows, "source_id", table(spark, sf_dir, "supplier", "s_suppkey", "s_name"), "s_suppkey", "s_name", "source").select("l_orderkey", "l_linenumber", "source")
 
 
 @query("longest_override", """
@@ -182,12 +181,12 @@ def process_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STOP = ", ".join(f"'{w}'" for w in EVENT_STOP_WORDS)
 EVENT_TOKENS_SQL = f"""
     {ARTICLES_SQL}, tokens as (
-        select doc_id as key, list_sort(list_filter(list_distinct(regexp_extract_all(lower(regexp_replace(title, '\\s+[-|:]\\s+[^-|:]{{2,50}}$', '')), '[a-z0-9]+')), lambda x: x not in ({_STOP}))) as t from articles
+        select doc_id as key, list_sort(list_filter(list_distinct(regexp_extract_all(lower(regexp_replace(title, '\\s+[-|:]\\s+[^-|:]{{2,50}}$', '')), '[a-z0-9]+')), lambda x: length(x) > 1 and x not in ({_STOP}))) as t from articles
     )"""
 
 
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return short_titled(articles(spark, sf_dir)).select(F.col("doc_id").alias("key"), text.title_tokens(F.col("title")).alias("tokens"))
+    return articles(spark, sf_dir).select(F.col("doc_id").alias("key"), text.title_tokens(F.col("title")).alias("tokens"))
 
 
 @query("event_pairs_jaccard", f"""with {EVENT_TOKENS_SQL} select a.key as a, b.key as b from tokens a join tokens b on a.key < b.key
@@ -228,25 +227,56 @@ def image_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.assign_distinct(offers, "conv_id", "pos", "word").select("conv_id", "word")
 
 
-@query("policy_match", """
-    select o_orderkey, case o_orderkey % 4 when 0 then true when 1 then false when 2 then false else true end as same from orders""")
+_FORMS = ", ".join(f"('{k}', '{v}')" for k, v in EVENT_WORD_FORMS.items())
+#: Orders of one customer as pairs of announcements, told in words of the orders' own.
+PAIRS_SQL = f"""
+    forms(w, form) as (values {_FORMS}), o as (
+        select o_orderkey as id, o_custkey, o_orderdate as published, 'site' || o_orderkey % 7 as site, ['approves', 'approved', 'mulls', 'announces', 'launched'][1 + o_orderkey % 5] as verb, ['plan', 'strategies', 'law', 'scheme'][1 + (o_orderkey // 5) % 4] as matter,
+               [null, 'Egypt', 'Iraq'][1 + (o_orderkey // 20) % 3] as place, o_comment_words as told, 1 + o_orderkey % 3 as gw, 'https://x.org/' || o_orderkey % 11 as url
+        from (select *, (o_totalprice::bigint % 4) as o_comment_words from orders)
+    ), titled as (
+        select *, 'Ministry ' || verb || ' water ' || matter || ' for coastal towns of ' || site as title, 'one two three four five six seven eight nine ten eleven twelve' || case when told = 0 then ' other words than those' else '' end as snippet from o
+    ), words as (
+        select id, 'said' as kind, coalesce(form, w) as w from (select id, unnest(list_distinct(regexp_extract_all(lower(title), '[a-z0-9]+'))) as w from titled) left join forms using (w) where length(w) > 1 and w not in ({_STOP}, 'more', 'under')
+        union select id, 'told', coalesce(form, w) from (select id, unnest(list_distinct(regexp_extract_all(lower(snippet), '[a-z0-9]+'))) as w from titled) left join forms using (w) where length(w) > 1 and w not in ({_STOP}, 'more', 'under')
+    ), bags as (select id, list(w) filter (kind = 'said') as said, list(w) filter (kind = 'told') as told_words from words group by id), full_ as (
+        select t.*, b.said, b.told_words from titled t join bags b using (id)
+    ), pairs as (
+        select a.id as a, b.id as b, a.place as pa, b.place as pb, a.url as ua, b.url as ub, a.gw as ga, b.gw as gb, a.site as ca, b.site as cb, abs(epoch(a.published) - epoch(b.published)) <= 3 * 86400 as near, a.said as sa, b.said as sb, a.told_words as ta, b.told_words as tb,
+               list_intersect(a.said, b.said) as shared, list_intersect(a.told_words, b.told_words) as shared_told, ['policy', 'strategy', 'regulation', 'law', 'plan'] as policy, ['update', 'approve', 'adopt', 'announce', 'launch'] as act
+        from full_ a join full_ b on a.o_custkey = b.o_custkey and a.id < b.id
+    )"""
+
+
+def _announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(a, b, l, r): all pairs of one customer's orders, each told as an announcement."""
+    k = F.col("o_orderkey")
+    site = F.concat(F.lit("site"), k % 7)
+    pick = lambda texts, n: F.element_at(F.array(*(F.lit(t).cast("string") for t in texts)), (n % len(texts)).cast("int") + 1)
+    title = F.concat(F.lit("Ministry "), pick(["approves", "approved", "mulls", "announces", "launched"], k), F.lit(" water "), pick(["plan", "strategies", "law", "scheme"], F.floor(k / 5)), F.lit(" for coastal towns of "), site)
+    told = F.concat(F.lit("one two three four five six seven eight nine ten eleven twelve"), F.when(F.round("o_totalprice").cast("long") % 4 == 0, " other words than those").otherwise(""))
+    capacity = F.concat(F.when(k % 2 == 0, F.concat((1 + k % 3) * 1000, F.lit(" MW"))).otherwise(F.concat(1 + k % 3, F.lit(" GW"))), F.lit(" park near "), site)
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").select("o_orderkey", "o_custkey", F.struct(
+        F.concat(F.lit("https://x.org/"), k % 11).alias("canonical"), pick([None, "Egypt", "Iraq"], F.floor(k / 20)).alias("place"), events.measures(capacity).alias("measures"),
+        text.title_tokens(F.concat(F.lit("solar park opens near "), site)).alias("tokens"), F.col("o_orderdate").alias("published"), events.announcement_tokens(title).alias("said"), events.announcement_tokens(told).alias("told"),
+    ).alias("f"))
+    side = lambda key, name: rows.select(F.col("o_orderkey").alias(key), "o_custkey", F.col("f").alias(name))
+    return side("a", "l").join(side("b", "r"), "o_custkey").where("a < b")
+
+
+_POLICY_SQL = """coalesce(pa = pb, false) and near and len(list_intersect(sa, policy)) > 0 and len(list_intersect(sb, policy)) > 0 and len(list_intersect(shared, act)) > 0 and (
+        (len(list_intersect(shared, policy)) > 0 and least(len(sa), len(sb)) >= 6 and len(shared) >= 0.85 * least(len(sa), len(sb))) or (len(shared) >= 3 and len(shared_told) >= 12 and len(shared_told) >= 0.9 * least(len(ta), len(tb))))"""
+
+
+@query("policy_match", f"with {PAIRS_SQL} select a, b from pairs where {_POLICY_SQL}")
 def policy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey") % 4
-    title = "Ministry approves water reuse plan for coastal cities"
-    other = F.when(k == 2, "Ministry mulls water reuse plan for coastal cities").when(k == 3, "Cabinet approved the plan").otherwise("Ministry approved water reuse plan for coastal cities")
-    long = "one two three four five six seven eight nine ten eleven twelve thirteen"
-    side = lambda said, told, day: F.struct(F.lit("Egypt").alias("place"), day.cast("timestamp").alias("published"), events.announcement_tokens(said).alias("said"), events.announcement_tokens(told).alias("told"))
-    rows = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", side(F.when(k == 3, "Cabinet approves plan").otherwise(title), F.lit(long), F.lit("2024-01-01")).alias("l"), side(other, F.lit(long), F.when(k == 1, "2024-01-09").otherwise("2024-01-03")).alias("r"))
-    return rows.select("o_orderkey", events.same_policy("l", "r").alias("same"))
+    return _announcements(spark, sf_dir).where(events.same_policy("l", "r")).select("a", "b")
 
 
-@query("event_vetoes", """
-    select o_orderkey, case o_orderkey % 4 when 0 then false when 1 then true when 2 then true else true end as same from orders""")
+@query("event_vetoes", f"with {PAIRS_SQL} select a, b, case when ua = ub then true when pa <> pb then false when ga <> gb then false else ca = cb or ({_POLICY_SQL}) end as same from pairs")
 def event_vetoes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey") % 4
-    said = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", F.when(k == 0, "A 2 GW solar park opens in the north of the land").when(k == 1, "A 2,000 MW solar park opens in the north of the land").otherwise("Solar park opens in the north of the land").alias("a"), F.when(k == 0, "A 3 GW solar park opens in the north of the land").when(k == 1, "A 2 GW solar park opens in the north of the land").otherwise("Solar park opens in north of the land today").alias("b"))
-    side = lambda c: F.struct(F.col(c).alias("canonical"), F.lit(None).cast("string").alias("place"), events.measures(F.col(c)).alias("measures"), text.title_tokens(F.regexp_replace(c, r"[\d,]+ [GM]W", "")).alias("tokens")).alias(c)
-    return said.select("o_orderkey", side("a"), side("b")).select("o_orderkey", events.same_event("a", "b").alias("same"))
+    """Equal addresses, other places, other capacities, titles, policies: all that decides whether two announcements are one event."""
+    return _announcements(spark, sf_dir).select("a", "b", events.same_event("l", "r", policy=True).alias("same"))
 
 
 @query("tiered_round_robin", f"""
@@ -326,20 +356,21 @@ _T = ", ".join(f"('{r}', {n})" for r, n in TARGETS.items())
 
 
 def _week(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = candidates(spark, sf_dir).where("published >= timestamp '1996-01-01 00:00:00+00:00' and published < timestamp '1996-01-03 00:00:00+00:00'")
+    """All candidates by week, and what each week aims at."""
+    rows = candidates(spark, sf_dir).withColumn("week", dates.week_start(F.col("published")))
     return rows, spark.createDataFrame(list(TARGETS.items()), "region string, target int")
 
 
-_WEEK_SQL = f"{CANDIDATES_SQL}, week as (select * from scored where published >= timestamp '1996-01-01' and published < timestamp '1996-01-03'), targets(region, target) as (values {_T})"
+_WEEK_SQL = f"{CANDIDATES_SQL}, week as (select *, date_trunc('week', published)::date as week from scored), targets(region, target) as (values {_T})"
 
 
-@query("capacity", f"with {_WEEK_SQL}, n as (select count(*) as existing from week), t as (select sum(target)::bigint as target from targets) select target, existing, greatest(0, target - existing)::bigint as remaining, least(12, greatest(0, target - existing))::bigint as effective from n, t")
+@query("capacity", f"with {_WEEK_SQL}, n as (select week, count(*) filter (region in (select region from targets)) as existing from week group by 1), t as (select sum(target)::bigint as target from targets) select week, target, existing, greatest(0, target - existing)::bigint as remaining, least(12, greatest(0, target - existing))::bigint as effective from n, t")
 def capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, targets = _week(spark, sf_dir)
-    return selection.capacity(rows, "region", targets, 12)
+    return selection.capacity(rows, "region", targets, 12, ["week"])
 
 
-@query("deficits", f"with {_WEEK_SQL} select t.region, target, count(key) as current, greatest(0, target - count(key))::bigint as deficit from targets t left join week w using (region) group by 1, 2")
+@query("deficits", f"with {_WEEK_SQL}, weeks as (select distinct week from week) select weeks.week, t.region, target, count(key) as current, greatest(0, target - count(key))::bigint as deficit from weeks cross join targets t left join week w on w.week = weeks.week and w.region = t.region group by 1, 2, 3")
 def deficits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, targets = _week(spark, sf_dir)
-    return selection.deficits(rows, "region", targets)
+    return selection.deficits(rows, "region", targets, ["week"])

@@ -101,10 +101,10 @@ def run_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("headline_setops", """
-    with t as (select source, trim(regexp_replace(lower(substring(text, 1, 24)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k from documents), a as (select distinct k from t where source = 'src0'), b as (select distinct k from t where source <> 'src0')
+    with t as (select source, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k from documents), a as (select distinct k from t where source = 'src0'), b as (select distinct k from t where source <> 'src0')
     select (select count(*) from (select k from a intersect select k from b)) as overlap, (select count(*) from (select k from a except select k from b)) as unique_left, (select count(*) from (select k from b except select k from a)) as unique_right""")
 def headline_setops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents", "source", "text").select("source", text.headline_key(F.substring("text", 1, 24)).alias("k"))
+    rows = table(spark, sf_dir, "documents", "source", "text").select("source", text.headline_key(F.substring_index("text", "\n", 1)).alias("k"))
     return rollups.set_overlap(rows.where("source = 'src0'"), rows.where("source <> 'src0'"), "k")
 
 
@@ -235,8 +235,8 @@ def research_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("prompt_text", """
-    select conv_id, sha256(string_agg(turn || '. ' || role || case when length(text) >= 300 then chr(10) || 'Evidence: ' || substring(text, 1, 300) else '' end, chr(10) || chr(10) order by turn)) as sha from conversations group by 1""")
+    select conv_id, sha256(string_agg(turn || '. ' || role || case when length(text) >= 300 then chr(10) || 'Evidence: ' || text else '' end, chr(10) || chr(10) order by turn)) as sha from conversations group by 1""")
 def prompt_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.concat("turn", F.lit(". "), "role", F.when(F.length("text") >= 300, F.concat(F.lit("\nEvidence: "), F.substring("text", 1, 300))).otherwise(""))
+    part = F.concat("turn", F.lit(". "), "role", F.when(F.length("text") >= 300, F.concat(F.lit("\nEvidence: "), "text")).otherwise(""))
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").select("conv_id", F.struct("turn", part.alias("part")).alias("p"))
     return rows.groupBy("conv_id").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda x: x["part"]), "\n\n"), 256).alias("sha"))

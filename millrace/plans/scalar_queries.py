@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import claims, dates, keywords, scores, text, urls
+from millrace.functions import claims, dates, keywords, relevance, scores, text, urls
 from millrace.operators import gates
 from millrace.plans.catalog import query
 from millrace.plans.values import REGION_ALIASES, TRACKING_PARAMS, EngineConfig
@@ -203,7 +203,7 @@ def date_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Articles made of documents: the first line as title, the publisher's host from the source, dates spread over a month.
 ARTICLES_SQL = """
     articles as (
-        select doc_id, substring(split_part(text, chr(10), 1), 1, 120) as title, text as body, source, lang,
+        select doc_id, split_part(text, chr(10), 1) as title, text as body, source, lang,
                case when doc_id % 17 = 0 then 'https://self.example.org/a/' || doc_id when doc_id % 23 = 0 then '' else 'https://' || source || '.example.com/a/' || doc_id % 5000 end as url,
                case when doc_id % 19 = 0 then null else timestamp '2024-01-31' - to_days((doc_id % 12)::int) end as published
         from documents
@@ -218,11 +218,6 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.substring_index("text", "\n", 1).alias("title"), F.col("text").alias("body"), "source", "lang", url.alias("url"), F.when(k % 19 != 0, day).alias("published"))
 
 
-def short_titled(rows: DataFrame) -> DataFrame:
-    """Articles with the title cut as in ``ARTICLES_SQL``, for the queries that it checks."""
-    return rows.withColumn("title", F.substring("title", 1, 120))
-
-
 _MEANINGFUL_SQL = "(length(trim(title)) >= 12 and len(list_filter(regexp_split_to_array(trim(title), '\\s+'), lambda w: regexp_matches(w, '[\\p{L}\\p{N}]'))) >= 3)"
 OBJECTIVE_SQL = f"""
     , first as (
@@ -236,7 +231,7 @@ OBJECTIVE_SQL = f"""
 
 @query("objective_gate", f"with {ARTICLES_SQL} {OBJECTIVE_SQL} select doc_id, reason from gated")
 def objective_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.objective_gate(short_titled(articles(spark, sf_dir)), F.lit("2024-02-01").cast("timestamp"), EngineConfig()).select("doc_id", "reason")
+    return gates.objective_gate(articles(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"), EngineConfig()).select("doc_id", "reason")
 
 
 @query("reason_counts", f"with {ARTICLES_SQL} {OBJECTIVE_SQL} select coalesce(reason, 'accepted') as reason, count(*) as articles from gated group by 1")
@@ -247,7 +242,7 @@ def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("deterministic_gate", f"""with {ARTICLES_SQL} select doc_id, case when starts_with(url, 'https://self.example.org') then 'self-published' when url = '' then 'no usable URL' when not {_MEANINGFUL_SQL} then 'no meaningful title'
         when published is null then 'unknown publication date' when published < timestamp '2024-02-01' - interval 7 day then 'stale publication date' when not regexp_matches(lower(body), 'tion|ung') then 'no topic' when lang = 'es' then 'outside geographic mandate' end as reason from articles""")
 def deterministic_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = short_titled(articles(spark, sf_dir)).withColumns({"topic": F.lower("body").rlike("tion|ung"), "region": F.when(F.col("lang") != "es", "Global")})
+    read = articles(spark, sf_dir).withColumns({"topic": F.lower("body").rlike("tion|ung"), "region": F.when(F.col("lang") != "es", "Global")})
     return gates.deterministic_gate(read, F.lit("2024-02-01").cast("timestamp"), EngineConfig(), F.col("topic"), F.col("region")).select("doc_id", "reason")
 
 
@@ -305,20 +300,74 @@ def region_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", *(F.coalesce(F.try_element_at("m", F.lit(p)), F.lit(0)).alias(p.lower()) for p in _PLACES))
 
 
-@query("region_assign", """
-    select o_orderkey, case o_orderkey % 4 when 0 then 'UAE' when 1 then 'Global' when 2 then case when o_orderkey % 8 = 2 then null else 'Egypt' end else null end as region from orders""")
-def region_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    title = F.when(k % 4 == 0, "New solar plant to open in Dubai next year").when(k % 4 == 1, "Rain floods roads across Iraq").when(k % 4 == 2, "A harvest report").otherwise("Trade between Egypt and Qatar grows")
-    found = keywords.assigned_region(title, F.lit(""), F.array(F.lit("Egypt")), k % 8 == 2)
-    return table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", found["region"].alias("region"))
+#: Customers' nations as places, and the region that each stands for.
+_NATIONS_SQL = """
+    nations as (select n_nationkey, n_name, case n_name when 'EGYPT' then 'Egypt' when 'SAUDI ARABIA' then 'KSA' when 'ALGERIA' then 'Algeria' when 'IRAN' then 'Iran' when 'IRAQ' then 'Iraq' when 'JORDAN' then 'Jordan' when 'MOROCCO' then 'Morocco' end as place from nation),
+    told as (select c_custkey, c_custkey % 6 as form, c_custkey % 8 = 2 as found, a.place as a, b.place as b from customer join nations a on c_nationkey = a.n_nationkey join nations b on c_custkey % 25 = b.n_nationkey)"""
 
 
-@query("numeric_claims", """
-    select o_orderkey, [(o_orderkey % 97)::varchar, '1250.5', '30'] as numbers, ['mw', '%', 'km/day'] as units from orders""")
+@query("region_assign", f"""
+    with {_NATIONS_SQL}, placed as (
+        select *, case when form in (0, 4) then a when form = 1 then coalesce(a, b) when form = 2 then case when a <> b then null else coalesce(a, b) end when form = 3 then coalesce(a, b) else coalesce(case when b is not null then b end, a) end as place,
+               form = 2 and a <> b as unclear from told
+    )
+    select c_custkey, case when place in ('Egypt', 'KSA') then place when place is not null then 'Global' when unclear or found then null else 'Egypt' end as region,
+           case when place is not null then null when unclear then 'ambiguous regional geography' when found then 'no article geography; discovery query is not geographic evidence' else 'source-region fallback' end as why from placed""")
+def region_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of two nations in six forms: participants, sites, lists, beginnings and counts decide between them."""
+    n = lambda k, name: table(spark, sf_dir, "nation", "n_nationkey", "n_name").select(F.col("n_nationkey").alias(k), F.col("n_name").alias(name))
+    rows = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey").withColumn("other", F.col("c_custkey") % 25).join(n("c_nationkey", "a"), "c_nationkey").join(n("other", "b"), "other")
+    forms = ["Talks about {a}", "New solar plant to open in {a} next year, says {b}", "{a} and {b} sign", "{a} hosts guests of {b}", "Saudi firm wins work across {a}", "Talks of {a}, then {b} and {b}"]
+    said = lambda form: F.concat(*(F.col(x) if k % 2 else F.lit(x) for k, x in enumerate(form.replace("}", "{").split("{"))))
+    title = F.element_at(F.array(*map(said, forms)), (F.col("c_custkey") % 6).cast("int") + 1)
+    found = keywords.assigned_region(title, F.lit(""), F.array(F.lit("Egypt")), F.col("c_custkey") % 8 == 2)
+    told = rows.select("c_custkey", found.alias("r"))
+    placed = F.col("r.basis").contains(": ")
+    return told.select("c_custkey", F.col("r.region").alias("region"), F.when(~placed, F.col("r.basis")).alias("why"))
+
+
+@query("article_scope", """
+    with said as (select p_partkey, lower(p_name) as name, lower(p_brand) as brand, p_size from part), t as (
+        select p_partkey, case p_size % 4 when 0 then 'paris ' || name when 1 then name || ' near cairo' when 2 then 'city council of delhi on ' || name else name end as title,
+               case p_partkey % 5 when 0 then 'global water prices rise' when 1 then 'a new battery paper' when 2 then 'not about water at all' when 3 then 'crop and solar projects get approval' else 'bitcoin and flights' end as snippet from said
+    ), f as (
+        select *, p_partkey % 5 = 0 as wide, contains(title, 'cairo') as inside, starts_with(title, 'paris') as abroad, starts_with(title, 'city council') as local from t
+    )
+    select p_partkey, wide as systemic, (abroad and not inside and not wide) or (local and not inside) as foreign_local,
+           case p_partkey % 5 when 0 then ['water security'] when 3 then ['food security', 'net zero transition', 'energy transition', 'agri-food'] else [] end as direct,
+           (case p_partkey % 5 when 0 then 2 when 3 then 2 else 0 end)::int as strength, p_partkey % 5 = 3 as concrete,
+           case p_partkey % 5 when 1 then 'battery coverage without a transition application' when 4 then 'consumer finance or passenger travel without a direct mission consequence' end as off_mission from f""")
+def article_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts' names as titles set at home, abroad or nowhere, with snippets on and off the mission."""
+    pick = lambda n, *texts: F.element_at(F.array(*texts), (n % len(texts)).cast("int") + 1)
+    name = F.lower("p_name")
+    title = pick(F.col("p_size"), F.concat(F.lit("Paris "), name), F.concat(name, F.lit(" near Cairo")), F.concat(F.lit("City council of Delhi on "), name), name)
+    snippet = pick(F.col("p_partkey"), *map(F.lit, ("Global water prices rise", "A new battery paper", "Not about water at all", "Crop and solar projects get approval", "Bitcoin and flights")))
+    read = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size").select("p_partkey", title.alias("title"), relevance.article_words(title, snippet).alias("words"))
+    words, direct = F.col("words"), relevance.direct_signals(F.col("words"))
+    strength = relevance.mission_strength(words, F.col("direct"))
+    judged = read.select("p_partkey", relevance.systemic(words).alias("systemic"), relevance.foreign_local(F.col("title"), words).alias("foreign_local"), direct.alias("direct"), "words")
+    return judged.withColumns({"s": strength, "off_mission": relevance.off_mission(words, F.col("direct"))}).select("p_partkey", "systemic", "foreign_local", "direct", F.col("s.strength").alias("strength"), F.col("s.concrete").alias("concrete"), "off_mission")
+
+
+#: Told units and what is read of them; of units that begin alike the first one listed is read, so tonnes read as tons and lose their rate.
+_CLAIM_UNITS = [("megawatt-hours", "mwh"), ("MW", "mw"), ("m³", "m3"), ("cubic metres", "m3"), ("tonnes per day", "ton"), ("percentage", "%"), ("Kilometres", "km"), ("tons daily", "ton/day"), ("million", "million"), ("GWh", "gwh"), ("days", "day")]
+_CLAIM_LEADS, _CLAIM_GLUES = ("", "annual capacity of ", "daily total output ", "yearly growth of "), (" ", "-", " additional ", " more ")
+
+
+@query("numeric_claims", f"""
+    with p as (
+        select o_orderkey, o_orderdate, o_orderkey % 4 as lead, {[u for _, u in _CLAIM_UNITS]}[1 + o_orderkey % {len(_CLAIM_UNITS)}] as unit, regexp_replace(regexp_replace(round(o_totalprice, 2)::decimal(12,2)::varchar, '(\\.\\d*?)0+$', '\\1'), '\\.$', '') as price from orders
+    )
+    select o_orderkey, [strftime(o_orderdate, '%Y') || '-' || month(o_orderdate) || '-' || day(o_orderdate), o_orderkey::varchar, price] as numbers,
+           ['date', case when lead in (1, 2) and not contains(unit, '/') and unit not in ('%', 'million') then unit || case lead when 1 then '/year' else '/day' end else unit end, '%'] as units from p""")
 def numeric_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.lit("On 2024-01-05 a "), F.col("o_orderkey") % 97, F.lit(" megawatts farm grew 1,250.50 percent; 030 kilometres per day, see https://x.example.org/77"))
-    found = table(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", claims.numeric_claims(said).alias("c"))
+    """Dates, amounts in every kind of unit, rates told before and after them."""
+    k = F.col("o_orderkey")
+    pick = lambda texts, n: F.element_at(F.array(*map(F.lit, texts)), (n % len(texts)).cast("int") + 1)
+    grouped = F.format_number(k, 0)
+    said = F.concat(F.lit("On "), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" a "), pick(_CLAIM_LEADS, k), grouped, pick(_CLAIM_GLUES, F.floor(k / 4)), pick([u for u, _ in _CLAIM_UNITS], k), F.lit(" was told, or "), F.round("o_totalprice", 2).cast("decimal(12,2)"), F.lit(" percent; see https://x.example.org/77"))
+    found = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_totalprice").select("o_orderkey", claims.numeric_claims(said).alias("c"))
     return found.select("o_orderkey", F.transform("c", lambda x: x["value"]).alias("numbers"), F.transform("c", lambda x: x["unit"]).alias("units"))
 
 
@@ -331,7 +380,15 @@ def claims_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark", "item_id", "text").select("item_id", F.transform(left, lambda x: x["value"]).alias("unsupported"))
 
 
-@query("text_chunks")
+@query("text_chunks", """
+    with recursive walk as (
+        select doc_id, text as rest, null::varchar as piece, 0 as step from documents
+        union all
+        select doc_id, substring(rest, n + 1), substring(rest, 1, n), step + 1 from (
+            select *, case when length(rest) <= 1900 then length(rest) else coalesce(nullif(list_max(list_filter(range(951, 1901), lambda i: regexp_matches(substring(rest, i, 1), '\\s'))), 0), 1900) end as n from walk where rest <> ''
+        )
+    ), kept as (select doc_id, step, trim(piece, ' ') as chunk from walk where piece is not null)
+    select doc_id, (row_number() over (partition by doc_id order by step) - 1)::int as pos, length(chunk)::int as n, sha256(chunk) as chunk_sha from kept where chunk <> ''""")
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", F.posexplode(text.chunks(F.col("text"))).alias("pos", "chunk"))
     return pieces.select("doc_id", "pos", F.length("chunk").alias("n"), F.sha2("chunk", 256).alias("chunk_sha"))

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.functions import claims, dates, keywords, scores, text, urls
+from millrace.functions import claims, dates, keywords, relevance, scores, text, urls
 from millrace.operators import assessment, events, gates, identity, rollups, selection
 from millrace.plans import ingestion, pool_queries, scalar_queries
 from millrace.plans.values import EngineConfig, load_config
@@ -82,7 +82,42 @@ def test_keywords(spark):
 
 def test_claims(spark):
     got = values(spark, ["On 2024-01-05, 1,200.50 MW and 5 percent; 3 km per day at https://x.org/9"], claims.numeric_claims)[0]
-    assert [(c["value"], c["unit"]) for c in got] == [("1200.5", "mw"), ("5", "%"), ("3", "km/day")]
+    assert [(c["value"], c["unit"]) for c in got] == [("2024-1-5", "date"), ("1200.5", "mw"), ("5", "%"), ("3", "km/day")]
+    said = ["30 megawatt-hours", "Annual capacity of 5 MW, 1,200.50 m³ per day", "5 additional tons or 3 more megawatts daily", "daily water output 030 m3 but yearly growth of 5 percent", "30 cubic metres / day, x7 and 0.0", None]
+    got = [[(c["value"], c["unit"]) for c in x] for x in values(spark, said, claims.numeric_claims)]
+    assert got == [[("30", "mwh")], [("5", "mw/year"), ("1200.5", "m3/day")], [("5", "ton"), ("3", "mw/day")], [("30", "m3/day"), ("5", "%")], [("30", "m3/day"), ("0", "")], []]
+
+
+def test_title_words_have_two_letters(spark):
+    assert values(spark, ["A 2 x4 b plan for us - The Post", "a b c"], text.title_tokens) == [["plan", "us", "x4"], []]
+
+
+def test_locations_and_routing(spark):
+    cases = [
+        ("Saudi firm wins Basra contract", "", "Iraq"), ("Saudi's utility to build solar plant in Cairo", "", "Egypt"), ("Saudi Arabia and Egypt sign", "", None), ("Egypt hosts Iraq and Iraq", "", "Egypt"),
+        ("Talks: Iraq and Iraq, then Oman", "", "Iraq"), ("Nothing said", "A plant manufacturing in Doha with Oman", "Qatar"), ("Oman or Iraq", "", None), ("UAE-based developer builds across the Egypt of old", "", "Egypt"),
+    ]
+    df = spark.createDataFrame(cases, "t string, s string, want string")
+    got = df.select("t", "want", keywords.article_location(F.col("t"), F.col("s")).alias("p")).collect()
+    assert {r.t: r.p["place"] for r in got} == {t: w for t, _, w in cases}
+    routed = [
+        ("UN report: global grain prices rise after China export restrictions", "Global food security is affected.", "Global"), ("Egypt approves fertilizer manufacturing facility", "The facility will contribute to global fertilizer supply.", "Egypt"),
+        ("Delhi city council repairs urban water pipes", "", None), ("A harvest report of the year", "", "KSA"), ("Oman or Iraq harvest", "", None),
+    ]
+    df = spark.createDataFrame(routed, "t string, s string, want string").withColumn("w", relevance.article_words(F.col("t"), F.col("s")))
+    got = df.select("t", keywords.assigned_region(F.col("t"), F.col("s"), F.array(F.lit("KSA")), F.lit(False), relevance.foreign_local(F.col("t"), F.col("w")), relevance.systemic(F.col("w")))["region"].alias("r")).collect()
+    assert {r.t: r.r for r in got} == {t: w for t, _, w in routed}
+
+
+def test_topics_and_missions(spark):
+    cases = [
+        ("Waterfront towers and carbonara", [], 0, None), ("New wind farms and batteries for the grids", ["food security", "net zero transition", "energy transition", "agri-food"], 3, None), ("Drought hits the plains", ["resilience"], 1, None),
+        ("Not about water but neither energy nor solar", [], 0, None), ("Lithium battery chemistry explained", [], 0, "battery coverage without a transition application"), ("Flights and bitcoin amid drought", ["resilience"], 1, "consumer finance or passenger travel without a direct mission consequence"),
+        ("Desalination plant commissioned", ["water security", "desalination"], 3, None),
+    ]
+    df = spark.createDataFrame([(t,) for t, *_ in cases], "t string").withColumn("w", relevance.article_words(F.col("t"), F.lit(None))).withColumn("d", relevance.direct_signals(F.col("w")))
+    got = {r.t: (r.d, r.s["strength"], r.o) for r in df.select("t", "d", relevance.mission_strength(F.col("w"), F.col("d")).alias("s"), relevance.off_mission(F.col("w"), F.col("d")).alias("o")).collect()}
+    assert got == {t: (d, s, o) for t, d, s, o in cases}
 
 
 def test_first_reason_order_and_nulls(spark):
