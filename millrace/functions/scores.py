@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import ROUND_HALF_UP, Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,3 +26,10 @@ def clamped(x: Column, default: int = 3) -> Column:
 
 def quality_label(quality: Column) -> Column:
     return F.when(quality.isNull(), "unscored").otherwise(F.concat(F.regexp_replace(F.round(quality, 2).cast("decimal(6,2)").cast("string"), r"\.?0+$", ""), F.lit("/10")))
+
+
+def score_of(relevance: float, significance: float, quality: float | None, weights: tuple[float, float, float] = (0.70, 0.20, 0.10)) -> float:
+    """``queue_score`` of one row, in the same decimals."""
+    part = lambda x, most, w: min(max(Decimal(str(x or 0)), Decimal(0)), Decimal(most)).quantize(Decimal("0.0001"), ROUND_HALF_UP) * Decimal(str(round(100 * w / most, 6)))
+    total = part(relevance, 5, weights[0]) + part(significance, 5, weights[1]) + part(quality, 10, weights[2])
+    return float(total.quantize(Decimal("0.01"), ROUND_HALF_UP))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.plans.lineage import cut
+
 
 def batches(rows: DataFrame, by: list[str], order: str, size: Column, most: int = 100) -> DataFrame:
     """``rows`` with ``batch``, ``most`` rows each, and ``bytes``, the running size in the group."""
@@ -55,7 +57,7 @@ def classify(items: list[dict], model: Model, most_bytes: int, attempts: int = 2
             try:
                 replies = model(group)
             except PermissionError as e:
-                latch.append(str(e))
+                latch.append(f"{REFUSED}{e}")
                 return
             except Exception as e:  # noqa: BLE001  any other failure of a call is an outcome
                 error = f"call failed: {e}"
@@ -74,16 +76,39 @@ def classify(items: list[dict], model: Model, most_bytes: int, attempts: int = 2
     return [done.get(i["id"], {"id": i["id"], "decision": None, "error": latch[0] if latch else "not sent"}) for i in items]
 
 
+REFUSED = "refused: "
+
+
 def _classify_frames(frames: Iterator[pd.DataFrame], model: Model, most_bytes: int, size: int) -> Iterator[pd.DataFrame]:
+    refused = ""
     for frame in frames:
         for k in range(0, len(frame), size):
             items = frame.iloc[k : k + size].to_dict("records")
-            yield pd.DataFrame(classify(items, model, most_bytes), columns=["id", "decision", "error"])
+            told = classify(items, model, most_bytes) if not refused else [{"id": i["id"], "decision": None, "error": refused} for i in items]
+            refused = next((t["error"] for t in told if (t["error"] or "").startswith(REFUSED)), "")
+            yield pd.DataFrame(told, columns=["id", "decision", "error"])
 
 
-def classified(rows: DataFrame, fields: list[str], model: Model, most_bytes: int = 200_000, size: int = 100) -> DataFrame:
-    """(id, decision, error) for each row of (id string, *fields); ``model`` maps items to replies."""
-    return rows.select("id", *fields).mapInPandas(partial(_classify_frames, model=model, most_bytes=most_bytes, size=size), "id string, decision string, error string")
+def classified(rows: DataFrame, fields: list[str], model: Model, most_bytes: int = 200_000, size: int = 100, rounds: int = 4) -> DataFrame:
+    """(id, decision, error) for each row of (id string, *fields), stored; ``model`` maps items to replies.
+
+    Calls are made in rounds over a hash of the id. A refusal ends all further calls of its
+    task at once and of the whole run after its round; what wasn't asked has the refusal as its
+    error. Each round is stored, so no call is made twice.
+    """
+    schema = "id string, decision string, error string"
+    asked = rows.select("id", *fields).withColumn("__round", F.pmod(F.xxhash64("id"), F.lit(rounds)))
+    done, refused = [], None
+    for k in range(rounds):
+        part = asked.where(F.col("__round") == k).drop("__round")
+        if refused is not None:
+            done.append(part.select("id", F.lit(None).cast("string").alias("decision"), F.lit(refused).alias("error")))
+            continue
+        told = cut(part.sortWithinPartitions("id").mapInPandas(partial(_classify_frames, model=model, most_bytes=most_bytes, size=size), schema))
+        stopped = told.where(F.col("error").startswith(REFUSED)).limit(1).collect()
+        refused = stopped[0]["error"] if stopped else None
+        done.append(told)
+    return reduce(DataFrame.unionByName, done)
 
 
 def consume(rows: list[dict], missing: int, initial: int, most: int, step: int = 2, reserve: int = 2) -> list[dict]:

@@ -84,6 +84,17 @@ def scope_reason(story: Column, novelty: Column) -> Column:
     ])
 
 
+def scope_of(story: str, novelty: str) -> str:
+    """``scope_reason`` of one story, for rows that a budget brought to the driver; empty if it is in scope."""
+    if story not in STORY_TYPES or novelty not in ("true", "false", "unclear"):
+        return "editorial scope: invalid story type or novelty"
+    if novelty == "false":
+        return "editorial scope: no substantive new development"
+    if story in EXCLUDED_STORIES:
+        return f"editorial scope: primary story type {story}"
+    return f"editorial scope: {story} without an established new development" if story in BACKGROUND_STORIES and novelty != "true" else ""
+
+
 def fallback_eligible(relevance: Column, significance: Column, required: Column, registered: Column, region: Column, reason: Column, failed: Column, floor: int = 3) -> Column:
     """Near misses of registered publishers that failed nothing but the relevance threshold."""
     only_relevance = reason.isNull() | (reason == "") | reason.startswith("relevance below")

@@ -263,28 +263,55 @@ def select_week(pool: DataFrame, targets: dict[str, int], limit: int, cap: int,
     return out[0].unionByName(out[1]).join(F.broadcast(picks), "key", "left").select("pick", "key", "tier", "region", "publisher", "score", "phase", "reason")
 
 
+def decide(rows: list[dict], same: Callable[[object, object], bool], targets: dict[str, int], week: State, limit: int, cap: int, fallback: bool = False) -> tuple[list[dict], State]:
+    """(winners with tier and phase, state after them) of assessed rows, each with key, url, tier, region, publisher, in final order.
+
+    As ``select_week``, for the few rows that a budget allows to assess: ``same`` tells whether two keys are one event.
+    """
+    state, winners = week.copy(), []
+    room = min(limit, max(0, sum(targets.values()) - sum(n for r, n in state.regions.items() if r in targets)))
+    for tier in ("strict", "fallback") if fallback else ("strict",):
+        if tier == "fallback" and len(winners) >= room:
+            break
+        kept: list[dict] = []
+        for r in rows:
+            out = r["tier"] != tier or r["url"] in state.urls or state.publishers[r["publisher"]] >= cap
+            if not out and not any(same(r["key"], x["key"]) for x in (*winners, *kept)):
+                kept.append(r)
+        counts = Counter((r["region"], r["publisher"]) for r in kept)
+        picked = select_tier(kept, dict(counts), targets, state, room - len(winners), cap)
+        state.urls.update(r["url"] for r in picked)
+        winners += picked
+    return winners, state
+
+
 def allocate(rows: list[dict], missing: dict[str, int], budget: int, publishers: Counter | None = None, backfill: bool = False) -> list[dict]:
-    """The order in which rows are assessed.
+    """The order in which rows, given in rank order, are assessed.
 
-    Regions that have had less than twice what they lack come first, the one served least for
-    its need before others, and of its rows that of the publisher seen least, then by ``rank``;
-    after that all rows compete. Backfill goes by tier, score, publisher, quality and date alone.
+    While the budget lasts, regions that have had less than twice what they lack come first, the
+    one served least for its need before others, and of its rows that of the publisher seen
+    least, then by rank; after that all rows compete. ``backfill`` goes by decision and score,
+    then by publishers seen, quality and date, then by need.
     """
-    left, out, seen, served = list(rows), [], Counter(publishers or {}), Counter()
+    left, out, seen, served = list(enumerate(rows)), [], Counter(publishers or {}), Counter()
     order = list(missing)
+
+    def merit(item: tuple[int, dict]) -> tuple:
+        at, r = item
+        if backfill:
+            return (*r["merit"][:2], seen[r["publisher"]], *r["merit"][2:], missing.get(r["region"], 0) <= 0, r["url"])
+        return seen[r["publisher"]], at
+
     while left:
         pool = left
         if not backfill and len(out) < budget:
-            open_ = [r for r in order if missing[r] > 0 and served[r] < 2 * missing[r] and any(x["region"] == r for x in left)]
+            open_ = [g for g in order if served[g] < 2 * missing[g] and any(x["region"] == g for _, x in left)]
             if open_:
-                region = min(open_, key=lambda r: (served[r] / missing[r], order.index(r)))
-                pool = [x for x in left if x["region"] == region]
-        if backfill:
-            best = min(pool, key=lambda x: (x["tier"], -x["relevance"], seen[x["publisher"]], -(x["quality"] or 0), x["rank"]))
-        else:
-            best = min(pool, key=lambda x: (seen[x["publisher"]], x["rank"]))
+                region = min(open_, key=lambda g: (served[g] / missing[g], order.index(g)))
+                pool = [x for x in left if x[1]["region"] == region]
+        best = min(pool, key=merit)
         left.remove(best)
-        out.append(best)
-        seen[best["publisher"]] += 1
-        served[best["region"]] += 1
+        out.append(best[1])
+        seen[best[1]["publisher"]] += 1
+        served[best[1]["region"]] += 1
     return out
