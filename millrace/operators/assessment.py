@@ -8,16 +8,16 @@ from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.ranges import running
 from millrace.plans.lineage import cut
 
 
 def batches(rows: DataFrame, by: list[str], order: str, size: Column, most: int = 100) -> DataFrame:
-    """``rows`` with ``batch``, ``most`` rows each, and ``bytes``, the running size in the group."""
-    w = W.partitionBy(*by).orderBy(order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / most).cast("int")).withColumn("bytes", F.sum(size).over(w.rowsBetween(W.unboundedPreceding, 0)).cast("long"))
+    """``rows`` with ``batch``, ``most`` rows each, and ``bytes``, the running size in the group; groups may be of any size."""
+    placed = running(rows, by, [order], {"__place": F.lit(1).cast("long"), "bytes": size.cast("long")})
+    return placed.withColumn("batch", F.floor((F.col("__place") - 1) / most).cast("int")).drop("__place")
 
 
 def valid_object(reply: Column, checks: dict[str, Column]) -> Column:

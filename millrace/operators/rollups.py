@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.ranges import exact_median
+
 
 def stage_rollup(rows: DataFrame, grain: list[str], flags: dict[str, Column], identity: str) -> DataFrame:
     """By phase and region, by phase, and overall: rows, conditional counts and distinct identities.
@@ -38,12 +42,19 @@ def binary_metrics(rows: DataFrame, predicted: Column, actual: Column, by: list[
     return out.withColumns({"precision": share("tp", "fp"), "recall": share("tp", "fn")})
 
 
-def with_total(rows: DataFrame, grain: list[str], keep: list[str], aggregates: list[Column], label: str = "ALL") -> DataFrame:
-    """Groups by ``grain``, and again without its first column, which then reads ALL."""
+def with_total(rows: DataFrame, grain: list[str], aggregates: list[Column], median: tuple[str, str] | None = None, label: str = "ALL") -> DataFrame:
+    """Groups by ``grain``, and again without its first column, which then reads ALL; with the exact ``median`` of a column under a name."""
     first, rest = grain[0], grain[1:]
     sets = [[F.col(c) for c in grain], [F.col(c) for c in rest]]
     out = rows.groupingSets(sets, *(F.col(c) for c in grain)).agg(F.grouping(first).alias("__all"), *aggregates)
-    return out.withColumn(first, F.when(F.col("__all") == 1, label).otherwise(F.col(first).cast("string"))).drop("__all")
+    told = out.withColumn(first, F.when(F.col("__all") == 1, label).otherwise(F.col(first).cast("string"))).drop("__all")
+    if median is None:
+        return told
+    value, into = median
+    twice = rows.select(F.explode(F.array(F.col(first).cast("string"), F.lit(label))).alias(first), *rest, value)
+    found = exact_median(twice, grain, value, into).select(*(F.col(c).alias(f"__{c}") for c in grain), into)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in grain])
+    return told.join(found, same, "left").drop(*(f"__{c}" for c in grain))
 
 
 def run_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -59,6 +70,40 @@ def running_ledger(rows: DataFrame, by: list[str], order: list[str], cost: Colum
     return rows.withColumn("spent", F.round(F.sum(cost).over(w), 2)).withColumn("allowed", F.col("spent") <= cap)
 
 
+def success_rates(rows: DataFrame, by: str, ok: Column, value: str, least: float, most: float) -> DataFrame:
+    """(by, n, ok, share, rule): GO if the share of successes reaches ``least`` and the exact median of ``value`` is at most ``most``."""
+    told = rows.groupBy(by).agg(F.count("*").alias("n"), F.count_if(ok).alias("ok"))
+    middle = exact_median(rows, [by], value, "__median")
+    go = (F.col("ok") >= least * F.col("n")) & (F.col("__median") <= most)
+    return told.join(middle, by).withColumns({"share": F.round(F.col("ok") / F.col("n"), 6), "rule": F.when(go, "GO").otherwise("NO-GO")}).drop("__median")
+
+
+def token_usage(rows: DataFrame, by: list[str], tokens: Column) -> DataFrame:
+    """(by, tokens, unknown, requests): sums in which unknown counts are 0, and how many are unknown."""
+    return rows.groupBy(*by).agg(F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens"), F.count_if(tokens.isNull()).alias("unknown"), F.count("*").alias("requests"))
+
+
+def merged_maps(rows: DataFrame, by: list[str], maps: str) -> DataFrame:
+    """(by, key, value): the maps of all rows of a group added key by key."""
+    return rows.select(*by, F.explode(maps)).groupBy(*by, "key").agg(F.sum("value").alias("value"))
+
+
+def union_keys(*parts: tuple[DataFrame, str], into: str = "k") -> DataFrame:
+    """The distinct non-null keys of several tables."""
+    return reduce(DataFrame.unionByName, [rows.select(F.col(c).alias(into)) for rows, c in parts]).where(F.col(into).isNotNull()).distinct()
+
+
+def union_relations(old: Column, new: Column) -> Column:
+    """struct<related, changed>: the old relations in order, then new ones that aren't among them; unchanged ones need no write."""
+    both = F.array_union(F.coalesce(old, F.array().cast("array<string>")), F.coalesce(new, F.array().cast("array<string>")))
+    return F.struct(both.alias("related"), (F.size(both) > F.size(F.array_distinct(F.coalesce(old, F.array().cast("array<string>"))))).alias("changed"))
+
+
+def tier_counts(rows: DataFrame, tier: str, tiers: tuple[str, ...], by: list[str] | None = None) -> DataFrame:
+    """How many rows of each tier, zeros included."""
+    return rows.groupBy(*(by or [])).agg(*(F.count_if(F.col(tier) == t).alias(t) for t in tiers))
+
+
 def set_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """One row: keys in both and in either one alone."""
     both = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))).groupBy(key).agg(F.max("l").alias("l"), F.max("r").alias("r"))

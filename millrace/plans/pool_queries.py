@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, scores, text, urls
 from millrace.operators import events, identity, ranking, selection
 from millrace.plans.catalog import query
+from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import ARTICLES_SQL, articles
 from millrace.plans.values import EVENT_STOP_WORDS, EVENT_WORD_FORMS
 from millrace.sources.tables import table
@@ -189,10 +190,17 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles(spark, sf_dir).select(F.col("doc_id").alias("key"), text.title_tokens(F.col("title")).alias("tokens"))
 
 
-@query("event_pairs_jaccard", f"""with {EVENT_TOKENS_SQL} select a.key as a, b.key as b from tokens a join tokens b on a.key < b.key
+@query("event_pairs_jaccard", f"""with {EVENT_TOKENS_SQL}, reps as (select t, min(key) as key from tokens where len(t) > 0 group by t) select a.key as a, b.key as b from reps a join reps b on a.key < b.key
     where len(list_intersect(a.t, b.t)) > 0 and len(list_intersect(a.t, b.t)) >= 0.72 * (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) - 1e-9""")
 def event_pairs_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.event_pairs(event_rows(spark, sf_dir), "key", "tokens", 0.72).select("a", "b")
+    """Pairs of titles that nearly agree, between the first documents of equal ones; ``event_classes`` tells whose they are."""
+    return events.class_pairs(cut(events.event_classes(event_rows(spark, sf_dir), "key", "tokens"))).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+@query("event_classes", f"with {EVENT_TOKENS_SQL} select key, min(key) over (partition by t) as rep from tokens where len(t) > 0")
+def event_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = event_rows(spark, sf_dir)
+    return rows.withColumn("tokens", F.array_sort("tokens")).join(events.event_classes(rows, "key", "tokens"), "tokens").select("key", "rep")
 
 
 @query("leader_dedupe", f"""

@@ -38,7 +38,7 @@ def acquisition(spark: SparkSession, sf_dir: str) -> DataFrame:
     select coalesce(event_type, 'ALL') as event_type, k, count(*) as n, median(value) as median_value, count(*) filter (where value > 100) as high from (select event_type, value, user_id % 3 as k from events) group by grouping sets ((event_type, k), (k))""")
 def latency_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events", "event_type", "value", "user_id").withColumn("k", F.col("user_id") % 3)
-    return rollups.with_total(rows, ["event_type", "k"], ["k"], [F.count("*").alias("n"), F.median("value").alias("median_value"), F.count_if(F.col("value") > 100).alias("high")])
+    return rollups.with_total(rows, ["event_type", "k"], [F.count("*").alias("n"), F.count_if(F.col("value") > 100).alias("high")], ("value", "median_value"))
 
 
 @query("status_histogram", "select user_id, list(event_type || ':' || n order by event_type) as histogram from (select user_id, event_type, count(*) as n from events group by 1, 2) group by 1")
@@ -71,14 +71,19 @@ def decision_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("token_usage", "select event_type, coalesce(sum(case when user_id % 7 = 0 then null else event_id % 100 end), 0)::bigint as tokens, count(*) filter (where user_id % 7 = 0) as unknown, count(*) as requests from events group by 1")
 def token_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = F.when(F.col("user_id") % 7 != 0, F.col("event_id") % 100)
-    return table(spark, sf_dir, "events", "event_type", "user_id", "event_id").groupBy("event_type").agg(F.sum(F.coalesce(used, F.lit(0))).alias("tokens"), F.count_if(used.isNull()).alias("unknown"), F.count("*").alias("requests"))
+    return rollups.token_usage(table(spark, sf_dir, "events", "event_type", "user_id", "event_id"), ["event_type"], used)
 
 
-@query("map_merge", "select k, sum(n)::bigint as n from (select event_type as k, count(*) as n from events where user_id % 2 = 0 group by 1 union all select event_type, count(*) from events where user_id % 2 = 1 group by 1) group by 1")
+@query("map_merge", "select user_id % 7 as run, event_type as k, count(*) as n from events group by 1, 2")
 def map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events", "event_type", "user_id")
-    part = lambda k: rows.where(F.col("user_id") % 2 == k).groupBy(F.col("event_type").alias("k")).agg(F.count("*").alias("n"))
-    return part(0).unionByName(part(1)).groupBy("k").agg(F.sum("n").alias("n"))
+    """Each user's counts as a map, the maps of a run added."""
+    counts = table(spark, sf_dir, "events", "event_type", "user_id").groupBy("user_id", "event_type").agg(F.count("*").alias("n")).groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "n"))).alias("m"))
+    return rollups.merged_maps(counts.withColumn("run", F.col("user_id") % 7), ["run"], "m").select("run", F.col("key").alias("k"), F.col("value").alias("n"))
+
+
+@query("tier_counts", f"with {CANDIDATES_SQL} select region, count(*) filter (tier = 'strict') as strict, count(*) filter (tier = 'fallback') as fallback, 0::bigint as other from scored group by 1")
+def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.tier_counts(candidates(spark, sf_dir), "tier", ("strict", "fallback", "other"), ["region"])
 
 
 @query("binary_metrics", """
@@ -108,15 +113,18 @@ def headline_setops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.set_overlap(rows.where("source = 'src0'"), rows.where("source <> 'src0'"), "k")
 
 
-@query("exclusion_union", "select o_custkey as k from orders union select c_custkey from customer")
+@query("exclusion_union", "select o_custkey as k from orders union select c_custkey from customer union select s_suppkey from supplier")
 def exclusion_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders", "o_custkey").select(F.col("o_custkey").alias("k")).union(table(spark, sf_dir, "customer", "c_custkey")).distinct()
+    return rollups.union_keys((table(spark, sf_dir, "orders", "o_custkey"), "o_custkey"), (table(spark, sf_dir, "customer", "c_custkey"), "c_custkey"), (table(spark, sf_dir, "supplier", "s_suppkey"), "s_suppkey"))
 
 
-@query("relation_union", "select o_custkey, list_sort(list(distinct o_orderstatus)) as related from orders group by 1")
+@query("relation_union", """
+    with r as (select o_custkey, coalesce(list_sort(list(distinct o_orderstatus) filter (o_orderstatus <> 'P')), []) as old, list_sort(list(distinct o_orderstatus)) as new from orders group by 1)
+    select o_custkey, list_concat(old, list_filter(new, lambda x: not list_contains(old, x))) as related, len(list_filter(new, lambda x: not list_contains(old, x))) > 0 as changed from r""")
 def relation_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("new"), F.collect_set(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))).alias("old"))
-    return rows.select("o_custkey", F.array_sort(F.array_union("old", "new")).alias("related"))
+    known = lambda c: F.array_sort(F.collect_set(c))
+    rows = table(spark, sf_dir, "orders", "o_custkey", "o_orderstatus").groupBy("o_custkey").agg(known("o_orderstatus").alias("new"), known(F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))).alias("old"))
+    return rows.select("o_custkey", F.inline(F.array(rollups.union_relations(F.col("old"), F.col("new")))))
 
 
 @query("cost_ledger", """
@@ -144,9 +152,8 @@ def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     select user_id % 10 as publisher, count(*) as n, count(*) filter (where event_type <> 'error') as ok, round(count(*) filter (where event_type <> 'error') / count(*)::double, 6) as share,
            case when count(*) filter (where event_type <> 'error') >= 0.8 * count(*) and median(value) <= 60 then 'GO' else 'NO-GO' end as rule from events group by 1""")
 def success_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok = F.count_if(F.col("event_type") != "error")
-    go = (ok >= 0.8 * F.count("*")) & (F.median("value") <= 60)
-    return table(spark, sf_dir, "events", "user_id", "event_type", "value").groupBy((F.col("user_id") % 10).alias("publisher")).agg(F.count("*").alias("n"), ok.alias("ok"), F.round(ok / F.count("*"), 6).alias("share"), F.when(go, "GO").otherwise("NO-GO").alias("rule"))
+    rows = table(spark, sf_dir, "events", "user_id", "event_type", "value").withColumn("publisher", F.col("user_id") % 10)
+    return rollups.success_rates(rows, "publisher", F.col("event_type") != "error", "value", 0.8, 60)
 
 
 @query("json_fields", "select (props::json->>'k')::int as k, count(*) as n, round(sum(value::decimal(18,2)), 2)::double as total from events group by 1")
