@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import keywords, scores, text, urls
+from millrace.functions import keywords, relevance, scores, text, urls
 from millrace.operators import events, gates, ranking, selection
 from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import articles
@@ -34,14 +34,13 @@ def candidates(rows: DataFrame, now: Column, config: EngineConfig, seen: DataFra
     """All articles with the first reason that excludes them, or with score, tier and region."""
     gated = gates.objective_gate(rows, now, config, seen)
     assess = (seams.assess if seams else None) or default_assess
-    region = keywords.primary_region(F.array(F.col("region")))
-    judged = assess(gated).withColumns({"scope": gates.scope_reason(F.col("story"), F.col("novelty")), "registered": F.col("source").isNotNull(), "publisher": urls.hostname(F.col("url")), "region": region})
+    judged = assess(gated).withColumns({"scope": gates.scope_reason(F.col("story"), F.col("novelty")), "registered": F.col("source").isNotNull(), "publisher": urls.hostname(F.col("url"))})
     required = F.when(F.col("registered"), config.minimum_relevance).otherwise(config.unregistered_relevance)
     low = F.concat(F.lit("relevance below "), required.cast("string"))
     reason = F.coalesce("reason", "scope", F.when(F.col("region").isNull(), "geography unresolved"), F.when(F.col("relevance") < required, low))
     fallback = gates.fallback_eligible(F.col("relevance"), F.col("significance"), required, F.col("registered"), F.col("region"), reason, F.lit(False), config.fallback_floor)
     tier = F.when(reason.isNull(), "strict").when(fallback, "fallback")
-    return judged.withColumns({"reason": reason, "tier": tier, "score": scores.queue_score(F.col("relevance"), F.col("significance"), F.col("quality"), config.weights)})
+    return judged.withColumns({"required": required, "reason": reason, "tier": tier, "score": scores.queue_score(F.col("relevance"), F.col("significance"), F.col("quality"), config.weights)})
 
 
 EVENT_FEATURES = ("canonical", "place", "measures", "tokens", "published", "said", "told")
@@ -55,16 +54,40 @@ def event_features(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"canonical": F.nullif(F.col("url"), F.lit("")), "place": place, "measures": events.measures(title), "tokens": text.title_tokens(title), "said": events.announcement_tokens(title), "told": events.announcement_tokens(snippet)})
 
 
-def select(pool: DataFrame, config: EngineConfig, week: selection.State | None = None) -> DataFrame:
-    """Winners of candidates with a tier, one of each event, best first, beside what the week already has.
+def tells_event_of(rows: DataFrame, winners: DataFrame, threshold: float) -> DataFrame:
+    """The keys of rows that tell the event of one of the few ``winners``, whose features go into the plan as values."""
+    won = [r.asDict() for r in winners.select("key", *EVENT_FEATURES).collect()]  # as many as a run picks
+    kinds = dict(rows.dtypes)
+
+    def value(name: str, x: object) -> Column:
+        if isinstance(x, dict):
+            pairs = [F.lit(v) for kv in x.items() for v in kv]
+            return F.create_map(*pairs).cast(kinds[name])
+        return (F.array(*map(F.lit, x)) if isinstance(x, list) else F.lit(x)).cast(kinds[name])
+
+    told = rows.select("key", F.struct(*EVENT_FEATURES).alias("__row"), *(F.struct(*(value(n, w[n]).alias(n) for n in EVENT_FEATURES)).alias(f"__w{k}") for k, w in enumerate(won)))
+    same = F.lit(False)
+    for k in range(len(won)):
+        same = same | F.coalesce(events.same_event("__row", f"__w{k}", threshold, policy=True), F.lit(False))
+    return told.where(same).select("key")
+
 
-    The pool is stored once, with the few columns that later steps read over and over.
+def select_all(pool: DataFrame, config: EngineConfig, week: selection.State | None = None) -> DataFrame:
+    """Every candidate of a tier: winners with pick and phase, all others with the reason why not; see ``selection.select_week``.
+
+    The pool is stored once, with the features that decide which rows are one event.
     """
-    rows = cut(pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title", *(["snippet"] if "snippet" in pool.columns else [])))
-    rows = selection.open_candidates(rows, week or selection.State(), config.publisher_cap, config.event_similarity)
-    ranked = event_features(rows).withColumn("rank", F.struct((-F.col("score")).alias("s"), F.col("url"), F.col("key")))
-    kept = events.dedupe_same_events(ranked.select("key", "rank", *EVENT_FEATURES), "key", "rank", config.event_similarity).where("kept").select("key")
-    return selection.select_final(rows.join(kept, "key"), dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap, week, config.event_similarity)
+    kept = pool.where("tier is not null").withColumnRenamed("doc_id", "key").select(*selection.FIELDS, "title", *(c for c in ("snippet", "required") if c in pool.columns))
+    rows = cut(event_features(kept))
+    ranked = lambda part: part.withColumn("rank", F.struct((-F.col("score")).alias("s"), (-F.col("relevance")).alias("r"), (-F.col("significance")).alias("g"), (-F.coalesce("quality", F.lit(0.0))).alias("q"), F.coalesce(-F.unix_timestamp("published"), F.lit(2**62)).alias("p"), "url", "key"))
+    dedupe = lambda part: events.dedupe_same_events(ranked(part).select("key", "rank", *EVENT_FEATURES), "key", "rank", config.event_similarity).select("key", "kept")
+    protect = lambda part, won: tells_event_of(part, rows.join(F.broadcast(won.select("key")), "key", "left_semi"), config.event_similarity)
+    return selection.select_week(rows, dict(zip(REGIONS, config.targets, strict=True)), config.run_limit, config.publisher_cap, week, dedupe, protect, config.event_similarity)
+
+
+def select(pool: DataFrame, config: EngineConfig, week: selection.State | None = None) -> DataFrame:
+    """The winners of ``select_all``."""
+    return select_all(pool, config, week).where("pick is not null").drop("reason")
 
 
 def shortlists(pool: DataFrame, config: EngineConfig) -> DataFrame:
@@ -72,9 +95,27 @@ def shortlists(pool: DataFrame, config: EngineConfig) -> DataFrame:
     return ranking.round_robin(pool.where("reason is null"), ["region"], "publisher", ranking.final_order(), config.shortlist_max)
 
 
+def registry(rows: DataFrame) -> DataFrame:
+    """Sources as a registry would list them: a region and a quality for each. The tables at hand have none, so both follow the name."""
+    names = F.element_at(F.array(*map(F.lit, REGIONS)), (F.pmod(F.xxhash64("source"), F.lit(len(REGIONS))) + 1).cast("int"))
+    return rows.select("source").where("source is not null").distinct().withColumns({"source_region": names, "quality": (F.pmod(F.xxhash64("source"), F.lit(97)) % 10 + 1).cast("double")})
+
+
+def routed(rows: DataFrame) -> DataFrame:
+    """Articles with ``region``: by title and snippet, else by their source's, blocked if foreign-local, Global if systemic."""
+    words = relevance.article_words(F.col("title"), F.col("snippet"))
+    read = rows.withColumn("__words", words)
+    at = keywords.assigned_region(F.col("title"), F.col("snippet"), F.array("source_region"), F.lit(False), relevance.foreign_local(F.col("title"), F.col("__words")), relevance.systemic(F.col("__words")))
+    return read.withColumn("__at", at).withColumns({"region": F.col("__at.region"), "region_basis": F.col("__at.basis")}).drop("__words", "__at")
+
+
+def pool(spark: SparkSession, sf_dir: str, config: EngineConfig, seams: Seams | None = None) -> DataFrame:
+    """Documents as articles with their source's registry row, gated and routed."""
+    rows = articles(spark, sf_dir).withColumn("snippet", text.snippet(F.col("body")))
+    known = rows.join(registry(rows), "source", "left")
+    return candidates(routed(known.select("doc_id", *(c for c in known.columns if c != "doc_id"))), F.lit("2024-02-01").cast("timestamp"), config, seams=seams)
+
+
 def run(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None, week: selection.State | None = None) -> DataFrame:
     config = (config or EngineConfig()).validate()
-    rows = articles(spark, sf_dir)
-    names = F.element_at(F.array(*map(F.lit, REGIONS)), (F.pmod(F.xxhash64("source"), F.lit(len(REGIONS))) + 1).cast("int"))
-    rows = rows.withColumns({"region": names, "quality": (F.col("doc_id") % 10 + 1).cast("double"), "snippet": text.snippet(F.col("body"))})
-    return select(candidates(rows, F.lit("2024-02-01").cast("timestamp"), config), config, week)
+    return select(pool(spark, sf_dir, config), config, week)
