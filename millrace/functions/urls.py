@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.bind import let
@@ -84,6 +84,20 @@ def content_hash(title: Column, source: Column) -> Column:
     return F.sha2(F.concat(norm(title), F.lit("|"), norm(source)), 256)
 
 
+def refreshed_identity(rows: DataFrame) -> DataFrame:
+    """Rows with canonical, url, publisher_key, url_hash and content_hash made anew.
+
+    Each address stands in for the other where one is blank; a publisher's key is the one it
+    has, else its registry id ``source_id``, else its host.
+    """
+    blank = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    had = blank("canonical") if "canonical" in rows.columns else F.lit(None).cast("string")
+    full = rows.withColumn("canonical", canonical_url(F.coalesce(had, blank("url"), F.lit(""))))
+    named = full.withColumn("url", F.coalesce(F.nullif(canonical_url(F.coalesce(F.col("url"), F.lit(""))), F.lit("")), F.col("canonical")))
+    key = F.coalesce(blank("publisher_key"), blank("source_id"), hostname(F.col("canonical")))
+    return named.withColumns({"publisher_key": key, "url_hash": F.when(F.col("canonical") != "", url_hash(F.col("canonical"))).otherwise(""), "content_hash": content_hash(F.col("title"), F.col("source"))})
+
+
 def image_identity(url: Column) -> Column:
     """The canonical address without its query."""
     return F.regexp_replace(canonical_url(url), r"\?.*$", "")

@@ -132,6 +132,12 @@ def merge_supplement(feed: DataFrame, direct: DataFrame, wrapper: Column) -> Dat
     return merged.select(*columns).unionByName(rest.select(*columns))
 
 
+def first_seen(rows: DataFrame, key: str, place: str) -> DataFrame:
+    """``rows`` with ``repeated``: whether the key stands at an earlier place; a plain join on the key's first place."""
+    first = rows.groupBy(key).agg(F.min(place).alias("__first"))
+    return rows.join(first, key).withColumn("repeated", F.col(place) > F.col("__first")).drop("__first")
+
+
 def once_each(rows: DataFrame, key: list[str], enrich) -> DataFrame:
     """Applies a costly step to each distinct key once and joins the result back to all rows."""
     return rows.join(enrich(rows.select(*key).distinct()), key, "left")

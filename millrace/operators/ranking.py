@@ -53,3 +53,8 @@ def first_distinct(rows: DataFrame, group: list[str], identity: str, order: list
     """In each group the first row of every identity, with its place among these."""
     first = rows.withColumn("__n", F.row_number().over(W.partitionBy(*group, identity).orderBy(*order))).where("__n = 1").drop("__n")
     return first.withColumn("position", F.row_number().over(W.partitionBy(*group).orderBy(*order)))
+
+
+def featured(rows: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """The first rows of all; each task keeps no more than these."""
+    return rows.orderBy(*order).limit(most)

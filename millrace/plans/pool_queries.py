@@ -12,6 +12,7 @@ from millrace.plans.catalog import query
 from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import ARTICLES_SQL, articles
 from millrace.plans.values import EVENT_STOP_WORDS, EVENT_WORD_FORMS
+from millrace.sources import search
 from millrace.sources.tables import table
 
 TARGETS = {"AFRICA": 3, "AMERICA": 4, "ASIA": 3, "EUROPE": 2}
@@ -322,22 +323,20 @@ def decision_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
         select n_name, s_suppkey, s_acctbal, row_number() over (partition by n_name order by s_acctbal desc, s_suppkey) as n from supplier join nation on s_nationkey = n_nationkey) where n = 1)""")
 def provider_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal", "s_nationkey").join(table(spark, sf_dir, "nation", "n_nationkey", "n_name"), F.col("s_nationkey") == F.col("n_nationkey"))
-    best = identity.representative(joined, ["n_name"], [F.desc("s_acctbal"), F.asc("s_suppkey")])
-    return best.select("n_name", "s_suppkey", F.row_number().over(W.orderBy(F.desc("s_acctbal"), "n_name")).alias("rank"))  # one row a provider
+    return search.provider_order(joined, "n_name", "s_acctbal", [F.asc("s_suppkey")]).select("n_name", "s_suppkey", "rank")
 
 
 @query("preferred_domains", """
     select r_name, list(host order by q desc, host) as hosts from (select r_name, 's' || (s_suppkey % 40) || '.example.com' as host, max(s_acctbal) as q from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where r_name in ('ASIA', 'EUROPE') group by 1, 2) group by 1""")
 def preferred_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = table(spark, sf_dir, "supplier", "s_suppkey", "s_acctbal", "s_nationkey").join(table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    wanted = joined.where(F.arrays_overlap(F.array("r_name"), F.array(F.lit("ASIA"), F.lit("EUROPE"))))
-    hosts = wanted.groupBy("r_name", F.concat(F.lit("s"), F.col("s_suppkey") % 40, F.lit(".example.com")).alias("host")).agg(F.max("s_acctbal").alias("q"))
-    return hosts.groupBy("r_name").agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("q")).alias("q"), "host"))), lambda x: x["host"]).alias("hosts"))
+    host = F.concat(F.lit("s"), F.col("s_suppkey") % 40, F.lit(".example.com"))
+    return search.preferred_domains(joined.withColumn("regions", F.array("r_name")), "regions", ("ASIA", "EUROPE"), "r_name", host, "s_acctbal")
 
 
 @query("featured_top3", f"with {CANDIDATES_SQL} select key, relevance from scored order by relevance desc, lower(url) limit 3")
 def featured_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidates(spark, sf_dir).orderBy(F.desc("relevance"), F.lower("url")).limit(3).select("key", "relevance")
+    return ranking.featured(candidates(spark, sf_dir), [F.desc("relevance"), F.lower("url")], 3).select("key", "relevance")
 
 
 @query("discovery_fill", """
@@ -356,8 +355,7 @@ def discovery_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def image_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)).alias("pos", "href"))
     place = F.col("page_id") * 1000000 + F.col("pos")
-    first = links.groupBy("href").agg(F.min(place).alias("first"))
-    return links.join(first, "href").groupBy("page_id").agg(F.count("*").alias("links"), F.count_if(place > F.col("first")).alias("repeated"))
+    return identity.first_seen(links.withColumn("place", place), "href", "place").groupBy("page_id").agg(F.count("*").alias("links"), F.count_if("repeated").alias("repeated"))
 
 
 _T = ", ".join(f"('{r}', {n})" for r, n in TARGETS.items())

@@ -9,6 +9,7 @@ from millrace.functions import claims, dates, keywords, relevance, scores, text,
 from millrace.operators import gates
 from millrace.plans.catalog import query
 from millrace.plans.values import REGION_ALIASES, TRACKING_PARAMS, EngineConfig
+from millrace.sources import search
 from millrace.sources.tables import table
 
 _TRACKED = ", ".join(f"'{p}'" for p in TRACKING_PARAMS)
@@ -183,10 +184,14 @@ def region_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation", "n_nationkey", "n_name").select("n_nationkey", keywords.exact_region(F.col("n_name")).alias("region"), keywords.primary_region(labels).alias("first_region"))
 
 
-@query("query_builder", "select n_regionkey, string_agg('\"' || n_name || '\"', ' OR ' order by n_name) as search from nation group by 1")
+@query("query_builder", """
+    select r_name, '(' || case r_name when 'ASIA' then 'Asia OR East' when 'EUROPE' then 'Europe' end || ') AND (' || string_agg('"' || n_name || '"', ' OR ' order by n_name) || ')' as search from nation join region on n_regionkey = r_regionkey where r_name in ('ASIA', 'EUROPE') group by 1
+    union all select r_name, string_agg('"' || n_name || '"', ' OR ' order by n_name) from nation join region on n_regionkey = r_regionkey where r_name not in ('ASIA', 'EUROPE') group by 1""")
 def query_builder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = F.array_sort(F.collect_set("n_name"))
-    return table(spark, sf_dir, "nation", "n_regionkey", "n_name").groupBy("n_regionkey").agg(F.array_join(F.transform(names, lambda x: F.concat(F.lit('"'), x, F.lit('"'))), " OR ").alias("search"))
+    """The query of each region's terms, where it has some, and of its nations."""
+    rows = table(spark, sf_dir, "nation", "n_regionkey", "n_name").join(table(spark, sf_dir, "region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+    names = rows.groupBy("r_name").agg(F.array_sort(F.collect_set("n_name")).alias("topics"))
+    return names.select("r_name", search.region_query(F.col("r_name"), {"ASIA": "Asia OR East", "EUROPE": "Europe"}, F.col("topics")).alias("search"))
 
 
 @query("date_cascade", """

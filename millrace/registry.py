@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import assisted_queries, page_queries, pool_queries, report_queries, scalar_queries, source_queries  # noqa: F401  queries register themselves
+from millrace.plans import assisted_queries, page_queries, pool_queries, report_queries, scalar_queries, service_queries, source_queries  # noqa: F401  queries register themselves
 from millrace.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
