@@ -66,7 +66,7 @@ def status_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("search_requests", """
     with w as (select doc_id as id, lang, source || '.example.com' as domain, n_chars, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')) as words from documents),
-         q as (select item_id as request_id, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> ''))[1:2] as query, (item_id * 7) % 70 as n, case when item_id % 3 = 0 then 'en' end as language from benchmark),
+         q as (select item_id as request_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')))[1:2] as query, (item_id * 7) % 70 as n, case when item_id % 3 = 0 then 'en' end as language from benchmark),
          h as (select request_id, id, n, row_number() over (partition by request_id order by n_chars desc, id) as position from q join w on list_has_all(w.words, q.query) and (q.language is null or q.language = w.lang))
     select request_id, id, position::int as position from h where position <= greatest(1, least(50, n))""")
 def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
