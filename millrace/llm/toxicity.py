@@ -47,7 +47,7 @@ TRAINED_BYTES = 4 << 20
 WINDOW = 40
 LEVEL = 13
 #: Windows whose gain a task remembers before it starts afresh.
-WINDOW_CACHE = 200_000
+WINDOW_CACHE = 100_000
 #: N-grams of words between blanks: sizes, least windows, least likelihood ratio, least times as frequent in toxic windows.
 GRAMS, LEAST, EVIDENCE, TIMES = (4, 5, 6), 3, 30, 6
 #: Of this many documents of the sample one calibrates and the others train.
