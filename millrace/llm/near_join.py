@@ -41,10 +41,10 @@ THRESHOLD = 0.8
 RECALL = 0.99999
 #: Most MinHash functions of a signature.
 FUNCTIONS = 160
-#: Bytes of shingle sets in a block of a component: what small ones aim at, and what none exceeds by more than chance.
-SMALL_BYTES, BLOCK_BYTES = 1 << 20, 16 << 20
-#: Most blocks of a component, as long as they stay below ``BLOCK_BYTES``.
-PIECES = 16
+#: Bytes of shingle sets in a block of a component: what is aimed at, and what none exceeds by more than chance.
+SMALL_BYTES, BLOCK_BYTES = 64 << 10, 16 << 20
+#: Most blocks of a component, as long as they stay below ``BLOCK_BYTES``, and the fewest members that are worth a block.
+PIECES, MEMBERS = 16, 16
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, functions: int = FUNCTIONS) -> tuple[int, int]:
@@ -171,10 +171,10 @@ def _verify(batches: Iterable[pa.RecordBatch], threshold: float) -> Iterator[pa.
         yield flush()
 
 
-def block_count(size: Column) -> Column:
-    """The number of blocks for a component whose sets have ``size`` shingles together."""
-    small, large = F.ceil(size * 8 / SMALL_BYTES), F.ceil(size * 8 / BLOCK_BYTES)
-    return F.greatest(F.lit(1), F.least(small, F.greatest(F.lit(PIECES), large))).cast("int")
+def block_count(size: Column, members: Column) -> Column:
+    """The number of blocks for a component of so many members, whose sets have ``size`` shingles together."""
+    wanted = F.least(F.ceil(size * 8 / SMALL_BYTES), F.ceil(members / MEMBERS), F.lit(PIECES))
+    return F.greatest(F.lit(1), wanted, F.ceil(size * 8 / BLOCK_BYTES)).cast("int")
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -195,7 +195,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     candidates = banded.join(buckets, "bucket").where("id <> least").select("id", "least").distinct()
     comp = components(candidates, "id", "least")
     placed = comp.select(F.col("node").alias("id"), F.col("root").alias("comp")).join(classes.select("id", "copies", "size"), "id")
-    members = placed.join(placed.groupBy("comp").agg(block_count(F.sum("size")).alias("blocks")), "comp").drop("size")
+    members = placed.join(placed.groupBy("comp").agg(block_count(F.sum("size"), F.count("*")).alias("blocks")), "comp").drop("size")
 
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
     chosen = texts.join(members, "id").select("comp", "blocks", "id", "copies", "text")

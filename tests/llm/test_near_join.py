@@ -48,6 +48,7 @@ def test_against_brute_force(spark, sf):
 
 def test_large_group_is_dealt_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_join, "SMALL_BYTES", 8 * 7 * 120)
+    monkeypatch.setattr(near_join, "MEMBERS", 1)
     rng = np.random.default_rng(5)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -60,10 +61,11 @@ def test_large_group_is_dealt_into_blocks(spark, monkeypatch):
 
 
 def test_blocks_are_bounded_and_few(spark):
-    sizes = [0, 1, 1 << 17, (1 << 17) + 1, 16 << 17, 16 << 21, (16 << 21) + 1, 100_000 * 200, 1_000_000 * 200]
-    got = [r.b for r in spark.createDataFrame([(n,) for n in sizes], "n long").select(near_join.block_count(F.col("n")).alias("b")).collect()]
-    assert got == [1, 1, 1, 2, 16, 16, 17, 16, 96]
-    assert all(n * 8 <= b * near_join.BLOCK_BYTES for n, b in zip(sizes, got, strict=True))
+    cases = [(0, 0, 1), (40, 2, 1), (1 << 13, 100, 1), ((1 << 13) + 1, 100, 2), (40_000, 2, 1), (70_000, 1789, 9), (16 << 17, 10_000, 16), (16 << 21, 10**5, 16), ((16 << 21) + 1, 10**5, 17), (20_000_000, 100_000, 16), (200_000_000, 10**6, 96), (9_000_000, 3, 5)]
+    rows = spark.createDataFrame([c[:2] for c in cases], "n long, members long")
+    got = {(r.n, r.members): r.b for r in rows.withColumn("b", near_join.block_count(F.col("n"), F.col("members"))).collect()}
+    assert got == {(n, m): b for n, m, b in cases}
+    assert all(n * 8 <= b * near_join.BLOCK_BYTES for (n, _), b in got.items())
 
 
 def test_compare_against_all_pairs():
