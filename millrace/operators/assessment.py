@@ -38,15 +38,15 @@ def whole_batches(replies: DataFrame, batch: str, key: str, valid: Column, asked
 Model = Callable[[list[dict]], list[dict]]
 
 
-def classify(items: list[dict], model: Model, most_bytes: int, attempts: int = 2) -> list[dict]:
+def classify(items: list[dict], model: Model, most_bytes: int, attempts: int = 2, latch: list[str] | None = None) -> list[dict]:
     """One outcome for each item: the verdict or an error.
 
     A group that is too large, or whose replies stay malformed, is halved; a single item that
     fails is an error of its own, so what is bad never costs its neighbours their verdicts.
-    A ``PermissionError`` of the model ends all further calls.
+    A ``PermissionError`` of the model ends all further calls and leaves its text in ``latch``.
     """
     done: dict[str, dict] = {}
-    latch: list[str] = []
+    latch = [] if latch is None else latch
 
     def run(group: list[dict]) -> None:
         if latch or not group:
@@ -57,7 +57,7 @@ def classify(items: list[dict], model: Model, most_bytes: int, attempts: int = 2
             try:
                 replies = model(group)
             except PermissionError as e:
-                latch.append(f"{REFUSED}{e}")
+                latch.append(str(e))
                 return
             except Exception as e:  # noqa: BLE001  any other failure of a call is an outcome
                 error = f"call failed: {e}"
@@ -80,13 +80,12 @@ REFUSED = "refused: "
 
 
 def _classify_frames(frames: Iterator[pd.DataFrame], model: Model, most_bytes: int, size: int) -> Iterator[pd.DataFrame]:
-    refused = ""
+    latch: list[str] = []
     for frame in frames:
         for k in range(0, len(frame), size):
-            items = frame.iloc[k : k + size].to_dict("records")
-            told = classify(items, model, most_bytes) if not refused else [{"id": i["id"], "decision": None, "error": refused} for i in items]
-            refused = next((t["error"] for t in told if (t["error"] or "").startswith(REFUSED)), "")
-            yield pd.DataFrame(told, columns=["id", "decision", "error"])
+            told = classify(frame.iloc[k : k + size].to_dict("records"), model, most_bytes, latch=latch)
+            unasked = lambda t: t["decision"] is None and latch and t["error"] == latch[0]
+            yield pd.DataFrame([t | {"error": REFUSED + t["error"]} if unasked(t) else t for t in told], columns=["id", "decision", "error"])
 
 
 def classified(rows: DataFrame, fields: list[str], model: Model, most_bytes: int = 200_000, size: int = 100, rounds: int = 4) -> DataFrame:

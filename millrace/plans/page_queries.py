@@ -5,55 +5,79 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import labels, pages
+from millrace.functions import labels, pages, text
 from millrace.plans.catalog import query
-from millrace.plans.scalar_queries import CANONICAL_SQL
+from millrace.plans.scalar_queries import _DROPPED_SQL, CANONICAL_SQL, STRIP_SQL
 from millrace.sources import structured
 from millrace.sources.tables import table
 
 
 @query("canonical_ladder", CANONICAL_SQL + """
-    select page_id, case page_id % 3 when 0 then 'https://' || host || '/c/' || page_id when 1 then canonical else canonical end as url, case page_id % 3 when 0 then 'canonical' when 1 then 'original' else 'original' end as status from c""")
+    select page_id, case when ends_with(url, '.html') then 'https://' || host || '/c/' || page_id else canonical end as url, case when ends_with(url, '.html') then 'canonical' when starts_with(url, 'http://') then 'redirected' else 'original' end as status
+    from (select * replace (case when starts_with(url, 'http://') and not ends_with(url, '.html') then replace(canonical, 'http://', 'https://') else canonical end as canonical) from c)""")
 def canonical_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.functions import urls
+    """Pages that name an address of their own host, of another one or none; plain ones end up at secure addresses."""
+    u = F.col("url")
+    host = F.lower(F.regexp_replace(F.regexp_extract(u, r"://([^/?#]*)", 1), r":\d*$", ""))
+    own = F.concat(F.lit('<link rel="x canonical" href="https://'), host, F.lit("/c/"), "page_id", F.lit('">'))
+    html = F.concat(F.lit("<head>"), F.when(u.endswith(".html"), own).when(u.contains("#"), '<link rel="canonical" href="https://elsewhere.org/">').otherwise(""), "html")
+    final = F.regexp_replace(u, "^http://", "https://")
+    found = pages.resolved_address(u, final, pages.canonical_link(html, u))
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", found["url"].alias("url"), found["status"].alias("status"))
+
+
+@query("retrieval_status", f"""
+    with t as (select page_id, url, strlen(html) as size, length({STRIP_SQL.replace('{}', _DROPPED_SQL)}) as told from pages)
+    select page_id, case when contains(url, '#') then 'invalid_url' when size > 6000 then 'feed_content' when contains(url, '?') then case when size % 2 = 0 then 'blocked' else 'fetch_failed' end
+        when ends_with(url, '/') then 'unsupported_content' when size * 500 > 2000000 then 'too_large' when told < 300 then 'insufficient_content' else 'extracted' end as status from t""")
+def retrieval_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by their addresses and sizes: broken, told by the feed, refused, failing, of another type, too large, thin and whole ones."""
+    u, size = F.col("url"), F.octet_length("html")
+    status = pages.retrieval_status(F.when(u.contains("#"), F.replace(u, F.lit("."), F.lit(" "))).otherwise(u), F.when(size > 6000, F.col("html")).otherwise(F.left("html", F.lit(299))), F.when(u.contains("?"), F.when(size % 2 == 0, 403).otherwise(500)).otherwise(200), F.when(u.endswith("/"), "image/png").otherwise("text/HTML; charset=utf-8"), size * 500, F.col("html"))
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", status.alias("status"))
 
-    k, u = F.col("page_id") % 3, F.col("url")
-    html = F.when(k == 0, F.concat(F.lit('<link rel="x canonical" href="https://'), urls.hostname(F.regexp_replace(u, "://www", "://vvv")), F.lit("/c/"), "page_id", F.lit('">'))).when(k == 1, '<link rel="canonical" href="https://elsewhere.org/">').otherwise("<p>")
-    html = F.regexp_replace(html, "https://vvv", "https://www")
-    found = pages.resolved_address(u, u, pages.canonical_link(html, u))
-    return table(spark, sf_dir, "pages", "page_id", "url").select("page_id", found["url"].alias("url"), found["status"].alias("status"))
 
+_WORDS_SQL = "list_distinct(regexp_extract_all(lower({}), '[\\p{L}\\p{N}]{3,}'))"
 
-@query("retrieval_status", """
-    select page_id, case when page_id % 11 = 0 then 'invalid_url' when page_id % 7 = 0 then 'feed_content' when page_id % 5 = 0 then 'blocked' when page_id % 5 = 1 then 'fetch_failed' when page_id % 5 = 2 then 'unsupported_content' when page_id % 5 = 3 then 'too_large' else 'insufficient_content' end as status from pages""")
-def retrieval_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id")
-    status = pages.retrieval_status(F.when(k % 11 == 0, "nowhere").otherwise(F.col("url")), F.when(k % 7 == 0, F.repeat(F.lit("x"), 300)).otherwise(""), F.when(k % 5 == 0, 403).when(k % 5 == 1, 500).otherwise(200), F.when(k % 5 == 2, "image/png").otherwise("text/html"), F.when(k % 5 == 3, 3_000_000).otherwise(10), F.lit("<p>short</p>"))
-    return table(spark, sf_dir, "pages", "page_id", "url").select("page_id", status.alias("status"))
 
-
-@query("page_quality", """
-    select page_id, case when page_id % 4 = 0 then 'wall' when page_id % 4 = 1 then 'mismatch' when page_id % 4 = 2 then 'full' else 'partial' end as quality from pages""")
+@query("page_quality", f"""
+    with p as (select page_id, url, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as title, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) as paragraphs from pages),
+         j as (select a.page_id, a.url, b.title, {STRIP_SQL.replace('{}', 'a.html')} as body, a.paragraphs from p a join p b on b.page_id = a.page_id - case when contains(a.url, '?') and a.page_id > 0 then 1 else 0 end),
+         w as (select *, {_WORDS_SQL.replace('{}', 'title')} as tw, list_intersect({_WORDS_SQL.replace('{}', 'title')}, {_WORDS_SQL.replace('{}', 'body')}) as shared from j)
+    select page_id, case when contains(url, '/de/') then 'wall' when len(shared) < 2 or len(shared) < 0.45 * len(tw) then 'mismatch' when len(list_filter(paragraphs, lambda x: length(x) >= 60)) >= 2 then 'full' else 'partial' end as quality from w""")
 def page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("page_id") % 4
-    body = F.when(k == 0, "Water plan told. Subscribe to continue").when(k == 1, "Something else").otherwise("The water plan is told")
-    paragraphs = F.when(k == 2, F.array(F.repeat(F.lit("w"), 60), F.repeat(F.lit("w"), 90))).otherwise(F.array(F.lit("short")))
-    return table(spark, sf_dir, "pages", "page_id").select("page_id", pages.page_quality(F.lit("Water plan told"), body, paragraphs).alias("quality"))
+    """Pages against their own titles or, with a query in the address, those of the page before; German ones end at a wall."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    rows = table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", text.strip_html(F.col("html")).alias("body"), F.regexp_extract_all("html", F.lit(r"(?s)<p>(.*?)</p>"), 1).alias("paragraphs"), title.alias("title"))
+    of = F.col("page_id") - F.when(F.col("url").contains("?") & (F.col("page_id") > 0), 1).otherwise(0)
+    joined = rows.drop("title").withColumn("of", of).join(rows.select(F.col("page_id").alias("of"), "title"), "of")
+    body = F.when(F.col("url").contains("/de/"), F.concat("body", F.lit(" Sign in to continue"))).otherwise(F.col("body"))
+    return joined.select("page_id", pages.page_quality(F.col("title"), body, F.col("paragraphs")).alias("quality"))
 
 
-@query("challenge_pages", "select page_id, page_id % 3 = 0 as challenge from pages")
+@query("challenge_pages", "select page_id, ends_with(url, '.html') and not contains(url, '/es/') as challenge from pages")
 def challenge_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<title>Just a moment...</title>"), "html")).otherwise(F.col("html"))
-    return table(spark, sf_dir, "pages", "page_id", "html").select("page_id", pages.challenge(html).alias("challenge"))
+    """Some pages get the title, the headline or the form that asks for proof, in words that differ by language."""
+    u = F.col("url")
+    mark = F.when(u.contains("/en/"), "<title>Just a moment...</title>").when(u.contains("/de/"), '<h1 class="x">Are you a robot?</h1>').when(u.contains("/fr/"), '<form method="post" action="/consent/save">').otherwise("<title>Moment</title>")
+    html = F.when(u.endswith(".html"), F.concat(mark, "html")).otherwise(F.col("html"))
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", pages.challenge(html).alias("challenge"))
 
 
 @query("structured_objects", """
-    select page_id, 'https://x.org/' || page_id as url, 'second ' || page_id as headline, '2024-01-05' as dated from pages""")
+    with p as (select page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as title, length(html) % 3 as n, (select regexp_extract(b.html, '(?is)<title[^>]*>(.*?)</title>', 1) from pages b where b.page_id = pages.page_id - 1) as before from pages)
+    select page_id, 'https://x.org/' || k as url, case when k = page_id then title else coalesce(before, 'first') end as headline, '2024-01-0' || (1 + n) as dated from (select *, unnest([page_id, page_id + 1000000][1:1 + n]) as k from p)""")
 def structured_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page with a nested object named twice, the later of which counts, beside a block that isn't JSON."""
-    one = lambda n: F.concat(F.lit('{"url": "https://x.org/'), "page_id", F.lit(f'", "headline": "{n} '), "page_id", F.lit('", "datePublished": "2024-01-05"}'))
-    block = F.concat(F.lit('<script type="application/ld+json">{"@graph": [{"a": '), one("first"), F.lit("}, "), one("second"), F.lit(']}</script><script type="application/json">{broken</script>'))
-    return structured.structured_index(table(spark, sf_dir, "pages", "page_id", "html").withColumn("html", F.concat(block, "html"))).select("page_id", "url", "headline", "dated")
+    """Each page with its title in a nested object that is named twice, the later of which counts, some with the page before's, beside a block that isn't JSON."""
+    title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    rows = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", title.alias("title"), (F.length("html") % 3).alias("n"))
+    told = rows.join(rows.select((F.col("page_id") + 1).alias("page_id"), F.col("title").alias("before")), "page_id", "left")
+    one = lambda k, headline: F.struct(F.concat(F.lit("https://x.org/"), k).alias("url"), headline.alias("headline"), F.concat(F.lit("2024-01-0"), 1 + F.col("n")).alias("datePublished"))
+    k = F.col("page_id")
+    own = [one(k, F.lit("stale")), one(k, F.col("title")), one(k + 1000000, F.coalesce("before", F.lit("first")))]
+    graph = F.to_json(F.struct(F.array(F.struct(own[0].alias("a")), F.struct(own[1].alias("a"))).alias("@graph"), F.when(F.col("n") > 0, own[2]).alias("more")))
+    block = F.concat(F.lit('<script type="application/ld+json">'), graph, F.lit('</script><script type="application/json">{broken</script>'))
+    return structured.structured_index(told.select("page_id", block.alias("html"))).select("page_id", "url", "headline", "dated")
 
 
 @query("acquisition_method", """

@@ -192,13 +192,19 @@ def draft_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drafts.zip_by_position(side("user"), side("assistant"), ["conv_id", "place"]).select("conv_id", "place", "status")
 
 
-@query("draft_numbers")
+@query("draft_numbers", """
+    with o as (select o_orderkey as k, o_custkey as c, o_orderstatus as s, regexp_replace(regexp_replace(round(o_totalprice, 2)::decimal(12,2)::varchar, '(\\.\\d*?)0+$', '\\1'), '\\.$', '') as price from orders)
+    select k as o_orderkey, unnest(list_filter([{'value': k::varchar, 'unit': 'mw'}, {'value': price, 'unit': ''}, {'value': c::varchar, 'unit': 'ton/year'}],
+        lambda x: not case s when 'F' then x.unit <> 'ton/year' or c = 0 when 'O' then x.unit = 'mw' else false end), recursive := true) from o""")
 def draft_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers that an assistant's turns claim and the other turns of the conversation lack."""
-    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    said = lambda own: F.concat_ws("\n", F.sort_array(F.collect_list(F.when((F.col("role") == "assistant") == own, F.col("text")))))
-    told = turns.groupBy("conv_id").agg(said(True).alias("story"), said(False).alias("evidence"))
-    return drafts.number_warnings(told.select("conv_id", "story"), told.select("conv_id", "evidence"), ["conv_id"])
+    """Orders as stories of three numbers; the evidence of some holds two of them, of others one, of others a wrong unit."""
+    k, c, price = F.col("o_orderkey"), F.col("o_custkey"), F.round("o_totalprice", 2).cast("decimal(12,2)")
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice").select(
+        "o_orderkey", F.concat(F.lit("A plant of "), k, F.lit(" MW cost "), price, F.lit(", with an annual output of "), c, F.lit(" tons.")).alias("story"),
+        F.when(F.col("o_orderstatus") == "F", F.concat(k, F.lit(" megawatts for "), price, F.lit("; "), F.when(c == 0, "0 tons per year").otherwise("tons")))
+        .when(F.col("o_orderstatus") == "O", F.concat(k, F.lit("-MW, "), c + 1, F.lit(" tons annually"))).otherwise(F.concat(k, F.lit(" GW"))).alias("evidence"),
+    )
+    return drafts.number_warnings(rows.select("o_orderkey", "story"), rows.select("o_orderkey", "evidence"), ["o_orderkey"])
 
 
 @query("source_lines", CANONICAL_SQL + " select page_id, [canonical] as urls from c")

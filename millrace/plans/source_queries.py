@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.gates import source_errors
 from millrace.plans import ingestion
 from millrace.plans.catalog import query
+from millrace.plans.scalar_queries import CLEAN_SQL
 from millrace.sources import feeds, listings, state
 from millrace.sources.tables import table
 from millrace.streaming import state as streams
 
 
-@query("feed_scan", """
-    select doc_id, 'https://' || source || '.example.com/a/' || doc_id as url, trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g')) as title, make_timestamp(1704067200000000 + (doc_id % 1000) * 60000000) as published from documents
-    where not regexp_matches(split_part(text, chr(10), 1), '[<>&]')""")
+@query("feed_scan", f"""
+    select doc_id, 'https://' || source || '.example.com/a/' || doc_id as url, {CLEAN_SQL.replace('{}', "split_part(text, chr(10), 1)")} as title, make_timestamp(1704067200000000 + (doc_id % 1000) * 60000000) as published from documents""")
 def feed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a one-entry feed, parsed back. Titles with markup are unescaped twice, so they have no SQL form."""
+    """Every document as a one-entry feed, parsed back. Titles may hold markup, which is stripped and unescaped twice."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    esc = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     line = F.substring_index("text", "\n", 1)
     dated = F.date_format(F.timestamp_seconds(F.lit(1704067200) + (F.col("doc_id") % 1000) * 60), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    xml = F.concat(F.lit("<rss><channel><item><title>"), esc(line), F.lit("</title><link>https://"), "source", F.lit(".example.com/a/"), "doc_id", F.lit("?utm_source=feed</link><pubDate>"), dated, F.lit("</pubDate></item></channel></rss>"))
-    files = docs.where(~line.rlike("[<>&]")).select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content"))
+    xml = F.concat(F.lit("<rss><channel><item><title>"), _escaped(line), F.lit("</title><link>https://"), "source", F.lit(".example.com/a/"), "doc_id", F.lit("?utm_source=feed</link><pubDate>"), dated, F.lit("</pubDate></item></channel></rss>"))
+    files = docs.select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content"))
     return feeds.feed_articles(feeds.parse_feeds(files)).select(F.col("path").cast("long").alias("doc_id"), "url", "title", "published")
 
 
-@query("feed_outcomes", "select case doc_id % 3 when 0 then 'Parse Error' when 1 then 'Empty' else 'Success' end as outcome, count(*) as feeds, sum(case when doc_id % 3 = 2 then 2 else 0 end)::bigint as articles from documents group by 1")
+def _escaped(x: Column) -> Column:
+    return F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@query("feed_outcomes", """
+    with f as (select lang, len(string_split(text, chr(10))) as n, n_chars % 2 = 0 as whole from documents), o as (select case when lang = 'de' then 'Parse Error' when lang = 'es' and whole then 'Empty' when lang = 'es' then 'Parse Error' else 'Success' end as outcome, n from f)
+    select outcome, count(*) as feeds, sum(case when outcome = 'Success' then n else 0 end)::bigint as articles from o group by 1""")
 def feed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("doc_id") % 3
-    entry = "<item><title>t</title><link>https://a.example.com/x</link></item>"
-    xml = F.when(kind == 0, "no xml").when(kind == 1, "<rss><channel></channel></rss>").otherwise(f"<rss><channel>{entry}{entry}<broken>")
-    files = table(spark, sf_dir, "documents", "doc_id").select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content"))
+    """Documents as feeds with an item for each line, some broken off after them; German ones are no feeds, Spanish ones have no items."""
+    items = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<item><title>"), _escaped(x), F.lit("</title><link>https://a.example.com/x</link></item>"))), "")
+    end = F.when(F.col("n_chars") % 2 == 0, "</channel></rss>").otherwise("<broken>")
+    xml = F.when(F.col("lang") == "de", F.col("text")).otherwise(F.concat(F.lit("<rss><channel>"), F.when(F.col("lang") == "es", "").otherwise(items), end))
+    files = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "n_chars").select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content"))
     return feeds.feed_attempts(feeds.parse_feeds(files)).groupBy("outcome").agg(F.count("*").alias("feeds"), F.sum("article_count").alias("articles"))
 
 
@@ -42,12 +48,17 @@ def listing_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("recent_stories", """
-    select page_id, regexp_extract(url, '^([^?#]*://[^/?#]*)', 1) || '/2024/a-story-of-five-words-' || page_id as url from pages where page_id % 10 < 7""")
+    select page_id, regexp_extract(url, '^([^?#]*://[^/?#]*)', 1) || '/2024/a-story-of-five-words-' || k as url from (select page_id, url, unnest(generate_series(1, 1 + strlen(html) % 4)) as k, strlen(html) % 9 as age from pages) where (age + k) % 9 < 7""")
 def recent_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One card a page with a date that many days ago, beside its navigation; those of the last week are found."""
-    day = F.date_format(F.lit("2024-02-01").cast("timestamp") - F.make_dt_interval((F.col("page_id") % 10).cast("int"), F.lit(1)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    card = F.concat(F.lit('<ul><li><a href="/2024/a-story-of-five-words-'), "page_id", F.lit('"><h3>A story told in five words</h3></a><time datetime="'), day, F.lit('">then</time><p>More of it here</p></li></ul>'))
-    pages = table(spark, sf_dir, "pages", "page_id", "url").withColumn("html", F.concat(F.lit('<nav><a href="/about">A way to all of our sections</a></nav>'), card))
+    """One to four cards a page, dated by its size, beside its navigation; those of the last week are found."""
+    size = F.octet_length("html")
+
+    def card(k: Column) -> Column:
+        day = F.date_format(F.lit("2024-02-01").cast("timestamp") - F.make_dt_interval(((size % 9 + k) % 9).cast("int"), F.lit(1)), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        return F.concat(F.lit('<ul><li><a href="/2024/a-story-of-five-words-'), k, F.lit('"><h3>A story told in five words</h3></a><time datetime="'), day, F.lit('">then</time><p>More of it here</p></li></ul>'))
+
+    cards = F.array_join(F.transform(F.sequence(F.lit(1), 1 + size % 4), card), "")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", F.concat(F.lit('<nav><a href="/about">A way to all of our sections</a></nav>'), cards).alias("html"))
     return listings.recent_stories(listings.anchors(pages), pages, F.lit("2024-02-01").cast("timestamp")).select("page_id", "url")
 
 

@@ -9,8 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.functions import claims, dates, keywords, relevance, scores, text, urls
-from millrace.operators import assessment, events, gates, identity, rollups, selection
+from millrace.functions import claims, dates, keywords, labels, pages, relevance, scores, text, urls
+from millrace.operators import assessment, drafts, events, gates, identity, ranges, ranking, replay, rollups, selection
 from millrace.plans import ingestion, pool_queries, scalar_queries
 from millrace.plans.values import EngineConfig, load_config
 from millrace.sources import feeds, listings, registry_table, state
@@ -359,3 +359,66 @@ def test_run_keeps_unlike_measures_and_drops_one_policy(spark):
     kinds = "doc_id long, tier string, region string, publisher string, score double, relevance int, significance int, quality double, published timestamp, url string, title string, snippet string"
     won = ingestion.select(spark.createDataFrame(rows, kinds), EngineConfig(targets=(0, 4, 0, 0)))
     assert sorted(r.key for r in won.collect()) == [0, 1, 2]
+
+
+def test_winners_and_audit_are_written(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a|b", 2.5), (2, "c\nd", None)], "key long, title string, score double")
+    state.write_winners(rows, str(tmp_path / "w"), spark.createDataFrame([], "key long, title string"))
+    state.write_winners(rows, str(tmp_path / "w"), spark.createDataFrame([], "key long, title string"))
+    got = spark.read.parquet(str(tmp_path / "w"))
+    assert got.columns == ["key", "title"] and got.count() == 4
+    for _ in range(2):  # a repeated write replaces
+        state.write_audit(rows, rows.groupBy().agg(F.count("*").alias("n")), str(tmp_path / "audit"))
+    assert spark.read.json(str(tmp_path / "audit/detail")).count() == 2 and spark.read.option("header", True).csv(str(tmp_path / "audit/summary")).first().n == "2"
+    report = replay.markdown_report(rows, ["key", "title", "score"], "Audit")
+    assert report == "## Audit\n\n| key | title | score |\n| --- | --- | --- |\n| 1 | a\\|b | 2.5 |\n| 2 | c d |  |\n"
+
+
+def test_whole_batches_and_overlays(spark):
+    replies = spark.createDataFrame([(1, "a", True), (1, "b", True), (2, "c", True), (2, "c", True), (3, "d", None), (4, "e", True)], "batch int, id string, good boolean")
+    asked = spark.createDataFrame([(1, 2), (2, 2), (3, 1), (4, 2), (5, 1)], "batch int, asked int")
+    assert {r.batch: r.accepted for r in assessment.whole_batches(replies, "batch", "id", F.col("good"), asked).collect()} == {1: True, 2: False, 3: False, 4: False, 5: False}
+    df = spark.createDataFrame([("extracted", "new", "old"), ("Feed Content", "", "old"), ("blocked", "new", "old"), (None, "new", None)], "status string, new string, old string")
+    assert [r[0] for r in df.select(pages.overlay(F.col("status"), F.col("new"), F.col("old"))).collect()] == ["new", "old", "old", None]
+    assert values(spark, ["12", " 7 ", "-1", "x", None], labels.content_length, "string") == [12, 7, None, None, None]
+    assert values(spark, ["![a b](https://x.org/i.png)", "text ![a](b)", "![](u)"], text.markdown_image) == [("a b", "https://x.org/i.png"), None, ("", "u")]
+    assert spark.createDataFrame([(["a", " ", "b", "a", "A"],)], "x array<string>").select(text.distinct_labels(F.col("x"))).first()[0] == ["a", "b", "A"]
+
+
+def test_eligibility(spark):
+    df = spark.createDataFrame([("", True, None), (None, True, None), ("why", True, None), (None, False, None), (None, True, "scope")], "reason string, enriched boolean, scope string")
+    assert [r[0] for r in df.select(gates.eligible(F.col("reason"), F.col("enriched"), F.col("scope"))).collect()] == [True, True, False, False, False]
+    stories = ["development", "conflict_security", "explainer_background", "commentary_opinion", "gossip"]
+    rows = spark.createDataFrame([(s, n) for s in stories for n in ("true", "false", "unclear", "maybe")], "s string, n string")
+    assert all((r[2] or "") == gates.scope_of(r.s, r.n) for r in rows.select("s", "n", gates.scope_reason(F.col("s"), F.col("n"))).collect())
+    scored = spark.createDataFrame([(r, s, q) for r in (0, 3, 5, 9) for s in (1, 5) for q in (None, -2.0, 3.33335, 7.25, 11.0)], "r int, s int, q double")
+    assert all(x[3] == scores.score_of(x.r, x.s, x.q) for x in scored.select("r", "s", "q", scores.queue_score(F.col("r"), F.col("s"), F.col("q"))).collect())
+
+
+def test_metadata_order_and_story_text(spark):
+    rows = [(1, 2, None, True, None, "s", "b"), (2, 3, 1.0, False, None, "s", "a"), (3, 2, 5.0, False, dt.datetime(2024, 1, 1), "s" * 600, "c"), (4, 2, 5.0, False, dt.datetime(2024, 1, 1), "s" * 900, "a"), (5, 2, 5.0, True, None, "", "z")]
+    df = spark.createDataFrame(rows, "key int, specificity int, quality double, concrete boolean, published timestamp, snippet string, url string")
+    assert [r.key for r in df.orderBy(*ranking.metadata_order()).collect()] == [2, 5, 4, 3, 1]
+    docs = spark.createDataFrame([("d", "intro\n## One\nA claim\n\n![i](u)\nSources: https://x.org\n## Two\nTags: a, b")], "k string, text string")
+    lines = drafts.lines(docs, "k", "text")
+    told = drafts.story_text(drafts.sections(lines, "k", F.col("line").startswith("## ")), "k", F.col("line").startswith("## "))
+    assert {(r.section, r.story) for r in told.collect()} == {(0, "intro"), (1, "A claim")}
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_ranges_equal_plain_windows(spark, parts):
+    rng = random.Random(parts)
+    rows = [(rng.choice(["a", "b", None, "big", "big", "big"]), k, rng.choice([None, rng.random() * 10, 3.0])) for k in range(300)]
+    df = spark.createDataFrame(rows, "g string, k int, v double")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = {r.k: round(r.s, 9) for r in ranges.running(df, ["g"], ["k"], {"s": F.col("v")}).collect()}
+        medians = {r.g: r.m for r in ranges.exact_median(df, ["g"], "v", "m").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    for g in {r[0] for r in rows}:
+        total, seen = 0.0, sorted(v for x, _, v in rows if x == g and v is not None)
+        for _, k, v in (r for r in rows if r[0] == g):
+            total += v or 0.0
+            assert abs(got[k] - total) < 1e-6
+        assert abs(medians[g] - (seen[(len(seen) - 1) // 2] + seen[len(seen) // 2]) / 2) < 1e-9
