@@ -93,7 +93,7 @@ LATER_SQL = f"""
         ) best where picks.pick < 11
     ), done as (select * from picks where pick > 0), strict_won as (select publisher from done where tier = 'strict'), told as (
         select d.pick::int as pick, t.key, t.tier, t.region, t.publisher, t.score, d.phase, case
-            when d.pick is not null then null when t.url in (select url from week) then 'existing URL' when t.publisher in (select publisher from week) then 'publisher weekly cap'
+            when d.pick is not null or (t.tier = 'fallback' and (select count(*) from done where tier = 'strict') >= 11) then null when t.url in (select url from week) then 'existing URL' when t.publisher in (select publisher from week) then 'publisher weekly cap'
             when t.publisher in (select publisher from strict_won) or (t.tier = 'fallback' and t.publisher in (select publisher from done)) then 'publisher weekly cap'
             when (select count(*) from done where tier = 'strict' or t.tier = 'fallback') >= 11 then 'run capacity' else 'regional coverage complete' end as reason
         from tiered t left join done d on t.key = d.key
@@ -113,9 +113,11 @@ def later_weekly_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return later_run(spark, sf_dir).where("pick is not null").drop("reason")
 
 
-@query("selection_reasons", LATER_SQL + " select tier, region, coalesce(reason, 'selected') as reason, count(*) as n from told group by 1, 2, 3")
+@query("selection_reasons", LATER_SQL + " select tier, region, case when pick is not null then 'selected' else coalesce(reason, 'not considered') end as reason, count(*) as n from told group by 1, 2, 3")
 def selection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return later_run(spark, sf_dir).groupBy("tier", "region", F.coalesce("reason", F.lit("selected")).alias("reason")).agg(F.count("*").alias("n"))
+    """How many rows each reason keeps out; fallback rows aren't considered where strict ones fill the run."""
+    reason = F.when(F.col("pick").isNotNull(), "selected").otherwise(F.coalesce("reason", F.lit("not considered")))
+    return later_run(spark, sf_dir).groupBy("tier", "region", reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
 @query("seen_antijoin", "select e.event_id from events e where e.user_id not in (select user_id from events where event_type = 'error' and ts < timestamp '2024-01-02')")
