@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.bind import let
 from millrace.plans.values import EVENT_STOP_WORDS
 
 #: The entities of markup texts that are replaced without a parser; ``&amp;`` comes last.
@@ -25,18 +26,17 @@ def unescape(x: Column) -> Column:
 
 
 def strip_html(x: Column) -> Column:
-    """Tags become blanks, entities characters."""
-    return fold_blanks(unescape(F.regexp_replace(F.coalesce(x, F.lit("")), r"<[^>]+>", " ")))
+    """Tags become blanks, entities characters. Texts without either have their blanks folded alone."""
+    return F.when(x.contains("<") | x.contains("&"), fold_blanks(unescape(F.regexp_replace(x, r"<[^>]+>", " ")))).otherwise(fold_blanks(x))
 
 
 def clean_text(x: Column) -> Column:
     """As ``strip_html`` twice, for markup that was escaped once more."""
-    return strip_html(strip_html(x))
+    return let(strip_html(x), lambda once: F.when(once.contains("<") | once.contains("&"), strip_html(once)).otherwise(once))
 
 
 def snippet(x: Column, cap: int = 600) -> Column:
-    text = clean_text(x)
-    return F.when(F.length(text) > cap, F.concat(F.rtrim(F.substring(text, 1, cap)), F.lit("..."))).otherwise(text)
+    return let(clean_text(x), lambda text: F.when(F.length(text) > cap, F.concat(F.rtrim(F.substring(text, 1, cap)), F.lit("..."))).otherwise(text))
 
 
 def article_text(html: Column, least: int = 300, most: int = 12_000, bytes_: int = 2_000_000) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import keywords, relevance, scores, text, urls
+from millrace.functions.bind import once
 from millrace.operators import events, gates, ranking, selection
 from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import articles
@@ -27,12 +28,16 @@ class Seams:
 def default_assess(rows: DataFrame) -> DataFrame:
     """Stands in for an outside model: relevance by distinct words, significance by length. Deterministic."""
     variety = F.size(F.array_distinct(F.split("body", r"\s+")))
-    return rows.withColumns({"relevance": scores.clamped(F.ceil(variety / 40)), "significance": scores.clamped(F.ceil(F.length("body") / 800)), "story": F.lit("development"), "novelty": F.lit("true")})
+    return once(rows, relevance=scores.clamped(F.ceil(variety / 40))).withColumns({"significance": scores.clamped(F.ceil(F.length("body") / 800)), "story": F.lit("development"), "novelty": F.lit("true")})
 
 
 def candidates(rows: DataFrame, now: Column, config: EngineConfig, seen: DataFrame | None = None, seams: Seams | None = None) -> DataFrame:
     """All articles with the first reason that excludes them, or with score, tier and region."""
     gated = gates.objective_gate(rows, now, config, seen)
+    if "snippet" not in rows.columns:
+        gated = once(gated, snippet=F.when(F.col("reason").isNull(), text.snippet(F.col("body"))))
+    if "region" not in rows.columns:
+        gated = routed(gated)
     assess = (seams.assess if seams else None) or default_assess
     judged = assess(gated).withColumns({"scope": gates.scope_reason(F.col("story"), F.col("novelty")), "registered": F.col("source").isNotNull(), "publisher": urls.hostname(F.col("url"))})
     required = F.when(F.col("registered"), config.minimum_relevance).otherwise(config.unregistered_relevance)
@@ -102,18 +107,20 @@ def registry(rows: DataFrame) -> DataFrame:
 
 
 def routed(rows: DataFrame) -> DataFrame:
-    """Articles with ``region``: by title and snippet, else by their source's, blocked if foreign-local, Global if systemic."""
-    words = relevance.article_words(F.col("title"), F.col("snippet"))
-    read = rows.withColumn("__words", words)
-    at = keywords.assigned_region(F.col("title"), F.col("snippet"), F.array("source_region"), F.lit(False), relevance.foreign_local(F.col("title"), F.col("__words")), relevance.systemic(F.col("__words")))
-    return read.withColumn("__at", at).withColumns({"region": F.col("__at.region"), "region_basis": F.col("__at.basis")}).drop("__words", "__at")
+    """Articles with ``region``: by title and snippet, else by their source's, blocked if foreign-local, Global if systemic. Those with a ``reason`` already aren't asked."""
+    open_ = F.col("reason").isNull()
+    read = once(rows, __words=F.when(open_, relevance.article_words(F.col("title"), F.col("snippet"))))
+    read = once(read, __scope=F.when(open_, F.struct(relevance.foreign_local(F.col("title"), F.col("__words")).alias("local"), relevance.systemic(F.col("__words")).alias("wide"))))
+    at = keywords.assigned_region(F.col("title"), F.col("snippet"), F.array("source_region"), F.lit(False), F.col("__scope.local"), F.col("__scope.wide"))
+    return once(read, __at=F.when(open_, at)).withColumns({"region": F.col("__at.region"), "region_basis": F.col("__at.basis")}).drop("__words", "__scope", "__at")
 
 
 def pool(spark: SparkSession, sf_dir: str, config: EngineConfig, seams: Seams | None = None) -> DataFrame:
     """Documents as articles with their source's registry row, gated and routed."""
-    rows = articles(spark, sf_dir).withColumn("snippet", text.snippet(F.col("body")))
+    rows = articles(spark, sf_dir)
     known = rows.join(registry(rows), "source", "left")
-    return candidates(routed(known.select("doc_id", *(c for c in known.columns if c != "doc_id"))), F.lit("2024-02-01").cast("timestamp"), config, seams=seams)
+    told = known.select("doc_id", *(c for c in known.columns if c != "doc_id"))
+    return candidates(told, F.lit("2024-02-01").cast("timestamp"), config, seams=seams)
 
 
 def run(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None, week: selection.State | None = None) -> DataFrame:
