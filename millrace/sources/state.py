@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.urls import safe_http_url, url_hash
 from millrace.operators.identity import keep_existing
 from millrace.sources.schema import only_known
 
@@ -60,3 +61,30 @@ def write_audit(detail: DataFrame, summary: DataFrame, folder: str) -> None:
     """Detail as JSON lines; the summary, which is small, as one CSV file too."""
     detail.write.mode("overwrite").json(f"{folder}/detail")
     summary.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/summary")
+
+
+IMAGES = "url_hash string, image_url string, provider string, recorded_at timestamp"
+
+
+def read_images(spark: SparkSession, path: str) -> DataFrame:
+    """The image last recorded for each address; a cache that isn't there yet is empty."""
+    try:
+        rows = spark.read.schema(IMAGES).parquet(path)
+    except Exception as e:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], IMAGES)
+    return rows.groupBy("url_hash").agg(F.max_by(F.struct("image_url", "provider", "recorded_at"), F.struct("recorded_at", "image_url")).alias("r")).select("url_hash", "r.*")
+
+
+def record_images(rows: DataFrame, path: str) -> None:
+    """Appends the images that are safe addresses; the last one of an address counts."""
+    rows.where(safe_http_url(F.col("image_url")) != "").select(*(c.split()[0] for c in IMAGES.split(", "))).write.mode("append").parquet(path)
+
+
+def with_images(articles: DataFrame, cache: DataFrame) -> DataFrame:
+    """Articles (with canonical) with the ``image_url`` and ``image_provider`` that the cache holds for them, empty without one."""
+    known = cache.select(F.col("url_hash").alias("__hash"), F.col("image_url").alias("__image"), F.col("provider").alias("__provider"))
+    joined = articles.join(known, url_hash(F.col("canonical")) == F.col("__hash"), "left")
+    told = joined.withColumns({"image_url": F.coalesce("__image", F.lit("")), "image_provider": F.coalesce("__provider", F.lit(""))})
+    return told.drop("__hash", "__image", "__provider")

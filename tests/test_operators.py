@@ -1,6 +1,7 @@
 """Edge cases, and operators without SQL against brute force."""
 
 import datetime as dt
+import logging
 import random
 from collections import Counter
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions import claims, dates, keywords, labels, pages, relevance, scores, text, urls
 from millrace.operators import assessment, drafts, events, gates, identity, ranges, ranking, replay, rollups, selection
 from millrace.plans import ingestion, pool_queries, scalar_queries
+from millrace.plans.logs import configure_logs
 from millrace.plans.values import EngineConfig, load_config
 from millrace.sources import feeds, listings, registry_table, state
 from millrace.sources.schema import SOURCE, SchemaMismatch, assert_schema
@@ -422,3 +424,22 @@ def test_ranges_equal_plain_windows(spark, parts):
             total += v or 0.0
             assert abs(got[k] - total) < 1e-6
         assert abs(medians[g] - (seen[(len(seen) - 1) // 2] + seen[len(seen) // 2]) / 2) < 1e-9
+
+
+def test_image_cache(spark, tmp_path):
+    path, day = str(tmp_path / "images"), dt.datetime(2024, 1, 1)
+    assert state.read_images(spark, path).count() == 0
+    hashes = values(spark, ["https://a.org/1", "https://a.org/2"], urls.url_hash)
+    rows = [(hashes[0], "https://i.org/old.png", "p", day), (hashes[0], "https://i.org/new.png", "q", day + dt.timedelta(days=1)), (hashes[1], "no address", "p", day)]
+    state.record_images(spark.createDataFrame(rows, state.IMAGES), path)
+    state.record_images(spark.createDataFrame(rows[:1], state.IMAGES), path)
+    df = spark.createDataFrame([("https://a.org/1", "own"), ("https://a.org/2", "own"), ("https://a.org/1", None)], "canonical string, image_url string")
+    got = sorted((r.canonical, r.image_url, r.image_provider) for r in state.with_images(df, state.read_images(spark, path)).collect())
+    assert got == [("https://a.org/1", "https://i.org/new.png", "q")] * 2 + [("https://a.org/2", "", "")]
+
+
+def test_logs(spark):
+    configure_logs("warning")
+    assert logging.getLogger().level == logging.WARNING
+    with pytest.raises(ValueError, match="loud"):
+        configure_logs("loud")
