@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, url_filter, weak_quality
+from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, url_filter, vector_codes, weak_quality
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -114,6 +114,39 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.findings(docs, "doc_id").drop("blob")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's product code and its error."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def _op13_sql() -> str:
+    k, e = vector_codes.PARTS, vector_codes.ENTRIES
+    gap = "list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))"
+    steps = [f"""kept as (
+            select vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::double)::bigint) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), parts as (
+            select vec_id, p, v[p * (len(v) // {k}) + 1 : (p + 1) * (len(v) // {k})] as v from kept, range({k}) as r(p)
+        ), book0 as (
+            select p, row_number() over (partition by p order by vec_id) - 1 as e, v from parts where vec_id in (select vec_id from kept order by vec_id limit {e})
+        )"""]
+    for n in range(vector_codes.ROUNDS + 1):
+        steps.append(f"near{n} as (select a.vec_id, a.p, min({gap}::hugeint * {e} + b.e) as best from parts a join book{n} b using (p) group by all)")
+        if n < vector_codes.ROUNDS:
+            steps.append(f"""mean{n} as (
+                select p, e, list((total - ((total % n) + n) % n) // n order by i) as v from (
+                    select t.p, (t.best % {e})::int as e, i, sum(a.v[i])::hugeint as total, count(*) as n
+                    from near{n} t join parts a using (vec_id, p), unnest(range(1, len(a.v) + 1)) as u(i) group by all
+                ) group by p, e
+            ), book{n + 1} as (select b.p, b.e, coalesce(m.v, b.v) as v from book{n} b left join mean{n} m using (p, e))""")
+    last = vector_codes.ROUNDS
+    return f"""
+        with {', '.join(steps)}, coded as (
+            select vec_id, string_agg(printf('%02x', (best % {e})::int), '' order by p) as code, sum(best // {e})::bigint as error from near{last} group by vec_id
+        ), digest as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) as codebooks_sha256 from book{last})
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from coded join kept using (vec_id), digest"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_toxicity": op2_toxicity,
@@ -125,6 +158,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_media_columns": op9_media_columns,
     "op10_secret_scan": op10_secret_scan,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql()}
+ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql(), "op13_vector_codes": _op13_sql()}
