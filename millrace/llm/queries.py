@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import chat_format, decontaminate, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, url_filter, vector_codes, weak_quality
+from millrace.llm import chat_format, decontaminate, divergence, lm_scoring, media_columns, near_join, piece_codec, secret_scan, token_counts, toxicity, url_filter, vector_codes, weak_quality
 from millrace.llm.vocabularies import vocabulary
 from millrace.sources.tables import table
 
@@ -114,6 +114,45 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.findings(docs, "doc_id").drop("blob")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's distance to the others of its language, and the terms that set it apart."""
+    return divergence.divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+def _op11_sql() -> str:
+    upper, unit = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", divergence.UNIT
+    return f"""
+        with said as (
+            select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+            from documents
+        ), uses as (select r, lang, source, unnest(terms) as term from said
+        ), kept as (select lang, term from uses group by lang, term having count(distinct r) >= {divergence.LEAST_DOCS}
+        ), groups as (select distinct lang, source from said
+        ), counts as (select lang, source, term, count(*) as n from uses join kept using (lang, term) group by all
+        ), dense as (
+            select g.lang, g.source, k.term, coalesce(c.n, 0)::hugeint as n, (count(*) over (partition by g.lang, g.source))::hugeint as v
+            from groups g join kept k using (lang) left join counts c using (lang, source, term)
+        ), weighed as (select lang, source, term, n, 1 + ({unit} * (n + 1)) // (sum(n) over (partition by lang, source) + v) as p from dense
+        ), by_lang as (
+            select lang, term, 1 + ({unit} * (n + 1)) // (sum(n) over (partition by lang) + v) as q from (select lang, term, sum(n) as n, max(v) as v from dense group by lang, term)
+        ), pairs as (
+            select g.lang, g.source, h.source as item, coalesce(s.value, 0)::bigint as value from groups g join groups h on g.lang = h.lang and g.source <> h.source
+            left join (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value from weighed a join weighed b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all) s
+            on s.lang = g.lang and s.source = g.source and s.item = h.source
+        ), parts as (
+            select lang, source, 'pair' as part, item, value from pairs
+            union all select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from weighed join by_lang using (lang, term) where n > 0 and p > q
+        )
+        select lang, source, part, item, value, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from parts
+        qualify part = 'pair' or rank <= {divergence.TOP}"""
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under the n-gram model of the documents that aren't held out."""
+    return lm_scoring.score(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's product code and its error."""
     return vector_codes.compress(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
@@ -158,7 +197,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_media_columns": op9_media_columns,
     "op10_secret_scan": op10_secret_scan,
+    "op11_divergence": op11_divergence,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql(), "op13_vector_codes": _op13_sql()}
+ORACLES: dict[str, str] = {"op1_chat_format": _op1_sql(), "op11_divergence": _op11_sql(), "op13_vector_codes": _op13_sql()}
