@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions import phrases
 from millrace.functions.bind import let
 from millrace.plans.values import KEYWORD_VARIANTS, NEGATED, OTHER_LOCATIONS, PARTICIPANT_ORIGINS, PARTICIPANTS, REGION_ALIASES, REGION_KEYWORDS, WHOLE_KEYWORDS
 
@@ -21,10 +22,10 @@ def without_negations(text: Column, words: tuple[str, ...] = NEGATED) -> Column:
     return F.regexp_replace(text, rf"(?iU)\b(?:not|neither|nor)\s+(?:about\s+)?(?:{'|'.join(map(re.escape, words))})\b", "")
 
 
-def contains_phrase(text: Column, phrases: tuple[str, ...]) -> Column:
+def contains_phrase(text: Column, names: tuple[str, ...]) -> Column:
     """Whether a lower-case text holds any of the phrases, not within a longer word."""
-    names = "|".join(re.escape(p.strip()) for p in phrases)
-    return text.rlike(rf"(?<![\p{{L}}\p{{N}}_])(?:{names}){_END}") if phrases else F.lit(False)
+    listed = "|".join(re.escape(p.strip()) for p in names)
+    return text.rlike(rf"(?<![\p{{L}}\p{{N}}_])(?:{listed}){_END}") if names else F.lit(False)
 
 
 def without_participants(text: Column) -> Column:
@@ -48,7 +49,12 @@ def ascii_tokens(text: Column) -> Column:
 
 
 def matched_topics(text: Column, topics: dict[str, tuple[str, ...]], whole: tuple[str, ...] = WHOLE_KEYWORDS) -> Column:
-    """The topics, in their order, of which any keyword matches the lower-case text."""
+    """The topics, in their order, of which any keyword matches the lower-case text, by one scan for all of them."""
+    return phrases.labels_of(text, topics, whole, KEYWORD_VARIANTS)
+
+
+def matched_topics_by_expression(text: Column, topics: dict[str, tuple[str, ...]], whole: tuple[str, ...] = WHOLE_KEYWORDS) -> Column:
+    """As ``matched_topics``, by an expression for each keyword: for a handful of keywords."""
     tokens = ascii_tokens(text)
     hit = lambda words: F.expr("false") if not words else reduce(lambda a, b: a | b, [keyword_matches(text, tokens, w, whole) for w in words])
     return F.array_compact(F.array(*(F.when(hit(words), F.lit(topic)) for topic, words in topics.items())))

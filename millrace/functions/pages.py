@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions import text, urls
+from millrace.functions import markup, text, urls
 from millrace.functions.bind import let
 
 
@@ -53,7 +53,7 @@ def retrieval_status(url: Column, feed_text: Column, http_status: Column, conten
         .when(http_status.isNull() | (http_status >= 400), "fetch_failed")
         .when(~F.lower(F.coalesce(content_type, F.lit(""))).rlike("html"), "unsupported_content")
         .when(size > most_bytes, "too_large")
-        .when(text.article_text(F.coalesce(html, F.lit("")), least) == "", "insufficient_content")
+        .when(markup.article_text(html, least) == "", "insufficient_content")
         .otherwise("extracted")
     )
 

@@ -10,8 +10,6 @@ from millrace.plans.values import EVENT_STOP_WORDS
 
 #: The entities of markup texts that are replaced without a parser; ``&amp;`` comes last.
 ENTITIES = {"&nbsp;": " ", "&#160;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#34;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&", "&#38;": "&"}
-#: Elements whose contents are never article text.
-DROPPED = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form", "button", "svg", "iframe", "figure")
 
 
 def fold_blanks(x: Column) -> Column:
@@ -39,13 +37,6 @@ def snippet(x: Column, cap: int = 600) -> Column:
     return let(clean_text(x), lambda text: F.when(F.length(text) > cap, F.concat(F.rtrim(F.substring(text, 1, cap)), F.lit("..."))).otherwise(text))
 
 
-def article_text(html: Column, least: int = 300, most: int = 12_000, bytes_: int = 2_000_000) -> Column:
-    """Visible text outside elements that never hold an article's; empty below ``least`` or for a page over ``bytes_``."""
-    body = F.regexp_replace(html, rf"(?is)<!--.*?-->|<({'|'.join(DROPPED)})\b[^>]*>.*?</\1\s*>", " ")
-    text = strip_html(body)
-    return F.when((F.octet_length(html) > bytes_) | (F.length(text) < least), "").otherwise(F.coalesce(F.rtrim(F.substring(text, 1, most)), F.lit("")))
-
-
 def meaningful_title(title: Column) -> Column:
     """Twelve characters and three words with a letter or digit, at least."""
     title = F.trim(F.coalesce(title, F.lit("")))

@@ -12,9 +12,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from millrace.functions import urls
+from millrace.functions import phrases, urls
 from millrace.plans.lineage import cut
 
+#: Phrases that one automaton holds; a task and the driver see as many.
+SCANNED = 10_000
+
 
 def exclude_seen(rows: DataFrame, key: str, seen: DataFrame, seen_key: str) -> DataFrame:
     """Rows whose key isn't among the seen ones; null keys stay."""
@@ -146,8 +149,13 @@ def once_each(rows: DataFrame, key: list[str], enrich) -> DataFrame:
 def longest_override(rows: DataFrame, text: str, overrides: DataFrame, phrase: str, value: str) -> DataFrame:
     """(row_id, value) of the longest phrase that the text contains, ties by the phrase.
 
-    Phrases are few and set by hand; they join through their first word, so no row meets them all.
+    Phrases are set by hand; up to ``SCANNED`` of them are sought by one scan of each text. More
+    join through their first word, so no row meets them all. Case doesn't count; a phrase that
+    is listed twice has its least value, and a null phrase none.
     """
+    listed = overrides.where(F.col(phrase).isNotNull()).groupBy(F.lower(phrase).alias("p")).agg(F.min(value).alias("v")).limit(SCANNED + 1).collect()
+    if len(listed) <= SCANNED:
+        return rows.select("row_id", phrases.longest(F.lower(text), {r["p"]: r["v"] for r in listed}).alias(value)).where(F.col(value).isNotNull())
     first = lambda c: F.substring_index(F.trim(F.lower(c)), " ", 1)
     words = rows.select("row_id", F.lower(text).alias("__t"), F.explode(F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))).alias("__w"))
     hit = words.join(overrides.select(F.lower(phrase).alias("__p"), F.col(value), first(F.col(phrase)).alias("__w")), "__w").where(F.contains("__t", "__p"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import labels, pages, text
+from millrace.functions import labels, markup, pages
 from millrace.plans.catalog import query
 from millrace.plans.scalar_queries import _DROPPED_SQL, CANONICAL_SQL, STRIP_SQL
 from millrace.sources import structured
@@ -42,13 +42,13 @@ _WORDS_SQL = "list_distinct(regexp_extract_all(lower({}), '[\\p{L}\\p{N}]{3,}'))
 
 @query("page_quality", f"""
     with p as (select page_id, url, html, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as title, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) as paragraphs from pages),
-         j as (select a.page_id, a.url, b.title, {STRIP_SQL.replace('{}', 'a.html')} as body, a.paragraphs from p a join p b on b.page_id = a.page_id - case when contains(a.url, '?') and a.page_id > 0 then 1 else 0 end),
+         j as (select a.page_id, a.url, b.title, {STRIP_SQL.replace('{}', _DROPPED_SQL.replace('html', 'a.html'))} as body, a.paragraphs from p a join p b on b.page_id = a.page_id - case when contains(a.url, '?') and a.page_id > 0 then 1 else 0 end),
          w as (select *, {_WORDS_SQL.replace('{}', 'title')} as tw, list_intersect({_WORDS_SQL.replace('{}', 'title')}, {_WORDS_SQL.replace('{}', 'body')}) as shared from j)
     select page_id, case when contains(url, '/de/') then 'wall' when len(shared) < 2 or len(shared) < 0.45 * len(tw) then 'mismatch' when len(list_filter(paragraphs, lambda x: length(x) >= 60)) >= 2 then 'full' else 'partial' end as quality from w""")
 def page_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages against their own titles or, with a query in the address, those of the page before; German ones end at a wall."""
     title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    rows = table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", text.strip_html(F.col("html")).alias("body"), F.regexp_extract_all("html", F.lit(r"(?s)<p>(.*?)</p>"), 1).alias("paragraphs"), title.alias("title"))
+    rows = table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", "url", markup.visible(F.col("html")).alias("body"), F.regexp_extract_all("html", F.lit(r"(?s)<p>(.*?)</p>"), 1).alias("paragraphs"), title.alias("title"))
     of = F.col("page_id") - F.when(F.col("url").contains("?") & (F.col("page_id") > 0), 1).otherwise(0)
     joined = rows.drop("title").withColumn("of", of).join(rows.select(F.col("page_id").alias("of"), "title"), "of")
     body = F.when(F.col("url").contains("/de/"), F.concat("body", F.lit(" Sign in to continue"))).otherwise(F.col("body"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import claims, dates, keywords, relevance, scores, text, urls
+from millrace.functions import claims, dates, keywords, markup, relevance, scores, text, urls
 from millrace.operators import gates
 from millrace.plans.catalog import query
 from millrace.plans.values import REGION_ALIASES, TRACKING_PARAMS, EngineConfig
@@ -115,17 +115,17 @@ def title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DROPPED_SQL = "html"
-for _tag in text.DROPPED:
+for _tag in sorted(markup.HIDDEN - markup.VOID):
     _DROPPED_SQL = f"regexp_replace({_DROPPED_SQL}, '(?is)<{_tag}\\b[^>]*>.*?</{_tag}\\s*>', ' ', 'g')"
 _DROPPED_SQL = f"regexp_replace({_DROPPED_SQL}, '(?s)<!--.*?-->', ' ', 'g')"
 
 
 @query("evidence_gate", f"""
     with t as (select page_id, {STRIP_SQL.replace('{}', _DROPPED_SQL)} as t from pages)
-    select page_id, case when length(t) < 300 then '' else sha256(rtrim(substring(t, 1, 12000))) end as evidence,
+    select page_id, case when length(t) < 300 then '' else sha256(substring(t, 1, 12000)) end as evidence,
            case when length(t) < 300 then 'insufficient_content' else 'extracted' end as status from t""")
 def evidence_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", text.article_text(F.col("html")).alias("t"))
+    found = table(spark, sf_dir, "pages", "page_id", "html").select("page_id", markup.article_text(F.col("html")).alias("t"))
     return found.select("page_id", F.when(F.col("t") == "", "").otherwise(F.sha2("t", 256)).alias("evidence"), F.when(F.col("t") == "", "insufficient_content").otherwise("extracted").alias("status"))
 
 

@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import dates, text, urls
+from millrace.functions import dates, markup, text, urls
 
-ENTRIES = "path string, outcome string, error string, pos int, link string, links array<string>, title string, summary string, content string, dated string, image string"
+ENTRIES = "path string, outcome string, error string, pos int, link string, links array<string>, title string, summary string, contents array<string>, dated string, image string"
 
 
 def _name(tag: str) -> str:
@@ -42,7 +42,7 @@ def parse_feed(data: bytes) -> tuple[list[dict], str]:
                 elif value and child is not node:
                     found.setdefault(name, []).append(value)
             one = lambda *names: next((found[n][0] for n in names if n in found), "")  # noqa: E731, B023
-            entries.append({"link": one("link"), "links": found.get("link", []) + found.get("origlink", []), "title": one("title"), "summary": one("description", "summary"), "content": one("encoded", "content"), "dated": one("pubdate", "published", "updated", "created", "date"), "image": images[0] if images else ""})
+            entries.append({"link": one("link"), "links": found.get("link", []) + found.get("origlink", []), "title": one("title"), "summary": one("description", "summary"), "contents": found.get("encoded", []) + found.get("content", []), "dated": one("pubdate", "published", "updated", "created", "date"), "image": images[0] if images else ""})
             node.clear()
     except ElementTree.ParseError as e:
         error = str(e)
@@ -65,7 +65,7 @@ def _parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             told = {"path": path, "outcome": "Parse Error" if error else "Success" if entries else "Empty", "error": error[:1000]}
             rows += [told | {"pos": k} | e | {"dated": _iso(e["dated"])} for k, e in enumerate(entries)]
             if not entries:
-                rows.append(told | {"pos": None, "link": "", "links": [], "title": "", "summary": "", "content": "", "dated": "", "image": ""})
+                rows.append(told | {"pos": None, "link": "", "links": [], "title": "", "summary": "", "contents": [], "dated": "", "image": ""})
         out = pd.DataFrame(rows, columns=columns)
         out["pos"] = out["pos"].astype("Int32")
         yield out
@@ -82,13 +82,13 @@ def parse_feeds(files: DataFrame) -> DataFrame:
 
 
 def feed_articles(raw: DataFrame, wrapper: str = "news.google.com") -> DataFrame:
-    """Articles: the first link that isn't a wrapper's, clean title and snippet, evidence from content of 300 characters, never the summary."""
+    """Articles: the first link that isn't a wrapper's, clean title and snippet, evidence from the first content block of 300 characters, never the summary."""
     links = F.filter(F.array_compact(F.concat(F.array("link"), "links", F.regexp_extract_all("summary", F.lit(r"""href=['"]([^'"]+)['"]"""), 1))), lambda x: x != "")
     direct = F.filter(links, lambda x: ~urls.loose_suffix(x, wrapper))
     link = F.coalesce(F.try_element_at(direct, F.lit(1)), F.try_element_at(links, F.lit(1)))
     return raw.where("pos is not null").select(
         "path", "pos", urls.canonical_url(F.coalesce(link, F.lit(""))).alias("url"), text.clean_text(F.col("title")).alias("title"), text.snippet(F.coalesce("summary", F.lit(""))).alias("snippet"),
-        dates.parse_iso(F.col("dated")).alias("published"), F.coalesce("image", F.lit("")).alias("image_url"), text.article_text(F.coalesce("content", F.lit(""))).alias("evidence"),
+        dates.parse_iso(F.col("dated")).alias("published"), F.coalesce("image", F.lit("")).alias("image_url"), markup.first_article_text(F.col("contents")).alias("evidence"),
         F.when(urls.loose_suffix(F.coalesce(link, F.lit("")), wrapper), "unresolved").when(F.size(direct) < F.size(links), "resolved_feed_metadata").otherwise("publisher_url").alias("resolution"),
     ).where("url <> ''")
 
