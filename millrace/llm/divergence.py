@@ -145,7 +145,8 @@ def _counted(bitmap, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
             if sum(map(len, known.values())) > HELD:
                 known.clear()
             for lang, _, found in rows:
-                new.setdefault(lang, set()).update(found.keys() - known.setdefault(lang, {}).keys())
+                good = known.setdefault(lang, {})
+                new.setdefault(lang, set()).update(t for t in found if t not in good)
             for lang, unknown in new.items():
                 asked = list(unknown)
                 known[lang].update(zip(asked, survives(bitmap.value, lang, asked).tolist(), strict=True))
