@@ -11,6 +11,7 @@ from millrace.plans.catalog import query
 from millrace.plans.scalar_queries import CLEAN_SQL
 from millrace.sources import feeds, listings, state
 from millrace.sources.tables import table
+from millrace.streaming import quota
 from millrace.streaming import state as streams
 
 
@@ -116,3 +117,18 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A whole run over documents as articles: gates, identity, events, ranks and selection."""
     return ingestion.run(spark, sf_dir)
+
+
+_TARGETS = {"click": 60, "view": 35, "purchase": 20, "signup": 5}
+
+
+@query("stream_weekly_quota", f"""
+    with own as (select *, date_trunc('week', ts)::date as monday, row_number() over (partition by date_trunc('week', ts), event_type, user_id order by ts, event_id) as n from events),
+         placed as (select *, row_number() over (partition by monday, event_type order by ts, event_id) as place from own where n <= 2)
+    select monday, event_type as region, user_id::varchar as publisher, event_id as id, ts as at, place from placed
+    where place <= case event_type {' '.join(f"when '{k}' then {n}" for k, n in _TARGETS.items())} else 0 end""")
+def stream_weekly_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The week's admissions by kind of event, two of a user at most, out of carried state; kinds without a target have no room."""
+    stream = streams.read_stream(spark, f"{sf_dir}/events.parquet", "ts")
+    found = quota.weekly_quota(stream, "ts", "event_id", F.col("event_type"), F.col("user_id"), _TARGETS, 2)
+    return streams.run_available(found, "append").where("kind = 'admitted'").drop("kind")
