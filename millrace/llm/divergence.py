@@ -42,8 +42,10 @@ LEAST_DOCS, TOP, UNIT = 3, 200, 1_000_000_000
 DEPTH, BYTES_A_CELL, LEAST_BITS, MOST_BITS = 4, 64, 14, 25
 #: Counters that travel and merge together.
 SEGMENT = 1 << 14
-#: Distinct terms that a task holds before it sends or adds up what it has.
-HELD = 300_000
+#: Distinct terms, and counts of terms by source, that a task holds before it sends or adds up what it has.
+HELD, HELD_COUNTS = 300_000, 700_000
+#: A document in a sum of documents and occurrences; a task holds fewer occurrences than that.
+DOCUMENT = 1 << 32
 #: Groups up to which their table is broadcast (some 100 bytes each); beyond, joins shuffle.
 BROADCAST_GROUPS = 20_000
 
@@ -128,13 +130,14 @@ def survives(bitmap: np.ndarray, lang: bytes, found: list[bytes]) -> np.ndarray:
 def _counted(bitmap, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (lang, source, term, n, docs) of the terms that survive, summed within the task while it can hold them."""
     known: dict[bytes, dict[bytes, bool]] = {}
-    groups: dict[tuple[bytes, bytes], tuple[dict[bytes, int], dict[bytes, int]]] = {}
+    groups: dict[tuple[bytes, bytes], dict[bytes, int]] = {}  # documents times 2^32, plus occurrences
 
     def sent() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs) in groups.items():
-            if n:
-                keys = [pa.array([x] * len(n), pa.binary()).cast(pa.string()) for x in (lang, source)]
-                yield pa.RecordBatch.from_arrays([*keys, pa.array(list(n), pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()), pa.array(docs.values(), pa.int64())], names=["lang", "source", "term", "n", "docs"])
+        for (lang, source), both in groups.items():
+            if both:
+                keys = [pa.array([x] * len(both), pa.binary()).cast(pa.string()) for x in (lang, source)]
+                told = np.fromiter(both.values(), np.int64, len(both))
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(list(both), pa.binary()).cast(pa.string()), pa.array(told & 0xFFFFFFFF), pa.array(told >> 32)], names=["lang", "source", "term", "n", "docs"])
         groups.clear()
 
     for batch in batches:
@@ -152,12 +155,12 @@ def _counted(bitmap, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 known[lang].update(zip(asked, survives(bitmap.value, lang, asked).tolist(), strict=True))
             for lang, source, found in rows:
                 good = known[lang]
-                n, docs = groups.setdefault((lang, source), ({}, {}))
+                both = groups.setdefault((lang, source), {})
+                had = both.get
                 for term, times in found.items():
                     if good[term]:
-                        n[term] = n.get(term, 0) + times
-                        docs[term] = docs.get(term, 0) + 1
-            if sum(len(n) for n, _ in groups.values()) > HELD:
+                        both[term] = had(term, 0) + DOCUMENT + times
+            if sum(map(len, groups.values())) > HELD_COUNTS:
                 yield from sent()
     yield from sent()
 

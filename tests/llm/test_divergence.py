@@ -75,6 +75,7 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     rows = made(120, 8)
     monkeypatch.setattr(D, "BROADCAST_GROUPS", -1)
     monkeypatch.setattr(D, "HELD", 5)
+    monkeypatch.setattr(D, "HELD_COUNTS", 7)
     assert found(spark, rows) == brute(rows)
 
 
