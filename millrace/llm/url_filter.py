@@ -13,11 +13,15 @@ letters, which is all that a host's label may have, are joined with the word cou
 name is searched with its own words alone: no vocabulary is held anywhere and no word is cut
 off. What the search needs of the rest is one number, the sum of all counts.
 
-The training labels are weak and come from the page, never from its url: a page counts as
-unwanted if it has few words outside links, if its links hold much of its text, if scripts
-make up most of it or if it is full of input fields. Pages without html aren't learnt from.
-Token counts over all urls are summed in 2^``BITS`` buckets, so that what the driver holds
-doesn't grow with the hosts.
+The training labels are weak: a page counts as unwanted if a word of its host or path is one
+of ``UNWANTED_WORDS``, names of trades that filters of urls are after, or by what it holds:
+few words outside links, links that hold much of its text, scripts that make up most of it,
+or many input fields. The model learns from these which other words go along with them.
+Pages without html aren't learnt from. Token counts over all urls are summed in 2^``BITS``
+buckets, so that what the driver holds doesn't grow with the hosts. Where blocking begins is
+chosen on held-out urls, a fifth by hash, with a model of the others: the odds of best F1.
+The weights then come from all urls. With fewer than ``LEAST`` unwanted held-out urls, too few
+to choose by, it begins at even odds.
 
 Host: what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A to Z in lower case.
 Path: what follows up to ``?``, ``#`` or the end. Null or without ``://``: both empty, no rule
@@ -44,6 +48,12 @@ from millrace.llm.scratch import cut
 
 #: Words that names are made of, which page texts may lack; those that do count as often as an average word.
 NAME_WORDS = ("app", "best", "blog", "cdn", "club", "data", "farm", "free", "forum", "home", "info", "law", "mail", "media", "mobile", "news", "online", "photo", "shop", "site", "store", "tech", "the", "track", "video", "web", "win", "world")
+#: Words of trades that filters of urls are after; own choice. They are words of names too.
+UNWANTED_WORDS = ("adult", "bet", "bets", "betting", "bingo", "casino", "casinos", "cheats", "cracked", "dating", "diet", "escort", "escorts", "gamble", "gambling", "jackpot", "keygen", "loan", "loans", "lottery", "payday", "pharmacy", "pill", "pills", "poker", "porn", "replica", "roulette", "sex", "slots", "torrent", "torrents", "viagra", "warez", "xxx")
+#: Held-out urls: one of so many. Steps of log odds at which blocking may begin, and the furthest.
+FOLDS, STEP, FURTHEST = 5, 0.05, 100.0
+#: Unwanted held-out urls that a choice takes.
+LEAST = 10
 #: Fixed value: the most letters of a host's label.
 LONGEST = 63
 BITS = 16
@@ -110,6 +120,7 @@ class Segmenter:
         return tuple(reversed(out))
 
 
+_UNWANTED = frozenset(UNWANTED_WORDS)
 _PART = re.compile(r"[^\W\d_]+|\d+")
 
 
@@ -130,6 +141,10 @@ class Model:
     #: Log odds of unwanted against wanted for each bucket, and of the prior.
     weights: np.ndarray
     prior: float
+    #: Log odds beyond which a url is blocked, and how that did on held-out urls.
+    threshold: float = 0.0
+    precision: float = 0.0
+    recall: float = 0.0
 
 
 def _visible(html: Column) -> Column:
@@ -157,7 +172,7 @@ def word_counts(pages: DataFrame, html: str = "html") -> tuple[DataFrame, int]:
     counted = cut(words.groupBy("word").agg(F.count("*").alias("count")))
     whole, n = counted.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     usual = max(1, whole // max(1, n))
-    names = pages.sparkSession.createDataFrame([(w,) for w in NAME_WORDS], "word string").join(counted, "word", "left_anti").select("word", F.lit(usual).cast("long").alias("count"))
+    names = pages.sparkSession.createDataFrame([(w,) for w in (*NAME_WORDS, *UNWANTED_WORDS)], "word string").join(counted, "word", "left_anti").select("word", F.lit(usual).cast("long").alias("count"))
     missing = cut(names)
     return counted.unionByName(missing), whole + usual * missing.count()
 
@@ -203,30 +218,73 @@ def _looked_up(split: DataFrame, hosts: DataFrame, found: DataFrame) -> DataFram
 def learn(pages: DataFrame, url: str = "url", html: str = "html") -> Model:
     counts, total = word_counts(pages, html)
     # stored, as what it is read for later would else take pages apart again
-    split = cut(_split(pages.where(F.col(html).isNotNull()), url, unwanted=unwanted(F.col(html))))
+    held = F.pmod(F.xxhash64(F.col(url)), F.lit(FOLDS)) == 0
+    split = cut(_split(pages.where(F.col(html).isNotNull()), url, unwanted=unwanted(F.col(html)), held=held))
     hosts = _hosts(split)
-    told = _looked_up(split, hosts, cut(host_words(hosts, counts, total))).select(F.coalesce("words", F.array().cast("array<string>")).alias("words"), "path", "unwanted")
-    sums = map_batches(told, _count_maker, "bucket int, unwanted long, wanted long").groupBy("bucket").agg(F.sum("unwanted").alias("unwanted"), F.sum("wanted").alias("wanted")).collect()  # at most 2 ** BITS + 1 rows
-    seen = np.zeros((2, 1 << BITS))
-    urls = np.ones(2)
+    told = cut(_looked_up(split, hosts, cut(host_words(hosts, counts, total))).select(F.coalesce("words", F.array().cast("array<string>")).alias("words"), "path", "unwanted", "held"))
+    sums = map_batches(told, _count_maker, "bucket int, held boolean, unwanted long, wanted long").groupBy("bucket", "held").agg(F.sum("unwanted").alias("unwanted"), F.sum("wanted").alias("wanted")).collect()  # at most 2 * (2 ** BITS + 1) rows
+    seen, urls = np.zeros((2, 2, 1 << BITS)), np.zeros((2, 2))
     for r in sums:
+        of = int(r["held"])
         if r["bucket"] < 0:
-            urls += [r["wanted"], r["unwanted"]]
+            urls[of] += [r["wanted"], r["unwanted"]]
         else:
-            seen[:, r["bucket"]] = r["wanted"], r["unwanted"]
+            seen[of, :, r["bucket"]] = r["wanted"], r["unwanted"]
+    threshold, precision, recall = begin(told.where("held"), *odds(seen[0], urls[0]))
+    return Model(counts, total, *odds(seen.sum(axis=0), urls.sum(axis=0)), threshold, precision, recall)
+
+
+def odds(seen: np.ndarray, urls: np.ndarray) -> tuple[np.ndarray, float]:
+    """Log odds of unwanted against wanted, of each bucket and before any token, from counts of (wanted, unwanted)."""
     used = max(1, int((seen.sum(axis=0) > 0).sum()))
     chance = (seen + 1) / (seen.sum(axis=1, keepdims=True) + used)
-    return Model(counts, total, np.log(chance[1] / chance[0]), float(np.log(urls[1] / urls[0])))
+    return np.log(chance[1] / chance[0]), float(np.log((urls[1] + 1) / (urls[0] + 1)))
+
+
+def begin(told: DataFrame, weights: np.ndarray, prior: float) -> tuple[float, float, float]:
+    """(log odds beyond which to block, precision, recall) of best F1 on rows (words, path, unwanted); of equal ones the greatest odds."""
+    rows = map_batches(told.select("words", "path", "unwanted"), partial(_step_maker, weights, prior), "step int, bad boolean, n long").groupBy("step").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad")).orderBy(F.desc("step")).collect()  # as many rows as there are steps
+    every, said, right, best = sum(r["bad"] for r in rows), 0, 0, (0.0, 0.0, 0.0, 0.0)
+    if every < LEAST:
+        return best[1:]
+    for r in rows:
+        said, right = said + r["n"], right + r["bad"]
+        f1 = 2 * right / (said + every)
+        if right and f1 > best[0] + 1e-12:
+            best = f1, (r["step"] - 1) * STEP, right / said, right / every
+    return best[1:]
+
+
+def is_unwanted(names: list[str], path: str, page: bool | None) -> bool:
+    """The weak label: by the page, else by a word of the url."""
+    return bool(page) or not _UNWANTED.isdisjoint(names) or not _UNWANTED.isdisjoint(path_tokens(path))
+
+
+def log_odds(names: list[str], path: str, weights: np.ndarray, prior: float) -> float:
+    return prior + float(sum(weights[bucket("h", w)] for w in names) + sum(weights[bucket("p", w)] for w in path_tokens(path)))
+
+
+def _step_maker(weights: np.ndarray, prior: float) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found: dict[tuple[int, bool], int] = {}
+        for names, path, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = max(-FURTHEST, min(FURTHEST, log_odds(names, path, weights, prior)))
+            told = math.ceil(at / STEP), is_unwanted(names, path, page)
+            found[told] = found.get(told, 0) + 1
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([bad for _, bad in found], pa.bool_()), pa.array(found.values(), pa.int64())], names=["step", "bad", "n"])
+
+    return work
 
 
 def _count_maker() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found: dict[int, list[int]] = {}
-        for names, path, bad in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        found: dict[tuple[int, bool], list[int]] = {}
+        for names, path, page, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            bad = is_unwanted(names, path, page)
             for b in (-1, *(bucket("h", w) for w in names), *(bucket("p", w) for w in path_tokens(path))):
-                found.setdefault(b, [0, 0])[0 if bad else 1] += 1
+                found.setdefault((b, held), [0, 0])[0 if bad else 1] += 1
         rows = sorted(found.items())
-        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *(pa.array([n[k] for _, n in rows], pa.int64()) for k in (0, 1))], names=["bucket", "unwanted", "wanted"])
+        return pa.RecordBatch.from_arrays([pa.array([b for (b, _), _ in rows], pa.int32()), pa.array([h for (_, h), _ in rows], pa.bool_()), *(pa.array([n[k] for _, n in rows], pa.int64()) for k in (0, 1))], names=["bucket", "held", "unwanted", "wanted"])
 
     return work
 
@@ -252,7 +310,7 @@ def judge(pages: DataFrame, model: Model, rules: DataFrame | list[Rule], key: st
     told = ruled.select("__key", "host", "path", best.alias("best"), "words").select("__key", "host", "path", F.col("best.name").alias("rule"), F.col("best.block").alias("block"), "words")
     kind = dict(pages.dtypes)[key]
     odds = map_batches(told, partial(_judge_maker, model.weights, model.prior), f"__key {kind}, host string, path string, rule string, block boolean, log_odds double, host_words string")
-    verdict = F.when(F.coalesce("block", F.col("log_odds") > 0), "block").otherwise("allow")
+    verdict = F.when(F.coalesce("block", F.col("log_odds") > model.threshold), "block").otherwise("allow")
     return odds.select(F.col("__key").alias(key), "host", "path", "rule", verdict.alias("verdict"), "log_odds", "host_words")
 
 
@@ -260,7 +318,7 @@ def _judge_maker(weights: np.ndarray, prior: float) -> Callable[[pa.RecordBatch]
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         odds, said = [], []
         for path, names in zip(batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True):
-            odds.append(prior + float(sum(weights[bucket("h", w)] for w in names) + sum(weights[bucket("p", w)] for w in path_tokens(path))))
+            odds.append(log_odds(names, path, weights, prior))
             said.append(" ".join(names))
         return pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(odds, pa.float64()), pa.array(said, pa.string())], names=[*batch.schema.names[:5], "log_odds", "host_words"])
 
