@@ -47,6 +47,17 @@ def canonical_url(url: Column) -> Column:
     return let(F.struct(*(c.alias(name) for name, c in _parts(url).items())), put_together)
 
 
+def resolved(href: Column, base: Column) -> Column:
+    """A link as it stands on the page at ``base``: whole, without scheme, from the root, a query or fragment alone, or relative to the folder."""
+    link = F.trim(href)
+    scheme, origin = F.regexp_extract(base, "^([^:]+:)", 1), F.regexp_extract(base, r"^([^:]+://[^/?#]*)", 1)
+    page, folder = F.regexp_extract(base, r"^([^:]+://[^?#]*)", 1), F.regexp_extract(base, r"^([^:]+://[^?#]*/)", 1)
+    return (
+        F.when(link.rlike("(?i)^[a-z][a-z0-9+.-]*:"), link).when(link.startswith("//"), F.concat(scheme, link)).when(link.startswith("/"), F.concat(origin, link))
+        .when(link.rlike(r"^[?#]"), F.concat(page, link)).when(link == "", base).when(F.length(folder) > F.length(scheme) + 2, F.concat(folder, link)).otherwise(F.concat(origin, F.lit("/"), link))
+    )
+
+
 def hostname(url: Column) -> Column:
     """The host in lower case without a leading ``www.``."""
     return F.regexp_replace(_parts(url)["host"], r"^www\.", "")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
@@ -10,7 +13,8 @@ from millrace.operators import ranking, replay, selection
 from millrace.plans.catalog import query
 from millrace.plans.pool_queries import _FINAL, CANDIDATES_SQL, TARGETS, candidates
 from millrace.plans.scalar_queries import CANONICAL_SQL
-from millrace.sources import documents, resolver, search
+from millrace.plans.lineage import shared_folder
+from millrace.sources import documents, hops, keyed_store, resolver, search
 from millrace.sources.tables import table
 
 
@@ -122,7 +126,7 @@ def wrapper_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as articles behind 90 wrapper addresses; some fail, some are refused late, some lead to where nobody should go."""
     rows = table(spark, sf_dir, "events", "event_id", "user_id", "ts").select("event_id", (F.col("user_id") % 90).alias("url"), "ts", F.when(F.col("event_id") % 4 == 0, "other.org").otherwise("example.com").alias("expected"))
     firsts = rows.groupBy("url").agg(F.min(F.struct("ts", "event_id")).alias("f"))
-    late = firsts.alias("a").join(firsts.alias("b"), F.lit(1) == F.lit(1)).where("b.f <= a.f").groupBy("a.url").agg(F.count("*").alias("place"))  # 90 addresses
+    late = firsts.select("url", F.row_number().over(W.orderBy("f")).alias("place"))  # 90 addresses
     u = F.col("url")
     status = F.when((u % 17 == 5) & (F.col("place") > 20), "refused").when(u % 5 == 0, "failed").otherwise("resolved")
     answers = late.select("url", status.alias("status"), F.when(u % 7 == 3, "http://127.0.0.1/x").otherwise(F.concat(F.lit("https://p"), u, F.lit(".example.com/a"))).alias("target"))
@@ -233,3 +237,46 @@ def markdown_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_drafts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return replay.written(rows, ["conv_id"], ["turn"], "text", lambda told: f"Draft: {len(told)}")
+
+
+_CHAINS_SQL = """
+    chained as (
+        select page_id, url, lead(url) over w as next, first_value(url) over w as first from (select page_id, url, regexp_extract(url, '://([^/?#]*)', 1) as host from pages) window w as (partition by host order by page_id)
+    ), answers as (
+        select url, case when next is null and not contains(url, '?') and not contains(url, '#') then case when ends_with(url, '/') then 404 else 200 end else 302 end as status,
+               case when next is not null then next when contains(url, '?') then first when contains(url, '#') then 'http://192.168.0.7/' end as location
+        from chained
+    )"""
+
+
+@query("redirect_hops", f"""
+    with recursive {_CHAINS_SQL.strip()}, known as (select url, min(struct_pack(status := status, location := location)) as a from answers group by url
+    ), walk as (
+        select page_id, url as "at", 0 as hops, [url] as past, null::varchar as ended from pages
+        union all
+        select page_id, case when ended_now in ('way', 'loop', 'refused destination') then "to" else "at" end, case when ended_now in ('way', 'loop', 'refused destination') then hops + 1 else hops end, case when ended_now = 'way' then list_append(past, "to") else past end, case when ended_now <> 'way' then ended_now end
+        from (select *, case when a is null then 'no answer' when a.status >= 400 then 'failed' when "to" is null then 'arrived' when hops = 12 then 'too many hops' when starts_with("to", 'http://192.168.') then 'refused destination' when list_contains(past, "to") then 'loop' else 'way' end as ended_now
+              from (select w.*, k.a, regexp_replace(k.a.location, '#.*$', '') as "to" from walk w left join known k on w."at" = k.url where w.ended is null))
+    )
+    select page_id, "at" as final_url, hops::int as hops, ended as outcome from walk where ended is not null""")
+def redirect_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page leads to the next of its host; the last one answers, is gone, leads back to the first or to a private address. Twelve hops are followed."""
+    chained = hops.host_chains(table(spark, sf_dir, "pages", "page_id", "url"))
+    u, last = F.col("url"), F.col("next").isNull()
+    there = last & ~u.contains("?") & ~u.contains("#")
+    status = F.when(there, F.when(u.endswith("/"), 404).otherwise(200)).otherwise(302)
+    location = F.when(~last, F.col("next")).when(u.contains("?"), F.col("first")).when(u.contains("#"), "http://192.168.0.7/")
+    answers = chained.select("url", status.alias("status"), location.alias("location"))
+    return hops.followed(table(spark, sf_dir, "pages", "page_id", "url"), answers, most=12).select("page_id", "final_url", "hops", "outcome")
+
+
+@query("keyed_store_upserts", "select o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey, max(o_orderdate) as at from orders group by o_custkey")
+def keyed_store_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest order of each customer, out of a store of which two deliveries write the touched buckets: late orders first, then the earlier ones."""
+    rows = table(spark, sf_dir, "orders", "o_custkey", "o_orderkey", "o_orderdate").select("o_custkey", "o_orderkey", F.col("o_orderdate").alias("at"))
+    store = keyed_store.KeyedStore(spark, f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}", "o_custkey long, o_orderkey long, at timestamp", "o_custkey", "at", 16)
+    middle = rows.agg(F.expr("timestamp_seconds(avg(unix_seconds(at)))")).first()[0]
+    best = lambda part: part.groupBy("o_custkey").agg(F.max(F.struct("at", "o_orderkey")).alias("m")).select("o_custkey", "m.o_orderkey", "m.at")
+    for part in (F.col("at") > F.lit(middle), F.col("at") <= F.lit(middle)):
+        store.upsert(best(rows.where(part)))
+    return store.rows()

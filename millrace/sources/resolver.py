@@ -19,18 +19,20 @@ def resolution(rows: DataFrame, answers: DataFrame, key: str, url: str, order: l
     are served from memory. Addresses beyond ``attempts``, and all after the first that was
     refused, aren't asked. A target counts only if it is a public address and under
     ``expected``, where a row has one; that is checked for each row, remembered or not.
-    Only as many addresses as attempts are ever ranked together.
+    Only as many addresses as attempts are ever ranked together. ``key`` is unique and settles equal ``order``.
     """
-    w = W.partitionBy(url).orderBy(*order)
-    placed = rows.withColumns({"__n": F.row_number().over(w), "__first": F.first(F.struct(*order)).over(w)})
-    asked = placed.where("__n = 1").select(url, "__first").orderBy("__first").limit(attempts).withColumn("__place", F.row_number().over(W.orderBy("__first")))
+    at = F.struct(*(c.alias(f"o{k}") for k, c in enumerate([*order, F.col(key)])))
+    # an address that many rows carry is one row of each task, and a row that comes back to them by a join
+    firsts = rows.groupBy(F.col(url).alias("__of")).agg(F.min(at).alias("__first"))
+    placed = rows.withColumn("__at", at).join(firsts, F.col(url).eqNullSafe(F.col("__of"))).withColumn("__again", F.col("__at") != F.col("__first")).drop("__of", "__at")
+    asked = firsts.select(F.col("__of").alias(url), "__first").orderBy("__first").limit(attempts).withColumn("__place", F.row_number().over(W.orderBy("__first")))
     known = asked.join(answers, url, "left").withColumn("status", F.coalesce("status", F.lit("failed")))
     refused = F.coalesce(F.sum((F.col("status") == "refused").cast("int")).over(W.orderBy("__place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     sent = known.withColumn("status", F.when(refused > 0, "skipped after refusal").otherwise(F.col("status"))).withColumn("sent_after", F.when(F.col("status") != "skipped after refusal", (F.col("__place") - 1) * spacing))
     told = placed.join(F.broadcast(sent.select(url, "status", "target", "sent_after")), url, "left")  # ``attempts`` rows at most
     safe = urls.public_destination(F.col("target")) & ((F.coalesce("expected", F.lit("")) == "") | urls.host_is_under(urls.hostname(F.col("target")), F.col("expected")))
     status = F.when(F.col("status").isNull(), "attempt budget exhausted").when((F.col("status") == "resolved") & ~F.coalesce(safe, F.lit(False)), "unsafe target").otherwise(F.col("status"))
-    return told.withColumn("status", status).select(key, "status", F.when(F.col("status") == "resolved", F.col("target")).alias("resolved"), (F.col("__n") > 1).alias("cached"), F.when(F.col("__n") == 1, F.col("sent_after")).alias("sent_after"))
+    return told.withColumn("status", status).select(key, "status", F.when(F.col("status") == "resolved", F.col("target")).alias("resolved"), F.col("__again").alias("cached"), F.when(~F.col("__again"), F.col("sent_after")).alias("sent_after"))
 
 
 def framed_value(body: Column, name: str) -> Column:
