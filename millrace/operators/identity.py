@@ -102,7 +102,8 @@ def clear_matches(feed: DataFrame, direct: DataFrame, words: int = 4, seconds: i
     of ``words`` words or more at most ``seconds`` apart.
 
     Both sides have id, publisher, source, title, canonical and published. Rows of the feed without a valid address match
-    nothing. Each of the two rules is an equi-join.
+    nothing. Each of the two rules is an equi-join that gives all pairs, so a key that many rows share gives many; whoever
+    needs unambiguous pairs alone takes ``only_matches``.
     """
     told = lambda rows: rows.select("id", "publisher", "source", F.nullif("canonical", F.lit("")).alias("canonical"), full_headline(F.col("title"), F.col("source")).alias("headline"), "published")
     f, d = told(feed).where("canonical is not null").alias("f"), told(direct).alias("d")
@@ -114,14 +115,61 @@ def clear_matches(feed: DataFrame, direct: DataFrame, words: int = 4, seconds: i
     return by_url.union(by_headline).distinct()
 
 
+def _ends(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Of each key its two first and its two last rows; limited ranks, so each task sends as many of a key."""
+    both = []
+    for way in (F.asc, F.desc):
+        w = W.partitionBy(*key).orderBy(*(way(c) for c in order))
+        both.append(rows.withColumn("__n", F.row_number().over(w)).where("__n <= 2").drop("__n"))
+    return both[0].unionByName(both[1]).distinct()
+
+
+def _told_pairs(a: DataFrame, b: DataFrame, key: list[str], seconds: float | None = None) -> DataFrame:
+    """(a, b): ids of pairs that agree in ``key`` and, with ``seconds``, are at most so far apart; of a row with more than two matches, two at least.
+
+    Every row of ``a`` meets the ends of a key of ``b``. With a distance, time is cut into buckets
+    of that length: all of a row's own bucket matches it, and of the buckets beside it only
+    those towards it can, so the ends of three buckets tell whether it has one match or more.
+    """
+    left = a.select(*key, F.col("id").alias("a"), F.col("published").alias("a_at"))
+    if seconds is None:
+        right = _ends(b.select(*key, F.col("id").alias("b")), key, ["b"])
+        return left.join(right, key).select("a", "b")
+    bucket = lambda c: F.floor(F.unix_micros(c) / F.lit(seconds * 1e6))
+    dated = b.where(F.col("published").isNotNull()).select(*key, F.col("id").alias("b"), F.col("published").alias("b_at"), bucket(F.col("published")).alias("__bucket"))
+    right = _ends(dated, [*key, "__bucket"], ["b_at", "b"]).withColumn("__bucket", F.explode(F.array(*(F.col("__bucket") + k for k in (-1, 0, 1)))))
+    asked = left.where(F.col("a_at").isNotNull()).withColumn("__bucket", bucket(F.col("a_at")))
+    near = F.abs(F.unix_micros("a_at") - F.unix_micros("b_at")) <= F.lit(int(seconds * 1_000_000))
+    return asked.join(right, [*key, "__bucket"]).where(near).select("a", "b")
+
+
+def only_matches(feed: DataFrame, direct: DataFrame, words: int = 4, seconds: int = 86400) -> DataFrame:
+    """(feed_id, direct_id) of the pairs of ``clear_matches`` in which neither side has another match.
+
+    Both sides have id, publisher, source, title, canonical and published. Copies of a hot
+    headline or address never multiply: of each row as many matches are made as tell one from
+    more, whatever the number of rows that share its key. Ids are unique on either side.
+    """
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(c)
+    told = lambda rows: rows.select("id", blank("publisher"), blank("source"), F.nullif("canonical", F.lit("")).alias("canonical"), full_headline(F.col("title"), F.col("source")).alias("headline"), "published")
+    f, d = cut(told(feed).where("canonical is not null")), cut(told(direct))
+    by_url, by_headline = ["publisher", "source", "canonical"], ["publisher", "source", "headline"]
+    named = lambda rows: rows.where(F.size(F.split("headline", " ")) >= words)
+    addressed = d.where("canonical is not null")
+    of_feed = _told_pairs(f, addressed, by_url).union(_told_pairs(named(f), named(d), by_headline, seconds))
+    of_direct = _told_pairs(addressed, f, by_url).union(_told_pairs(named(d), named(f), by_headline, seconds))
+    pairs = of_feed.select(F.col("a").alias("feed_id"), F.col("b").alias("direct_id")).union(of_direct.select(F.col("b").alias("feed_id"), F.col("a").alias("direct_id"))).distinct()
+    one = lambda by, other: pairs.groupBy(by).agg(F.count("*").alias("__n"), F.min(other).alias(other)).where("__n = 1").select("feed_id", "direct_id")
+    return one("feed_id", "direct_id").intersect(one("direct_id", "feed_id"))
+
+
 def merge_supplement(feed: DataFrame, direct: DataFrame, wrapper: Column) -> DataFrame:
     """The feed's rows, each merged with the page that is its only match and it that page's, and the pages left over.
 
     ``merged`` tells which. The direct address is taken only where the feed's is a ``wrapper``; then also its date, if it
     has one, else the feed's own or, without one, the page's. A page's snippet comes first. No row of the feed is lost.
     """
-    pairs, count = clear_matches(feed, direct), lambda c: F.count("*").over(W.partitionBy(c))
-    only = pairs.withColumns({"__l": count("feed_id"), "__r": count("direct_id")}).where("__l = 1 and __r = 1").select("feed_id", "direct_id")
+    only = cut(only_matches(feed, direct))
     pages = direct.select(F.col("id").alias("direct_id"), F.col("canonical").alias("__url"), F.col("published").alias("__date"), F.col("snippet").alias("__snippet"))
     found = feed.join(only.join(pages, "direct_id"), F.col("id") == F.col("feed_id"), "left").withColumn("merged", F.col("feed_id").isNotNull())
     taken = F.col("merged") & F.coalesce(wrapper, F.lit(False))

@@ -159,6 +159,21 @@ def one_to_one_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identity.one_to_one(rows.where("lang = 'en'"), rows.where("lang <> 'en'"), [["source", "k"], ["source", "n_chars"]], "doc_id", "doc_id")
 
 
+@query("supplement_matches", """
+    with t as (select doc_id, source, lang, trim(regexp_replace(lower(split_part(text, chr(10), 1)), '[^\\p{L}\\p{N}]+', ' ', 'g')) as k, n_chars // 40 as page, n_chars * 900 as at from documents),
+         f as (select * from t where lang = 'en'), d as (select * from t where lang <> 'en'),
+         p as (select f.doc_id as l, d.doc_id as r from f join d on f.source = d.source and (f.page = d.page or (f.k = d.k and len(string_split(f.k, ' ')) >= 4 and abs(f.at - d.at) <= 86400)))
+    select l as feed_id, r as direct_id from p where l in (select l from p group by 1 having count(*) = 1) and r in (select r from p group by 1 having count(*) = 1)""")
+def supplement_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents as a feed, all others as pages of the same publishers: those that have an address, or a headline within a day, in common with each other alone."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars")
+    rows = docs.select(
+        F.col("doc_id").alias("id"), F.col("source").alias("publisher"), F.lit("").alias("source"), F.substring_index("text", "\n", 1).alias("title"), "lang",
+        F.concat_ws("/", F.lit("https:/"), "source", F.floor(F.col("n_chars") / 40)).alias("canonical"), F.timestamp_seconds(F.col("n_chars") * 900).alias("published"),
+    )
+    return identity.only_matches(rows.where("lang = 'en'"), rows.where("lang <> 'en'"))
+
+
 @query("source_lookup", "select l_orderkey, l_linenumber, coalesce(s_name, 'Unknown source') as source from lineitem left join supplier on l_suppkey + l_linenumber = s_suppkey")
 def source_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey").withColumn("source_id", F.col("l_suppkey") + F.col("l_linenumber"))
