@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranges import running
+from millrace.operators import ranges
 from millrace.plans.lineage import cut
 
 
@@ -134,3 +135,54 @@ def consume(rows: list[dict], missing: int, initial: int, most: int, step: int =
         room = step
     rest = "shortlist ceiling" if used >= most else "shortlist deferred"
     return out + [row | {"outcome": rest} for row in queue[at:]]
+
+
+class _Region(ranges.Machine):
+    """One region's shortlist: batches of attempts until its need or its budget is met."""
+
+    def __init__(self, initial: int, step: int, reserve: int):
+        self.initial, self.more, self.reserve = initial, step, reserve
+        self.used = self.qualified = self.places = self.early = 0
+        self.room: int | None = None
+        self.over = False
+
+    def step(self, stage: int, found: bool, duplicate: bool, good: int | None, missing: int, most: int) -> tuple[str | None, int | None]:
+        if self.room is None:
+            self.room = min(self.initial, most)
+            self.over = missing <= 0 or most <= 0
+        if stage == 0 and (self.over or self.places >= min(self.reserve, most)):
+            return None, None  # its turn comes by rank
+        if stage == 1 and found and self.early:
+            self.early -= 1  # told in its reserved place
+            return None, None
+        if self.over:
+            return ("shortlist ceiling" if self.used >= most else "shortlist deferred"), None
+        self.early += stage == 0
+        if duplicate:
+            return "duplicate URL", None
+        self.used += 1
+        self.room -= 1
+        self.places += stage == 0
+        self.qualified += good == 1
+        if self.room == 0:
+            self.over = self.qualified >= missing or self.used >= most
+            self.room = min(self.more, most - self.used)
+        return ("qualified" if good == 1 else "enrichment failed" if good is None else "relevance too low"), self.used
+
+
+def adaptive(rows: DataFrame, region: str, rank: list[Column], found: Column, duplicate: Column, verdict: Column, required: Column, missing: Column, most: Column, initial: int = 6, step: int = 2, reserve: int = 2) -> DataFrame:
+    """``rows`` with ``outcome`` and ``attempt``: who of each region is assessed before its budget or its need is met.
+
+    Attempts come in batches, ``initial`` of them and then ``step`` each; after a batch a region
+    ends if enough qualified or ``most`` attempts are used. Up to ``reserve`` attempts are kept
+    for found rows, which take them before all others; a duplicate takes none, so the next found
+    row moves up. A failed assessment (null ``verdict``) costs its attempt. Who isn't reached is
+    behind the ceiling or deferred. ``missing`` and ``most`` are the same in all rows of a
+    region; null ones are 0. Each region is one stream in order, with only its counts in memory.
+    """
+    truth = lambda c: F.coalesce(c, F.lit(False))
+    number = lambda c: F.coalesce(c.cast("long"), F.lit(0).cast("long"))
+    kept = rows.withColumns({"__found": truth(found), "__stage": F.explode(F.when(truth(found), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1))))})
+    good = F.when(verdict.isNotNull(), truth(verdict >= required).cast("long"))
+    told = ranges.folded(kept, [region], [F.col("__stage"), *rank], {"stage": F.col("__stage").cast("long"), "found": F.col("__found"), "duplicate": truth(duplicate), "good": good, "missing": number(missing), "most": number(most)}, partial(_Region, initial, step, reserve), "outcome string, attempt long")
+    return told.where(F.col("outcome").isNotNull()).drop("__found", "__stage")

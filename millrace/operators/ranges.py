@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.plans.lineage import cut
 
@@ -52,3 +55,40 @@ def exact_median(rows: DataFrame, by: list[str], value: str, into: str) -> DataF
     groups = rows.select(*by).distinct()
     match = reduce(lambda a, b: a & b, [F.col(f"g.{b}").eqNullSafe(F.col(f"f.{b}")) for b in by])
     return groups.alias("g").join(found.alias("f"), match, "left").select(*(F.col(f"g.{b}").alias(b) for b in by), into)
+
+
+class Machine:
+    """What ``folded`` runs along a group: a new one begins each group, and ``step`` takes a row's values to its results."""
+
+    def step(self, *values: object) -> tuple:
+        raise NotImplementedError
+
+
+def folded(rows: DataFrame, by: list[str], order: list[Column], inputs: dict[str, Column], machine: Callable[[], Machine], outputs: str) -> DataFrame:
+    """``rows`` with ``outputs``, which a sequential rule gives row by row along each group in order.
+
+    Rows are dealt by group and sorted, which spills; a task reads them as a stream of batches
+    and carries one machine across them, so a group may be of any length and nothing of it is
+    held but the machine's own state. A rule that needs every earlier decision can't be split
+    further; what can is ``running``. Null keys are a group; the order decides all, ties included.
+    """
+    kinds, names = dict(rows.dtypes), [f.strip().split()[0] for f in outputs.split(",")]
+    marked = rows.withColumns({f"__i{k}": c for k, c in enumerate(inputs.values())} | {f"__o{k}": c for k, c in enumerate(order)})
+    ready = marked.repartition(*by).sortWithinPartitions(*by, *(F.col(f"__o{k}") for k in range(len(order)))).drop(*(f"__o{k}" for k in range(len(order))))
+    keys, width = [rows.columns.index(b) for b in by], len(rows.columns)
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rows.columns), outputs])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, now = object(), None
+        for batch in batches:
+            told: list[tuple] = []
+            columns = batch.columns
+            for key, values in zip(zip(*(columns[k].to_pylist() for k in keys), strict=True), zip(*(c.to_pylist() for c in columns[width:]), strict=True), strict=True):
+                if key != at:
+                    at, now = key, machine()
+                told.append(now.step(*values))
+            made = [pa.array(list(c)) for c in zip(*told, strict=True)] or [pa.nulls(0)] * len(names)
+            yield pa.RecordBatch.from_arrays([*columns[:width], *(m.cast(t) for m, t in zip(made, types, strict=True))], names=[*batch.schema.names[:width], *names])
+
+    types = [to_arrow_type(f.dataType) for f in rows.sparkSession.createDataFrame([], outputs).schema]
+    return ready.mapInArrow(run, schema)

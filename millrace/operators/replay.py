@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import rollups
+from millrace.operators import ranges, rollups
 from millrace.plans.lineage import cut
 
 
@@ -40,24 +40,29 @@ def budget_estimate(rows: DataFrame, size: Column, batch: int, prices: DataFrame
     return prices.withColumn("__one", F.lit(1)).join(F.broadcast(told), "__one").select("model", "requests", "input_tokens", "output_tokens", F.round(cost, 4).cast("double").alias("cost"))  # one row is sent
 
 
+class _Ledger(ranges.Machine):
+    """What a run has spent, in millionths."""
+
+    def __init__(self, cap: int):
+        self.cap, self.spent = cap, 0
+
+    def step(self, reserve: int, actual: int) -> tuple[int, bool]:
+        before, fits = self.spent, self.spent + reserve <= self.cap
+        if fits:
+            self.spent += actual
+        return before, fits
+
+
 def reserved(rows: DataFrame, by: list[str], order: list[str], reserve: Column, actual: Column, cap: float) -> DataFrame:
     """``rows`` with ``spent`` before each and ``sent``: a request goes out if what was spent and its reserve stay under the cap.
 
-    As in the ledger, what was refused costs nothing, so the decisions are sequential; groups are runs of requests, which
-    are few, and each is folded in order.
+    As in the ledger, what was refused costs nothing, so the decisions are sequential: each
+    group is folded in order, whatever its length. Amounts count in millionths; null ones are 0.
     """
-    item = F.struct(*order, reserve.cast("decimal(18,6)").alias("__r"), actual.cast("decimal(18,6)").alias("__a"), F.struct(*rows.columns).alias("__row"))
-    listed = rows.groupBy(*by).agg(F.sort_array(F.collect_list(item)).alias("__items"))
-    decimal = lambda c: c.cast("decimal(18,6)")
-    sent_type = "array<struct<spent:decimal(18,6),sent:boolean>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        fits = acc["spent"] + x["__r"] <= F.lit(cap)
-        return F.struct(decimal(F.when(fits, acc["spent"] + x["__a"]).otherwise(acc["spent"])).alias("spent"), F.array_append(acc["told"], F.struct(acc["spent"].alias("spent"), fits.alias("sent"))).alias("told"))
-
-    told = F.aggregate("__items", F.struct(decimal(F.lit(0)).alias("spent"), F.array().cast(sent_type).alias("told")), step, lambda acc: acc["told"])
-    zipped = listed.select(F.explode(F.arrays_zip(F.col("__items"), told.alias("told"))).alias("z"))
-    return zipped.select("z.__items.__row.*", F.col("z.told.spent").cast("double").alias("spent"), F.col("z.told.sent").alias("sent"))
+    millionths = lambda c: F.coalesce((c.cast("decimal(18,6)") * 1_000_000).cast("long"), F.lit(0).cast("long"))
+    limit = round(cap * 1_000_000)
+    told = ranges.folded(rows, by, [F.col(c) for c in order], {"reserve": millionths(reserve), "actual": millionths(actual)}, partial(_Ledger, limit), "__spent long, __sent boolean")
+    return told.select(*rows.columns, (F.col("__spent") / F.lit(1_000_000)).alias("spent"), F.col("__sent").alias("sent"))
 
 
 def cohort_metrics(rows: DataFrame, cohort: str, predicted: Column, actual: Column) -> DataFrame:

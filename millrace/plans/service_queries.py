@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
-from millrace.operators import ranking, replay, selection
+from millrace.operators import assessment, ranking, replay, selection
 from millrace.plans.catalog import query
 from millrace.plans.pool_queries import _FINAL, CANDIDATES_SQL, TARGETS, candidates
 from millrace.plans.scalar_queries import CANONICAL_SQL
@@ -280,3 +280,38 @@ def keyed_store_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (F.col("at") > F.lit(middle), F.col("at") <= F.lit(middle)):
         store.upsert(best(rows.where(part)))
     return store.rows()
+
+
+_NEEDS = {"AFRICA": 1, "AMERICA": 4, "ASIA": 9, "EUROPE": 0, "MIDDLE EAST": 40}
+
+
+@query("adaptive_shortlists", f"""
+    with recursive base as (
+        select o_orderkey, r_name as region, o_totalprice, o_orderstatus = 'P' as found, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) > 1 as duplicate,
+               case left(o_orderpriority, 1) when '1' then 5 when '2' then 4 when '3' then 3 when '5' then 2 end as verdict
+        from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+    ), e as (
+        select *, row_number() over (partition by region order by stage, o_totalprice desc, o_orderkey) as n from (select *, 1 as stage from base union all select *, 0 from base where found)
+    ), lim as (select region, case region {' '.join(f"when '{r}' then {n}" for r, n in _NEEDS.items())} else 0 end as missing, 24 as most from (select distinct region from base)
+    ), w as (
+        select region, 0::bigint as n, 0 as used, 0 as good, 0 as places, 0 as early, least(6, most) as room, missing <= 0 or most <= 0 as done, null::bigint as o_orderkey, null::varchar as outcome, null::int as attempt from lim
+        union all
+        select region, n, used, good, places, early, case when room = 0 then least(2, most - used) else room end, room = 0 and take and (good >= missing or used >= most), o_orderkey, case when not skip then case when duplicate then 'duplicate URL' when verdict is null then 'enrichment failed' when verdict >= 4 then 'qualified' else 'relevance too low' end end, case when take then used end
+        from (select s.*, s.used_ + take::int as used, s.good_ + (take and coalesce(verdict, 0) >= 4)::int as good, s.places_ + (take and stage = 0)::int as places, case when again then early_ - 1 when not skip and stage = 0 then early_ + 1 else early_ end as early, s.room_ - take::int as room
+              from (select q.*, again or (stage = 0 and places_ >= least(2, most)) as skip, not (again or (stage = 0 and places_ >= least(2, most))) and not duplicate as take
+                    from (select e.*, w.used as used_, w.good as good_, w.places as places_, w.early as early_, w.room as room_, lim.missing, lim.most, e.stage = 1 and e.found and w.early > 0 as again
+                          from w join e on e.region = w.region and e.n = w.n + 1 join lim on lim.region = w.region where not w.done) q) s)
+    ), told as (select o_orderkey, outcome, attempt from w where outcome is not null)
+    select b.o_orderkey, b.region, coalesce(t.outcome, case when u.used >= u.most then 'shortlist ceiling' else 'shortlist deferred' end) as outcome, t.attempt::bigint as attempt
+    from base b left join told t using (o_orderkey) join (select region, max(used) as used, max(most) as most from w join lim using (region) group by region) u on u.region = b.region""")
+def adaptive_shortlists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as articles of their customer's region, dearest first: who is assessed until the region's need or its 24 attempts are met. Partial orders are found ones, a customer's later ones duplicates, unspecified ones fail."""
+    t = lambda name, *c: table(spark, sf_dir, name, *c)
+    placed = t("orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority").join(t("customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = placed.join(t("nation", "n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+    best = placed.groupBy(F.col("o_custkey").alias("of")).agg(F.max_by("o_orderkey", F.struct("o_totalprice", -F.col("o_orderkey"))).alias("best"))
+    known = rows.join(best, F.col("o_custkey") == F.col("of")).select("o_orderkey", F.col("r_name").alias("region"), "o_totalprice", "o_orderstatus", "o_orderpriority", "best")
+    verdict = F.try_element_at(F.create_map(*(F.lit(x) for pair in {"1": 5, "2": 4, "3": 3, "5": 2}.items() for x in pair)), F.left("o_orderpriority", F.lit(1)))
+    need = F.try_element_at(F.create_map(*(F.lit(x) for pair in _NEEDS.items() for x in pair)), F.col("region"))
+    told = assessment.adaptive(known, "region", [-F.col("o_totalprice"), F.col("o_orderkey")], F.col("o_orderstatus") == "P", F.col("o_orderkey") != F.col("best"), verdict, F.lit(4), need, F.lit(24))
+    return told.select("o_orderkey", "region", "outcome", "attempt")
