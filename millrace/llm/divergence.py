@@ -188,8 +188,9 @@ def kept_terms(docs: DataFrame, bits: int | None = None) -> DataFrame:
 
 
 def weight(count: Column, n: Column, v: Column) -> Column:
-    """1 + floor(1e9 * (count + 1) / (n + v)), the product in decimals as it may pass a long."""
-    return F.call_function("div", F.lit(UNIT).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)"), (n + v).cast("decimal(19,0)")) + 1
+    """1 + floor(1e9 * (count + 1) / (n + v)); in decimals only where the product may pass a long."""
+    wide = F.call_function("div", F.lit(UNIT).cast("decimal(10,0)") * (count + 1).cast("decimal(19,0)"), (n + v).cast("decimal(19,0)"))
+    return F.when(count < 9 * UNIT, F.call_function("div", F.lit(UNIT).cast("long") * (count + 1), n + v)).otherwise(wide) + 1
 
 
 def difference(p: Column, q: Column) -> Column:

@@ -7,6 +7,7 @@ import numpy as np
 from helpers import no_documents, odd_documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.llm import divergence as D
 from millrace.llm import queries
@@ -99,6 +100,13 @@ def test_discards_most_rare_terms():
     assert D.survives(bitmap, b"en", list(rare)).mean() < 0.01
 
 
+def test_weights_beyond_a_long(spark):
+    cases = [(0, 1, 1), (8_999_999_999, 9_000_000_000, 5), (9_000_000_000, 9_000_000_007, 3), (10**15, 3 * 10**15, 7), (5, 10**12, 10**6)]
+    df = spark.createDataFrame(cases, "c long, n long, v long")
+    got = {r.c: r.w for r in df.select("c", D.weight(F.col("c"), F.col("n"), F.col("v")).alias("w")).collect()}
+    assert got == {c: 1 + 10**9 * (c + 1) // (n + v) for c, n, v in cases}
+
+
 def test_sql(spark):
     con = duckdb.connect()
     con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
