@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.ranges import exact_median
+from millrace.operators.ranges import exact_median, running
 
 
 def stage_rollup(rows: DataFrame, grain: list[str], flags: dict[str, Column], identity: str) -> DataFrame:
@@ -65,9 +65,8 @@ def run_diff(left: DataFrame, right: DataFrame, key: str, fields: list[str]) ->
 
 
 def running_ledger(rows: DataFrame, by: list[str], order: list[str], cost: Column, cap: float) -> DataFrame:
-    """``rows`` with the running total in each group and whether it is still under the cap."""
-    w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    return rows.withColumn("spent", F.round(F.sum(cost).over(w), 2)).withColumn("allowed", F.col("spent") <= cap)
+    """``rows`` with the running total in each group and whether it is still under the cap. The order is unique; no group gathers in one task."""
+    return running(rows, by, order, {"spent": cost}).withColumn("spent", F.round("spent", 2)).withColumn("allowed", F.col("spent") <= cap)
 
 
 def success_rates(rows: DataFrame, by: str, ok: Column, value: str, least: float, most: float) -> DataFrame:

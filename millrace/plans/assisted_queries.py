@@ -1,13 +1,17 @@
-"""The model-assisted run as a query, with stand-ins for what is called outside: fixed functions of a title and a snippet."""
+"""Runs as queries, with stand-ins for what is called outside: fixed functions of a title and a snippet."""
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text, urls
-from millrace.plans import assisted
+from millrace.plans import assisted, ingestion, weekly_run
 from millrace.plans.catalog import query
+from millrace.plans.lineage import shared_folder
 from millrace.plans.scalar_queries import articles
 from millrace.plans.values import REGIONS, EngineConfig
 
@@ -41,3 +45,13 @@ def assisted_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many articles of each phase every label decided about."""
     told = assisted.run(feed(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"), EngineConfig(), assisted.Model(classify, enrich))
     return assisted.stages(told).groupBy("phase", "stage", F.coalesce("reason", F.lit("selected")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("weekly_runs")
+def weekly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winners of two runs of one week over all documents: the second one finds what the first one left, and takes nothing twice."""
+    desk = weekly_run.Desk(spark, f"{shared_folder(spark)}/desk-{uuid.uuid4().hex}")
+    rows = articles(spark, sf_dir)
+    for _ in range(2):
+        desk.run(rows, ingestion.registry(rows), datetime(2024, 2, 1), EngineConfig(targets=(6, 8, 6, 4)))
+    return desk.queue().select("run", "pick", "key", "region", "publisher", "url", "score")

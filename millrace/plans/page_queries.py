@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions import labels, markup, pages
+from millrace.functions import labels, markup, pages, scores, text
 from millrace.plans.catalog import query
 from millrace.plans.scalar_queries import _DROPPED_SQL, CANONICAL_SQL, STRIP_SQL
 from millrace.sources import structured
@@ -110,3 +110,14 @@ def signal_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", noun.alias("noun"), application.alias("application"), topics.alias("t"))
     kept = labels.guarded(F.col("t"), ("A",), F.col("noun"), F.col("application"))
     return read.select("doc_id", kept.alias("topics"), labels.strength(F.col("t"), F.col("application"), F.lit(False))["strength"].alias("strength"), labels.foreign_local(F.col("noun"), F.col("application"), F.col("application"), F.lit(False)).alias("foreign_local"))
+
+
+@query("page_fields", """
+    with p as (select page_id, regexp_extract(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '([^/]*)/?$', 1) as segment, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) as title, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) as anchors from pages)
+    select page_id, case when try_cast(segment as bigint) >= 0 then try_cast(segment as bigint) end as size, least(5, greatest(1, coalesce(try_cast(segment as bigint), 3)))::int as score, replace(lower(trim(title)), ' ', '_') as status,
+           list_filter(anchors, lambda x, i: trim(x) <> '' and list_position(anchors, x) = i) as labels from p""")
+def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the last part of an address says as a size and as a score, titles as statuses of one spelling, anchors as labels without repeats."""
+    segment = F.regexp_extract(F.regexp_extract("url", r"://[^/?#]*([^?#]*)", 1), r"([^/]*)/?$", 1)
+    title, anchors = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1), F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), 1)
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select("page_id", labels.content_length(segment).alias("size"), scores.clamped(segment).alias("score"), text.evidence_status(title).alias("status"), text.distinct_labels(anchors).alias("labels"))

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, scores, text, urls
-from millrace.operators import events, identity, ranking, selection
+from millrace.operators import events, gates, identity, ranking, selection
 from millrace.plans.catalog import query
 from millrace.plans.lineage import cut
 from millrace.plans.scalar_queries import ARTICLES_SQL, articles
@@ -397,3 +397,29 @@ def capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deficits(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, targets = _week(spark, sf_dir)
     return selection.deficits(rows, "region", targets, ["week"])
+
+
+@query("metadata_top3", """
+    select o_custkey, o_orderkey, place::int as place from (
+        select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by length(o_orderpriority) desc, coalesce(case when o_orderstatus <> 'F' then o_totalprice end, 0) desc, (o_totalprice > 150000) desc, o_orderdate desc nulls last, least(length(o_orderstatus || o_orderpriority), 500) desc, o_orderkey) as place from orders
+    ) where place <= 3""")
+def metadata_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's three first orders in the order of unread articles: more specific, better rated, concrete, newer, longer, then by address."""
+    c = F.col
+    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate").select(
+        "o_custkey", "o_orderkey", F.length("o_orderpriority").alias("specificity"), F.when(c("o_orderstatus") != "F", c("o_totalprice")).alias("quality"), (c("o_totalprice") > 150000).alias("concrete"), c("o_orderdate").alias("published"),
+        F.concat("o_orderstatus", "o_orderpriority").alias("snippet"), c("o_orderkey").alias("url"),
+    )
+    return ranking.top_k(rows, ["o_custkey"], ranking.metadata_order(), 3, "place").select("o_custkey", "o_orderkey", "place")
+
+
+@query("eligible_lines", """
+    select l_orderkey, l_linenumber, l_returnflag <> 'R' and l_linestatus = 'F' and (l_quantity >= 10 or l_discount > 0.05) as eligible, l_quantity / 10 >= greatest(1, l_tax * 50) as relevant from lineitem""")
+def eligible_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as assessed rows: returned ones were rejected, open ones aren't enriched, small ones of small discount are background."""
+    c = F.col
+    small = (c("l_quantity") < 10) & (c("l_discount") <= 0.05)
+    scope = gates.scope_reason(F.when(small, "explainer_background").otherwise("development"), F.when(small, "unclear").otherwise("true"))
+    good = gates.eligible(F.when(c("l_returnflag") == "R", "returned").otherwise(""), c("l_linestatus") == "F", scope)
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax")
+    return rows.select("l_orderkey", "l_linenumber", good.alias("eligible"), (c("l_quantity") / 10 >= F.greatest(F.lit(1.0), c("l_tax") * 50)).alias("relevant"))

@@ -49,11 +49,11 @@ def append_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("apply_changes", """
     with c as (select user_id as key, arg_max(event_type, (ts, event_id)) as kind, arg_max(value, (ts, event_id)) as value from events group by 1),
-         r as (select c_custkey as key, c_acctbal as value from customer where c_custkey % 3 <> 0)
+         r as (select c_custkey as key, c_acctbal as value from customer)
     select coalesce(r.key, c.key) as key, case when c.key is null then r.value else c.value end as value from r full join c on r.key = c.key where c.kind is null or c.kind <> 'error'""")
 def apply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as stored rows, events as their changes: errors delete, all else inserts or updates."""
-    rows = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").where("c_custkey % 3 <> 0").toDF("key", "value")
+    rows = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal").toDF("key", "value")
     op = F.when(F.col("event_type") == "error", "delete").otherwise("put")
     changes = table(spark, sf_dir, "events", "user_id", "event_type", "value", "ts", "event_id").select(F.col("user_id").alias("key"), op.alias("op"), "value", F.struct("ts", "event_id").alias("seq"))
     return documents.changed(rows, changes, "key", "seq")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import text
 from millrace.operators.gates import source_errors
 from millrace.plans import ingestion
 from millrace.plans.catalog import query
 from millrace.plans.scalar_queries import CLEAN_SQL
-from millrace.sources import feeds, listings, state
+from millrace.sources import collect, feeds, listings, state
 from millrace.sources.tables import table
 from millrace.streaming import quota
 from millrace.streaming import state as streams
@@ -132,3 +133,24 @@ def stream_weekly_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = streams.read_stream(spark, f"{sf_dir}/events.parquet", "ts")
     found = quota.weekly_quota(stream, "ts", "event_id", F.col("event_type"), F.col("user_id"), _TARGETS, 2)
     return streams.run_available(found, "append").where("kind = 'admitted'").drop("kind")
+
+
+@query("collected_sources", f"""
+    with d as (select doc_id, source, lang, n_chars, {CLEAN_SQL.replace('{}', "split_part(text, chr(10), 1)")} as title, strlen(text) as size from documents),
+         o as (select *, case when lang = 'es' then 'Fetch Error' when n_chars < 300 then 'HTTP Error' when n_chars % 2 = 0 and lang = 'de' then 'Unchanged' when strpos(title, 'a') = 0 then 'Empty' else 'Success' end as outcome from d where lang <> 'fr')
+    select doc_id::varchar as source_id, outcome, (outcome = 'Success')::int as article_count, case when outcome = 'HTTP Error' then 3 when outcome <> 'Fetch Error' then 1 end as attempts,
+           case when outcome = 'HTTP Error' then 2000 + size when outcome <> 'Fetch Error' then size end::int as duration_ms from o""")
+def collected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a source with a feed of its own: French ones aren't fetched as feeds, Spanish ones never answer, short ones fail three times, some German ones are unchanged, and those whose first line has no "a" are empty."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars")
+    line, address = F.substring_index("text", "\n", 1), F.concat(F.lit("https://"), "source", F.lit(".example.com/"), "doc_id")
+    clean = text.clean_text(line)
+    item = F.when(F.contains(clean, F.lit("a")), F.concat(F.lit("<item><title>"), _escaped(line), F.lit("</title><link>"), address, F.lit("</link></item>"))).otherwise("")
+    body = F.encode(F.concat(F.lit("<rss><channel>"), item, F.lit("</channel></rss>")), "UTF-8")
+    registry = docs.select(F.col("doc_id").cast("string").alias("source_id"), F.col("source").alias("source_name"), address.alias("feed_url"), F.when(F.col("lang") == "fr", "listing").otherwise("RSS ").alias("collection_method"), F.col("lang").alias("source_region"), F.array("lang").alias("topics"), F.lit(5.0).alias("quality"))
+    short = F.col("n_chars") < 300
+    status = F.when(short, 503).when((F.col("n_chars") % 2 == 0) & (F.col("lang") == "de"), 304).otherwise(200)
+    tried = docs.where("lang <> 'es'").withColumn("attempt", F.explode(F.when(short, F.sequence(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(1)))))
+    began = F.timestamp_seconds(F.lit(1704067200) + F.col("attempt"))
+    fetches = tried.select(address.alias("url"), "attempt", status.alias("status"), body.alias("content"), F.lit(None).cast("string").alias("error"), began.alias("started_at"), F.timestamp_millis(F.unix_millis(began) + F.octet_length("text")).alias("ended_at"))
+    return collect.collected(registry, fetches)[1].select("source_id", "outcome", "article_count", "attempts", "duration_ms")

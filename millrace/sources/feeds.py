@@ -76,6 +76,11 @@ def read_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return parse_feeds(spark.read.format("binaryFile").load(paths).select("path", "content"))
 
 
+def stream_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_feeds``, for files that arrive: a run reads those that no run before it has read, by its own checkpoint."""
+    return parse_feeds(spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").load(path))
+
+
 def parse_feeds(files: DataFrame) -> DataFrame:
     """Raw rows of (path string, content binary)."""
     return files.select("path", "content").mapInPandas(_parsed, ENTRIES)
