@@ -120,3 +120,11 @@ def test_components(spark, links):
             low, high = sorted((root[a], root[b]))
             root = {k: low if v == high else v for k, v in root.items()}
     assert got == root
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    """Two texts of a million characters that differ in one word, under columns named like the operator's own."""
+    words = [f"w{k % 9973}x{k % 7}" for k in range(150_000)]
+    rows = [(1, " ".join(words), "c", 5, "b"), (2, " ".join([*words[:70_000], "other", *words[70_000:]]), "c", 5, "b"), (3, "z" * 1_000_000, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, comp string, copies int, bands string")
+    assert {(r.doc_id, r.class_id, r.copy_id, r.n_links) for r in near_join.join(df).collect()} == {(1, 1, 1, 1), (2, 1, 2, 1), (3, 3, 3, 0)}

@@ -42,3 +42,11 @@ def test_stages_against_brute_force(spark, sf, tmp_path):
         docs, before = out, after
     whole = {r.doc_id: r.ids for r in QUERIES["pipeline"](spark, sf).collect()}
     assert whole == {i: r.ids for i, r in before.items()}
+
+
+def test_empty_tables(spark, tmp_path):
+    """No documents, no labels and no benchmark items: every stage passes, and nothing comes out."""
+    made = {"documents": "doc_id long, text string, lang string, source string, n_chars long", "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
+    for name, schema in made.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

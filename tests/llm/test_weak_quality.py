@@ -93,3 +93,9 @@ def test_held_out_accuracy(spark, sf):
     right = [out[k] == y for k, y in labels.items()]
     assert np.mean(right) > 0.85
     assert np.mean([out[k] for k, y in labels.items() if y == 1]) > 0.95
+
+
+def test_columns_of_the_same_names(spark):
+    df = spark.createDataFrame([(k, f"some words of text number {k} that go on", "x", 0.5, 1, "p") for k in range(30)], "doc_id long, text string, votes string, posterior double, predicted int, pattern string")
+    rows = Q.quality(df).collect()
+    assert len(rows) == 30 and all(0 <= r.score <= 1 and set(r.votes) <= set("-+.") for r in rows)
