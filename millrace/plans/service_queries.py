@@ -315,3 +315,22 @@ def adaptive_shortlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     need = F.try_element_at(F.create_map(*(F.lit(x) for pair in _NEEDS.items() for x in pair)), F.col("region"))
     told = assessment.adaptive(known, "region", [-F.col("o_totalprice"), F.col("o_orderkey")], F.col("o_orderstatus") == "P", F.col("o_orderkey") != F.col("best"), verdict, F.lit(4), need, F.lit(24))
     return told.select("o_orderkey", "region", "outcome", "attempt")
+
+
+@query("search_filtered", """
+    with w as (select doc_id as id, lang, source || '.example.com' as domain, n_chars, list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')) as words from documents),
+         q as (select item_id as request_id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> ''))) as all_words, length(text) as size from benchmark),
+         h as (select request_id, id, row_number() over (partition by request_id order by n_chars desc, id) as position from q join w on list_has_all(w.words, all_words[2:2 + size % 3]) and (size % 2 = 0 or w.lang = 'en')
+               and (size % 4 = 0 or list_contains(list_transform(range(12), lambda k: 'src' || ((size + k) % 20) || '.example.com'), w.domain)) and (size % 3 = 0 or w.n_chars >= size) and (size % 5 = 0 or w.n_chars <= size * 20))
+    select request_id, id, position::int as position from h where position <= 10""")
+def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One to three words of each benchmark item, asked in a language, of a dozen domains, since and until a length, each where the item's own length says so."""
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}]+"), lambda x: x != ""))
+    index = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars").select(F.col("doc_id").alias("id"), "lang", F.concat("source", F.lit(".example.com")).alias("domain"), F.col("n_chars").alias("published"), words("text").alias("words"))
+    size = F.length("text").cast("long")
+    domains = F.transform(F.sequence(F.lit(0), F.lit(11)), lambda k: F.concat(F.lit("src"), (size + k) % 20, F.lit(".example.com")))
+    asked = table(spark, sf_dir, "benchmark", "item_id", "text").select(
+        F.col("item_id").alias("request_id"), F.slice(F.array_sort(words("text")), F.lit(2), (size % 3 + 1).cast("int")).alias("query"), F.lit(10).alias("count"), F.when(size % 2 != 0, "en").alias("language"),
+        F.when(size % 4 != 0, domains).alias("domains"), F.when(size % 3 != 0, size).alias("since"), F.when(size % 5 != 0, size * 20).alias("until"),
+    )
+    return search.search(asked, index)

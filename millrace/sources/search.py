@@ -37,13 +37,18 @@ def search(requests: DataFrame, index: DataFrame, words: str = "words") -> DataF
     """(request_id, id, position): for each request the newest rows of an index that hold all words of its query.
 
     Requests have request_id, query words, count, language, domains, since and until; null predicates ask for nothing.
-    Only words are joined on, the rarest of a query, so a frequent word never brings its rows together.
+    Rows that hold the two rarest words of a query are found among the words' own lists, before any
+    row of the index is fetched; a limited rank keeps ``MOST_RESULTS`` of a request in each task.
     """
     asked = requests.withColumns({"count": clamped_count(F.col("count")), "domains": F.slice(F.coalesce("domains", F.array().cast("array<string>")), 1, MOST_DOMAINS)})
     posted = index.select("id", F.explode(F.array_distinct(words)).alias("word"))
     seen = posted.groupBy("word").agg(F.count("*").alias("n"))
-    probe = asked.select("request_id", F.explode("query").alias("word")).join(seen, "word", "left").groupBy("request_id").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
-    hit = probe.join(posted, "word").select("request_id", "id").join(asked, "request_id").join(index, "id")
+    counted = asked.select("request_id", F.explode(F.array_distinct("query")).alias("word")).join(seen, "word", "left")
+    rare = counted.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("r"))  # the words of one query
+    probe = rare.select("request_id", F.col("r")[0]["word"].alias("word"), F.try_element_at("r", F.lit(2))["word"].alias("second"))
+    first = probe.join(posted, "word").select("request_id", "id", "second")
+    both = first.join(posted.select("id", F.col("word").alias("second")), ["id", "second"], "left_semi").select("request_id", "id").unionByName(first.where("second is null").select("request_id", "id"))
+    hit = both.join(asked, "request_id").join(index, "id")
     good = F.size(F.array_except("query", words)) == 0
     for rule in (
         F.col("language").isNull() | (F.col("lang") == F.col("language")),
@@ -53,7 +58,7 @@ def search(requests: DataFrame, index: DataFrame, words: str = "words") -> DataF
     ):
         good = good & rule
     w = W.partitionBy("request_id").orderBy(F.desc_nulls_last("published"), "id")
-    return hit.where(good).withColumn("position", F.row_number().over(w)).where(F.col("position") <= F.col("count")).select("request_id", "id", "position")
+    return hit.where(good).withColumn("position", F.row_number().over(w)).where(F.col("position") <= MOST_RESULTS).where(F.col("position") <= F.col("count")).select("request_id", "id", "position")
 
 
 def discovered(found: DataFrame, deficits: dict[str, int], excluded: DataFrame, most: int) -> DataFrame:
