@@ -154,3 +154,18 @@ def collected_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     began = F.timestamp_seconds(F.lit(1704067200) + F.col("attempt"))
     fetches = tried.select(address.alias("url"), "attempt", status.alias("status"), body.alias("content"), F.lit(None).cast("string").alias("error"), began.alias("started_at"), F.timestamp_millis(F.unix_millis(began) + F.octet_length("text")).alias("ended_at"))
     return collect.collected(registry, fetches)[1].select("source_id", "outcome", "article_count", "attempts", "duration_ms")
+
+
+@query("feed_links", """
+    select doc_id, case when lang = 'de' then 'https://news.google.com/rss/' || doc_id else 'https://' || source || '.example.com/' || n_chars end as url,
+           case when lang = 'de' then 'unresolved' when lang = 'es' then 'publisher_url' else 'resolved_feed_metadata' end as resolution, case when lang = 'fr' then 'https://' || source || '.example.com/' || n_chars || '.png' else '' end as image_url from documents""")
+def feed_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an entry that names its address in one of several places: English ones behind a wrapper with the original beside it, French ones within the summary, with an image, German ones behind a wrapper alone, Spanish ones plainly."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "n_chars")
+    own = F.concat(F.lit("https://"), "source", F.lit(".example.com/"), "n_chars")
+    wrapped = F.concat(F.lit("<link>https://news.google.com/rss/"), "doc_id", F.lit("</link>"))
+    lang = F.col("lang")
+    extra = F.when(lang == "en", F.concat(F.lit("<origLink>"), own, F.lit("</origLink>"))).when(lang == "fr", F.concat(F.lit("<description>&lt;a href='"), own, F.lit("'&gt;told&lt;/a&gt;</description><enclosure type='image/png' url='"), own, F.lit(".png'/>"))).otherwise("")
+    xml = F.concat(F.lit("<rss><channel><item><title>t</title>"), F.when(lang == "es", F.concat(F.lit("<link>"), own, F.lit("</link>"))).otherwise(wrapped), extra, F.lit("</item></channel></rss>"))
+    raw = feeds.parse_feeds(docs.select(F.col("doc_id").cast("string").alias("path"), F.encode(xml, "UTF-8").alias("content")))
+    return feeds.feed_articles(raw).select(F.col("path").cast("long").alias("doc_id"), "url", "resolution", "image_url")
