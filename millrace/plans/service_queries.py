@@ -14,7 +14,7 @@ from millrace.plans.catalog import query
 from millrace.plans.pool_queries import _FINAL, CANDIDATES_SQL, TARGETS, candidates
 from millrace.plans.scalar_queries import CANONICAL_SQL
 from millrace.plans.lineage import shared_folder
-from millrace.sources import documents, hops, keyed_store, resolver, search
+from millrace.sources import documents, hops, keyed_store, resolver, search, state
 from millrace.sources.tables import table
 
 
@@ -334,3 +334,17 @@ def search_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 4 != 0, domains).alias("domains"), F.when(size % 3 != 0, size).alias("since"), F.when(size % 5 != 0, size * 20).alias("until"),
     )
     return search.search(asked, index)
+
+
+@query("image_cache", CANONICAL_SQL + """
+    select a.page_id, coalesce(m.image, '') as image_url, coalesce(m.provider, '') as image_provider from c a left join (
+        select canonical, 'https://img.example.org/' || max(page_id) || '.png' as image, case when max(page_id) % 2 = 0 then 'even' else 'odd' end as provider from c where contains(url, '?') or contains(url, '#') group by canonical
+    ) m using (canonical)""")
+def image_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the image last recorded for its address, out of a keyed store that pages with queries, and then those with fragments, put theirs in."""
+    rows = table(spark, sf_dir, "pages", "page_id", "url").withColumn("canonical", urls.canonical_url(F.col("url")))
+    store = keyed_store.image_store(spark, f"{shared_folder(spark)}/images-{uuid.uuid4().hex}")
+    found = rows.select("url", urls.url_hash(F.col("canonical")).alias("url_hash"), F.concat(F.lit("https://img.example.org/"), "page_id", F.lit(".png")).alias("image_url"), F.when(F.col("page_id") % 2 == 0, "even").otherwise("odd").alias("provider"), F.timestamp_seconds("page_id").alias("recorded_at"))
+    for mark in ("?", "#"):
+        store.upsert(found.where(F.contains("url", F.lit(mark))))
+    return state.with_images(rows, store.rows()).select("page_id", "image_url", "image_provider")
