@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from millrace.functions import phrases, urls
-from millrace.plans.lineage import cut
+from millrace.plans.lineage import cut, stored
 
 #: Phrases that one automaton holds; a task and the driver see as many.
 SCANNED = 10_000
+#: Rows of holders that are sent to every task; more are joined by a shuffle.
+SENT = 500_000
 
 
 def exclude_seen(rows: DataFrame, key: str, seen: DataFrame, seen_key: str) -> DataFrame:
@@ -213,15 +215,25 @@ def longest_override(rows: DataFrame, text: str, overrides: DataFrame, phrase: s
 def assign_distinct(offers: DataFrame, rank: str, pos: str, identity: str) -> DataFrame:
     """(rank, pos, identity): each row, by unique ``rank``, gets its first offer that no better row got.
 
-    Resolved in rounds: every row asks for its best offer left, the best row that asks for an
-    identity holds it, the others strike it from their lists. That ends in the same picks as
-    serving rows one by one. Rows whose offers run out get none.
+    Resolved in rounds: every row asks for its best offer left, and the best row that asks for an
+    identity holds it. Holders only get better, so every row behind one strikes that identity, asked
+    for or not. That ends in the same picks as serving rows one by one. Rows whose offers run out get
+    none. Offers are stored in columns, and again without what is struck or settled after rounds 1, 2,
+    4, 8 and so on; between those a round stores only what is asked and held.
     """
-    live = cut(offers.select(rank, pos, identity).where(F.col(identity).isNotNull()))
+    live = stored(offers.select(rank, pos, identity).where(F.col(identity).isNotNull()))
+    open_, done, n = live, None, 0
     while True:
-        asked = live.groupBy(rank).agg(F.min(F.struct(pos, identity)).alias("o")).select(rank, f"o.{pos}", f"o.{identity}")
-        held = asked.groupBy(identity).agg(F.min(rank).alias("__holder"))
-        struck = cut(asked.join(held, identity).where(F.col(rank) != F.col("__holder")).select(rank, identity))
-        if struck.isEmpty():
-            return asked
-        live = cut(live.join(struck, [rank, identity], "left_anti"))
+        n += 1
+        asked = cut(open_.groupBy(rank).agg(F.min(F.struct(pos, identity)).alias("o")).select(rank, f"o.{pos}", f"o.{identity}"))
+        held = cut(asked.groupBy(identity).agg(F.min(rank).alias("__holder"), F.count("*").alias("__n")))
+        if held.where("__n > 1").isEmpty():
+            return asked if done is None else done.unionByName(asked)
+        few = held.count() <= SENT
+        open_ = live.join(F.broadcast(held) if few else held, identity, "left").where(F.col("__holder").isNull() | (F.col(rank) <= F.col("__holder"))).select(rank, pos, identity)
+        if n & (n - 1) == 0:
+            # Settled: asked for by a row that no better one with offers left can take it from.
+            least = open_.groupBy(identity).agg(F.min(rank).alias(rank))
+            settled = cut(asked.join(least, [rank, identity]))
+            done = settled if done is None else done.unionByName(settled)
+            live = open_ = stored(open_.join(settled.select(rank), rank, "left_anti"))

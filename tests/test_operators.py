@@ -4,6 +4,8 @@ import datetime as dt
 import logging
 import random
 from collections import Counter
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 from hypothesis import given, settings
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import claims, dates, keywords, labels, pages, relevance, scores, text, urls
 from millrace.operators import assessment, drafts, events, gates, identity, ranges, ranking, replay, rollups, selection
 from millrace.plans import ingestion, pool_queries, scalar_queries
+from millrace.plans.lineage import shared_folder
 from millrace.plans.logs import configure_logs
 from millrace.plans.values import EngineConfig, load_config
 from millrace.sources import feeds, listings, registry_table, state
@@ -167,6 +170,17 @@ def test_distinct_assignment_serves_rows_in_order(spark, seed):
     assert {r["rank"]: r.image for r in got} == want
 
 
+def test_distinct_assignment_stores_little_over_many_rounds(spark):
+    folder = Path(urlparse(shared_folder(spark)).path)
+    size = lambda: sum(f.stat().st_size for f in folder.rglob("*") if f.is_file())
+    offers = spark.range(24 * 300).select(F.floor(F.col("id") / 300).alias("rank"), (F.col("id") % 300).alias("pos"), F.concat(F.lit("https://images.example.org/of/the/day/"), F.col("id") % 300).alias("image"))
+    before = size()
+    got = identity.assign_distinct(offers, "rank", "pos", "image").collect()
+    assert {r["rank"]: r.pos for r in got} == {k: k for k in range(24)}
+    # each of the 24 rounds used to store all offers again
+    assert size() - before < 2_000_000
+
+
 def brute_select(rows, targets, limit, cap):
     """The same rules over the whole pool, without any compression."""
     regions, publishers, out = Counter(), Counter(), []
