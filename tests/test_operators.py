@@ -170,6 +170,22 @@ def test_leaders_are_greedy(spark, seed):
     assert got == want
 
 
+def test_pairs_that_share_a_rare_word_alone_end_within_the_join(spark):
+    rng = random.Random(5)
+    sets = [sorted({"rare", *(f"w{rng.randrange(4000)}" for _ in range(rng.randint(5, 60)))}) for _ in range(120)]
+    sets += [sorted({*t, f"x{k}"}) for k, t in enumerate(sets[:20])] + [["one"], ["one", "two"], ["one", "two", "three", "four"], ["one", "two", "three", "five"]]
+    classes = spark.createDataFrame(list(enumerate(sets)), "rep int, tokens array<string>")
+    near = lambda t, u: len({*t} & {*u}) >= 0.72 * len({*t} | {*u}) - 1e-9
+    want = {(i, j) for i, t in enumerate(sets) for j, u in enumerate(sets) if i < j and near(t, u)}
+    assert len(want) >= 20
+    assert {(r.x, r.y) for r in events.class_pairs(classes).collect()} == want
+    signs = [r[0] for r in classes.orderBy("rep").select(events._signature("tokens")).collect()]
+    bits = lambda a, b: sum(((x ^ y) % 2**64).bit_count() for x, y in zip(a, b, strict=True))
+    differ = [(bits(signs[i], signs[j]), len({*sets[i]} ^ {*sets[j]}), len(sets[i]) + len(sets[j])) for i in range(60) for j in range(60)]
+    assert all(b <= d for b, d, _ in differ)
+    assert sum(b > n * 0.28 / 1.72 for b, d, n in differ if d) > 0.98 * sum(1 for _, d, _ in differ if d)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_distinct_assignment_serves_rows_in_order(spark, seed):
     rng = random.Random(seed)
