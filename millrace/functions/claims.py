@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.bind import let
 from millrace.plans.values import UNITS
 
 # The units that follow a number, in the order in which they are tried, the rates after them, and rates told before.
@@ -25,14 +26,22 @@ _MARK = "\x01"
 
 def unit_name(unit: Column) -> Column:
     """A unit's short form, with its rate as ``/day``, ``/month`` or ``/year``."""
+    names = F.create_map(*(F.lit(x) for pair in UNITS.items() for x in pair))
+    short = lambda x: F.coalesce(F.try_element_at(names, x), x)
+
+    def named(value: Column) -> Column:
+        base, rate = F.substring_index(value, "/", 1), F.regexp_extract(value, r"/(.*)$", 1)
+        return F.when(F.instr(value, "/") == 0, short(value)).otherwise(let(rate, lambda r: F.when(r == "", short(base)).otherwise(F.concat(short(base), F.lit("/"), short(r)))))
+
+    return let(_folded_unit(unit), named)
+
+
+def _folded_unit(unit: Column) -> Column:
     value = F.replace(F.regexp_replace(F.lower(F.trim(unit)), r"\s+", " "), F.lit("³"), F.lit("3"))
     value = F.regexp_replace(F.regexp_replace(value, r"\s+per\s+", "/"), r"\s*/\s*", "/")
     for word in ("daily", "monthly", "annually"):
         value = F.regexp_replace(value, rf" {word}$", f"/{RATE_WORDS[word]}")
-    names = F.create_map(*(F.lit(x) for pair in UNITS.items() for x in pair))
-    short = lambda x: F.coalesce(F.try_element_at(names, x), x)
-    base, rate = F.substring_index(value, "/", 1), F.regexp_extract(value, r"/(.*)$", 1)
-    return F.when(rate == "", short(base)).otherwise(F.concat(short(base), F.lit("/"), short(rate)))
+    return value
 
 
 def number_text(number: Column) -> Column:
@@ -56,11 +65,14 @@ def numeric_claims(text: Column) -> Column:
     found = F.regexp_extract_all(marked, F.lit(rf"(?i)((?:{_MARK}\w+{_MARK})?{_ALONE}{NUMBER_PATTERN}(?:{unit})?)"), 1)
     rates = F.create_map(*(F.lit(x) for pair in RATE_WORDS.items() for x in pair))
 
-    def claim(x: Column) -> Column:
-        name = unit_name(F.regexp_extract(x, rf"(?i)^(?:{_MARK}\w+{_MARK})?{NUMBER_PATTERN}{unit}$", 1))
+    def rated(name: Column, x: Column) -> Column:
         rate = F.try_element_at(rates, F.lower(F.regexp_extract(x, rf"^{_MARK}(\w+){_MARK}", 1)))
-        rated = F.when((name != "") & ~name.contains("/") & ~name.isin(*UNRATED) & rate.isNotNull(), F.concat(name, F.lit("/"), rate)).otherwise(name)
-        return F.struct(number_text(F.regexp_extract(x, rf"^(?:{_MARK}\w+{_MARK})?({NUMBER_PATTERN})", 1)).alias("value"), rated.alias("unit"))
+        return F.when((name != "") & x.startswith(_MARK) & ~name.contains("/") & ~name.isin(*UNRATED), F.coalesce(F.concat(name, F.lit("/"), rate), name)).otherwise(name)
+
+    def claim(x: Column) -> Column:
+        said = F.regexp_extract(x, rf"(?i)^(?:{_MARK}\w+{_MARK})?{NUMBER_PATTERN}{unit}$", 1)
+        name = let(said, lambda u: F.when(u == "", "").otherwise(let(unit_name(u), lambda n: rated(n, x))))
+        return F.struct(number_text(F.regexp_extract(x, rf"^(?:{_MARK}\w+{_MARK})?({NUMBER_PATTERN})", 1)).alias("value"), name.alias("unit"))
 
     return F.concat(dates, F.transform(found, claim))
 

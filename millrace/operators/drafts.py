@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions import claims, urls
+from millrace.functions.bind import let
 
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -39,7 +40,8 @@ def evidence_warning(status: Column) -> Column:
 def number_warnings(stories: DataFrame, evidence: DataFrame, on: list[str]) -> DataFrame:
     """Each story's claims that its own evidence lacks; stories without evidence have none supported."""
     joined = stories.join(evidence, on, "left")
-    left = claims.unsupported(claims.numeric_claims(F.col("story")), claims.numeric_claims(F.coalesce("evidence", F.lit(""))))
+    both = F.struct(claims.numeric_claims(F.col("story")).alias("s"), claims.numeric_claims(F.coalesce("evidence", F.lit(""))).alias("e"))
+    left = let(both, lambda x: claims.unsupported(x["s"], x["e"]))
     return joined.select(*on, F.explode(left).alias("c")).select(*on, F.col("c.value").alias("value"), F.col("c.unit").alias("unit"))
 
 

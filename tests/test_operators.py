@@ -151,6 +151,11 @@ def test_objective_gate_where_rejected_rows_hold_their_address(spark):
     assert got == {1: "invalid title", 2: "duplicate URL", 3: "duplicate URL", 4: None, 5: "unknown publication date", 6: "invalid URL", 7: "invalid URL"}
 
 
+def test_numeric_claims_name_each_step_once(spark):
+    # each use of a value that isn't bound repeats its regular expressions
+    assert str(claims.numeric_claims(F.col("t"))).count("regexp") < 40
+
+
 def test_quality_label_rounds_as_stored(spark):
     # half a hundredth in decimals, less than that in binary once it is scaled
     assert values(spark, [0.145, 0.285, 1.015, 0.125, 9.999, 10.0, 0.0, None], scores.quality_label, "double") == ["0.14/10", "0.28/10", "1.01/10", "0.13/10", "10/10", "10/10", "0/10", "unscored"]
