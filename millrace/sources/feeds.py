@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from millrace.functions import dates, markup, text, urls
 
 ENTRIES = "path string, outcome string, error string, pos int, link string, links array<string>, title string, summary string, contents array<string>, dated string, image string"
+#: Rows that a task holds before it hands them on, however many entries its files have.
+HELD = 1_000
 
 
 def _name(tag: str) -> str:
@@ -58,17 +60,29 @@ def _iso(raw: str) -> str:
 
 def _parsed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = [c.split()[0] for c in ENTRIES.split(", ")]
+
+    def framed(rows: list[dict]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=columns)
+        out["pos"] = out["pos"].astype("Int32")
+        return out
+
     for frame in frames:
         rows = []
         for path, data in zip(frame["path"], frame["content"], strict=True):
             entries, error = parse_feed(data)
             told = {"path": path, "outcome": "Parse Error" if error else "Success" if entries else "Empty", "error": error[:1000]}
-            rows += [told | {"pos": k} | e | {"dated": _iso(e["dated"])} for k, e in enumerate(entries)]
             if not entries:
                 rows.append(told | {"pos": None, "link": "", "links": [], "title": "", "summary": "", "contents": [], "dated": "", "image": ""})
-        out = pd.DataFrame(rows, columns=columns)
-        out["pos"] = out["pos"].astype("Int32")
-        yield out
+            for k, e in enumerate(entries):
+                rows.append(told | {"pos": k} | e | {"dated": _iso(e["dated"])})
+                if len(rows) >= HELD:
+                    yield framed(rows)
+                    rows = []
+            if len(rows) >= HELD:
+                yield framed(rows)
+                rows = []
+        if rows:
+            yield framed(rows)
 
 
 def read_feeds(spark: SparkSession, paths: str | list[str]) -> DataFrame:

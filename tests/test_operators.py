@@ -156,6 +156,14 @@ def test_numeric_claims_name_each_step_once(spark):
     assert str(claims.numeric_claims(F.col("t"))).count("regexp") < 40
 
 
+def test_feeds_hand_on_their_entries_in_small_frames():
+    files = feeds.pd.DataFrame({"path": ["a", "b", "c"], "content": [b"<rss>" + b"<item><title>t</title></item>" * 2500 + b"</rss>", b"<rss/>", b"none"]})
+    frames = list(feeds._parsed(iter([files])))
+    assert max(map(len, frames)) <= 1000 and sum(map(len, frames)) == 2502
+    told = feeds.pd.concat(frames)
+    assert [*told.where(told.path == "a").pos.dropna()] == [*range(2500)] and [*told.outcome[-2:]] == ["Empty", "Parse Error"]
+
+
 def test_quality_label_rounds_as_stored(spark):
     # half a hundredth in decimals, less than that in binary once it is scaled
     assert values(spark, [0.145, 0.285, 1.015, 0.125, 9.999, 10.0, 0.0, None], scores.quality_label, "double") == ["0.14/10", "0.28/10", "1.01/10", "0.13/10", "10/10", "10/10", "0/10", "unscored"]
