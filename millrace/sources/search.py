@@ -37,19 +37,20 @@ def search(requests: DataFrame, index: DataFrame, words: str = "words") -> DataF
     """(request_id, id, position): for each request the newest rows of an index that hold all words of its query.
 
     Requests have request_id, query words, count, language, domains, since and until; null predicates ask for nothing.
-    Rows that hold the two rarest words of a query are found among the words' own lists, before any
-    row of the index is fetched; a limited rank keeps ``MOST_RESULTS`` of a request in each task.
+    The distinct words of all queries go to every task, where each row of the index keeps those it
+    holds. They are counted, and each request meets the rows of its rarest word with all else that they
+    hold; a limited rank keeps ``MOST_RESULTS`` of a request in each task before the only large shuffle.
     """
     asked = requests.withColumns({"count": clamped_count(F.col("count")), "domains": F.slice(F.coalesce("domains", F.array().cast("array<string>")), 1, MOST_DOMAINS)})
-    posted = index.select("id", F.explode(F.array_distinct(words)).alias("word"))
+    terms = asked.select("request_id", F.explode(F.array_distinct("query")).alias("word"))
+    known = terms.agg(F.collect_set("word").alias("__known"))
+    told = index.join(F.broadcast(known)).withColumn("__held", F.array_intersect(words, "__known")).drop("__known", words).where(F.size("__held") > 0)
+    posted = told.withColumn("word", F.explode("__held"))
     seen = posted.groupBy("word").agg(F.count("*").alias("n"))
-    counted = asked.select("request_id", F.explode(F.array_distinct("query")).alias("word")).join(seen, "word", "left")
-    rare = counted.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("r"))  # the words of one query
-    probe = rare.select("request_id", F.col("r")[0]["word"].alias("word"), F.try_element_at("r", F.lit(2))["word"].alias("second"))
-    first = probe.join(posted, "word").select("request_id", "id", "second")
-    both = first.join(posted.select("id", F.col("word").alias("second")), ["id", "second"], "left_semi").select("request_id", "id").unionByName(first.where("second is null").select("request_id", "id"))
-    hit = both.join(asked, "request_id").join(index, "id")
-    good = F.size(F.array_except("query", words)) == 0
+    counted = terms.join(seen, "word", "left")
+    probe = counted.groupBy("request_id").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("r")).select("request_id", F.col("r.word").alias("word"))
+    hit = posted.join(probe.join(asked, "request_id"), "word")
+    good = F.size(F.array_except("query", "__held")) == 0
     for rule in (
         F.col("language").isNull() | (F.col("lang") == F.col("language")),
         (F.size("domains") == 0) | F.array_contains("domains", F.col("domain")),

@@ -33,3 +33,13 @@ def test_a_word_of_all_rows(spark):
     requests = spark.createDataFrame([(1, ["the", "rare"], 50, None, None, None, None), (2, ["the", "usual"], 2, None, None, None, None), (3, ["the"], 3, "en", ["a.org"], 100, 19_000)], REQUESTS)
     got = sorted((r.request_id, r.position, r.id) for r in search.search(requests, index).collect())
     assert got == [(1, 1, 15_007), (1, 2, 10_007), (1, 3, 5_007), (1, 4, 7), (2, 1, 19_999), (2, 2, 19_998), (3, 1, 19_000), (3, 2, 18_999), (3, 3, 18_998)]
+
+
+def test_only_words_that_are_asked_for_leave_a_row(spark, capsys):
+    asked = spark.createDataFrame([(1, ["a", "b"], 5, None, None, None, None), (2, ["c"], 5, None, None, None, None)], REQUESTS)
+    rows = spark.range(300).selectExpr("id", "'en' as lang", "'x' as domain", "cast(id as int) as published", "array('a', if(id % 2 = 0, 'b', 'z'), concat('w', id), 'a') as words")
+    found = search.search(asked, rows)
+    assert [(r.request_id, r.id) for r in found.orderBy("position").collect()] == [(1, k) for k in (298, 296, 294, 292, 290)]
+    found.explain()
+    # no list of all words is made again to meet the second rarest one
+    assert "LeftSemi" not in capsys.readouterr().out
