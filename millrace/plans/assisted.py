@@ -42,7 +42,7 @@ ASSESSED = "key string, reason string, relevance int, significance int, region s
 
 def classified_pool(articles: DataFrame, now: Column, config: EngineConfig, model: Model, seen: DataFrame | None, phase: str) -> DataFrame:
     """All articles with ``reason`` from objective checks or the model's veto, ``decision``, ``score5`` and ``region``; an article without a verdict stays."""
-    gated = gates.objective_gate(articles, now, config, seen, "key")
+    gated = cut(gates.objective_gate(articles, now, config, seen, "key"))  # every round of calls reads it
     asked = gated.where("reason is null").select(F.col("key").alias("id"), "title", "snippet")
     verdicts = assessment.classified(asked, ["title", "snippet"], model.classify)
     parts = F.split("decision", "[|]")  # decision|relevance|region
